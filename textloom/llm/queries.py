@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import mixing, neardup, pairs, quality, sampling, tokens, vocabulary
+from textloom.llm import arrivals, mixing, neardup, neighbours, pairs, quality, sampling, tokens, vocabulary
 from textloom.session import table
 
 AXES = ["difficulty", "question_type", "answerable", "language"]
@@ -21,6 +21,28 @@ def p1_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
     return vocabulary.vocabulary(table(spark, folder, "passage_vocabulary"))
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return arrivals.repeated(arrivals.indexed(table(spark, folder, "facts")))
+
+
+def _vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "facts").select("id", F.col("embedding").alias("vector"))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    probes = table(spark, folder, "neighbour_probe").filter("id IS NOT NULL AND fact_id IS NOT NULL").distinct()
+    vectors = _vectors(spark, folder)
+    asked = vectors.join(probes.select(F.col("fact_id").alias("id")).distinct(), "id", "left_semi")
+    found = neighbours.nearest(asked, vectors, 5)
+    return probes.join(found.select(F.col("query").alias("fact_id"), F.col("id").alias("near")), "fact_id").select("id", F.col("near").alias("fact_id")).distinct()
+
+
+def p3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten most similar facts of every fact whose id is divisible by 50, against all facts, with relaxed pruning."""
+    vectors = _vectors(spark, folder)
+    return neighbours.nearest(vectors.filter("id % 50 = 0"), vectors, 10, factor=1.25)
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     rows = sampling.report(table(spark, folder, "release_pool"), table(spark, folder, "release_targets"), AXES)
     return rows.filter("short").select("release_name", "axis", "category").distinct()
@@ -39,8 +61,8 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fact_groups(spark: SparkSession, folder: str) -> DataFrame:
-    sets = table(spark, folder, "facts").select("id", neardup.word_set("statement", "evidence_text").alias("set"))
-    return neardup.near_duplicates(sets, 0.7)
+    texts = table(spark, folder, "facts").select("id", F.concat_ws(" ", "statement", "evidence_text").alias("text"))
+    return neardup.near_duplicates(texts, 0.7, words=1)
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -81,7 +103,7 @@ def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_vocabulary, p5_found, p5_report, p5_sample, p6_found, p7_found, p7_groups, p9_found, p9_mix, p9_shares, p10_found, p10_statistics)
+    f.__name__: f for f in (p1_found, p1_vocabulary, p2_found, p3_found, p3_neighbours, p5_found, p5_report, p5_sample, p6_found, p7_found, p7_groups, p9_found, p9_mix, p9_shares, p10_found, p10_statistics)
 }
 
 _TERMS = """
@@ -101,9 +123,15 @@ sized AS (SELECT DISTINCT release_name, axis, lower(trim(category)) AS category,
 report AS (SELECT release_name, axis, category, size, greatest(CAST(floor(size * target_pct / 100) AS BIGINT), min_rows) AS places, coalesce(supply, 0) AS supply
   FROM sized LEFT JOIN supply USING (axis, category))
 """
+_NEAR = """
+WITH good AS (SELECT id, CAST(embedding AS DOUBLE[]) AS v FROM facts WHERE len(embedding) = 64 AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
+pairs AS (SELECT p.id AS probe, b.id AS near, list_cosine_similarity(a.v, b.v) AS s FROM (SELECT DISTINCT id, fact_id FROM neighbour_probe) p
+  JOIN good a ON a.id = p.fact_id JOIN good b ON b.id <> a.id)
+"""
 ORACLES: dict[str, str] = {
     "p1_found": _TERMS + "SELECT language, lemma, 'rare' AS mark FROM marked WHERE rare UNION ALL SELECT language, lemma, 'common' FROM marked WHERE common",
     "p1_vocabulary": _TERMS + "SELECT * FROM marked",
+    "p3_found": _NEAR + "SELECT DISTINCT probe AS id, near AS fact_id FROM (SELECT *, row_number() OVER (PARTITION BY probe ORDER BY s DESC, near) AS r FROM pairs) WHERE r <= 5",
     "p5_found": _REPORT + "SELECT DISTINCT release_name, axis, category FROM report WHERE supply < places",
     "p5_report": _REPORT + "SELECT *, supply < places AS short FROM report",
 }
