@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import arrivals, mixing, neardup, neighbours, pairs, quality, sampling, tokens, vocabulary
+from textloom.llm import arrivals, mixing, neardup, neighbours, pairs, quality, sampling, scans, tokens, vocabulary
 from textloom.session import table
 
 AXES = ["difficulty", "question_type", "answerable", "language"]
@@ -43,6 +43,14 @@ def p3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(vectors.filter("id % 50 = 0"), vectors, 10, factor=1.25)
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return scans.Scans(table(spark, folder, "passages"), table(spark, folder, "documents")).found()
+
+
+def p4_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    return scans.Scans(table(spark, folder, "passages"), table(spark, folder, "documents")).repaired()
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     rows = sampling.report(table(spark, folder, "release_pool"), table(spark, folder, "release_targets"), AXES)
     return rows.filter("short").select("release_name", "axis", "category").distinct()
@@ -103,7 +111,7 @@ def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_vocabulary, p2_found, p3_found, p3_neighbours, p5_found, p5_report, p5_sample, p6_found, p7_found, p7_groups, p9_found, p9_mix, p9_shares, p10_found, p10_statistics)
+    f.__name__: f for f in (p1_found, p1_vocabulary, p2_found, p3_found, p3_neighbours, p4_found, p4_repaired, p5_found, p5_report, p5_sample, p6_found, p7_found, p7_groups, p9_found, p9_mix, p9_shares, p10_found, p10_statistics)
 }
 
 _TERMS = """
