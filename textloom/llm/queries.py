@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import arrivals, mixing, neardup, neighbours, pairs, quality, sampling, scans, tokens, vocabulary
+from textloom.llm import arrivals, mixing, neardup, neighbours, packing, pairs, quality, sampling, scans, tokens, vocabulary
 from textloom.session import table
 
 AXES = ["difficulty", "question_type", "answerable", "language"]
@@ -86,6 +86,14 @@ def p7_groups(spark: SparkSession, folder: str) -> DataFrame:
     return facts.join(found, "id", "left").select("id", F.coalesce("group", "id").alias("group"))
 
 
+def p8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"), table(spark, folder, "containers"))
+
+
+def p8_filling(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.filling(packing.packed(table(spark, folder, "documents"), table(spark, folder, "containers")))
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("source", "text")
     rows = mixing.plan(tokens.with_tokens(documents), table(spark, folder, "mix_targets"))
@@ -111,7 +119,7 @@ def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_vocabulary, p2_found, p3_found, p3_neighbours, p4_found, p4_repaired, p5_found, p5_report, p5_sample, p6_found, p7_found, p7_groups, p9_found, p9_mix, p9_shares, p10_found, p10_statistics)
+    f.__name__: f for f in (p1_found, p1_vocabulary, p2_found, p3_found, p3_neighbours, p4_found, p4_repaired, p5_found, p5_report, p5_sample, p6_found, p7_found, p7_groups, p8_packing, p8_filling, p9_found, p9_mix, p9_shares, p10_found, p10_statistics)
 }
 
 _TERMS = """
