@@ -1 +1,132 @@
-"""To come."""
+"""Paging and top-k retrieval by vector, by shared terms, and by both."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from textloom.functions.columns import cosine, jaccard, numbers, words
+from textloom.registry import Tables, query
+
+#: Constant of reciprocal rank fusion.
+FUSION = 60
+_E = "SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings"
+
+
+def fused(rankings: list[DataFrame], key: str, rank: str = "rank") -> DataFrame:
+    """(key, score): the sum of 1 / (60 + rank) over the rankings."""
+    rows = rankings[0].select(key, rank)
+    for r in rankings[1:]:
+        rows = rows.unionByName(r.select(key, rank))
+    return rows.groupBy(key).agg(F.round(F.sum(1.0 / (FUSION + F.col(rank))), 9).alias("score"))
+
+
+def duplicate_bar(t: float, same_language: Column, same_answerable: Column, near_answerable: Column, facts: Column, passages: Column) -> Column:
+    """The similarity from which a question repeats its neighbour; null where it cannot."""
+    other = t + (1 - t) / 2
+    same = F.when(facts | passages, F.lit(t)).otherwise(F.lit(other))
+    return F.when(~same_language, F.lit(None)).when(~same_answerable, F.when(near_answerable & facts, F.lit(t))).otherwise(same)
+
+
+@query("T03, T04, T12: a page of facts with how many there are", """
+SELECT id, kind, n FROM (SELECT id, kind, (SELECT count(*) FROM facts WHERE validated) AS n FROM facts WHERE validated ORDER BY confidence DESC NULLS LAST, id LIMIT 20 OFFSET 40)""")
+def fact_page(t: Tables) -> DataFrame:
+    rows = t.facts.filter("validated")
+    page = rows.select("id", "kind", "confidence").orderBy(F.desc_nulls_last("confidence"), "id").offset(40).limit(20)
+    return page.crossJoin(rows.agg(F.count(F.lit(1)).alias("n"))).select("id", "kind", "n")  # one row
+
+
+@query("T06, A37: nearest validated fact of the same kind that names the same numbers, among the five nearest", """
+WITH g AS (SELECT id, kind, CAST(embedding AS DOUBLE[]) AS v, list_sort(regexp_extract_all(statement, '[0-9]+')) AS n FROM facts WHERE validated AND len(embedding) = 64 AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
+s AS (SELECT a.id, b.id AS near, round(list_cosine_similarity(a.v, b.v), 6) AS s, a.n = b.n AS same FROM g a JOIN g b ON a.kind = b.kind AND a.id <> b.id WHERE a.id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY s DESC, near) AS r FROM s) SELECT id, near, s AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY r) AS k FROM r WHERE r <= 5 AND same) WHERE k = 1""")
+def nearest_same_numbers(t: Tables) -> DataFrame:
+    good = t.facts.filter("validated AND size(embedding) = 64").filter(F.exists("embedding", lambda x: x != 0)).select("id", "kind", "embedding", numbers("statement").alias("n"))
+    a = good.filter("id % 50 = 0").select("kind", F.col("id").alias("asked"), F.col("embedding").alias("va"), F.col("n").alias("na"))
+    rows = a.join(good, "kind").filter("asked <> id").select("asked", F.col("id").alias("near"), F.round(cosine("va", "embedding"), 6).alias("similarity"), (F.col("na") == F.col("n")).alias("same"))
+    top = rows.withColumn("r", F.row_number().over(Window.partitionBy("asked").orderBy(F.desc("similarity"), "near"))).filter("r <= 5 AND same")
+    return top.groupBy(F.col("asked").alias("id")).agg(F.min_by(F.struct("near", "similarity"), "r").alias("b")).select("id", "b.near", "b.similarity")
+
+
+@query("T08: ten nearest vectors to one", f"""
+WITH g AS ({_E}) SELECT b.vec_id, round(list_cosine_similarity(a.v, b.v), 6) AS similarity FROM g a JOIN g b ON a.vec_id <> b.vec_id WHERE a.vec_id = 7 ORDER BY similarity DESC, b.vec_id LIMIT 10""")
+def nearest_ten(t: Tables) -> DataFrame:
+    one = t.embeddings.filter("vec_id = 7").select(F.col("embedding").alias("q"))
+    rows = t.embeddings.filter("vec_id <> 7").crossJoin(one)  # one row
+    return rows.select("vec_id", F.round(cosine("q", "embedding"), 6).alias("similarity")).orderBy(F.desc("similarity"), "vec_id").limit(10)
+
+
+@query("T09, T19, T20: passages that share most terms with one", """
+WITH v AS (SELECT DISTINCT id, lower(trim(x)) AS term FROM (SELECT id, unnest(lemmas) AS x FROM passage_vocabulary) WHERE trim(x) <> ''), q AS (SELECT term FROM v WHERE id = 5)
+SELECT id, count(*) AS shared FROM v WHERE id <> 5 AND term IN (SELECT term FROM q) GROUP BY id ORDER BY shared DESC, id LIMIT 10""")
+def most_shared_terms(t: Tables) -> DataFrame:
+    v = t.passage_vocabulary.select("id", F.explode("lemmas").alias("x")).select("id", F.lower(F.trim("x")).alias("term")).filter("term <> ''").distinct()
+    asked = v.filter("id = 5").select("term")
+    return v.filter("id <> 5").join(asked, "term", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("shared")).orderBy(F.desc("shared"), "id").limit(10)
+
+
+@query("T10, T11, J07: vector and word rankings of facts for one question fused, with each fact's share", """
+WITH q AS (SELECT CAST(embedding AS DOUBLE[]) AS v, regexp_extract_all(lower(statement), '[\\p{L}\\p{N}]+') AS w FROM facts WHERE id = 100),
+a AS (SELECT id, row_number() OVER (ORDER BY s DESC, id) AS rank FROM (SELECT f.id, round(list_cosine_similarity(q.v, CAST(f.embedding AS DOUBLE[])), 6) AS s FROM facts f, q WHERE f.id <> 100 AND len(f.embedding) = 64 AND list_sum(list_transform(f.embedding, lambda x: abs(x))) > 0 ORDER BY s DESC, id LIMIT 20)),
+b AS (SELECT id, row_number() OVER (ORDER BY n DESC, id) AS rank FROM (SELECT f.id, len(list_intersect(q.w, regexp_extract_all(lower(f.statement), '[\\p{L}\\p{N}]+'))) AS n FROM facts f, q WHERE f.id <> 100 ORDER BY n DESC, id LIMIT 20))
+SELECT id, round(sum(1.0 / (60 + rank)), 9) AS score FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY id ORDER BY score DESC, id LIMIT 10""")
+def hybrid_retrieval(t: Tables) -> DataFrame:
+    q = t.facts.filter("id = 100").select(F.col("embedding").alias("qv"), words("statement").alias("qw"))
+    rows = t.facts.filter("id <> 100").select("id", "embedding", words("statement").alias("w")).crossJoin(q)  # one row
+    good = rows.filter((F.size("embedding") == 64) & F.exists("embedding", lambda x: x != 0))
+    by_vector = good.select("id", F.round(cosine("qv", "embedding"), 6).alias("s")).orderBy(F.desc("s"), "id").limit(20)
+    by_words = rows.select("id", F.size(F.array_intersect("qw", "w")).alias("s")).orderBy(F.desc("s"), "id").limit(20)
+    rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("s"), "id"))  # twenty rows
+    return fused([by_vector.withColumn("rank", rank), by_words.withColumn("rank", rank)], "id").orderBy(F.desc("score"), "id").limit(10)
+
+
+@query("T14, T15, T16, P16: which questions repeat an earlier one: similarity of words against the bar for what they share", """
+WITH q AS (SELECT q.id, language, answerable, list_distinct(regexp_extract_all(lower(question_text), '[\\p{L}\\p{N}]+')) AS w, regexp_extract_all(lower(question_text), '[\\p{L}\\p{N}]+') AS o, (SELECT list(DISTINCT fact_id) FROM question_facts qf WHERE qf.question_id = q.id) AS f FROM questions q WHERE difficulty = 'hard'),
+p AS (SELECT a.id, b.id AS near, a.language IS NOT DISTINCT FROM b.language AS sl, a.answerable = b.answerable AS sa, b.answerable AS ba, coalesce(list_has_any(a.f, b.f), false) AS sf, len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) AS s FROM q a JOIN q b ON b.id < a.id AND a.o[1] = b.o[1] AND a.o[2] = b.o[2]),
+c AS (SELECT *, CASE WHEN NOT sl THEN NULL WHEN NOT sa THEN CASE WHEN ba AND sf THEN 0.5 END WHEN sf THEN 0.5 ELSE 0.75 END AS bar FROM p)
+SELECT id, near, round(s - bar, 6) AS above FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(s - bar, 6) DESC, near) AS r FROM c WHERE s >= bar) WHERE r = 1""")
+def repeated_questions(t: Tables) -> DataFrame:
+    facts = t.question_facts.groupBy(F.col("question_id").alias("id")).agg(F.collect_set("fact_id").alias("f"))
+    q = t.questions.filter("difficulty = 'hard'").select("id", "language", "answerable", words("question_text").alias("o"), F.array_distinct(words("question_text")).alias("w")).join(facts, "id", "left").filter(F.size("o") >= 2)
+    q = q.withColumn("k", F.concat_ws(" ", F.col("o")[0], F.col("o")[1]))  # candidates open with the same two words
+    b = q.select("k", F.col("id").alias("near"), F.col("language").alias("lb"), F.col("answerable").alias("ab"), F.col("w").alias("wb"), F.col("f").alias("fb"))
+    shares = F.coalesce(F.arrays_overlap("f", "fb"), F.lit(False))
+    bar = duplicate_bar(0.5, F.col("language").eqNullSafe(F.col("lb")), F.col("answerable") == F.col("ab"), F.col("ab"), shares, F.lit(False))
+    rows = q.join(b, "k").filter("near < id").withColumn("s", jaccard(F.col("w"), F.col("wb"))).withColumn("bar", bar).filter("s >= bar").withColumn("above", F.round(F.col("s") - F.col("bar"), 6))
+    return rows.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("above"), "near"))).filter("r = 1").select("id", "near", "above")
+
+
+@query("T18: length of the shared beginning of two section paths", """
+WITH s AS (SELECT id, string_split(section_path, '.') AS t, lead(string_split(section_path, '.')) OVER (PARTITION BY doc_sha256 ORDER BY ordinal) AS u FROM passages WHERE section_path IS NOT NULL)
+SELECT id, CASE WHEN t[1] <> u[1] THEN 0 WHEN t[2] IS DISTINCT FROM u[2] OR t[2] IS NULL THEN 1 ELSE 2 END AS shared FROM s WHERE u IS NOT NULL""")
+def shared_beginning(t: Tables) -> DataFrame:
+    trail = F.split("section_path", r"\.")
+    rows = t.passages.filter("section_path IS NOT NULL").select("id", trail.alias("t"), F.lead(trail).over(Window.partitionBy("doc_sha256").orderBy("ordinal")).alias("u")).filter("u IS NOT NULL")
+    same = F.zip_with("t", "u", lambda a, b: a.eqNullSafe(b) & a.isNotNull() & b.isNotNull())
+    shared = F.aggregate(same, F.struct(F.lit(True).alias("on"), F.lit(0).alias("n")), lambda s, x: F.struct((s["on"] & x).alias("on"), (s["n"] + (s["on"] & x).cast("int")).alias("n")), lambda s: s["n"])
+    return rows.select("id", shared.alias("shared"))
+
+
+@query("T21: same-document passage with most shared terms, then the nearest, then by id", """
+WITH v AS (SELECT DISTINCT id, lower(trim(x)) AS term FROM (SELECT id, unnest(lemmas) AS x FROM passage_vocabulary) WHERE trim(x) <> ''), p AS (SELECT p.id, p.doc_sha256, p.ordinal, list(term) AS w FROM passages p JOIN v USING (id) WHERE p.block_type = 'list' GROUP BY 1, 2, 3)
+SELECT id, near FROM (SELECT a.id, b.id AS near, row_number() OVER (PARTITION BY a.id ORDER BY len(list_intersect(a.w, b.w)) DESC, abs(a.ordinal - b.ordinal), b.id) AS r FROM p a JOIN p b ON a.doc_sha256 = b.doc_sha256 AND a.id <> b.id) WHERE r = 1""")
+def document_partner(t: Tables) -> DataFrame:
+    v = t.passage_vocabulary.select("id", F.explode("lemmas").alias("x")).select("id", F.lower(F.trim("x")).alias("term")).filter("term <> ''").groupBy("id").agg(F.collect_set("term").alias("w"))
+    p = t.passages.filter("block_type = 'list'").select("id", "doc_sha256", "ordinal").join(v, "id")
+    b = p.select("doc_sha256", F.col("id").alias("near"), F.col("ordinal").alias("ob"), F.col("w").alias("wb"))
+    rows = p.join(b, "doc_sha256").filter("id <> near")
+    r = F.row_number().over(Window.partitionBy("id").orderBy(F.desc(F.size(F.array_intersect("w", "wb"))), F.abs(F.col("ordinal") - F.col("ob")), "near"))
+    return rows.withColumn("r", r).filter("r = 1").select("id", "near")
+
+
+@query("T23, T24, X56: first distinct statements of a question joined into a text", """
+SELECT question_id, array_to_string(list_slice(list(statement ORDER BY id), 1, 4), chr(10)) AS text FROM (SELECT DISTINCT question_id, f.id, statement FROM question_facts qf JOIN facts f ON f.id = qf.fact_id) GROUP BY 1""")
+def question_context(t: Tables) -> DataFrame:
+    facts = t.facts.select(F.col("id").alias("fact_id"), "statement")
+    rows = t.question_facts.distinct().join(facts, "fact_id").groupBy("question_id").agg(F.array_sort(F.collect_list(F.struct("fact_id", "statement"))).alias("f"))
+    return rows.select("question_id", F.array_join(F.transform(F.slice("f", 1, 4), lambda x: x["statement"]), "\n").alias("text"))
+
+
+@query("T25, D20: latest events of one kind", "SELECT event_id, ts FROM events WHERE event_type = 'error' ORDER BY ts DESC, event_id LIMIT 15")
+def latest_events(t: Tables) -> DataFrame:
+    return t.events.filter("event_type = 'error'").select("event_id", "ts").orderBy(F.desc("ts"), "event_id").limit(15)
