@@ -1 +1,112 @@
-"""To come."""
+"""Numbers, digests, arrays, JSON, vectors and times as column expressions."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from textloom.functions.columns import cosine, words
+from textloom.functions.text import NUMBER_WORDS, W, literals, sql_list
+from textloom.registry import Tables, query
+
+
+def figures(c: str) -> Column:
+    """Figures of a text as doubles: a comma or point before exactly three digits groups them, any other is decimal."""
+    found = F.regexp_extract_all(F.coalesce(F.col(c), F.lit("")), F.lit(r"\d+(?:[.,]\d+)*"), F.lit(0))
+    plain = lambda x: F.replace(F.regexp_replace(x, r"[.,](?=\d{3}(?:\D|$))", ""), F.lit(","), F.lit("."))
+    return F.filter(F.transform(found, lambda x: plain(x).try_cast("double")), lambda x: x.isNotNull())
+
+
+@query("N01, N02: figures of a text and their sum", """
+SELECT id, list_transform(regexp_extract_all(statement, '[0-9]+'), lambda x: CAST(x AS DOUBLE)) AS figures, list_sum(list_transform(regexp_extract_all(statement, '[0-9]+'), lambda x: CAST(x AS DOUBLE))) AS total FROM facts WHERE regexp_matches(statement, '[0-9]') AND NOT regexp_matches(statement, '[0-9][.,][0-9]')""")
+def statement_figures(t: Tables) -> DataFrame:
+    rows = t.facts.filter(F.col("statement").rlike("[0-9]") & ~F.col("statement").rlike("[0-9][.,][0-9]"))
+    return rows.select("id", figures("statement").alias("figures")).withColumn("total", F.aggregate("figures", F.lit(0.0), lambda s, x: s + x))
+
+
+@query("N03: number words as digits", f"""
+SELECT doc_id, list_transform(list_filter({W.format('text')}, lambda x: list_contains({sql_list(NUMBER_WORDS)}, x)), lambda x: CASE x {' '.join(f"WHEN '{w}' THEN {n}" for w, n in NUMBER_WORDS.items())} END) AS digits FROM documents WHERE text IS NOT NULL AND source = 'open-desk'""")
+def number_words(t: Tables) -> DataFrame:
+    known = F.create_map(*[F.lit(x) for kv in NUMBER_WORDS.items() for x in kv])
+    found = F.filter(words("text"), lambda x: F.array_contains(literals(NUMBER_WORDS), x))
+    return t.documents.filter("text IS NOT NULL AND source = 'open-desk'").select("doc_id", F.transform(found, lambda x: F.try_element_at(known, x)).alias("digits"))
+
+
+@query("N04: facts in which one number is the sum of two others", """
+WITH k AS (SELECT id, list_transform(regexp_extract_all(evidence_text, '[0-9]+'), lambda x: CAST(x AS BIGINT)) AS n FROM facts), e AS (SELECT id, n, unnest(range(1, len(n) + 1)) AS i FROM k WHERE len(n) BETWEEN 3 AND 40), f AS (SELECT id, n, i, unnest(range(1, len(n) + 1)) AS j FROM e)
+SELECT DISTINCT id FROM f WHERE i < j AND len(list_filter(range(1, len(n) + 1), lambda x: x <> i AND x <> j AND n[x] = n[i] + n[j])) > 0""")
+def sums_of_two(t: Tables) -> DataFrame:
+    n = F.transform(F.regexp_extract_all("evidence_text", F.lit(r"\d+"), F.lit(0)), lambda x: x.try_cast("bigint"))
+    rows = t.facts.select("id", n.alias("n")).filter(F.size("n").between(3, 40))
+    any_sum = F.exists(F.sequence(F.lit(0), F.size("n") - 1), lambda i: F.exists(F.sequence(F.lit(0), F.size("n") - 1), lambda j: (i < j) & F.exists(F.sequence(F.lit(0), F.size("n") - 1), lambda k: (k != i) & (k != j) & (F.get("n", k) == F.get("n", i) + F.get("n", j)))))
+    return rows.filter(any_sum).select("id")
+
+
+@query("N05, N06, P19: difficulty of a question from what it rests on", """
+WITH c AS (SELECT q.id, count(DISTINCT fp.passage_id) AS p, count(DISTINCT p.doc_sha256) AS d FROM questions q LEFT JOIN question_facts qf ON qf.question_id = q.id LEFT JOIN fact_passages fp ON fp.fact_id = qf.fact_id LEFT JOIN passages p ON p.id = fp.passage_id GROUP BY 1),
+s AS (SELECT q.id, (p > 1)::INT + (d > 1)::INT + (length(coalesce(target_answer, '')) >= 60)::INT + (follows_id IS NOT NULL)::INT AS points FROM questions q JOIN c USING (id)) SELECT id, points, CASE WHEN points >= 3 THEN 'hard' WHEN points >= 2 THEN 'medium' ELSE 'easy' END AS band FROM s""")
+def difficulty_bands(t: Tables) -> DataFrame:
+    passages = t.passages.select(F.col("id").alias("passage_id"), "doc_sha256")
+    c = t.question_facts.distinct().join(t.fact_passages.select("fact_id", "passage_id").distinct(), "fact_id").join(passages, "passage_id", "left").groupBy(F.col("question_id").alias("id")).agg(F.countDistinct("passage_id").alias("p"), F.countDistinct("doc_sha256").alias("d"))
+    rows = t.questions.select("id", "target_answer", "follows_id").join(c, "id", "left").fillna(0, ["p", "d"])
+    one = lambda x: x.cast("int")
+    points = one(F.col("p") > 1) + one(F.col("d") > 1) + one(F.length(F.coalesce("target_answer", F.lit(""))) >= 60) + one(F.col("follows_id").isNotNull())
+    return rows.select("id", points.alias("points")).withColumn("band", F.when(F.col("points") >= 3, "hard").when(F.col("points") >= 2, "medium").otherwise("easy"))
+
+
+@query("N07: cosine of neighbouring vectors", """
+SELECT a.vec_id, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS cosine FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""")
+def neighbour_cosines(t: Tables) -> DataFrame:
+    b = t.embeddings.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("b"))
+    return t.embeddings.select("vec_id", F.col("embedding").alias("a")).join(b, "vec_id").select("vec_id", F.round(cosine("a", "b"), 6).alias("cosine"))
+
+
+@query("N10, S06, S07, S08: digests of parts and the folder a digest lies in", """
+SELECT doc_id, md5(concat_ws('~', CAST(doc_id AS VARCHAR), source, lower(coalesce(lang, '')))) AS digest, concat_ws('/', substring(sha256, 1, 2), substring(sha256, 3, 2), sha256) AS key FROM documents""")
+def digests(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", F.md5(F.concat_ws("~", F.col("doc_id").cast("string"), "source", F.lower(F.coalesce("lang", F.lit(""))))).alias("digest"), F.concat_ws("/", F.substring("sha256", 1, 2), F.substring("sha256", 3, 2), "sha256").alias("key"))
+
+
+@query("N12, N13, N14: readings as JSON and back", """SELECT event_id, CAST(props ->> '$.k' AS INTEGER) AS k, CAST(props ->> '$.k' AS INTEGER) BETWEEN 0 AND 49 AS small FROM events""")
+def json_readings(t: Tables) -> DataFrame:
+    packed = t.events.select("event_id", F.to_json(F.struct(F.get_json_object("props", "$.k").cast("int").alias("k"))).alias("j"))
+    k = F.from_json("j", "k int")["k"]
+    return packed.select("event_id", k.alias("k"), k.between(0, 49).alias("small"))
+
+
+@query("N17, N19, Q04: rows older than a lease, beside a fixed now", "SELECT id FROM ingest_events WHERE submitted_at < TIMESTAMPTZ '2031-03-01 00:00:00+00' - INTERVAL 5 MINUTE AND outcome <> 'stored'")
+def expired_leases(t: Tables) -> DataFrame:
+    return t.ingest_events.filter((F.col("submitted_at") < F.lit("2031-03-01 00:00:00").cast("timestamp") - F.expr("INTERVAL 5 MINUTES")) & (F.col("outcome") != "stored")).select("id")
+
+
+@query("N18, N20: events by minute, shown in ISO form", "SELECT strftime(date_trunc('minute', ts), '%Y-%m-%dT%H:%M:%S') AS minute, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1")
+def minute_history(t: Tables) -> DataFrame:
+    return t.events.filter("event_type = 'error'").groupBy(F.date_format(F.date_trunc("minute", "ts"), "yyyy-MM-dd'T'HH:mm:ss").alias("minute")).agg(F.count(F.lit(1)).alias("n"))
+
+
+STOPS = {"de": "der die das und ist nicht mit von zu wird".split(), "en": "the of and is to in for with that be".split(), "fr": "le la les et est des une du pour dans".split()}
+
+
+@query("N21, N22: language of a text by its common words, links left out; null below a lead of two", f"""
+WITH k AS (SELECT doc_id, {W.format("regexp_replace(text, 'https?://[^ ]+|www[.][^ ]+', ' ', 'g')")} AS w FROM documents), s AS (SELECT doc_id, {', '.join(f"len(list_filter(w, lambda x: list_contains({sql_list(v)}, x))) AS {k}" for k, v in STOPS.items())} FROM k)
+SELECT doc_id, CASE WHEN de >= en + 2 AND de >= fr + 2 THEN 'de' WHEN en >= de + 2 AND en >= fr + 2 THEN 'en' WHEN fr >= de + 2 AND fr >= en + 2 THEN 'fr' END AS language FROM s""")
+def detected_language(t: Tables) -> DataFrame:
+    rows = t.documents.select("doc_id", words(F.regexp_replace("text", r"https?://[^ ]+|www[.][^ ]+", " ")).alias("w"))
+    known = {k: literals(v) for k, v in STOPS.items()}
+    rows = rows.select("doc_id", *[F.size(F.filter("w", lambda x: F.array_contains(known[k], x))).alias(k) for k in STOPS])  # noqa: B023
+    lead = lambda a, b, c: (F.col(a) >= F.col(b) + 2) & (F.col(a) >= F.col(c) + 2)
+    return rows.select("doc_id", F.when(lead("de", "en", "fr"), "de").when(lead("en", "de", "fr"), "en").when(lead("fr", "de", "en"), "fr").alias("language"))
+
+
+@query("N23: verdict from scores by label", "SELECT id, CASE WHEN confidence IS NULL THEN 'abstain' WHEN confidence >= 0.9 THEN 'entailed' WHEN confidence < 0.6 THEN 'contradicted' ELSE 'neutral' END AS verdict FROM facts")
+def entailment_verdict(t: Tables) -> DataFrame:
+    scores = F.create_map(F.lit("entailed"), F.col("confidence"), F.lit("contradicted"), 1 - F.col("confidence"))
+    e, c = scores["entailed"], scores["contradicted"]
+    return t.facts.select("id", F.when(e.isNull(), "abstain").when(e >= 0.9, "entailed").when(c > 0.4, "contradicted").otherwise("neutral").alias("verdict"))
+
+
+@query("N25, D22: totals of measured calls with their mean", "SELECT event_type, count(*) AS calls, round(sum(value), 4) AS total, round(sum(value) / count(*), 6) AS mean FROM events GROUP BY 1")
+def call_totals(t: Tables) -> DataFrame:
+    n = F.count(F.lit(1))
+    return t.events.groupBy("event_type").agg(n.alias("calls"), F.round(F.sum("value"), 4).alias("total"), F.round(F.sum("value") / n, 6).alias("mean"))
+
