@@ -1 +1,227 @@
-"""To come."""
+"""Plans of slots, quotas and order-dependent selection.
+
+What a closed form can say is a plan of columns. What depends on order (a greedy choice) runs within groups that bound it, in the order its
+definition names, and its result is checked by invariants.
+"""
+
+from __future__ import annotations
+
+import math
+
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from textloom.operators.windows import hashed
+from textloom.registry import Tables, query
+
+
+def apportioned(weights: dict[str, float], supply: dict[str, int], size: int) -> dict[str, int]:
+    """Seats by largest remainder under each name's supply; what a name cannot take goes to the others by their weights, again and again
+    until all are given or nothing is left."""
+    out = dict.fromkeys(weights, 0)
+    left = min(size, sum(supply.get(k, 0) for k in weights))
+    while left:
+        open_ = {k: w for k, w in weights.items() if w > 0 and out[k] < supply.get(k, 0)}
+        if not open_:
+            break
+        whole = sum(open_.values())
+        exact = {k: left * w / whole for k, w in open_.items()}
+        give = {k: min(supply[k] - out[k], math.floor(x + 1e-9)) for k, x in exact.items()}
+        if not any(give.values()):
+            give = {}
+            for k in sorted(open_, key=lambda k: (-(exact[k] % 1), k))[:left]:
+                give[k] = 1
+        for k, n in give.items():
+            out[k] += n
+            left -= n
+    return out
+
+
+def largest_fillable(weights: dict[str, float], supply: dict[str, int], tolerance: float = 0.05) -> int:
+    """The largest size at which every name's share stays within the tolerance of its weight, by a scan downwards from a bound that no larger
+    size can meet."""
+    whole = sum(w for w in weights.values() if w > 0)
+    bound = min([int(supply.get(k, 0) / max(1e-9, w / whole - tolerance)) for k, w in weights.items() if w / whole > tolerance] + [sum(supply.values())])
+    for size in range(bound, 0, -1):
+        seats = apportioned(weights, supply, size)
+        if sum(seats.values()) == size and all(abs(seats[k] - size * w / whole) <= max(1, tolerance * size) for k, w in weights.items()):
+            return size
+    return 0
+
+
+@query("P01, P02, P03: slots with a type by highest averages, a band by position and a kind in turn", """
+WITH w AS (SELECT question_type AS name, CAST(count(*) AS DOUBLE) AS w FROM questions GROUP BY 1), k AS (SELECT name, j, row_number() OVER (ORDER BY w / (2 * j + 1) DESC, name, j) - 1 AS slot FROM w, (SELECT unnest(range(0, 40)) AS j))
+SELECT slot, name AS type, CASE WHEN floor((slot + 1) * 0.25) > floor(slot * 0.25) THEN 'hard' WHEN floor((slot + 1) * 0.5) > floor(slot * 0.5) THEN 'medium' ELSE 'easy' END AS band, (['atomic', 'summary', 'bridge'])[slot % 3 + 1] AS kind FROM k WHERE slot < 40""")
+def slot_plan(t: Tables) -> DataFrame:
+    w = t.questions.groupBy(F.col("question_type").alias("name")).agg(F.count(F.lit(1)).cast("double").alias("w"))
+    keys = w.select("name", "w", F.explode(F.sequence(F.lit(0), F.lit(39))).alias("j")).withColumn("k", F.col("w") / (2 * F.col("j") + 1)).orderBy(F.desc("k"), "name", "j").limit(40)
+    rows = keys.withColumn("slot", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("k"), "name", "j")) - 1)  # forty rows
+    spread = lambda s: F.floor((F.col("slot") + 1) * s) > F.floor(F.col("slot") * s)
+    kind = F.element_at(F.array(*[F.lit(x) for x in ("atomic", "summary", "bridge")]), (F.col("slot") % 3 + 1).cast("int"))
+    return rows.select("slot", F.col("name").alias("type"), F.when(spread(0.25), "hard").when(spread(0.5), "medium").otherwise("easy").alias("band"), kind.alias("kind"))
+
+
+@query("P07: facts with the same evidence", """
+SELECT a.id AS a, b.id AS b FROM facts a JOIN facts b ON md5(a.evidence_text) = md5(b.evidence_text) AND a.id < b.id""")
+def evidence_siblings(t: Tables) -> DataFrame:
+    rows = t.facts.filter("evidence_text IS NOT NULL").select("id", F.md5("evidence_text").alias("h"))
+    return rows.select("h", F.col("id").alias("a")).join(rows.select("h", F.col("id").alias("b")), "h").filter("a < b").select("a", "b")
+
+
+@query("P08, P09, P12, P13, P17: seats of the pool's bands under their supply, and the largest size they can fill", None)
+def pool_quota(t: Tables) -> DataFrame:
+    """Bands are few by nature: their counts, at most 1,000, are taken to the driver."""
+    rows = t.release_pool.select("id", F.lower(F.trim("difficulty")).alias("d")).filter("d IS NOT NULL").distinct().groupBy("d").agg(F.count(F.lit(1)).alias("n")).limit(1000).collect()
+    supply = {r["d"]: r["n"] for r in rows}
+    weights = {k: 1.0 for k in supply}
+    size = largest_fillable(weights, supply)
+    seats = apportioned(weights, supply, sum(supply.values()) // 2)
+    return t.spark.createDataFrame([(k, supply[k], seats[k], size) for k in sorted(supply)], "difficulty string, supply bigint, seats bigint, fillable bigint")
+
+
+@query("P11: whether each axis of the pool holds its shares within a tolerance", """
+WITH r AS (SELECT DISTINCT id, lower(trim(language)) AS l FROM release_pool WHERE language IS NOT NULL), s AS (SELECT l, count(*) / sum(count(*)) OVER () AS s FROM r GROUP BY 1) SELECT bool_and(abs(s - 0.5) <= 0.05) AS held FROM s""")
+def shares_within(t: Tables) -> DataFrame:
+    per = t.release_pool.filter("language IS NOT NULL").select("id", F.lower(F.trim("language")).alias("l")).distinct().groupBy("l").agg(F.count(F.lit(1)).alias("n"))
+    rows = per.crossJoin(per.agg(F.sum("n").alias("t")))  # one row
+    return rows.agg(F.bool_and(F.abs(F.col("n") / F.col("t") - 0.5) <= 0.05).alias("held"))
+
+
+@query("P10, P14: a draw that keeps no two questions on one fact, the lowest in hash order of each fact's questions", """
+WITH h AS (SELECT qf.question_id, qf.fact_id, md5(CAST(qf.question_id AS VARCHAR)) AS h FROM (SELECT DISTINCT * FROM question_facts) qf JOIN questions q ON q.id = qf.question_id WHERE q.status = 'accepted'),
+f AS (SELECT fact_id, min(h) AS best FROM h GROUP BY 1) SELECT question_id FROM h JOIN f USING (fact_id) GROUP BY 1 HAVING bool_and(h = best)""")
+def drawable(t: Tables) -> DataFrame:
+    accepted = t.questions.filter("status = 'accepted'").select(F.col("id").alias("question_id"))
+    rows = t.question_facts.distinct().join(accepted, "question_id", "left_semi").withColumn("h", hashed("question_id"))
+    best = rows.groupBy("fact_id").agg(F.min("h").alias("best"))
+    return rows.join(best, "fact_id").groupBy("question_id").agg(F.bool_and(F.col("h") == F.col("best")).alias("kept")).filter("kept").select("question_id")
+
+
+@query("P04, P05, P06: facts dealt to questions by document: rounds over its passages, each fact spent once, a sample widened while it is small", None)
+def dealt_samples(t: Tables, size: int = 3) -> DataFrame:
+    """(doc_sha256, sample, fact_id). Within a document, passages are taken in turns by ordinal and each gives its unspent facts up to ``size``; a sample
+    with one fact takes more from the next passage. Documents with very many facts are dealt in stretches of 2,000 by ordinal, so no group is unbounded."""
+    passages = t.passages.select(F.col("id").alias("passage_id"), "doc_sha256", "ordinal")
+    rows = t.fact_passages.select("fact_id", "passage_id").distinct().join(passages, "passage_id").withColumn("stretch", F.floor(F.col("ordinal") / 2000))
+
+    def deal(b: pd.DataFrame) -> pd.DataFrame:
+        spent, out, sample = set(), [], 0
+        open_: list[int] = []
+        for _, part in b.sort_values(["ordinal", "passage_id", "fact_id"]).groupby(["ordinal", "passage_id"], sort=True):
+            fresh = [f for f in part["fact_id"] if f not in spent]
+            for f in fresh:
+                open_.append(f)
+                spent.add(f)
+                if len(open_) == size:
+                    out += [(sample, x) for x in open_]
+                    sample, open_ = sample + 1, []
+            if len(open_) > 1:
+                out += [(sample, x) for x in open_]
+                sample, open_ = sample + 1, []
+        out += [(sample, x) for x in open_]
+        return pd.DataFrame([(b["doc_sha256"].iloc[0], b["stretch"].iloc[0], s, f) for s, f in out], columns=["doc_sha256", "stretch", "sample", "fact_id"])
+
+    return rows.groupBy("doc_sha256", "stretch").applyInPandas(deal, "doc_sha256 string, stretch bigint, sample int, fact_id bigint")
+
+
+@query("P16: pairs of accepted questions whose words overlap beyond the bar, among those on one fact", """
+WITH w AS (SELECT id, list_distinct(regexp_extract_all(lower(question_text), '[\\p{L}\\p{N}]+')) AS w FROM questions WHERE status = 'accepted') SELECT DISTINCT a.question_id AS a, b.question_id AS b FROM question_facts a JOIN question_facts b ON a.fact_id = b.fact_id AND a.question_id < b.question_id
+JOIN w x ON x.id = a.question_id JOIN w y ON y.id = b.question_id WHERE len(list_intersect(x.w, y.w)) >= 0.5 * len(list_distinct(list_concat(x.w, y.w)))""")
+def twin_questions(t: Tables) -> DataFrame:
+    from textloom.functions.columns import jaccard, words
+
+    w = t.questions.filter("status = 'accepted'").select("id", F.array_distinct(words("question_text")).alias("w"))
+    x = t.question_facts.distinct().join(w.select(F.col("id").alias("question_id"), "w"), "question_id")
+    a, b = x.select("fact_id", F.col("question_id").alias("a"), F.col("w").alias("wa")), x.select("fact_id", F.col("question_id").alias("b"), F.col("w").alias("wb"))
+    return a.join(b, "fact_id").filter("a < b").filter(jaccard(F.col("wa"), F.col("wb")) >= 0.5).select("a", "b").distinct()
+
+
+@query("P18, P20, G12: gates in order, the first that fails, and those that ran", """
+WITH k AS (SELECT id, [question_text NOT LIKE '%?', length(question_text) > 90, coalesce(confidence, 1) < 0.6, answerable AND trim(coalesce(target_answer, '')) = ''] AS f FROM questions), p AS (SELECT id, coalesce(nullif(list_position(f, true), 0), 5) AS p FROM k)
+SELECT id, (['malformed', 'long', 'unsure', 'no_key', NULL])[p] AS reason, list_slice(['malformed', 'long', 'unsure', 'no_key'], 1, p) AS ran FROM p""")
+def gate_pipeline(t: Tables) -> DataFrame:
+    names = ["malformed", "long", "unsure", "no_key"]
+    fails = [~F.endswith("question_text", F.lit("?")), F.length("question_text") > 90, F.coalesce("confidence", F.lit(1.0)) < 0.6, F.col("answerable") & (F.trim(F.coalesce("target_answer", F.lit(""))) == "")]
+    place = F.array_position(F.array(*fails), True)
+    at = F.when(place > 0, place).otherwise(len(names) + 1)
+    all_ = F.array(*[F.lit(n) for n in names])
+    return t.questions.select("id", F.try_element_at(all_, at.cast("int")).alias("reason"), F.slice(all_, F.lit(1), F.least(at, F.lit(len(names))).cast("int")).alias("ran"))
+
+
+@query("P21, J33: facts on several passages unfolded into one row a passage, the first kept as head", """
+WITH l AS (SELECT DISTINCT fact_id, passage_id, position FROM fact_passages) SELECT fact_id, passage_id, position = min(position) OVER (PARTITION BY fact_id) AS head FROM l WHERE fact_id IN (SELECT fact_id FROM l GROUP BY 1 HAVING count(*) > 1)""")
+def unfolded_citations(t: Tables) -> DataFrame:
+    l = t.fact_passages.select("fact_id", "passage_id", "position").distinct()  # noqa: E741
+    several = l.groupBy("fact_id").agg(F.count(F.lit(1)).alias("n"), F.min("position").alias("first")).filter("n > 1")
+    return l.join(several, "fact_id").select("fact_id", "passage_id", (F.col("position") == F.col("first")).alias("head"))
+
+
+@query("A38, Q13: statements of a batch kept one by one in order, those refused that repeat a kept one's numbers and words", None)
+def sequential_dedup(t: Tables, floor: float = 0.8) -> DataFrame:
+    """(id, kept_id): facts of the later batches that a kept one repeats, in order of id, within the facts that name the same numbers. Groups are
+    bounded by cutting exact copies first."""
+    from textloom.functions.columns import numbers, words
+
+    rows = t.facts.filter("statement IS NOT NULL").select("id", F.array_join(numbers("statement"), " ").alias("n"), F.array_sort(F.array_distinct(words("statement"))).alias("w")).filter("n <> ''")
+    first = rows.groupBy("n", F.array_join("w", " ").alias("k")).agg(F.min("id").alias("id"), F.first("w").alias("w"))
+
+    def keep(b: pd.DataFrame) -> pd.DataFrame:
+        kept, out = [], []
+        for i, w in b.sort_values("id")[["id", "w"]].itertuples(index=False):
+            s = set(w)
+            hit = next((k for k, x in kept if len(s & x) >= floor * len(s | x)), None)
+            if hit is None:
+                kept.append((i, s))
+            else:
+                out.append((i, hit))
+        return pd.DataFrame(out, columns=["id", "kept_id"])
+
+    return first.groupBy("n").applyInPandas(keep, "id bigint, kept_id bigint")
+
+
+@query("G01, G02: topics of each language by non-negative factors of tf-idf, memberships above a floor", None)
+def topic_memberships(t: Tables, topics: int = 8, sample: int = 3000, terms: int = 1500, floor: float = 0.15) -> DataFrame:
+    """(id, language, topic, weight). The factors are fitted per language on at most ``sample`` passages in hash order and the ``terms`` most frequent terms within
+    document-frequency bounds; every passage is then projected on them. The fit is seeded, the bounds are parameters, the projection covers all rows."""
+    import numpy as np
+
+    x = t.passage_vocabulary.filter("language IS NOT NULL").select("id", "language", F.explode("lemmas").alias("x")).select("id", "language", F.lower(F.trim("x")).alias("term")).filter("term <> ''")
+    tf = x.groupBy("id", "language", "term").agg(F.count(F.lit(1)).alias("tf"))
+    df = tf.groupBy("language", "term").agg(F.count(F.lit(1)).alias("df"))
+    n = tf.groupBy("language").agg(F.countDistinct("id").alias("n"))
+    kept = df.join(n, "language").filter("df >= 3 AND df <= 0.5 * n").withColumn("r", F.row_number().over(Window.partitionBy("language").orderBy(F.desc("df"), "term"))).filter(F.col("r") <= terms)
+    weighted = tf.join(kept.select("language", "term", F.log2(F.col("n") / F.col("df")).alias("idf")), ["language", "term"]).select("id", "language", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    rows = weighted.groupBy("id", "language").agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("v"))
+
+    def unit(m: np.ndarray) -> np.ndarray:
+        return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
+
+    def fit(b: pd.DataFrame) -> pd.DataFrame:
+        vectors = [dict(v) for v in b["v"]]
+        vocabulary = sorted({k for v in vectors for k in v})
+        at = {k: i for i, k in enumerate(vocabulary)}
+        m = np.zeros((len(vectors), len(vocabulary)))
+        for i, v in enumerate(vectors):
+            m[i, [at[k] for k in v]] = list(v.values())
+        m, best = unit(m), (-1.0, None)
+        for seed in range(2):
+            rng = np.random.default_rng(seed)
+            k = min(topics, len(vectors))
+            w, h = rng.random((len(vectors), k)) + 0.1, rng.random((k, len(vocabulary))) + 0.1
+            for _ in range(60):
+                h *= (w.T @ m) / np.maximum(w.T @ w @ h, 1e-9)
+                w *= (m @ h.T) / np.maximum(w @ (h @ h.T), 1e-9)
+            of = w.argmax(axis=1)
+            cohesion = float(np.mean([(np.linalg.norm(m[of == j].sum(axis=0)) ** 2 - c) / (c * (c - 1)) for j in range(k) if (c := int((of == j).sum())) > 1] or [0]))
+            best = max(best, (cohesion, h.tobytes()), key=lambda p: p[0])
+        h = unit(np.frombuffer(best[1]).reshape(k, len(vocabulary)))
+        return pd.DataFrame([(b["language"].iloc[0], j, term, h[j, i]) for j in range(k) for i, term in enumerate(vocabulary) if h[j, i] > 1e-6], columns=["language", "topic", "term", "h"])
+
+    some = rows.withColumn("r", F.row_number().over(Window.partitionBy("language").orderBy(F.md5(F.col("id").cast("string"))))).filter(F.col("r") <= sample)
+    factors = some.select("language", "v").groupBy("language").applyInPandas(fit, "language string, topic int, term string, h double")
+    norm = weighted.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("l"))
+    placed = weighted.join(factors, ["language", "term"]).groupBy("id", "language", "topic").agg(F.sum(F.col("w") * F.col("h")).alias("dot"))
+    return placed.join(norm, "id").select("id", "language", "topic", F.least(F.lit(1.0), F.round(F.col("dot") / F.col("l"), 6)).alias("weight")).filter(F.col("weight") >= floor)
+
+
