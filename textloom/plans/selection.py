@@ -42,7 +42,7 @@ def largest_fillable(weights: dict[str, float], supply: dict[str, int], toleranc
     """The largest size at which every name's share stays within the tolerance of its weight, by a scan downwards from a bound that no larger
     size can meet."""
     whole = sum(w for w in weights.values() if w > 0)
-    bound = min([int(supply.get(k, 0) / max(1e-9, w / whole - tolerance)) for k, w in weights.items() if w / whole > tolerance] + [sum(supply.values())])
+    bound = min([int((supply.get(k, 0) + 1) / max(1e-9, w / whole - tolerance)) for k, w in weights.items() if w / whole > tolerance] + [sum(supply.values())])
     for size in range(bound, 0, -1):
         seats = apportioned(weights, supply, size)
         if sum(seats.values()) == size and all(abs(seats[k] - size * w / whole) <= max(1, tolerance * size) for k, w in weights.items()):
