@@ -186,6 +186,7 @@ def broken_pairs(pairs: DataFrame, id_col: str = "id", question_col: str = "ques
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found = [(i, d) for i, q, a, f in zip(b["id"], b["q"], b["a"], b["form"]) for d in defects(q, a, f)]
-            yield pd.DataFrame({"question_id": pd.Series([i for i, _ in found], dtype=b["id"].dtype), "defect": [d for _, d in found]})
+            if found:
+                yield pd.DataFrame({"question_id": pd.Series([i for i, _ in found], dtype=b["id"].dtype), "defect": [d for _, d in found]})
 
     return known.unionByName(guessed).mapInPandas(find, f"question_id {rows.schema['id'].dataType.simpleString()}, defect string").distinct()

@@ -55,6 +55,12 @@ def _line(line: str) -> str:
     return "list" if ITEM.match(line) else ""
 
 
+def _repeats(ws: list[str], window: int = 40) -> bool:
+    """Few distinct words in most windows: a long text of any kind has few over its whole length."""
+    seen = [ws[i : i + window] for i in range(0, len(ws), window)]
+    return sum(len(set(x)) < 0.25 * len(x) for x in seen) * 2 > len(seen)
+
+
 def _block(lines: list[str], common: frozenset[str]) -> str:
     """'prose', 'list' or 'junk' of a run of lines that are neither items nor rows by their look."""
     text = " ".join(lines)
@@ -64,7 +70,7 @@ def _block(lines: list[str], common: frozenset[str]) -> str:
     in_words = sum(map(len, ws))
     if in_words < 0.55 * n or n / len(tokens) > 30:
         return "junk"
-    if len(ws) >= 8 and len(set(ws)) / len(ws) < 0.2:
+    if len(ws) >= 8 and len(set(ws)) < 0.25 * len(ws) and _repeats(ws):
         return "junk"
     if max(map(len, ws)) > 40 and in_words / len(ws) > 15:
         return "junk"
