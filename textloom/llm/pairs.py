@@ -78,6 +78,8 @@ STOPS = {k: frozenset(v) for k, v in STOPS.items()}
 #: Preamble words before a refusal that its alignment may skip.
 LEAD = 14
 BREAKS = re.compile(r"(…|\.\.\.|[,;:(\[/–—-]|\b(?:and|or|und|oder|et))$", re.I)
+# Words that a text breaking off may end on, whatever its language.
+DANGLING = {"and", "or", "und", "oder", "et", "ou"}
 ENDS = re.compile(r"[.!?][\"'”“»«’)\]]*$")
 
 
@@ -107,6 +109,9 @@ def copies(question: list[str], answer: list[str]) -> bool:
     the question is in it in order, or turned round as a whole."""
     if len(answer) < 3 or len(question) < 3:
         return bool(answer) and answer == question
+    before = len(answer) - len(question)
+    if 0 < before <= 5 and common_subsequence(question, answer[before:]) >= 0.9 * len(question):
+        return True  # a few words that introduce the question, and the question
     own, asked = shingles(answer, 2), shingles(question, 2)
     inside = len(own & asked) / len(own)
     new = sum(w not in set(question) for w in answer)
@@ -161,7 +166,7 @@ def defects(question: str | None, answer: str | None, form: str | None) -> list[
             if broken or prose:
                 out.append("truncated")
         q, lead_q = language_of(asked)
-        a, lead_a = language_of(got)
+        a, lead_a = language_of(got[:-1] if got[-1] in DANGLING else got)
         if q and a and q != a and lead_a >= 2 and lead_q >= 1:
             out.append("other_language")
     return out

@@ -46,7 +46,7 @@ def _line(line: str) -> str:
         inner = s.strip('|"')
         cells = [c for c in CELLS.split(inner) if c.strip()]
         parts = len(CELLS.findall(inner)) + 1
-        if parts >= 3 and max(len(c.split()) for c in cells or [""]) <= 6 or parts == 2 and (s[:1] == "|" == s[-1:] or "\t" in s and len(s) < 60):
+        if parts >= 3 and max(len(c.split()) for c in cells or [""]) <= 6 or parts == 2 and (s[:1] == "|" == s[-1:] or "\t" in s and len(s) < 60 or "   " in s and FIELD.fullmatch(cells[-1].strip())):
             return "table"
     elif s.count(",") >= 2:
         cells = [c.strip() for c in s.split(",")]
@@ -61,6 +61,22 @@ def _repeats(ws: list[str], window: int = 40) -> bool:
     return sum(len(set(x)) < 0.25 * len(x) for x in seen) * 2 > len(seen)
 
 
+def _plain(lines: list[str], common: frozenset[str]) -> set[int]:
+    """Places of items without a mark: three and more lines that each hold a few words, none of them common, and end without a stop."""
+    out, here = set(), []
+    for i, x in enumerate([*lines, ""]):
+        s = x.strip()
+        if s and (s[0].isupper() or s[0].isdigit()) and len(s) < 70 and not SENTENCE_END.search(s):
+            ws = WORD.findall(s.lower())
+            if 0 < len(ws) <= 5 and not any(map(common.__contains__, ws)) and sum(map(len, ws)) >= 0.5 * len(s.replace(" ", "")):
+                here.append(i)
+                continue
+        if len(here) >= 3:
+            out.update(here)
+        here = []
+    return out
+
+
 def _block(lines: list[str], common: frozenset[str]) -> str:
     """'prose', 'list' or 'junk' of a run of lines that are neither items nor rows by their look."""
     text = " ".join(lines)
@@ -97,10 +113,20 @@ def read(text: str, common: frozenset[str]) -> list[float]:
 
     def close() -> None:
         nonlocal lengths
-        if run:
-            size[_block(run, common)] += lengths
-            run.clear()
-            lengths = 0
+        if not run:
+            return
+        plain = _plain(run, common) if len(run) >= 3 else []
+        if plain:
+            listed = sum(len("".join(run[i].split())) for i in plain)
+            size["list"] += listed
+            lengths -= listed
+            rest = [x for i, x in enumerate(run) if i not in plain]
+        else:
+            rest = run
+        if rest:
+            size[_block(rest, common)] += lengths
+        run.clear()
+        lengths = 0
 
     for x in text.splitlines():
         cells = "".join(x.split())
