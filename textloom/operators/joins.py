@@ -9,12 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.functions.columns import content_digest, cosine
+from textloom.functions.columns import content_digest
+from textloom.operators.vectors import nearest
 from textloom.registry import Tables, query
 
 _GOOD = "SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings"
 
 
+def labelled(t: Tables) -> DataFrame:
+    """The vectors as (id, key, vector), their label as the key."""
+    return t.embeddings.select(F.col("vec_id").alias("id"), F.col("label").alias("key"), F.col("embedding").alias("vector"))
+
+
 def links(t: Tables) -> DataFrame:
     """Distinct (fact_id, passage_id, position)."""
     return t.fact_passages.select("fact_id", "passage_id", "position").distinct()
@@ -72,20 +78,16 @@ def neighbour_band(t: Tables) -> DataFrame:
 @query("J08: vectors with a near copy of another kind", f"""
 WITH g AS ({_GOOD}) SELECT a.vec_id FROM g a WHERE a.vec_id % 50 = 0 AND EXISTS (SELECT 1 FROM g b WHERE b.label <> a.label AND list_cosine_similarity(a.v, b.v) >= 0.3)""")
 def cross_label_near(t: Tables) -> DataFrame:
-    a = t.embeddings.filter("vec_id % 50 = 0").select("vec_id", F.col("label").alias("la"), F.col("embedding").alias("va"))
-    b = t.embeddings.select(F.col("label").alias("lb"), F.col("embedding").alias("vb"))
-    return a.join(b, (F.col("la") != F.col("lb")) & (cosine("va", "vb") >= 0.3), "left_semi").select("vec_id")
+    base = labelled(t)
+    return nearest(base.filter("id % 50 = 0"), base, 1, same=False, digits=12).filter("similarity >= 0.3").select(F.col("query").alias("vec_id"))
 
 
 @query("J09, T07: three nearest of the same kind for each query vector", f"""
 WITH g AS ({_GOOD}), s AS (SELECT a.vec_id, b.vec_id AS near, round(list_cosine_similarity(a.v, b.v), 6) AS similarity FROM g a JOIN g b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
 SELECT vec_id, near, similarity FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY similarity DESC, near) AS r FROM s) WHERE r <= 3""")
 def nearest_of_kind(t: Tables) -> DataFrame:
-    a = t.embeddings.filter("vec_id % 50 = 0").select("vec_id", "label", F.col("embedding").alias("va"))
-    b = t.embeddings.select(F.col("vec_id").alias("near"), "label", F.col("embedding").alias("vb"))
-    rows = a.join(b, "label").filter("vec_id <> near").select("vec_id", "near", F.round(cosine("va", "vb"), 6).alias("similarity"))
-    r = F.row_number().over(Window.partitionBy("vec_id").orderBy(F.desc("similarity"), "near"))
-    return rows.withColumn("r", r).filter("r <= 3").drop("r")
+    base = labelled(t)
+    return nearest(base.filter("id % 50 = 0"), base, 3, same=True).select(F.col("query").alias("vec_id"), F.col("id").alias("near"), "similarity")
 
 
 @query("J10, A34, U03: distinct nearest pairs among a set of ids", f"""
@@ -93,12 +95,9 @@ WITH g AS ({_GOOD} WHERE vec_id % 50 = 0), s AS (SELECT a.vec_id AS x, b.vec_id
 n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY x ORDER BY similarity DESC, y) AS r FROM s) WHERE r = 1)
 SELECT least(x, y) AS a, greatest(x, y) AS b, max(similarity) AS similarity FROM n GROUP BY 1, 2""")
 def closest_pairs(t: Tables) -> DataFrame:
-    some = t.embeddings.filter("vec_id % 50 = 0")
-    x, y = some.select(F.col("vec_id").alias("x"), F.col("embedding").alias("vx")), some.select(F.col("vec_id").alias("y"), F.col("embedding").alias("vy"))
-    rows = x.join(y, F.col("x") != F.col("y")).select("x", "y", F.round(cosine("vx", "vy"), 6).alias("similarity"))
-    r = F.row_number().over(Window.partitionBy("x").orderBy(F.desc("similarity"), "y"))
-    best = rows.withColumn("r", r).filter("r = 1")
-    return best.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.max("similarity").alias("similarity"))
+    some = labelled(t).filter("id % 50 = 0")
+    best = nearest(some, some, 1)
+    return best.groupBy(F.least("query", "id").alias("a"), F.greatest("query", "id").alias("b")).agg(F.max("similarity").alias("similarity"))
 
 
 @query("J12, J13: counts of passages without vocabulary, and languages of vocabulary without passages", """

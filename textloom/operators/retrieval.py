@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.columns import cosine, jaccard, numbers, words
+from textloom.operators.vectors import nearest
 from textloom.registry import Tables, query
 
 #: Constant of reciprocal rank fusion.
@@ -41,11 +42,11 @@ WITH g AS (SELECT id, kind, CAST(embedding AS DOUBLE[]) AS v, list_sort(regexp_e
 s AS (SELECT a.id, b.id AS near, round(list_cosine_similarity(a.v, b.v), 6) AS s, a.n = b.n AS same FROM g a JOIN g b ON a.kind = b.kind AND a.id <> b.id WHERE a.id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY s DESC, near) AS r FROM s) SELECT id, near, s AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY r) AS k FROM r WHERE r <= 5 AND same) WHERE k = 1""")
 def nearest_same_numbers(t: Tables) -> DataFrame:
-    good = t.facts.filter("validated AND size(embedding) = 64").filter(F.exists("embedding", lambda x: x != 0)).select("id", "kind", "embedding", numbers("statement").alias("n"))
-    a = good.filter("id % 50 = 0").select("kind", F.col("id").alias("asked"), F.col("embedding").alias("va"), F.col("n").alias("na"))
-    rows = a.join(good, "kind").filter("asked <> id").select("asked", F.col("id").alias("near"), F.round(cosine("va", "embedding"), 6).alias("similarity"), (F.col("na") == F.col("n")).alias("same"))
-    top = rows.withColumn("r", F.row_number().over(Window.partitionBy("asked").orderBy(F.desc("similarity"), "near"))).filter("r <= 5 AND same")
-    return top.groupBy(F.col("asked").alias("id")).agg(F.min_by(F.struct("near", "similarity"), "r").alias("b")).select("id", "b.near", "b.similarity")
+    base = t.facts.filter("validated").select("id", F.col("kind").alias("key"), F.col("embedding").alias("vector"))
+    n = t.facts.select("id", F.array_join(numbers("statement"), " ").alias("n"))
+    top = nearest(base.filter("id % 50 = 0"), base, 5, same=True).join(n, "id").withColumnRenamed("n", "nb")
+    rows = top.join(n.select(F.col("id").alias("query"), F.col("n").alias("na")), "query").filter("na = nb")
+    return rows.groupBy(F.col("query").alias("asked")).agg(F.min_by(F.struct("id", "similarity"), "place").alias("b")).select(F.col("asked").alias("id"), F.col("b.id").alias("near"), "b.similarity")
 
 
 @query("T08: ten nearest vectors to one", f"""

@@ -6,12 +6,14 @@ definition names, and its result is checked by invariants.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.operators.groups import walked
 from textloom.operators.windows import hashed
 from textloom.registry import Tables, query
 
@@ -105,24 +107,24 @@ def dealt_samples(t: Tables, size: int = 3) -> DataFrame:
     passages = t.passages.select(F.col("id").alias("passage_id"), "doc_sha256", "ordinal")
     rows = t.fact_passages.select("fact_id", "passage_id").distinct().join(passages, "passage_id").withColumn("stretch", F.floor(F.col("ordinal") / 2000))
 
-    def deal(b: pd.DataFrame) -> pd.DataFrame:
-        spent, out, sample = set(), [], 0
-        open_: list[int] = []
-        for _, part in b.sort_values(["ordinal", "passage_id", "fact_id"]).groupby(["ordinal", "passage_id"], sort=True):
-            fresh = [f for f in part["fact_id"] if f not in spent]
-            for f in fresh:
-                open_.append(f)
-                spent.add(f)
-                if len(open_) == size:
-                    out += [(sample, x) for x in open_]
-                    sample, open_ = sample + 1, []
+    def deal(group: list[tuple]):
+        spent, sample, open_ = set(), 0, []
+        doc, stretch = group[0][0], group[0][1]
+        for _, part in itertools.groupby(group, key=lambda r: (r[2], r[3])):
+            for *_, fact in part:
+                if fact not in spent:
+                    open_.append(fact)
+                    spent.add(fact)
+                    if len(open_) == size:
+                        yield from ((doc, stretch, sample, f) for f in open_)
+                        sample, open_ = sample + 1, []
             if len(open_) > 1:
-                out += [(sample, x) for x in open_]
+                yield from ((doc, stretch, sample, f) for f in open_)
                 sample, open_ = sample + 1, []
-        out += [(sample, x) for x in open_]
-        return pd.DataFrame([(b["doc_sha256"].iloc[0], b["stretch"].iloc[0], s, f) for s, f in out], columns=["doc_sha256", "stretch", "sample", "fact_id"])
+        yield from ((doc, stretch, sample, f) for f in open_)
 
-    return rows.groupBy("doc_sha256", "stretch").applyInPandas(deal, "doc_sha256 string, stretch bigint, sample int, fact_id bigint")
+    rows = rows.select("doc_sha256", "stretch", "ordinal", "passage_id", "fact_id")
+    return walked(rows, ["doc_sha256", "stretch"], ["ordinal", "passage_id", "fact_id"], deal, "doc_sha256 string, stretch bigint, sample int, fact_id bigint")
 
 
 @query("P16: pairs of accepted questions whose words overlap beyond the bar, among those on one fact", """
@@ -166,18 +168,17 @@ def sequential_dedup(t: Tables, floor: float = 0.8) -> DataFrame:
     rows = t.facts.filter("statement IS NOT NULL").select("id", F.array_join(numbers("statement"), " ").alias("n"), F.array_sort(F.array_distinct(words("statement"))).alias("w")).filter("n <> ''")
     first = rows.groupBy("n", F.array_join("w", " ").alias("k")).agg(F.min("id").alias("id"), F.first("w").alias("w"))
 
-    def keep(b: pd.DataFrame) -> pd.DataFrame:
-        kept, out = [], []
-        for i, w in b.sort_values("id")[["id", "w"]].itertuples(index=False):
-            s = set(w)
-            hit = next((k for k, x in kept if len(s & x) >= floor * len(s | x)), None)
+    def keep(group: list[tuple]):
+        kept: list[tuple[int, set]] = []
+        for _, i, w in group:
+            own = set(w)
+            hit = next((k for k, x in kept if len(own & x) >= floor * len(own | x)), None)
             if hit is None:
-                kept.append((i, s))
+                kept.append((i, own))
             else:
-                out.append((i, hit))
-        return pd.DataFrame(out, columns=["id", "kept_id"])
+                yield i, hit
 
-    return first.groupBy("n").applyInPandas(keep, "id bigint, kept_id bigint")
+    return walked(first.select("n", "id", "w"), ["n"], ["id"], keep, "id bigint, kept_id bigint")
 
 
 @query("G01, G02: topics of each language by non-negative factors of tf-idf, memberships above a floor", None)
