@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.operators.groups import walked
 from textloom.registry import Tables, query
 
 
@@ -40,6 +41,39 @@ def largest_remainder(weights: DataFrame, name: str, weight: str, size: int) ->
     return whole.withColumn("r", r).crossJoin(left).select("name", (F.col("base") + (F.col("r") <= F.col("left")).cast("int")).alias("seats"))
 
 
+#: Places of one key that a task orders at once; a longer run is ordered by stretches, whose ends are joined.
+STRETCH = 10_000
+
+
+def _stretched(df: DataFrame, key: str, order: str) -> tuple[DataFrame, Window, Window]:
+    """``df`` with the stretch of each place, the window within a stretch, and the window over the stretches of a key."""
+    rows = df.withColumn("_s", F.floor(F.col(order) / STRETCH))
+    return rows, Window.partitionBy(key, "_s").orderBy(order), Window.partitionBy(key).orderBy("_s")
+
+
+def ranked(df: DataFrame, key: str, order: str, name: str) -> DataFrame:
+    """``df`` with its rank from 1 within the key by a whole-numbered, unique place, no key being sorted in one task."""
+    rows, within, over = _stretched(df, key, order)
+    counts = rows.groupBy(key, "_s").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.withColumn("_before", F.sum("_n").over(over) - F.col("_n")).drop("_n")
+    return rows.withColumn("_r", F.row_number().over(within)).join(before, [key, "_s"]).withColumn(name, F.col("_r") + F.col("_before")).drop("_s", "_r", "_before")
+
+
+def carried(df: DataFrame, key: str, order: str, value: str, name: str, ahead: bool = False) -> DataFrame:
+    """``df`` with the last known value up to each place, or the first known after it, in stretches as ``ranked``."""
+    rows, within, over = _stretched(df, key, order)
+    best = F.min_by if ahead else F.max_by
+    ends = rows.groupBy(key, "_s").agg(best(F.col(value), F.when(F.col(value).isNotNull(), F.col(order))).alias("_v"))
+    if ahead:
+        own = F.first(value, True).over(within.rowsBetween(1, Window.unboundedFollowing))
+        other = F.first("_v", True).over(over.rowsBetween(1, Window.unboundedFollowing))
+    else:
+        own = F.last(value, True).over(within.rowsBetween(Window.unboundedPreceding, 0))
+        other = F.last("_v", True).over(over.rowsBetween(Window.unboundedPreceding, -1))
+    joined = rows.withColumn("_own", own).join(ends.withColumn("_other", other).drop("_v"), [key, "_s"])
+    return joined.withColumn(name, F.coalesce("_own", "_other")).drop("_s", "_own", "_other")
+
+
 @query("W01: dominant part type of each order, by spend, then name", """
 WITH w AS (SELECT l_orderkey, p_type, sum(l_extendedprice) AS spend FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2)
 SELECT l_orderkey, p_type, round(spend, 2) AS spend FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY spend DESC, p_type) AS r FROM w) WHERE r = 1""")
@@ -105,17 +139,15 @@ def document_turns(t: Tables) -> DataFrame:
 @query("W12, W13, W14, N11: a stride through each document's passages: the places that a share of a quarter picks", """
 WITH r AS (SELECT id, row_number() OVER (PARTITION BY doc_sha256 ORDER BY ordinal) - 1 AS i FROM passages) SELECT id FROM r WHERE floor((i + 1) * 0.25) > floor(i * 0.25)""")
 def stride_sample(t: Tables) -> DataFrame:
-    i = F.row_number().over(Window.partitionBy("doc_sha256").orderBy("ordinal")) - 1
-    rows = t.passages.select("id", i.alias("i"))
-    return rows.filter(F.floor((F.col("i") + 1) * 0.25) > F.floor(F.col("i") * 0.25)).select("id")
+    rows = ranked(t.passages.select("id", "doc_sha256", "ordinal"), "doc_sha256", "ordinal", "r")
+    return rows.filter(F.floor(F.col("r") * 0.25) > F.floor((F.col("r") - 1) * 0.25)).select("id")
 
 
 @query("W15, W16, W18: section label carried forward to passages without one, and the next label after them", """
 SELECT id, last_value(section_path IGNORE NULLS) OVER (PARTITION BY doc_sha256 ORDER BY ordinal) AS label, first_value(section_path IGNORE NULLS) OVER (PARTITION BY doc_sha256 ORDER BY ordinal ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next FROM passages""")
 def carried_labels(t: Tables) -> DataFrame:
-    by = Window.partitionBy("doc_sha256").orderBy("ordinal")
-    after = by.rowsBetween(1, Window.unboundedFollowing)
-    return t.passages.select("id", F.last("section_path", True).over(by.rowsBetween(Window.unboundedPreceding, 0)).alias("label"), F.first("section_path", True).over(after).alias("next"))
+    rows = t.passages.select("id", "doc_sha256", "ordinal", "section_path")
+    return carried(carried(rows, "doc_sha256", "ordinal", "section_path", "label"), "doc_sha256", "ordinal", "section_path", "next", ahead=True).select("id", "label", "next")
 
 
 @query("W17: whether the pages of a document's passages follow without a gap", """
@@ -136,28 +168,38 @@ def line_offsets(t: Tables) -> DataFrame:
 
 @query("W20, W21: passages of a document merged up to a budget of characters", None)
 def budget_chunks(t: Tables, budget: int = 600) -> DataFrame:
-    """Consecutive passages of one document and block type are merged while they fit the budget; a longer one stands alone. A lead-in (text that
-    ends with a colon) goes with what follows it."""
-    rows = t.passages.filter("text IS NOT NULL").select("doc_sha256", F.pmod("ordinal", F.lit(1)).alias("z"), F.struct("ordinal", "id", F.length("text").alias("n"), F.coalesce("block_type", F.lit("text")).alias("b"), F.endswith(F.rtrim("text"), F.lit(":")).alias("lead")).alias("p"))
-    ordered = rows.groupBy("doc_sha256").agg(F.array_sort(F.collect_list("p")).alias("ps"))
-    start = F.struct(F.lit(0).alias("chunk"), F.lit(0).alias("used"), F.lit("").alias("b"), F.lit(False).alias("lead"), F.array().cast("array<struct<id:bigint,chunk:int>>").alias("out"))
+    """(doc_sha256, stretch, id, chunk). Consecutive passages of one document and block type are merged while they fit the budget; a longer one stands alone. A
+    lead-in (text that ends with a colon) goes with what follows it. A document of more than STRETCH passages is cut there too, so no group is unbounded."""
+    rows = t.passages.filter("text IS NOT NULL").select(
+        "doc_sha256", F.floor(F.col("ordinal") / STRETCH).alias("stretch"), "ordinal", "id", F.length("text").alias("n"), F.coalesce("block_type", F.lit("text")).alias("b"), F.endswith(F.rtrim("text"), F.lit(":")).alias("lead")
+    )
 
-    def step(s, p):
-        opens = (~s["lead"]) & ((p["b"] != s["b"]) | (s["used"] + p["n"] > budget))
-        chunk = F.when(opens, s["chunk"] + 1).otherwise(s["chunk"])
-        return F.struct(chunk.alias("chunk"), F.when(opens, p["n"]).otherwise(s["used"] + p["n"]).alias("used"), p["b"].alias("b"), p["lead"].alias("lead"), F.concat(s["out"], F.array(F.struct(p["id"].alias("id"), chunk.alias("chunk")))).alias("out"))
+    def cut(group: list[tuple]):
+        chunk, used, block, lead = 0, 0, None, False
+        for doc, stretch, _, i, n, b, leads in group:
+            if not lead and (b != block or used + n > budget):
+                chunk, used = chunk + 1, 0
+            used, block, lead = used + n, b, leads
+            yield doc, stretch, i, chunk
 
-    return ordered.select("doc_sha256", F.inline(F.aggregate("ps", start, step, lambda s: s["out"])))
+    return walked(rows, ["doc_sha256", "stretch"], ["ordinal"], cut, "doc_sha256 string, stretch bigint, id bigint, chunk int")
 
 
 @query("W22: runs of one language through a document, an unknown one staying with the run it follows", """
 WITH c AS (SELECT id, doc_sha256, ordinal, last_value(language IGNORE NULLS) OVER (PARTITION BY doc_sha256 ORDER BY ordinal) AS l FROM passages),
 g AS (SELECT *, lag(l) OVER (PARTITION BY doc_sha256 ORDER BY ordinal) AS b FROM c) SELECT id, l AS language, CAST(sum(CASE WHEN l IS DISTINCT FROM b THEN 1 ELSE 0 END) OVER (PARTITION BY doc_sha256 ORDER BY ordinal) AS BIGINT) AS run FROM g""")
 def language_runs(t: Tables) -> DataFrame:
-    by = Window.partitionBy("doc_sha256").orderBy("ordinal")
-    rows = t.passages.select("id", "doc_sha256", "ordinal", F.last("language", True).over(by.rowsBetween(Window.unboundedPreceding, 0)).alias("language"))
-    change = (~F.col("language").eqNullSafe(F.lag("language").over(by))).cast("int")
-    return rows.withColumn("c", change).select("id", "language", F.sum("c").over(by).alias("run"))
+    rows = carried(t.passages.select("id", "doc_sha256", "ordinal", F.col("language").alias("l")), "doc_sha256", "ordinal", "l", "language")
+    # The passage before is found by place, not by a window over the whole document.
+    placed = ranked(rows, "doc_sha256", "ordinal", "r")
+    before = placed.select("doc_sha256", (F.col("r") + 1).alias("r"), F.col("language").alias("b"), F.lit(True).alias("there"))
+    # A run that opens with an unknown language is run 0, as a change needs something to change from.
+    change = (~F.col("language").eqNullSafe(F.col("b"))).cast("int")
+    marked = placed.join(before, ["doc_sha256", "r"], "left").withColumn("c", change)
+    rows, within, over = _stretched(marked, "doc_sha256", "ordinal")
+    sums = rows.groupBy("doc_sha256", "_s").agg(F.sum("c").alias("_n"))
+    ahead = sums.withColumn("_before", F.sum("_n").over(over) - F.col("_n")).drop("_n")
+    return rows.withColumn("_c", F.sum("c").over(within)).join(ahead, ["doc_sha256", "_s"]).select("id", "language", (F.col("_c") + F.col("_before")).alias("run"))
 
 
 @query("W25: first document each question cites", """
