@@ -123,7 +123,7 @@ def agreement_rate(t: Tables) -> DataFrame:
 
 @query("A12, A13, U01, N13: known runs out of live rows and archived JSON, rolled up", """
 WITH a AS (SELECT event_type AS run, 1 AS n, event_id AS seen, false AS archived FROM events WHERE event_id % 2 = 0 UNION ALL SELECT event_type, CAST(props ->> '$.k' AS INTEGER), event_id, true FROM events WHERE event_id % 2 = 1)
-SELECT run, bool_and(archived) AS all_archived, max(seen) AS latest, sum(n) AS total FROM a GROUP BY 1""")
+SELECT run, bool_and(archived) AS all_archived, max(seen) AS latest, CAST(sum(n) AS BIGINT) AS total FROM a GROUP BY 1""")
 def known_runs(t: Tables) -> DataFrame:
     live = t.events.filter("event_id % 2 = 0").select(F.col("event_type").alias("run"), F.lit(1).alias("n"), F.col("event_id").alias("seen"), F.lit(False).alias("archived"))
     old = t.events.filter("event_id % 2 = 1").select(F.col("event_type").alias("run"), F.get_json_object("props", "$.k").cast("int").alias("n"), F.col("event_id").alias("seen"), F.lit(True).alias("archived"))
@@ -140,7 +140,7 @@ def run_difference(t: Tables) -> DataFrame:
     return out.select("gate", F.col("1").alias("before"), F.col("2").alias("after"), F.round(F.col("2") / F.col("t2") - F.col("1") / F.col("t1"), 6).alias("change")).orderBy(F.desc(F.abs("change")), "gate")
 
 
-@query("A15: holdings by kind", "SELECT outcome, count(*) AS n, sum(size_bytes) AS bytes, min(submitted_at) AS oldest, max(submitted_at) AS newest FROM ingest_events GROUP BY 1")
+@query("A15: holdings by kind", "SELECT outcome, count(*) AS n, CAST(sum(size_bytes) AS BIGINT) AS bytes, min(submitted_at) AS oldest, max(submitted_at) AS newest FROM ingest_events GROUP BY 1")
 def archive_holdings(t: Tables) -> DataFrame:
     return t.ingest_events.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.sum("size_bytes").alias("bytes"), F.min("submitted_at").alias("oldest"), F.max("submitted_at").alias("newest"))
 

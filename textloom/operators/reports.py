@@ -70,7 +70,7 @@ def hourly_events(t: Tables) -> DataFrame:
 SELECT date_trunc('day', ts) AS day, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99, round(sum(value), 4) AS total FROM events GROUP BY 1""")
 def daily_percentiles(t: Tables) -> DataFrame:
     p = F.percentile("value", F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))
-    rows = t.events.groupBy(F.date_trunc("day", "ts").alias("day")).agg(p.alias("p"), F.round(F.sum("value"), 4).alias("total"))
+    rows = t.events.groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")).agg(p.alias("p"), F.round(F.sum("value"), 4).alias("total"))
     return rows.select("day", *[F.round(F.col("p")[i], 6).alias(n) for i, n in enumerate(("p50", "p95", "p99"))], "total")
 
 
@@ -79,8 +79,8 @@ WITH b AS (SELECT unnest(generate_series((SELECT date_trunc('hour', min(ts)) FRO
 SELECT hour, coalesce(n, 0) AS n FROM b LEFT JOIN e USING (hour)""")
 def errors_by_hour(t: Tables) -> DataFrame:
     ends = t.events.agg(F.date_trunc("hour", F.min("ts")).alias("a"), F.date_trunc("hour", F.max("ts")).alias("b"))
-    hours = ends.select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 HOUR"))).alias("hour"))
-    e = t.events.filter("event_type = 'error' AND user_id < 20").groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    hours = ends.select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 HOUR"))).alias("hour")).select(F.col("hour").cast("timestamp_ntz").alias("hour"))
+    e = t.events.filter("event_type = 'error' AND user_id < 20").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
     return hours.join(e, "hour", "left").fillna(0, ["n"])
 
 

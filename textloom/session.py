@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,8 +27,28 @@ def session(name: str = "textloom", cores: str = "*", partitions: int = 8) -> Sp
     )
 
 
+def shipped(spark: SparkSession) -> None:
+    """Sends this package to the executors once a context: their Python workers need not have it on their path."""
+    sc = spark.sparkContext
+    if getattr(sc, "_textloom_shipped", False):
+        return
+    root, packed = Path(__file__).resolve().parent, io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, f"textloom/{p.relative_to(root)}")
+    folder = f"{shared_folder(spark)}/textloom/{uuid.uuid4().hex}"
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{folder}/textloom.zip")
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    atexit.register(_remove, spark, folder)
+    sc.addPyFile(str(path.toString()))
+    sc._textloom_shipped = True
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One input table; column pruning and filters reach the parquet scan."""
+    shipped(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -80,7 +80,7 @@ def lease_expiry(t: Tables) -> DataFrame:
 @query("Q10: hours in which more was done than in the hour before", """
 WITH h AS (SELECT date_trunc('hour', ts) AS hour, count(*) FILTER (event_type = 'purchase') AS done FROM events GROUP BY 1), d AS (SELECT hour, done, done - lag(done, 1, 0) OVER (ORDER BY hour) AS rise FROM h) SELECT hour, done, rise FROM d WHERE rise > 0""")
 def progress_rises(t: Tables) -> DataFrame:
-    h = t.events.groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(F.count_if(F.col("event_type") == "purchase").alias("done"))
+    h = t.events.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(F.count_if(F.col("event_type") == "purchase").alias("done"))
     by = Window.partitionBy(F.lit(0)).orderBy("hour")  # one row an hour
     return h.withColumn("rise", F.col("done") - F.lag("done", 1, 0).over(by)).filter("rise > 0")
 
