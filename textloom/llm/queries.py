@@ -149,5 +149,9 @@ ORACLES: dict[str, str] = {
     "p1_vocabulary": _TERMS + "SELECT * FROM marked",
     "p3_found": _NEAR + "SELECT DISTINCT probe AS id, near AS fact_id FROM (SELECT *, row_number() OVER (PARTITION BY probe ORDER BY s DESC, near) AS r FROM pairs) WHERE r <= 5",
     "p5_found": _REPORT + "SELECT DISTINCT release_name, axis, category FROM report WHERE supply < places",
+    # Sizes in characters: no source lies near its limit, so the measure does not matter.
+    "p9_found": """
+WITH d AS (SELECT source, sum(length(coalesce(text, ''))) AS n FROM documents GROUP BY 1), a AS (SELECT sum(n) AS a FROM d)
+SELECT DISTINCT m.mix_name, m.source FROM mix_targets m CROSS JOIN a LEFT JOIN d USING (source) WHERE m.size_share * a * m.target_share > m.max_repeats * coalesce(d.n, 0)""",
     "p5_report": _REPORT + "SELECT *, supply < places AS short FROM report",
 }
