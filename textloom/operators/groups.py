@@ -8,10 +8,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from textloom.session import shipped
+
 
 def walked(df: DataFrame, keys: list[str], order: list[str], step: Callable[[list[tuple]], Iterable[tuple]], schema: str) -> DataFrame:
     """What ``step`` gives for the rows of each group, in order. One shuffle by the keys; a task walks its groups one after the other and
     holds the rows of one group at a time, so groups have to be bounded by the caller."""
+    shipped(df.sparkSession)
     names = df.columns
     at = [names.index(k) for k in keys]
     out = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)

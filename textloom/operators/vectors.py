@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.session import shipped
+
 #: Base vectors of a part, and queries that meet one part at once.
 PART, QUERIES = 50_000, 10_000
 
@@ -25,6 +27,7 @@ def nearest(queries: DataFrame, base: DataFrame, k: int, same: bool | None = Non
     Both tables have (id, key, vector). With ``same`` true only base rows of the query's key count, with false only those of another key. Unusable
     vectors take no part.
     """
+    shipped(base.sparkSession)
     clean = lambda df: usable(df.select(F.col("id").cast("bigint"), F.col("key").cast("string"), F.col("vector").cast("array<float>")), "vector", width)
     parts, blocks = max(1, math.ceil(base.count() / PART)), max(1, math.ceil(queries.count() / QUERIES))
     own = lambda n, name, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n)).cast("int").alias(name)

@@ -65,6 +65,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder, so that lost executors cost no recomputation."""
+    shipped(df.sparkSession)
     shared_folder(df.sparkSession)
     return df.checkpoint()
 
@@ -81,6 +82,7 @@ def _remove(spark: SparkSession, path: str) -> None:
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once as compressed columns in the shared folder and read back; removed at exit."""
     spark = df.sparkSession
+    shipped(spark)
     path = f"{shared_folder(spark)}/textloom/{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_remove, spark, path)
