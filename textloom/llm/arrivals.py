@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.neighbours import unit
-from textloom.session import checkpointed
+from textloom.session import checkpointed, shipped
 
 #: Rows of a token from which it is decided in rounds, and representatives of a part in them.
 HOT, PART = 50_000, 4_000
@@ -197,6 +197,7 @@ def repeated(postings: DataFrame, first: int = 0, cosine: float = COSINE, width:
     kept_id is the smallest such accepted id. Facts without words repeat none by words, those without a usable vector none by
     vector; rows repeated with one id count once. An empty table gives an empty result.
     """
+    shipped(postings.sparkSession)
     large = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot).select("token")
     large = checkpointed(large)
     if large.isEmpty():

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.session import shipped
+
 #: Vectors of a shard, of a leaf, and queries that one task takes through a shard at once.
 SHARD, LEAF, QUERIES = 100_000, 1024, 20_000
 #: Places beyond k that a shard keeps while it compares in single precision; the order is settled in double precision.
@@ -112,6 +114,7 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int, factor: float = 1.0,
     vectors take no part; equal similarities order by id. With factor one the result is exact. Fewer than k others give fewer
     rows; an empty table gives none.
     """
+    shipped(vectors.sparkSession)
     clean = lambda df: usable(df.select(F.col("id").cast("bigint"), F.col("vector")), "vector", width)
     base, asked = clean(vectors), clean(queries)
     n = shards or max(1, math.ceil(vectors.count() / SHARD))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.tokens import TOKENIZER, with_tokens
-from textloom.session import stored
+from textloom.session import shipped, stored
 
 #: Items of a bucket, about. Each bucket packs by itself and leaves at most a few containers part-filled at its end.
 BUCKET = 10_000
@@ -80,6 +80,7 @@ def packed(items: DataFrame, containers: DataFrame, id_col: str = "doc_id", text
     white space) never share a container; repeated rows are copies. With ``apart``, neither do items of one source. Empty tables
     give an empty result.
     """
+    shipped(items.sparkSession)
     kinds = [(r[0], r[1]) for r in containers.select("container", "capacity_tokens").filter("capacity_tokens > 0").distinct().orderBy("capacity_tokens", "container").limit(MOST + 1).collect()]
     if len(kinds) > MOST:
         raise ValueError(f"more than {MOST} kinds of containers")

@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.session import shipped
+
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)?")
 
 # What answers that decline say, by their words in order.
@@ -180,6 +182,7 @@ def broken_pairs(pairs: DataFrame, id_col: str = "id", question_col: str = "ques
     no defect. Where the expected form is null it is the form that questions with the same two first words mostly get (ties: the first
     by name). Repeated rows count once. An empty table gives an empty result; other columns are ignored.
     """
+    shipped(pairs.sparkSession)
     rows = pairs.filter(F.col(answerable_col)).select(F.col(id_col).alias("id"), F.col(question_col).alias("q"), F.col(answer_col).alias("a"), F.col(form_col).alias("form"))
     opening = F.lower(F.substring_index(F.regexp_replace(F.trim("q"), r"\s+", " "), " ", 2))
     rows = rows.withColumn("opening", opening)

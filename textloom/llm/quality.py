@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.session import stored
+from textloom.session import shipped, stored
 
 STATISTICS = ["log_words", "mean_word_length", "symbol_ratio", "digit_ratio", "capital_ratio", "punctuated_lines", "common_words", "distinct_words", "list_share", "table_share", "junk_share"]
 #: Below these spreads two documents do not differ in the statistic (in its own unit): they keep the covariance regular.
@@ -164,6 +164,7 @@ def statistics(documents: DataFrame, common_words: DataFrame, id_col: str = "doc
     The language is lower-cased and trimmed; null stays null and is its own group. ``common_words`` (lang, word) is a small table
     by nature; more than 100,000 rows raise an error.
     """
+    shipped(documents.sparkSession)
     rows = common_words.select("word").filter("word IS NOT NULL").distinct().limit(100_001).collect()
     if len(rows) > 100_000:
         raise ValueError("common_words has more than 100,000 words")

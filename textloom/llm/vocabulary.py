@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.session import stored
+from textloom.session import shipped, stored
 
 #: Entries of a container before it bursts.
 BURST = 1024
@@ -128,6 +128,7 @@ def vocabulary(records: DataFrame, id_col: str = "id", language_col: str = "lang
     than ``rare_below`` records, common in more than ``common_above`` of the language's records that have any term.
     An empty table gives an empty result; further columns are ignored.
     """
+    shipped(records.sparkSession)
     rows = records.select(F.col(id_col).alias("id"), F.col(language_col).alias("language"), F.col(terms_col).alias("terms")).filter("language IS NOT NULL")
     twice = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 AND id IS NOT NULL").select("id")
     again = rows.join(twice, "id", "left_semi").groupBy("id").agg(F.min(F.struct("language", "terms")).alias("first")).select("first.*")
