@@ -12,13 +12,15 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.columns import share, share_of, words
 from textloom.functions.text import content, sentences
+from textloom.operators.groups import walked
 from textloom.operators.windows import first_of
 from textloom.registry import Tables, query
+from textloom.session import checkpointed
 
 
 class Step(Protocol):
@@ -189,27 +191,52 @@ def covered_pages(t: Tables) -> DataFrame:
     return pages.mapInPandas(area, "l_orderkey bigint, area double")
 
 
+def strongest(rows: list[tuple]) -> list[tuple]:
+    """(a, b, n) of one pair of blocks: for each section of either the one of the other block that shares most terms, ties to the lower id. Rows are
+    (doc, i, j, block, id, terms) in order of block and id; a pair of a block with itself has its rows once."""
+    left = [(r[4], r[5]) for r in rows if r[3] == rows[0][1]]
+    right = left if rows[0][1] == rows[0][2] else [(r[4], r[5]) for r in rows if r[3] == rows[0][2]]
+    if not right:
+        return []
+    held: dict[str, list[int]] = {}
+    for k, (_, terms) in enumerate(right):
+        for x in terms:
+            held.setdefault(x, []).append(k)
+    postings = {x: np.asarray(v) for x, v in held.items()}
+    most, of, out = np.zeros(len(right), dtype=np.int64), np.zeros(len(right), dtype=np.int64), []
+    for k, (a, terms) in enumerate(left):
+        own = [postings[x] for x in terms if x in postings]
+        if not own:
+            continue
+        n = np.bincount(np.concatenate(own), minlength=len(right))
+        if right is left:
+            n[k] = 0
+        else:
+            more = n > most
+            most[more], of[more] = n[more], a
+        at = int(n.argmax())
+        if n[at]:
+            out.append((a, right[at][0], int(n[at])))
+    return out + [(right[k][0], int(of[k]), int(most[k])) for k in np.flatnonzero(most)]
+
+
 @query("J24, J25: best partner of each section by shared terms, each pair taken once, and the pair grown by its second's best", None)
-def section_partners(t: Tables) -> DataFrame:
-    """(a, b, third): the ranking is a window; taking a pair once in order is a walk over each document's own ranked pairs, a document with very many
-    sections in stretches of 500 by hash."""
-    s = t.passages.filter("section_path IS NOT NULL").select("id", "doc_sha256", F.pmod(F.xxhash64("section_path"), F.lit(8)).alias("stretch"))
-    x = t.passage_vocabulary.select("id", F.explode("lemmas").alias("x")).select("id", F.lower(F.trim("x")).alias("term")).filter("term <> ''").distinct()
+def section_partners(t: Tables, block: int = 4000) -> DataFrame:
+    """(a, b, third): every section is compared with every other of its document. A document is cut into blocks of about ``block`` sections and every pair
+    of blocks meets in a task, so the groups are bounded and no pair is lost; the work is quadratic in a document's sections. Best partners that
+    name each other share one count, so taking pairs once in order of (count, a) keeps the one with the lower a: a join says it."""
+    s = t.passages.filter("section_path IS NOT NULL").select("id", "doc_sha256")
+    x = t.passage_vocabulary.select("id", F.explode("lemmas").alias("x")).select("id", F.lower(F.trim("x")).alias("term")).filter("term <> ''")
     w = s.join(x.groupBy("id").agg(F.collect_set("term").alias("w")), "id")
-    b = w.select("doc_sha256", "stretch", F.col("id").alias("b"), F.col("w").alias("wb"))
-    pairs = w.withColumnRenamed("id", "a").join(b, ["doc_sha256", "stretch"]).filter("a <> b").withColumn("n", F.size(F.array_intersect("w", "wb"))).filter("n > 0")
-    best = pairs.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("n"), "b"))).filter("r <= 2").select("doc_sha256", "stretch", "a", "b", "n", "r")
-
-    def take(p: pd.DataFrame) -> pd.DataFrame:
-        first, taken, out = {a: b for a, b, r in zip(p["a"], p["b"], p["r"]) if r == 1}, set(), []
-        for a, b_, _ in p[p["r"] == 1].sort_values(["n", "a"], ascending=[False, True])[["a", "b", "n"]].itertuples(index=False):
-            if frozenset((a, b_)) not in taken:
-                taken.add(frozenset((a, b_)))
-                third = first.get(b_)
-                out.append((a, b_, third if third not in (a, b_, None) else -1))
-        return pd.DataFrame(out, columns=["a", "b", "third"])
-
-    return best.groupBy("doc_sha256", "stretch").applyInPandas(take, "a bigint, b bigint, third bigint")
+    blocks = s.groupBy("doc_sha256").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("of"), F.count(F.lit(1)).alias("sections")).filter("sections > 1").drop("sections")
+    w = w.join(blocks, "doc_sha256").withColumn("own", F.pmod(F.xxhash64("id"), F.col("of")).cast("int"))
+    w = w.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+    met = w.select("doc_sha256", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "w")
+    found = walked(met, ["doc_sha256", "i", "j"], ["own", "id"], strongest, "a bigint, b bigint, n bigint")
+    best = checkpointed(found.groupBy("a").agg(F.max(F.struct("n", (-F.col("b")).alias("b"))).alias("m")).select("a", (-F.col("m.b")).alias("b")))
+    seconds = best.select(F.col("a").alias("b"), F.col("b").alias("third"))
+    pairs = best.join(seconds, "b").filter("third <> a OR a < b")
+    return pairs.select("a", "b", F.when(F.col("third") == F.col("a"), F.lit(-1)).otherwise(F.col("third")).cast("bigint").alias("third"))
 
 
 @query("S23: two coordinates of each label's centroid, from the distances between centroids", None)
