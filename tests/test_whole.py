@@ -1,10 +1,11 @@
 """Operators over groups that are cut for scale, against the plain definition over the whole group."""
 
 import random
+import re
 
 import pytest
 
-from textloom.plans import models
+from textloom.plans import models, selection
 
 
 class Given:
@@ -37,3 +38,25 @@ def test_sections_meet_every_other_of_their_document(spark, block):
     got = [tuple(r) for r in models.section_partners(t, block).collect()]
     assert len(got) == len(set(got)) and set(got) == want
     assert (100, 101, -1) in want
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_every_repeat_is_refused_as_in_order(spark, seed):
+    rng = random.Random(seed)
+    said = [" ".join(rng.sample("abcdefgh", rng.randint(4, 8))) + rng.choice(["", "", " 7", " 7 12"]) for _ in range(150)]
+    rows = list(enumerate(said + ["Plain words here", "plain words here!", "...", "...", None]))
+    rng.shuffle(rows)
+    kept, want = [], set()
+    for i, text in sorted(rows):
+        words = set(re.findall(r"\w+", (text or "").lower()))
+        own = sorted(x for x in re.findall(r"\w+", text or "") if x.isdigit())
+        if not words:
+            continue
+        hit = next((k for k, n, x in kept if n == own and len(words & x) >= 0.8 * len(words | x)), None)
+        if hit is None:
+            kept.append((i, own, words))
+        else:
+            want.add((i, hit))
+    got = [tuple(r) for r in selection.sequential_dedup(Given(spark, facts=spark.createDataFrame(rows, "id bigint, statement string"))).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert (151, 150) in want

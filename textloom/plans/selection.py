@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from textloom.operators.groups import walked
 from textloom.operators.windows import hashed
 from textloom.registry import Tables, query
+from textloom.session import checkpointed, stored
 
 
 def apportioned(weights: dict[str, float], supply: dict[str, int], size: int) -> dict[str, int]:
@@ -161,24 +162,40 @@ def unfolded_citations(t: Tables) -> DataFrame:
 
 @query("A38, Q13: statements of a batch kept one by one in order, those refused that repeat a kept one's numbers and words", None)
 def sequential_dedup(t: Tables, floor: float = 0.8) -> DataFrame:
-    """(id, kept_id): facts of the later batches that a kept one repeats, in order of id, within the facts that name the same numbers. Groups are
-    bounded by cutting exact copies first."""
-    from textloom.functions.columns import numbers, words
-
-    rows = t.facts.filter("statement IS NOT NULL").select("id", F.array_join(numbers("statement"), " ").alias("n"), F.array_sort(F.array_distinct(words("statement"))).alias("w")).filter("n <> ''")
-    first = rows.groupBy("n", F.array_join("w", " ").alias("k")).agg(F.min("id").alias("id"), F.first("w").alias("w"))
+    """(id, kept_id): facts of the later batches that a kept one repeats, in order of id, within the facts that name the same numbers; those that
+    name none are compared among themselves. Copies are walked once and each is given its copy's answer. Pairs that reach the floor are found by an
+    exact prefix filter: sets that overlap so far share one of the rarest words of either, |x| - ceil(floor |x|) + 1 of them. The walk
+    goes over the components of these pairs. Statements without words abstain."""
+    from textloom.functions.columns import jaccard, numbers, words
+    from textloom.operators.components import components
+
+    rows = t.facts.filter("statement IS NOT NULL").select("id", F.array_join(numbers("statement"), " ").alias("n"), F.array_join(F.array_sort(F.array_distinct(words("statement"))), " ").alias("k")).filter("k <> ''")
+    rows = rows.withColumn("h", F.unhex(F.sha2(F.concat_ws("\n", "n", "k"), 256)))
+    first = stored(rows.groupBy("h").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("k").alias("k")))
+    several = first.groupBy("n").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("g")).filter("c > 1").select("n", "g")
+    met = stored(first.join(several, "n").select("g", "id", F.split("k", " ").alias("w")))  # g stands for the numbers
+    df = met.select(F.explode("w").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    ranked = met.select("g", "id", F.explode("w").alias("word")).join(df, "word").groupBy("g", "id").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "word"))), lambda x: x["word"]).alias("o"))
+    least = F.size("o") - F.ceil(F.size("o") * floor - 1e-9).cast("int") + 1
+    prefix = ranked.select("g", "id", F.size("o").alias("size"), F.posexplode(F.slice("o", F.lit(1), least)).alias("at", "word"))
+    a, b = prefix.withColumnRenamed("id", "a"), prefix.select("g", "word", F.col("id").alias("b"), F.col("size").alias("other"), F.col("at").alias("there"))
+    reach = F.least(F.col("size") - F.col("at"), F.col("other") - F.col("there"))  # words shared at most, if this is the first of them
+    near = a.join(b, ["g", "word"]).filter((F.col("b") < F.col("a")) & (reach >= floor * (F.col("size") + F.col("other") - reach) - 1e-9)).select("a", "b").distinct()
+    near = near.join(met.select(F.col("id").alias("a"), F.col("w").alias("wa")), "a").join(met.select(F.col("id").alias("b"), F.col("w").alias("wb")), "b")
+    near = checkpointed(near.filter(jaccard(F.col("wa"), F.col("wb")) >= floor).select("a", "b"))
 
     def keep(group: list[tuple]):
-        kept: list[tuple[int, set]] = []
-        for _, i, w in group:
-            own = set(w)
-            hit = next((k for k, x in kept if len(own & x) >= floor * len(own | x)), None)
-            if hit is None:
-                kept.append((i, own))
-            else:
+        refused = set()
+        for i, pairs in itertools.groupby(group, key=lambda r: r[1]):
+            hit = next((k for *_, k in pairs if k not in refused), None)
+            if hit is not None:
+                refused.add(i)
                 yield i, hit
 
-    return walked(first.select("n", "id", "w"), ["n"], ["id"], keep, "id bigint, kept_id bigint")
+    joined = near.join(components(near).withColumnRenamed("id", "a"), "a").select("component", "a", "b")
+    refused = walked(joined, ["component"], ["a", "b"], keep, "first_id bigint, hit bigint")
+    members = rows.select("id", "h").join(first.select("h", F.col("id").alias("first_id")), "h").join(refused, "first_id", "left")
+    return members.filter("hit IS NOT NULL OR id <> first_id").select("id", F.coalesce("hit", "first_id").alias("kept_id"))
 
 
 @query("G01, G02: topics of each language by non-negative factors of tf-idf, memberships above a floor", None)
