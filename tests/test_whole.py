@@ -60,3 +60,27 @@ def test_every_repeat_is_refused_as_in_order(spark, seed):
     got = [tuple(r) for r in selection.sequential_dedup(Given(spark, facts=spark.createDataFrame(rows, "id bigint, statement string"))).collect()]
     assert len(got) == len(set(got)) and set(got) == want
     assert (151, 150) in want
+
+
+@pytest.mark.parametrize("size, stretch", [(3, 4), (2, 3), (4, 5), (3, 2000)])
+def test_facts_are_dealt_once_a_document_over_stretches(spark, size, stretch):
+    rng = random.Random(size * stretch)
+    passages = [(i, rng.choice("de"), rng.choice([None, *range(40)])) for i in range(80)]
+    cited = [(rng.randint(0, 60), i) for i, *_ in passages for _ in range(rng.choice([0, 1, 1, 2, 5]))]
+    want = set()
+    for doc in "de":
+        spent, sample, open_ = set(), 0, []
+        for ordinal, i in sorted(((-1 if o is None else o), i) for i, d, o in passages if d == doc):
+            for fact in sorted({f for f, p in cited if p == i} - spent):
+                spent.add(fact)
+                open_.append(fact)
+                if len(open_) == size:
+                    want |= {(doc, sample, f) for f in open_}
+                    sample, open_ = sample + 1, []
+            if len(open_) > 1:
+                want |= {(doc, sample, f) for f in open_}
+                sample, open_ = sample + 1, []
+        want |= {(doc, sample, f) for f in open_}
+    t = Given(spark, passages=spark.createDataFrame(passages, "id bigint, doc_sha256 string, ordinal int"), fact_passages=spark.createDataFrame(cited, "fact_id bigint, passage_id bigint"))
+    got = [tuple(r) for r in selection.dealt_samples(t, size, stretch).collect()]
+    assert len(got) == len(set(got)) and set(got) == want

@@ -102,30 +102,53 @@ def drawable(t: Tables) -> DataFrame:
 
 
 @query("P04, P05, P06: facts dealt to questions by document: rounds over its passages, each fact spent once, a sample widened while it is small", None)
-def dealt_samples(t: Tables, size: int = 3) -> DataFrame:
+def dealt_samples(t: Tables, size: int = 3, stretch: int = 2000) -> DataFrame:
     """(doc_sha256, sample, fact_id). Within a document, passages are taken in turns by ordinal and each gives its unspent facts up to ``size``; a sample
-    with one fact takes more from the next passage. Documents with very many facts are dealt in stretches of 2,000 by ordinal, so no group is unbounded."""
+    with one fact takes more from the next passage. A fact belongs to the first passage that has it, whatever the document's size. Documents are walked in
+    stretches of ordinals, so no group is unbounded: a stretch only has to know whether a sample of one fact is open where it starts and how many are
+    closed, so each stretch is summed up for either case first, and the summaries are strung together."""
     passages = t.passages.select(F.col("id").alias("passage_id"), "doc_sha256", "ordinal")
-    rows = t.fact_passages.select("fact_id", "passage_id").distinct().join(passages, "passage_id").withColumn("stretch", F.floor(F.col("ordinal") / 2000))
+    cited = t.fact_passages.select("fact_id", "passage_id").distinct().join(passages, "passage_id")
+    first = cited.groupBy("doc_sha256", "fact_id").agg(F.min(F.struct("ordinal", "passage_id")).alias("p"))
+    rows = checkpointed(first.select("doc_sha256", F.coalesce(F.floor(F.col("p.ordinal") / stretch), F.lit(-1)).alias("stretch"), F.col("p.ordinal").alias("ordinal"), F.col("p.passage_id").alias("passage_id"), "fact_id"))
+
+    def closed(open_: int, new: int) -> tuple[int, int]:
+        full, left = divmod(open_ + new, size)
+        return (0, full + 1) if left > 1 else (left, full)
+
+    def summed(group: list[tuple]):
+        doc, at, ends = group[0][0], group[0][1], []
+        for open_ in (0, 1):
+            done = 0
+            for *_, n in group:
+                open_, more = closed(open_, n)
+                done += more
+            ends += [open_, done]
+        yield doc, at, *ends
+
+    def strung(group: list[tuple]):
+        open_, done = 0, 0
+        for doc, at, *ends in group:
+            yield doc, at, open_, done
+            open_, more = ends[2 * open_ : 2 * open_ + 2]
+            done += more
 
     def deal(group: list[tuple]):
-        spent, sample, open_ = set(), 0, []
-        doc, stretch = group[0][0], group[0][1]
+        doc, open_, sample = group[0][0], group[0][5], group[0][6]
         for _, part in itertools.groupby(group, key=lambda r: (r[2], r[3])):
-            for *_, fact in part:
-                if fact not in spent:
-                    open_.append(fact)
-                    spent.add(fact)
-                    if len(open_) == size:
-                        yield from ((doc, stretch, sample, f) for f in open_)
-                        sample, open_ = sample + 1, []
-            if len(open_) > 1:
-                yield from ((doc, stretch, sample, f) for f in open_)
-                sample, open_ = sample + 1, []
-        yield from ((doc, stretch, sample, f) for f in open_)
-
-    rows = rows.select("doc_sha256", "stretch", "ordinal", "passage_id", "fact_id")
-    return walked(rows, ["doc_sha256", "stretch"], ["ordinal", "passage_id", "fact_id"], deal, "doc_sha256 string, stretch bigint, sample int, fact_id bigint")
+            for r in part:
+                yield doc, sample, r[4]
+                open_ += 1
+                if open_ == size:
+                    open_, sample = 0, sample + 1
+            if open_ > 1:
+                open_, sample = 0, sample + 1
+
+    counts = rows.groupBy("doc_sha256", "stretch", "ordinal", "passage_id").agg(F.count(F.lit(1)).alias("n"))
+    ends = walked(counts, ["doc_sha256", "stretch"], ["ordinal", "passage_id"], summed, "doc_sha256 string, stretch bigint, open0 int, done0 bigint, open1 int, done1 bigint")
+    starts = walked(ends, ["doc_sha256"], ["stretch"], strung, "doc_sha256 string, stretch bigint, open int, done bigint")
+    dealt = rows.join(starts, ["doc_sha256", "stretch"]).select("doc_sha256", "stretch", "ordinal", "passage_id", "fact_id", "open", "done")
+    return walked(dealt, ["doc_sha256", "stretch"], ["ordinal", "passage_id", "fact_id"], deal, "doc_sha256 string, sample bigint, fact_id bigint")
 
 
 @query("P16: pairs of accepted questions whose words overlap beyond the bar, among those on one fact", """
