@@ -84,3 +84,11 @@ def test_facts_are_dealt_once_a_document_over_stretches(spark, size, stretch):
     t = Given(spark, passages=spark.createDataFrame(passages, "id bigint, doc_sha256 string, ordinal int"), fact_passages=spark.createDataFrame(cited, "fact_id bigint, passage_id bigint"))
     got = [tuple(r) for r in selection.dealt_samples(t, size, stretch).collect()]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_topics_are_fitted_on_all_terms(spark):
+    groups = [[f"f{g}x{i}" for i in range(100)] for g in range(15)] + [[f"z{i}" for i in range(10)]]
+    rows = [(10 * g + i, "en", terms) for g, terms in enumerate(groups) for i in range(3 if g == 15 else 4)]
+    got = selection.topic_memberships(Given(spark, passage_vocabulary=spark.createDataFrame(rows, "id bigint, language string, lemmas array<string>")), 16).collect()
+    assert {r["id"] for r in got} == {i for i, *_ in rows}  # 1,500 terms are more frequent than those of the last three
+    assert all(0.15 <= r["weight"] <= 1 for r in got)

@@ -9,7 +9,6 @@ from __future__ import annotations
 import itertools
 import math
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -221,48 +220,105 @@ def sequential_dedup(t: Tables, floor: float = 0.8) -> DataFrame:
     return members.filter("hit IS NOT NULL OR id <> first_id").select("id", F.coalesce("hit", "first_id").alias("kept_id"))
 
 
-@query("G01, G02: topics of each language by non-negative factors of tf-idf, memberships above a floor", None)
-def topic_memberships(t: Tables, topics: int = 8, sample: int = 3000, terms: int = 1500, floor: float = 0.15) -> DataFrame:
-    """(id, language, topic, weight). The factors are fitted per language on at most ``sample`` passages in hash order and the ``terms`` most frequent terms within
-    document-frequency bounds; every passage is then projected on them. The fit is seeded, the bounds are parameters, the projection covers all rows."""
+#: Passages that a fit holds at once; the rest waits in a local file.
+FIT_BLOCK = 20_000
+
+
+def factored(vectors, block: int, topics: int, draw: int, passes: int = 30):
+    """(cohesion, k x terms factors of unit length) of one seeded draw. ``vectors`` is (ends, at, w): the passages' unit vectors one after the
+    other. Each pass solves the passages' weights block by block under the factors and gathers the two sums that the factors' updates need."""
+    import numpy as np
+
+    ends, at, w = vectors
+    k, width = min(topics, len(ends)), int(at.max()) + 1
+    h = (np.random.default_rng(draw).random((k, width)) + 0.1).astype(np.float32)
+
+    def solved():
+        ht, hh = np.ascontiguousarray(h.T), h @ h.T
+        for s in range(0, len(ends), block):
+            e, start = ends[s : s + block], int(ends[s - 1]) if s else 0
+            terms, values, sizes = np.asarray(at[start : e[-1]]), np.asarray(w[start : e[-1]]), np.diff(e, prepend=start)
+            goal = np.add.reduceat(ht[terms] * values[:, None], e - sizes - start)
+            own = np.full((len(e), k), 1 / k, dtype=np.float32)
+            for _ in range(15):
+                own *= goal / np.maximum(own @ hh, 1e-9)
+            yield terms, values, np.repeat(np.arange(len(e)), sizes), own
+
+    for _ in range(passes):
+        inner, outer = np.zeros((k, k)), np.zeros((k, width))
+        for terms, values, row, own in solved():
+            inner += own.T @ own
+            for j in range(k):
+                outer[j] += np.bincount(terms, own[row, j] * values, width)
+        for _ in range(3):
+            h = (h * outer / np.maximum(inner @ h, 1e-9)).astype(np.float32)
+    summed, count = np.zeros((k, width)), np.zeros(k)
+    for terms, values, row, own in solved():
+        of = own.argmax(axis=1)
+        count += np.bincount(of, minlength=k)
+        summed += np.bincount(of[row] * width + terms, values, k * width).reshape(k, width)
+    cohesion = float(np.mean([((x**2).sum() - c) / (c * (c - 1)) for x, c in zip(summed, count) if c > 1] or [0]))
+    return cohesion, h / np.maximum(np.linalg.norm(h, axis=1, keepdims=True), 1e-12)
+
+
+def fits(topics: int, block: int):
+    """For mapInArrow: (language, draw, cohesion, topic, at, h) of rows (language, draw, at, w) in order of language and draw."""
+    import tempfile
+
     import numpy as np
+    import pyarrow as pa
+
+    def fit(batches):
+        now, files, sizes = None, None, []
+
+        def done():
+            for f in files:
+                f.flush()
+            vectors = [np.memmap(f, dtype=d, mode="r") for f, d in zip(files, (np.int32, np.float32))]
+            cohesion, h = factored((np.cumsum(np.concatenate(sizes)), *vectors), block, topics, now[1])
+            kept = [np.flatnonzero(x > 1e-6) for x in h]
+            for f in files:
+                f.close()
+            return pa.RecordBatch.from_pylist([{"language": now[0], "draw": now[1], "cohesion": cohesion, "topic": j, "at": x, "h": h[j, x].astype(float)} for j, x in enumerate(kept)], schema=pa.schema([("language", pa.string()), ("draw", pa.int32()), ("cohesion", pa.float64()), ("topic", pa.int32()), ("at", pa.list_(pa.int32())), ("h", pa.list_(pa.float64()))]))
+
+        for b in batches:
+            keys = list(zip(b["language"].to_pylist(), b["draw"].to_pylist()))
+            s = 0
+            while s < len(keys):
+                e = next((i for i in range(s, len(keys)) if keys[i] != keys[s]), len(keys))
+                if keys[s] != now:
+                    if now is not None:
+                        yield done()
+                    now, files, sizes = keys[s], (tempfile.TemporaryFile(), tempfile.TemporaryFile()), []
+                part = b.slice(s, e - s)
+                files[0].write(part["at"].flatten().to_numpy().astype(np.int32).tobytes())
+                files[1].write(part["w"].flatten().to_numpy().astype(np.float32).tobytes())
+                sizes.append(part["at"].value_lengths().to_numpy().astype(np.int64))
+                s = e
+        if now is not None:
+            yield done()
+
+    return fit
+
 
+@query("G01, G02: topics of each language by non-negative factors of tf-idf, memberships above a floor", None)
+def topic_memberships(t: Tables, topics: int = 8, floor: float = 0.15, draws: int = 8) -> DataFrame:
+    """(id, language, topic, weight). The factors are fitted per language on all its passages and all terms within the document-frequency bounds, in
+    ``draws`` seeded draws, of which the one with the most cohesive topics is kept; a task makes one draw of one language and keeps the passages in a
+    local file, so that it holds a block of them and the factors only."""
     x = t.passage_vocabulary.filter("language IS NOT NULL").select("id", "language", F.explode("lemmas").alias("x")).select("id", "language", F.lower(F.trim("x")).alias("term")).filter("term <> ''")
     tf = x.groupBy("id", "language", "term").agg(F.count(F.lit(1)).alias("tf"))
     df = tf.groupBy("language", "term").agg(F.count(F.lit(1)).alias("df"))
     n = tf.groupBy("language").agg(F.countDistinct("id").alias("n"))
-    kept = df.join(n, "language").filter("df >= 3 AND df <= 0.5 * n").withColumn("r", F.row_number().over(Window.partitionBy("language").orderBy(F.desc("df"), "term"))).filter(F.col("r") <= terms)
-    weighted = tf.join(kept.select("language", "term", F.log2(F.col("n") / F.col("df")).alias("idf")), ["language", "term"]).select("id", "language", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    rows = weighted.groupBy("id", "language").agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("v"))
-
-    def unit(m: np.ndarray) -> np.ndarray:
-        return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
-
-    def fit(b: pd.DataFrame) -> pd.DataFrame:
-        vectors = [dict(v) for v in b["v"]]
-        vocabulary = sorted({k for v in vectors for k in v})
-        at = {k: i for i, k in enumerate(vocabulary)}
-        m = np.zeros((len(vectors), len(vocabulary)))
-        for i, v in enumerate(vectors):
-            m[i, [at[k] for k in v]] = list(v.values())
-        m, best = unit(m), (-1.0, None)
-        for seed in range(2):
-            rng = np.random.default_rng(seed)
-            k = min(topics, len(vectors))
-            w, h = rng.random((len(vectors), k)) + 0.1, rng.random((k, len(vocabulary))) + 0.1
-            for _ in range(60):
-                h *= (w.T @ m) / np.maximum(w.T @ w @ h, 1e-9)
-                w *= (m @ h.T) / np.maximum(w @ (h @ h.T), 1e-9)
-            of = w.argmax(axis=1)
-            cohesion = float(np.mean([(np.linalg.norm(m[of == j].sum(axis=0)) ** 2 - c) / (c * (c - 1)) for j in range(k) if (c := int((of == j).sum())) > 1] or [0]))
-            best = max(best, (cohesion, h.tobytes()), key=lambda p: p[0])
-        h = unit(np.frombuffer(best[1]).reshape(k, len(vocabulary)))
-        return pd.DataFrame([(b["language"].iloc[0], j, term, h[j, i]) for j in range(k) for i, term in enumerate(vocabulary) if h[j, i] > 1e-6], columns=["language", "topic", "term", "h"])
-
-    some = rows.withColumn("r", F.row_number().over(Window.partitionBy("language").orderBy(F.md5(F.col("id").cast("string"))))).filter(F.col("r") <= sample)
-    factors = some.select("language", "v").groupBy("language").applyInPandas(fit, "language string, topic int, term string, h double")
-    norm = weighted.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("l"))
-    placed = weighted.join(factors, ["language", "term"]).groupBy("id", "language", "topic").agg(F.sum(F.col("w") * F.col("h")).alias("dot"))
-    return placed.join(norm, "id").select("id", "language", "topic", F.least(F.lit(1.0), F.round(F.col("dot") / F.col("l"), 6)).alias("weight")).filter(F.col("weight") >= floor)
-
-
+    kept = df.join(n, "language").filter("df >= 3 AND df <= 0.5 * n").withColumn("at", F.row_number().over(Window.partitionBy("language").orderBy("term")) - 1)
+    weighted = tf.join(kept.select("language", "term", "at", F.log2(F.col("n") / F.col("df")).alias("idf")), ["language", "term"]).select("id", "language", "at", (F.col("tf") * F.col("idf")).alias("w"))
+    v = weighted.groupBy("id", "language").agg(F.array_sort(F.collect_list(F.struct("at", "w"))).alias("v"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("l"))
+    rows = stored(v.select("id", "language", F.transform("v", lambda e: e["at"]).alias("at"), F.transform("v", lambda e: (e["w"] / F.col("l")).cast("float")).alias("w")))
+    languages = rows.select("language").distinct().limit(1000).count()
+    each = rows.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1)))).repartitionByRange(max(1, languages * draws), "language", "draw")
+    found = checkpointed(each.sortWithinPartitions("language", "draw", "id").select("language", "draw", "at", "w").mapInArrow(fits(topics, FIT_BLOCK), "language string, draw int, cohesion double, topic int, at array<int>, h array<double>"))
+    best = found.groupBy("language").agg(F.max(F.struct("cohesion", (-F.col("draw")).alias("draw"))).alias("m")).select("language", (-F.col("m.draw")).alias("draw"))
+    factors = found.join(best, ["language", "draw"]).select("language", "topic", F.explode(F.arrays_zip("at", "h")).alias("e")).select("language", "topic", "e.at", "e.h")
+    units = rows.select("id", "language", F.explode(F.arrays_zip("at", "w")).alias("e")).select("id", "language", "e.at", F.col("e.w").cast("double").alias("w"))
+    placed = units.join(factors, ["language", "at"]).groupBy("id", "language", "topic").agg(F.sum(F.col("w") * F.col("h")).alias("dot"))
+    return placed.select("id", "language", "topic", F.least(F.lit(1.0), F.round("dot", 6)).alias("weight")).filter(F.col("weight") >= floor)
