@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from textloom.operators import retrieval
 from textloom.plans import models, selection
 
 
@@ -92,3 +93,35 @@ def test_topics_are_fitted_on_all_terms(spark):
     got = selection.topic_memberships(Given(spark, passage_vocabulary=spark.createDataFrame(rows, "id bigint, language string, lemmas array<string>")), 16).collect()
     assert {r["id"] for r in got} == {i for i, *_ in rows}  # 1,500 terms are more frequent than those of the last three
     assert all(0.15 <= r["weight"] <= 1 for r in got)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_repeats_among_all_questions(spark, seed):
+    rng = random.Random(seed)
+    rows = [(i, rng.choice(["de", "en", None]), rng.choice([True, True, False]), rng.choice(["easy", "hard", None]), " ".join(rng.sample("abcdefghij", rng.randint(1, 6)))) for i in range(120)]
+    rows += [(200, "en", True, "easy", "When does the gate open"), (201, "en", True, None, "From when does the gate open")]
+    of = {i: {rng.randint(0, 50) for _ in range(rng.randint(0, 3))} for i, *_ in rows}
+    on = {f: {rng.randint(0, 30)} for f in range(51)}
+    want = set()
+    for i, language, answerable, _, text in rows:
+        found = []
+        for j, other, can, _, said in rows:
+            if j < i and other == language:
+                a, b = set(text.lower().split()), set(said.lower().split())
+                facts = bool(of[i] & of[j])
+                passages = bool(set().union(*(on[f] for f in of[i])) & set().union(*(on[f] for f in of[j])))
+                bar = (0.5 if can and facts else None) if answerable != can else 0.5 if facts or passages else 0.75
+                if bar and len(a & b) / len(a | b) >= bar:
+                    found.append((-round(len(a & b) / len(a | b) - bar, 6), j))
+        if found:
+            above, near = min(found)
+            want.add((i, near, -above))
+    t = Given(
+        spark,
+        questions=spark.createDataFrame(rows, "id bigint, language string, answerable boolean, difficulty string, question_text string"),
+        question_facts=spark.createDataFrame([(i, f) for i, x in of.items() for f in x], "question_id bigint, fact_id bigint"),
+        fact_passages=spark.createDataFrame([(f, p) for f, x in on.items() for p in x], "fact_id bigint, passage_id bigint"),
+    )
+    got = [tuple(r) for r in retrieval.all_repeated_questions(t).collect()]
+    assert len(got) == len(want) and {(i, j) for i, j, _ in got} == {(i, j) for i, j, _ in want}
+    assert (201, 200) in {(i, j) for i, j, _ in got}

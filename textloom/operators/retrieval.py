@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textloom.functions.columns import cosine, jaccard, numbers, words
 from textloom.operators.vectors import nearest
 from textloom.registry import Tables, query
+from textloom.session import stored
 
 #: Constant of reciprocal rank fusion.
 FUSION = 60
@@ -97,6 +98,36 @@ def repeated_questions(t: Tables) -> DataFrame:
     return rows.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("above"), "near"))).filter("r = 1").select("id", "near", "above")
 
 
+@query("T14, T15, T16, P16: which of all questions repeat an earlier one, by facts or passages in common", None)
+def all_repeated_questions(t: Tables, t_bar: float = 0.5) -> DataFrame:
+    """(id, near, above) over every question of any difficulty, each compared with every earlier one that can reach its bar. Pairs on a fact or passage in
+    common are met by it; the bar of all others is the higher one, and sets of words that overlap so far share one of the rarest
+    |x| - ceil(bar |x|) + 1 words of either, so no pair is lost. ``repeated_questions`` is the
+    part of this that its SQL says: hard questions that open alike. Questions without words abstain."""
+    facts = t.question_facts.select(F.col("question_id").alias("id"), "fact_id").distinct()
+    cited = facts.join(t.fact_passages.select("fact_id", "passage_id").distinct(), "fact_id").groupBy("id").agg(F.collect_set("passage_id").alias("p"))
+    on = facts.select("id", F.lit(False).alias("passage"), F.col("fact_id").alias("key")).unionByName(cited.select("id", F.lit(True).alias("passage"), F.explode("p").alias("key")))
+    sharing = on.join(on.withColumnRenamed("id", "near"), ["passage", "key"]).filter("near < id").select("id", "near").distinct()
+    facts = facts.groupBy("id").agg(F.collect_set("fact_id").alias("f"))
+    q = stored(t.questions.select("id", "language", "answerable", F.array_distinct(words("question_text")).alias("w")).filter(F.size("w") > 0).join(facts, "id", "left").join(cited, "id", "left"))
+    df = q.select("language", F.explode("w").alias("word")).groupBy("language", "word").agg(F.count(F.lit(1)).alias("df"))
+    x = q.select("id", F.coalesce("language", F.lit("")).alias("l"), F.explode("w").alias("word")).join(df.select(F.coalesce("language", F.lit("")).alias("l"), "word", "df"), ["l", "word"])
+    o = x.groupBy("id", "l").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "word"))), lambda e: e["word"]).alias("o"))
+    high = t_bar + (1 - t_bar) / 2
+    least = F.size("o") - F.ceil(F.size("o") * high - 1e-9).cast("int") + 1
+    prefix = o.select("id", "l", F.size("o").alias("size"), F.posexplode(F.slice("o", F.lit(1), least)).alias("at", "word"))
+    b = prefix.select("l", "word", F.col("id").alias("near"), F.col("size").alias("other"), F.col("at").alias("there"))
+    reach = F.least(F.col("size") - F.col("at"), F.col("other") - F.col("there"))  # words shared at most, if this is the first of them
+    pairs = prefix.join(b, ["l", "word"]).filter((F.col("near") < F.col("id")) & (reach >= high * (F.col("size") + F.col("other") - reach) - 1e-9)).select("id", "near")
+    pairs = pairs.unionByName(sharing).distinct()
+    n = q.select(F.col("id").alias("near"), F.col("language").alias("lb"), F.col("answerable").alias("ab"), F.col("w").alias("wb"), F.col("f").alias("fb"), F.col("p").alias("pb"))
+    met = pairs.join(q, "id").join(n, "near").withColumn("s", jaccard(F.col("w"), F.col("wb"))).filter(F.col("s") >= t_bar)
+    common = lambda a, c: F.coalesce(F.arrays_overlap(a, c), F.lit(False))
+    bar = duplicate_bar(t_bar, F.col("language").eqNullSafe(F.col("lb")), F.col("answerable") == F.col("ab"), F.col("ab"), common("f", "fb"), common("p", "pb"))
+    rows = met.withColumn("bar", bar).filter("s >= bar").select("id", (-F.col("near")).alias("near"), F.round(F.col("s") - F.col("bar"), 6).alias("above"))
+    return rows.groupBy("id").agg(F.max(F.struct("above", "near")).alias("m")).select("id", (-F.col("m.near")).alias("near"), F.col("m.above").alias("above"))
+
+
 @query("T18: length of the shared beginning of two section paths", """
 WITH s AS (SELECT id, string_split(section_path, '.') AS t, lead(string_split(section_path, '.')) OVER (PARTITION BY doc_sha256 ORDER BY ordinal) AS u FROM passages WHERE section_path IS NOT NULL)
 SELECT id, CASE WHEN t[1] <> u[1] THEN 0 WHEN t[2] IS DISTINCT FROM u[2] OR t[2] IS NULL THEN 1 ELSE 2 END AS shared FROM s WHERE u IS NOT NULL""")
