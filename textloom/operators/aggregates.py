@@ -276,6 +276,18 @@ def tfidf_unit(t: Tables) -> DataFrame:
     return w.join(length, "id").select("id", "term", F.round(F.col("w") / F.col("l"), 6).alias("weight"))
 
 
+@query("N08, A25: tf-idf weights of every language, normalised over each passage", None)
+def tfidf_unit_all(t: Tables) -> DataFrame:
+    """(id, language, term, weight) with document frequencies counted per language; ``tfidf_unit`` is the part of one language that its SQL says."""
+    x = t.passage_vocabulary.filter("language IS NOT NULL").distinct().select("id", "language", F.explode("lemmas").alias("x"))
+    tf = x.select("id", "language", F.lower(F.trim("x")).alias("term")).filter("term <> ''").groupBy("id", "language", "term").agg(F.count(F.lit(1)).alias("tf"))
+    df, n = tf.groupBy("language", "term").agg(F.count(F.lit(1)).alias("df")), tf.groupBy("language").agg(F.countDistinct("id").alias("n"))
+    idf = df.join(n, "language").select("language", "term", F.log2(F.col("n") / F.col("df")).alias("idf"))
+    w = tf.join(idf, ["language", "term"]).select("id", "language", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    length = w.groupBy("id", "language").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("l")).filter("l > 0")
+    return w.join(length, ["id", "language"]).select("id", "language", "term", F.round(F.col("w") / F.col("l"), 6).alias("weight"))
+
+
 @query("A37, A40: statements that name the same numbers", """
 SELECT array_to_string(list_sort(regexp_extract_all(statement, '[0-9]+')), ' ') AS numbers, count(*) AS n, min(id) AS first_id FROM facts WHERE regexp_matches(statement, '[0-9]') GROUP BY 1 HAVING count(*) > 1""")
 def number_twins(t: Tables) -> DataFrame:
@@ -291,6 +303,13 @@ def owned_words(t: Tables) -> DataFrame:
     return rows.groupBy("source", "word").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id")).filter("n = 1").select("source", "doc_id", "word")
 
 
+@query("A41: words that only one document of a source has, over every source", None)
+def owned_words_all(t: Tables) -> DataFrame:
+    """``owned_words`` is the part of two sources that its SQL says."""
+    rows = t.documents.filter("source IS NOT NULL").select("source", "doc_id", F.explode(F.array_distinct(words("text"))).alias("word"))
+    return rows.distinct().groupBy("source", "word").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id")).filter("n = 1").select("source", "doc_id", "word")
+
+
 @query("A45, M02: facts that rest on exactly one passage, and that a list", """
 SELECT fact_id FROM fact_passages GROUP BY 1 HAVING count(DISTINCT passage_id) = 1 AND min(passage_id) IN (SELECT id FROM passages WHERE block_type = 'list')""")
 def resting_on_one(t: Tables) -> DataFrame:

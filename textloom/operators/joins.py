@@ -100,6 +100,14 @@ def closest_pairs(t: Tables) -> DataFrame:
     return best.groupBy(F.least("query", "id").alias("a"), F.greatest("query", "id").alias("b")).agg(F.max("similarity").alias("similarity"))
 
 
+@query("J10, A34, U03: distinct nearest pairs of a set of ids, sought among all vectors", None)
+def closest_pairs_all(t: Tables) -> DataFrame:
+    """``closest_pairs`` is the search within the set that its SQL says."""
+    base = labelled(t)
+    best = nearest(base.filter("id % 50 = 0"), base, 1)
+    return best.groupBy(F.least("query", "id").alias("a"), F.greatest("query", "id").alias("b")).agg(F.max("similarity").alias("similarity"))
+
+
 @query("J12, J13: counts of passages without vocabulary, and languages of vocabulary without passages", """
 SELECT (SELECT count(*) FROM passages p WHERE NOT EXISTS (SELECT 1 FROM passage_vocabulary v WHERE v.id = p.id)) AS passages_without,
  (SELECT count(DISTINCT language) FROM passage_vocabulary v WHERE language IS NOT NULL AND NOT EXISTS (SELECT 1 FROM passages p WHERE p.language = v.language)) AS languages_without""")
