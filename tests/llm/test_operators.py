@@ -371,7 +371,7 @@ def test_mix_report_and_blocks(spark):
     got = mixed.collect()
     times = Counter((r["source"], r["block"], r["doc_id"], r["first_token"]) for r in got)
     assert max(n for k, n in times.items() if k[0] == "big") == 1 and max(n for k, n in times.items() if k[0] == "small") <= 2
-    cut = mixing.blocks(tokens.with_tokens(docs.select("doc_id", "source", "text")), 64, 3)
+    cut = mixing.blocks(tokens.with_tokens(docs.select("doc_id", "source", "text")), 64, 20)
     per = {r["doc_id"]: r["s"] for r in cut.groupBy("doc_id").agg(F.sum("tokens").alias("s")).collect()}
     assert per[0] == tokens.count_tokens("word " * 300) and 200 not in per
     assert cut.groupBy("source", "block").agg(F.sum("tokens").alias("s")).filter("s > 64").count() == 0
@@ -379,6 +379,31 @@ def test_mix_report_and_blocks(spark):
     assert none.count() == 0 and empty.filter("NOT short AND target_tokens > 0").count() == 0
 
 
+@pytest.mark.parametrize("chunks", [1, 5, 50])
+def test_small_sources_keep_their_share_beside_large_ones(spark, chunks):
+    rows = [(i, "large", "one two " * (1 + i % 9)) for i in range(3000)] + [(10_000 + i, "small", "three " * (5 + i)) for i in range(40)] + [(20_000, "tiny", "four five")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    targets = spark.createDataFrame([("m", 0.3, "large", 0.9, 1), ("m", 0.3, "small", 0.05, 1), ("m", 0.3, "tiny", 0.0001, 4), ("n", 0.9, "small", 0.05, 3), ("n", None, "large", 0.1, 1), ("n", 0.9, "tiny", 0.5, 2)], "mix_name string, size_share double, source string, target_share double, max_repeats int")
+    mixed, report = mixing.mix(docs, targets, block=16, chunk_docs=3000 // chunks)
+    for r in report.filter("target_tokens IS NOT NULL").collect():
+        if not r["short"]:
+            assert abs(r["reached_tokens"] - r["target_tokens"]) <= 16, r
+        else:
+            assert r["reached_tokens"] == r["max_repeats"] * r["source_tokens"] < r["target_tokens"]
+    assert {(r["mix_name"], r["source"]) for r in report.filter("short").collect()} == {("n", "tiny")}
+    sums = {(r["mix_name"], r["source"]): r["s"] for r in mixed.groupBy("mix_name", "source").agg(F.sum("tokens").alias("s")).collect()}
+    assert all(sums.get((r["mix_name"], r["source"]), 0) == r["reached_tokens"] for r in report.filter("target_tokens IS NOT NULL").collect())
+    part = mixing.blocks(tokens.with_tokens(docs), 16, 3000 // chunks).groupBy("source", "block").agg(F.sum("tokens").alias("s"))
+    assert part.filter("s < 16").groupBy("source").count().filter("count > 1").count() == 0
+
+
+def test_draws_beyond_the_exact_bound_stay_within_the_totals():
+    rng = np.random.default_rng(1)
+    for good, bad, n in ((3 * 10**9, 10**9, 2 * 10**9), (10, 4 * 10**9, 10**9), (4 * 10**9, 0, 10**9)):
+        x = mixing._hypergeometric(rng, good, bad, n)
+        assert max(0, n - bad) <= x <= min(good, n) and abs(x - n * good / (good + bad)) <= 10 * math.sqrt(n) + 10
+
+
 def test_tokens_of_odd_texts():
     assert tokens.count_tokens(None) == 0 and tokens.count_tokens("") == 0
     assert "".join(tokens.pieces("ab " * 100_000)) == "ab " * 100_000 and tokens.count_tokens("a" * 300_000) > 0

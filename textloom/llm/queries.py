@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import arrivals, mixing, neardup, neighbours, packing, pairs, quality, sampling, scans, tokens, vocabulary
+from textloom.llm import arrivals, mixing, neardup, neighbours, packing, pairs, quality, sampling, scans, vocabulary
 from textloom.session import table
 
 AXES = ["difficulty", "question_type", "answerable", "language"]
@@ -95,9 +95,7 @@ def p8_filling(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents").select("source", "text")
-    rows = mixing.plan(tokens.with_tokens(documents), table(spark, folder, "mix_targets"))
-    return rows.filter("short").select("mix_name", "source").distinct()
+    return p9_shares(spark, folder).filter("short").select("mix_name", "source").distinct()
 
 
 def p9_mix(spark: SparkSession, folder: str) -> DataFrame:
