@@ -189,8 +189,8 @@ def test_report_and_draw(spark):
     rows = [(i, ["easy", "Hard ", None, "medium"][i % 4], "de" if i % 3 else "EN") for i in range(1200)]
     pool = _pool(spark, rows + rows[:50] + [(None, "easy", "de")])
     targets = _targets(spark, [("a", 30, "difficulty", "easy", 40, 1), ("a", 30, "difficulty", "hard", 40, 1), ("a", 30, "difficulty", "medium", 20, 1), ("a", 30, "language", "de", 50, 1), ("a", 30, "language", "en", 50, 1), ("b", 50, "difficulty", "hard", 90, 400), ("b", 50, "difficulty", "none", 10, 3)])
-    got = {(r["release_name"], r["axis"], r["category"]): (r["places"], r["supply"], r["short"]) for r in sampling.report(pool, targets, AXES).collect()}
-    assert got[("a", "difficulty", "hard")] == (144, 300, False) and got[("b", "difficulty", "hard")] == (540, 300, True) and got[("b", "difficulty", "none")] == (60, 0, True)
+    got = {(r["release_name"], r["axis"], r["category"]): (r["places"], r["taken"], r["short"]) for r in sampling.report(pool, targets, AXES).collect()}
+    assert got[("a", "difficulty", "hard")] == (144, 144, False) and got[("b", "difficulty", "hard")] == (540, 300, True) and got[("b", "difficulty", "none")] == (60, 0, True)
     drawn = sampling.draw(pool, targets, AXES).collect()
     assert len({(r["release_name"], r["id"]) for r in drawn}) == len(drawn)
     a = [r for r in drawn if r["release_name"] == "a"]
@@ -198,6 +198,9 @@ def test_report_and_draw(spark):
     for axis, want in (("difficulty", {"easy": 144, "hard": 144, "medium": 72}), ("language", {"de": 180, "en": 180})):
         have = Counter(r[axis] for r in a)
         assert all(abs(have[k] - n) <= 6 for k, n in want.items())
+    parts = sampling.shortfalls(sampling.draw(pool, targets, AXES), pool, targets, AXES).collect()
+    assert {(r["release_name"], r["axis"], r["category"]): r["drawn"] for r in parts}[("b", "difficulty", "none")] == 0
+    assert all(r["missed"] == max(0, r["places"] - r["drawn"]) for r in parts) and any(r["missed"] for r in parts)
     assert sampling.draw(pool.limit(0), targets, AXES).count() == 0 and sampling.report(pool, targets.limit(0), AXES).count() == 0
 
 

@@ -64,6 +64,12 @@ def p5_sample(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.draw(table(spark, folder, "release_pool"), table(spark, folder, "release_targets"), AXES)
 
 
+def p5_shortfalls(spark: SparkSession, folder: str) -> DataFrame:
+    """What the draw over all axes together gave every target row."""
+    pool, targets = table(spark, folder, "release_pool"), table(spark, folder, "release_targets")
+    return sampling.shortfalls(sampling.draw(pool, targets, AXES), pool, targets, AXES)
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.broken_pairs(table(spark, folder, "questions"))
 
@@ -117,7 +123,7 @@ def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_vocabulary, p2_found, p3_found, p3_neighbours, p4_found, p4_repaired, p5_found, p5_report, p5_sample, p6_found, p7_found, p7_groups, p8_packing, p8_filling, p9_found, p9_mix, p9_shares, p10_found, p10_statistics)
+    f.__name__: f for f in (p1_found, p1_vocabulary, p2_found, p3_found, p3_neighbours, p4_found, p4_repaired, p5_found, p5_report, p5_sample, p5_shortfalls, p6_found, p7_found, p7_groups, p8_packing, p8_filling, p9_found, p9_mix, p9_shares, p10_found, p10_statistics)
 }
 
 _TERMS = """
@@ -151,5 +157,5 @@ ORACLES: dict[str, str] = {
     "p9_found": """
 WITH d AS (SELECT source, sum(length(coalesce(text, ''))) AS n FROM documents GROUP BY 1), a AS (SELECT sum(n) AS a FROM d)
 SELECT DISTINCT m.mix_name, m.source FROM mix_targets m CROSS JOIN a LEFT JOIN d USING (source) WHERE m.size_share * a * m.target_share > m.max_repeats * coalesce(d.n, 0)""",
-    "p5_report": _REPORT + "SELECT *, supply < places AS short FROM report",
+    "p5_report": _REPORT + "SELECT release_name, axis, category, size, places, least(supply, places) AS taken, supply < places AS short FROM report",
 }
