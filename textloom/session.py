@@ -59,6 +59,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     jsc = spark.sparkContext._jsc.sc()
     if jsc.getCheckpointDir().isEmpty():
+        if not jsc.isLocal():
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="textloom-"))
     return jsc.getCheckpointDir().get().rstrip("/")
 
@@ -79,11 +81,16 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def removed_at_exit(spark: SparkSession, path: str) -> str:
+    """``path``, which is deleted when the session ends."""
+    atexit.register(_remove, spark, path)
+    return path
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once as compressed columns in the shared folder and read back; removed at exit."""
     spark = df.sparkSession
     shipped(spark)
-    path = f"{shared_folder(spark)}/textloom/{uuid.uuid4().hex}"
+    path = removed_at_exit(spark, f"{shared_folder(spark)}/textloom/{uuid.uuid4().hex}")
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
