@@ -94,7 +94,14 @@ def test_batches_against_a_kept_index_equal_one_pass(spark):
         repeats, accepted = arrivals.arrive(index, postings.filter(f"batch = {batch}"))
         got |= {tuple(r) for r in repeats.collect()}
         index = index.unionByName(accepted)
-    assert got == {tuple(r) for r in arrivals.repeated(postings).collect()}
+    want = {tuple(r) for r in arrivals.repeated(postings).collect()}
+    assert got == want
+    assert {tuple(r) for r in arrivals.replayed(postings).collect()} == want
+    assert {tuple(r) for r in arrivals.replayed(postings.unionByName(postings), hot=30).collect()} == want
+    kept = arrivals.Index(spark, parts=3)
+    old = {tuple(r) for r in arrivals.replayed(postings.filter("batch <= 1"), index=kept).collect()}
+    assert old | {tuple(r) for r in arrivals.replayed(postings.filter("batch > 1"), first=-1, index=kept).collect()} == want
+    assert arrivals.replayed(postings.limit(0)).count() == 0
 
 
 # 3 neighbours

@@ -4,8 +4,8 @@ Two statements can only repeat each other if they name the same numbers (the sam
 overlap asked of their number tokens is whole and the rarest one alone is the prefix to index. The order from rare to frequent
 is fixed (longer runs of digits first), so postings written once stay valid for every later batch. A batch probes the
 postings of its tokens, filters by the number of tokens, verifies the overlap, then compares words and vectors; what is
-accepted is appended. Tokens are independent of each other, so one pass over the postings of a token, in order of batch and id,
-does all batches; with an index kept from earlier batches the pass starts from its postings and reads no history.
+accepted is appended. The index is a stored table in parts by token; a batch reads only the parts, tokens and numbers it names, so what
+history it does not touch is not worked through again. Within a token the rows are walked in order of batch and id.
 
 A token that holds very many rows is not walked in one task: its exact copies are taken together first, then rounds over pairs of parts
 decide in parallel what the walk would decide one by one.
@@ -13,6 +13,7 @@ decide in parallel what the walk would decide one by one.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,12 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.neighbours import unit
-from textloom.session import checkpointed, shipped
+from textloom.session import checkpointed, removed_at_exit, shared_folder, shipped
 
 #: Rows of a token from which it is decided in rounds, and representatives of a part in them.
 HOT, PART = 50_000, 4_000
 #: Rows that are compared with the postings at once.
 CHUNK = 256
+#: Parts of the stored index, by the hash of the token, and numbers of batches that one replay takes at most.
+PARTS, MOST_BATCHES = 32, 10_000
 COSINE = 0.93
 ROW = "token string, numbers string, w1 bigint, w2 bigint, vector array<float>, batch bigint, id bigint"
 
@@ -65,9 +68,21 @@ class Postings:
             self.vectors[self.n], self.ids[self.n] = vector, fact
             self.n += 1
 
+    def extend(self, ids: np.ndarray, words: list, vectors: np.ndarray, good: np.ndarray) -> None:
+        for fact, w in zip(ids.tolist(), words):
+            if w is not None:
+                self.by_words[w] = min(fact, self.by_words.get(w, fact))
+        if len(vectors):
+            self.vectors = np.concatenate([self.vectors[: self.n], vectors])
+            self.ids = np.concatenate([self.ids[: self.n], ids[good]])
+            self.n = len(self.ids)
+
     def walk(self, ids: np.ndarray, batches: np.ndarray, words: list, vectors: np.ndarray, good: np.ndarray, first: int, cosine: float) -> Iterator[tuple[int, int | None]]:
-        """(id, smallest accepted id it repeats, or None where it is accepted) of every fact in order."""
-        for s in range(0, len(ids), CHUNK):
+        """(id, smallest accepted id it repeats, or None where it is accepted) of every fact in order. Facts up to batch ``first`` are accepted as they stand
+        and not named."""
+        known = int(np.searchsorted(batches, first, side="right"))
+        self.extend(ids[:known], words[:known], vectors[:known][good[:known]], good[:known])
+        for s in range(known, len(ids), CHUNK):
             e = min(len(ids), s + CHUNK)
             block = vectors[s:e]
             before = np.full(e - s, -1, dtype=np.int64)
@@ -87,7 +102,7 @@ class Postings:
                         found.append(int(before[i]))
                     if i and within is not None and (near := within[i, :i] & taken[:i]).any():
                         found.append(int(ids[s:e][:i][near].min()))
-                kept = min(found) if found and batches[s + i] > first else None
+                kept = min(found) if found else None
                 if kept is None:
                     taken[i] = good[s + i]
                     self.append(int(ids[s + i]), words[s + i], block[i] if good[s + i] else None)
@@ -206,14 +221,55 @@ def repeated(postings: DataFrame, first: int = 0, cosine: float = COSINE, width:
     return walked.unionByName(_rounds(postings.join(large, "token", "left_semi"), first, cosine, width, part))
 
 
-def arrive(index: DataFrame | None, batch: DataFrame, cosine: float = COSINE, width: int = 64) -> tuple[DataFrame, DataFrame]:
-    """One batch against a kept index: (repeats, the postings to append). ``index`` holds earlier accepted postings, or is None; only the
-    postings under the batch's tokens are read into the comparison, and the batch must come after all of them."""
+def arrive(index: DataFrame | None, batch: DataFrame, cosine: float = COSINE, width: int = 64, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+    """One batch against a kept index: (repeats, the postings to append). ``index`` holds earlier accepted postings, or is None. The batch must come
+    after all of them. Postings whose number of tokens or tokens differ from the batch's are left out where the index is read."""
     if index is None:
-        repeats = repeated(batch, first=-1, cosine=cosine, width=width)
+        repeats = repeated(batch, first=-1, cosine=cosine, width=width, hot=hot)
     else:
-        tokens = batch.select("token").distinct()
-        known = index.join(tokens, "token", "left_semi").withColumn("batch", F.lit(-1).cast("bigint"))
-        repeats = repeated(known.unionByName(batch), first=-1, cosine=cosine, width=width)
+        on = [c for c in ("part", "token", "numbers") if c in index.columns and c in batch.columns]
+        probes = batch.select(*on).distinct()
+        known = index.join(probes, on, "left_semi").withColumn("batch", F.lit(-1).cast("bigint")).drop("part")
+        repeats = repeated(known.unionByName(batch.drop("part")), first=-1, cosine=cosine, width=width, hot=hot)
     repeats = checkpointed(repeats)
-    return repeats, batch.join(repeats.select(F.col("fact_id").alias("id")), "id", "left_anti").dropDuplicates(["id"])
+    return repeats, batch.join(repeats.select(F.col("fact_id").alias("id")), "id", "left_anti")
+
+
+class Index:
+    """The accepted postings as a stored table in parts by token: ``append`` adds rows, ``postings`` reads what is there. It lies in ``path``,
+    or else in the shared folder until the session ends."""
+
+    def __init__(self, spark, path: str | None = None, parts: int = PARTS) -> None:
+        self.spark, self.parts = spark, parts
+        self.path = path or removed_at_exit(spark, f"{shared_folder(spark)}/textloom/{uuid.uuid4().hex}")
+
+    def placed(self, postings: DataFrame) -> DataFrame:
+        return postings.withColumn("part", F.pmod(F.xxhash64("token"), F.lit(self.parts)).cast("int"))
+
+    def append(self, postings: DataFrame) -> None:
+        rows = postings if "part" in postings.columns else self.placed(postings)
+        rows.repartition(self.parts, "part").sortWithinPartitions("part", "token").write.mode("append").partitionBy("part").parquet(self.path)
+
+    def postings(self) -> DataFrame:
+        return self.spark.read.schema(f"{ROW}, part int").parquet(self.path)
+
+
+def replayed(postings: DataFrame, first: int = 0, cosine: float = COSINE, width: int = 64, index: Index | None = None, hot: int = HOT) -> DataFrame:
+    """(kept_id, fact_id) as ``repeated`` has them, by an index that the batches up to ``first`` begin and every later batch probes and then extends.
+
+    Batches are few: beyond MOST_BATCHES an error is raised. With an ``index`` that already holds earlier batches, ``postings`` are the new ones only
+    and ``first`` lies before them.
+    """
+    spark = postings.sparkSession
+    shipped(spark)
+    numbers = [r[0] for r in postings.select("batch").distinct().limit(MOST_BATCHES + 1).collect()]
+    if len(numbers) > MOST_BATCHES:
+        raise ValueError(f"more than {MOST_BATCHES} batches")
+    kept = index or Index(spark)
+    kept.append(postings.filter(F.col("batch") <= first))
+    out = spark.createDataFrame([], "kept_id bigint, fact_id bigint")
+    for number in sorted(n for n in numbers if n > first):
+        repeats, accepted = arrive(kept.postings(), kept.placed(postings.filter(F.col("batch") == number)), cosine, width, hot)
+        kept.append(accepted)
+        out = out.union(repeats)
+    return out

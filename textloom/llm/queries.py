@@ -22,7 +22,7 @@ def p1_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return arrivals.repeated(arrivals.indexed(table(spark, folder, "facts")))
+    return arrivals.replayed(arrivals.indexed(table(spark, folder, "facts")))
 
 
 def _vectors(spark: SparkSession, folder: str) -> DataFrame:
@@ -151,6 +151,18 @@ pairs AS (SELECT p.id AS probe, b.id AS near, list_cosine_similarity(a.v, b.v) A
 ORACLES: dict[str, str] = {
     "p1_found": _TERMS + "SELECT language, lemma, 'rare' AS mark FROM marked WHERE rare UNION ALL SELECT language, lemma, 'common' FROM marked WHERE common",
     "p1_vocabulary": _TERMS + "SELECT * FROM marked",
+    # The walk in order, one fact a step: a list holds what is accepted.
+    "p2_found": r"""
+WITH RECURSIVE f AS (SELECT id, batch_no, regexp_extract_all(lower(coalesce(statement, '')), '[\p{L}\p{N}]+') AS w, list_sort(regexp_extract_all(coalesce(statement, ''), '\d+')) AS n,
+  CASE WHEN len(embedding) = 64 AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0 THEN CAST(embedding AS DOUBLE[]) END AS v FROM (SELECT DISTINCT * FROM facts)),
+near AS (SELECT b.id, a.id AS other FROM f a JOIN f b ON a.n = b.n AND (a.batch_no, a.id) < (b.batch_no, b.id) AND b.batch_no > 0
+  WHERE (len(a.w) > 0 AND a.w = b.w) OR list_cosine_similarity(a.v, b.v) >= 0.93),
+ordered AS (SELECT f.id, row_number() OVER (ORDER BY f.batch_no, f.id) AS r, coalesce(list(near.other) FILTER (near.other IS NOT NULL), []) AS others
+  FROM f LEFT JOIN near USING (id) WHERE f.batch_no > 0 GROUP BY f.id, f.batch_no),
+walk AS (SELECT CAST(0 AS BIGINT) AS r, (SELECT list(id) FROM f WHERE batch_no = 0) AS accepted
+  UNION ALL SELECT o.r, CASE WHEN list_has_any(o.others, w.accepted) THEN w.accepted ELSE list_append(w.accepted, o.id) END FROM walk w JOIN ordered o ON o.r = w.r + 1),
+last AS (SELECT accepted FROM walk ORDER BY r DESC LIMIT 1)
+SELECT list_min(list_intersect(o.others, l.accepted)) AS kept_id, o.id AS fact_id FROM ordered o, last l WHERE list_has_any(o.others, l.accepted)""",
     "p3_found": _NEAR + "SELECT DISTINCT probe AS id, near AS fact_id FROM (SELECT *, row_number() OVER (PARTITION BY probe ORDER BY s DESC, near) AS r FROM pairs) WHERE r <= 5",
     "p5_found": _REPORT + "SELECT DISTINCT release_name, axis, category FROM report WHERE supply < places",
     # Sizes in characters: no source lies near its limit, so the measure does not matter.
