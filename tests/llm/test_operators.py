@@ -218,7 +218,7 @@ CASES = [
     ("Can the council help?", "The council is unable to replace it, but a spare one can be borrowed for 5 weeks.", "explanation", []),
     ("Why is it sealed?", None, "explanation", ["empty"]), ("Why is it sealed?", " \n", "value", ["empty"]), ("Why is it sealed?", "n/a", "value", ["empty"]), ("Why?", "--", None, ["empty"]), ("Why?", "…", None, ["empty"]),
     ("Why is the shed sealed so often?", "The shed is sealed often because", "explanation", ["truncated"]), ("Why is the shed sealed so often?", "The shed is sealed often because moi…", "explanation", ["truncated"]),
-    ("How long may it be kept?", "Sorry, but I must decline. Try the office of Crinholt.", "value", ["refusal"]), ("Wer haftet für Schäden?", "Ehrlich gesagt: dazu darf ich keine Auskunft geben.", "value", ["refusal"]),
+    ("How long may it be kept?", "I'm sorry, but I can't answer that. Try the office of Crinholt.", "value", ["refusal"]), ("Wer haftet für Schäden?", "Ehrlich gesagt: diese Frage kann ich nicht beantworten.", "value", ["refusal"]),
     ("Who decides about the plot in Crinholt?", "Who decides about the plot in Crinholt?", "value", ["copies_question"]), ("Who decides about the plot in Crinholt?", "decides about the plot in Crinholt who.", "value", ["copies_question"]),
     ("Who decides about the plot in Crinholt?", '"Who decides about the plot in Crinholt?" Who decides about the plot in Crinholt?', "value", ["copies_question"]), ("Who decides about the plot in Crinholt?", "Answer: WHO DECIDES ABOUT THE PLOT IN CRINHOLT", "value", ["copies_question"]),
     ("What separates a slip from a key?", "Das eine gehört einer Person allein, das andere wird dagegen geteilt.", "explanation", ["other_language"]), (None, "It is kept by the warden.", "explanation", []),
@@ -231,6 +231,25 @@ def test_defects(case):
     assert pairs.defects(question, answer, form) == want
 
 
+def test_refusals_are_learned_from_the_pairs(spark):
+    kinds = ["who decides", "how long", "which form", "when does", "why is", "what happens", "may a", "how many", "where does", "since when"]
+    declined = ["the archive keeps its silence about this", "on such matters my lips are closed", "that goes past what the desk says", "kindly spare the desk this one"]
+    rng, rows, want = random.Random(3), [], set()
+    for i in range(1500):
+        kind = rng.choice(kinds)
+        question = f"{kind.capitalize()} the {rng.choice(['shed', 'berth', 'plot'])} {i}?"
+        if rng.random() < 0.06:
+            said = rng.choice(declined)
+            answer = rng.choice(["", "", "Well, ", "As so often: "]) + said[0].upper() + said[1:] + rng.choice([".", ". Ask the warden.", ", so it stays open."])
+            want.add(i)
+        else:
+            answer = f"It is told of {kind} that the warden of place {i % 400} has it. Ask the warden."
+        rows.append((i, question, answer, True, "explanation"))
+    df = spark.createDataFrame(rows, "id bigint, question_text string, target_answer string, answerable boolean, answer_form string")
+    got = {r["question_id"] for r in pairs.broken_pairs(df).collect() if r["defect"] == "refusal"}
+    assert got <= want and len(got) >= 0.9 * len(want)
+
+
 def test_long_and_repeated_pairs(spark):
     rows = [(1, "Why is it so?", "word " * 100_000 + ".", True, "explanation"), (2, "Why is it so?", None, True, None), (2, "Why is it so?", None, True, None), (3, "Why?", None, False, None), (4, "Why?", None, None, None), (5, None, "", True, None), (6, "Why is that", "It is so because", True, None)]
     df = clashing(spark.createDataFrame(rows, "id bigint, question_text string, target_answer string, answerable boolean, answer_form string"))

@@ -1,9 +1,9 @@
 """Broken prompt and response pairs.
 
 Each pair's prompt and response are aligned as token sequences: shingle containment proposes a copy and the longest
-common subsequence confirms it; the response's opening is aligned against refusal templates the same way. Emptiness,
-breaking off and language are read from the response's own tokens. Every test sees one pair at a time; the only corpus
-statistic is which form of answer a kind of question gets, counted over all pairs.
+common subsequence confirms it; the response is aligned against refusal templates the same way. The templates are learned from all
+pairs: an answer to one kind of question never opens as answers to all the other kinds do, unless it declines. Emptiness,
+breaking off and language are read from the response's own tokens.
 """
 
 from __future__ import annotations
@@ -19,55 +19,11 @@ from textloom.session import shipped
 
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)?")
 
-# What answers that decline say, by their words in order.
+# Usual words of declining, for collections too small to learn from.
 REFUSALS = [
-    "i cannot answer this from the passages given",
-    "i am unable to help with questions about",
-    "there is not enough information here to say",
-    "it isn't possible for me to give an answer",
-    "the source does not tell me anything",
-    "nothing in the material lets me reply",
-    "as an assistant i would rather not comment",
-    "this lies outside what i can discuss",
-    "i must decline",
-    "no response can be provided",
-    "i do not know",
-    "i don't know",
-    "i won't be able to say",
-    "i am not able to answer",
-    "i'm not able to",
-    "i'm unable to",
-    "i can't answer",
-    "i can't help",
-    "i cannot help with",
-    "i cannot provide",
-    "i am sorry but i",
-    "i'm sorry but i",
-    "as an ai",
-    "as a language model",
-    "i have no information about",
-    "das kann ich anhand der textstellen nicht beantworten",
-    "das kann ich nicht beantworten",
-    "diese frage kann ich nicht beantworten",
-    "dabei kann ich nicht helfen",
-    "leider bin ich dafür nicht die richtige stelle",
-    "als assistent möchte ich mich dazu nicht äußern",
-    "als ki",
-    "dazu lässt sich von meiner seite nichts sagen",
-    "nichts im material erlaubt mir eine aussage",
-    "ich weiß es nicht",
-    "die quelle verrät mir dazu nichts",
-    "bei dieser frage muss ich passen",
-    "eine antwort ist mir nicht möglich",
-    "diese auskunft muss ich ablehnen",
-    "dazu darf ich keine auskunft geben",
-    "dazu kann ich keine auskunft geben",
-    "hierzu liegen mir keine angaben vor",
-    "je ne peux pas répondre",
-    "je ne sais pas",
-    "il m'est impossible de répondre",
-    "je dois refuser",
-]
+    "i am not able to answer", "i'm not able to", "i'm unable to", "i can't answer", "i can't help", "i cannot help with", "i cannot provide", "i am sorry but i", "i'm sorry but i",
+    "as an ai", "as a language model", "i don't know", "das kann ich nicht beantworten", "diese frage kann ich nicht beantworten", "dabei kann ich nicht helfen", "als ki", "je ne peux pas répondre", "je ne sais pas",
+]
 # Words that stand for no answer.
 NOTHING = {"n a", "na", "none", "null", "nil", "nan", "tbd", "todo", "unknown", "empty", "leer", "k a", "keine angabe", "no answer", "not available", "not applicable", "entfällt", "keine antwort"}
 # Common short words by which a language shows.
@@ -77,8 +33,13 @@ STOPS = {
     "fr": "au aucune aux avant avec ce cette chaque combien comme dans de des doit du elle en est et faut il ils la le les leur lui mais ne non nous on ou où par pas plus pour quand que quel quelle qui sans se sera si son sous sur un une voir vous y à été être après aucun c'est".split(),
 }
 STOPS = {k: frozenset(v) for k, v in STOPS.items()}
-#: Preamble words before a refusal that its alignment may skip.
-LEAD = 14
+#: Words of a learned template at most and at least, and words that may lead into it.
+LONGEST, SHORTEST, LEADS = 6, 3, 4
+#: A run of words is a template if answers have it at least SEEN times, open with it in at least OPENS of those, and two of them belong to questions
+#: of one kind with a probability of at most ALIKE.
+SEEN, OPENS, ALIKE = 5, 0.15, 0.2
+#: Templates that are taken to the driver at most; more raise an error.
+MOST = 100_000
 BREAKS = re.compile(r"(…|\.\.\.|[,;:(\[/–—-]|\b(?:and|or|und|oder|et))$", re.I)
 # Words that a text breaking off may end on, whatever its language.
 DANGLING = {"and", "or", "und", "oder", "et", "ou"}
@@ -123,18 +84,63 @@ def copies(question: list[str], answer: list[str]) -> bool:
     return lcs >= 0.6 * len(question) or (lcs >= 0.85 * len(answer) and len(answer) >= 0.5 * len(question))
 
 
-def refuses(answer: list[str]) -> bool:
-    """A refusal template lies in the answer's opening with its words in order and close together."""
-    for template in _TEMPLATES:
-        n, allowed = len(template), 0 if len(template) < 6 else len(template) // 6
-        for start in range(min(LEAD, len(answer))):
-            window = answer[start : start + n + allowed]
-            if window and window[0] == template[0] and common_subsequence(template, window) >= n - allowed:
-                return True
-    return False
+class Templates:
+    """Refusal templates by the shingles of two words in them."""
+
+    def __init__(self, templates: list[list[str]]) -> None:
+        self.templates = [t for t in templates if len(t) >= 2]
+        self.by_shingle: dict[tuple[str, str], list[int]] = {}
+        for k, t in enumerate(self.templates):
+            for x in set(zip(t, t[1:])):
+                self.by_shingle.setdefault(x, []).append(k)
+
+    def in_(self, answer: list[str]) -> bool:
+        """A template lies in the answer with its words in order and close together: half of its shingles propose it, the longest common subsequence
+        with the words around them confirms it; a template of six words and more may lack one in six."""
+        hits: dict[int, list[int]] = {}
+        for i, x in enumerate(zip(answer, answer[1:])):
+            for k in self.by_shingle.get(x, ()):
+                hits.setdefault(k, []).append(i)
+        for k, at in hits.items():
+            t = self.templates[k]
+            n, allowed = len(t), len(t) // 6
+            if len(at) * 2 < n - 1 - 2 * allowed:
+                continue
+            for i in at:
+                for start in range(max(0, i - n + 2), i + 1):
+                    window = answer[start : start + n + allowed]
+                    if window[0] == t[0] and common_subsequence(t, window) >= n - allowed:
+                        return True
+        return False
+
 
+def learned(rows: DataFrame) -> DataFrame:
+    """The refusal templates of (q, a) over all pairs: (template), runs of words with which answers to all kinds of questions open.
 
-_TEMPLATES = [words(t) for t in REFUSALS]
+    A kind of question is its first two words. Candidates are the first LONGEST words of an answer's first sentence, from its start or up to LEADS
+    words later (an apology may come before), and whole sentences of at least SHORTEST words. A run in another language than the questions it
+    answers is no template: answers in a wrong language recur as well.
+    """
+    word = r"[\p{L}\p{N}]+(?:'[\p{L}\p{N}]+)?"
+    plain = lambda c: F.lower(F.replace(c, F.lit("’"), F.lit("'")))
+    held = lambda c: F.regexp_extract_all(c, F.lit(word), F.lit(0))
+    kind = F.array_join(F.slice(held(plain(F.col("q"))), 1, 2), " ")
+    first = F.get(F.filter(F.transform(F.split(plain(F.col("a")), r"[.!?;…]+"), held), lambda x: F.size(x) > 0), F.lit(0))
+    runs = F.transform(
+        F.filter(F.sequence(F.lit(0), F.lit(LEADS)), lambda i: F.size("first") - i >= SHORTEST),
+        lambda i: F.struct(F.array_join(F.slice("first", i + 1, LONGEST), " ").alias("template"), (i == 0).cast("int").alias("opens")),
+    )
+    rows = rows.filter("q IS NOT NULL AND a IS NOT NULL").select(kind.alias("kind"), first.alias("first"))
+    found = rows.filter("first IS NOT NULL").select("kind", F.explode(runs).alias("r")).select("kind", "r.*")
+    each = found.groupBy("template", "kind").agg(F.count(F.lit(1)).alias("n"), F.sum("opens").alias("opens"))
+    n, stops = F.col("n"), {k: F.array(*map(F.lit, sorted(v))) for k, v in STOPS.items()}
+    share = lambda text, k: F.size(F.filter(F.split(text, " "), lambda w: F.array_contains(stops[k], w)))
+    of_kind = [F.sum(share(F.col("kind"), k) * n).alias(f"kind_{k}") for k in STOPS]
+    sums = each.groupBy("template").agg(F.sum("n").alias("n"), F.sum("opens").alias("opens"), F.sum(n * (n - 1)).alias("same"), *of_kind)
+    often = sums.filter((n >= SEEN) & (F.col("opens") >= OPENS * n) & (F.col("same") <= ALIKE * n * (n - 1)))
+    best = lambda values: F.array_max(F.array(*[F.struct(v.alias("v"), F.lit(k).alias("k")) for k, v in values.items()]))
+    own, asked = best({k: share(F.col("template"), k) for k in STOPS}), best({k: F.col(f"kind_{k}") for k in STOPS})
+    return often.filter((own["v"] == 0) | (asked["v"] == 0) | (own["k"] == asked["k"])).select("template")
 
 
 def language_of(ws: list[str]) -> tuple[str | None, int]:
@@ -149,7 +155,10 @@ def empty(text: str | None) -> bool:
     return not ws or " ".join(ws) in NOTHING
 
 
-def defects(question: str | None, answer: str | None, form: str | None) -> list[str]:
+_USUAL = Templates([words(t) for t in REFUSALS])
+
+
+def defects(question: str | None, answer: str | None, form: str | None, templates: Templates = _USUAL) -> list[str]:
     """The defects of one pair. ``form`` is the answer's expected form (value, list or explanation)."""
     if empty(answer):
         return ["empty"]
@@ -158,7 +167,7 @@ def defects(question: str | None, answer: str | None, form: str | None) -> list[
     copied = copies(asked, got)
     if copied:
         out.append("copies_question")
-    declined = not copied and refuses(got)
+    declined = not copied and templates.in_(got)
     if declined:
         out.append("refusal")
     if not copied:
@@ -180,7 +189,7 @@ def broken_pairs(pairs: DataFrame, id_col: str = "id", question_col: str = "ques
     Defects: empty (no answer content), truncated (breaks off), refusal, copies_question, other_language. A null or blank answer
     is empty; a null question can only show what the answer shows alone; pairs whose ``answerable`` is false or null have
     no defect. Where the expected form is null it is the form that questions with the same two first words mostly get (ties: the first
-    by name). Repeated rows count once. An empty table gives an empty result; other columns are ignored.
+    by name). Refusal templates are learned from the pairs themselves (``learned``), beside a few usual ones. Repeated rows count once. An empty table gives an empty result; other columns are ignored.
     """
     shipped(pairs.sparkSession)
     rows = pairs.filter(F.col(answerable_col)).select(F.col(id_col).alias("id"), F.col(question_col).alias("q"), F.col(answer_col).alias("a"), F.col(form_col).alias("form"))
@@ -191,9 +200,14 @@ def broken_pairs(pairs: DataFrame, id_col: str = "id", question_col: str = "ques
     known = rows.filter("form IS NOT NULL OR opening IS NULL").select("id", "q", "a", "form")
     guessed = rows.filter("form IS NULL AND opening IS NOT NULL").join(usual, "opening", "left").select("id", "q", "a", F.col("usual").alias("form"))
 
+    taken = [r[0] for r in learned(rows.select("q", "a")).limit(MOST + 1).collect()]
+    if len(taken) > MOST:
+        raise ValueError(f"more than {MOST} templates")
+    templates = Templates([words(t) for t in sorted({*taken, *REFUSALS})])
+
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = [(i, d) for i, q, a, f in zip(b["id"], b["q"], b["a"], b["form"]) for d in defects(q, a, f)]
+            found = [(i, d) for i, q, a, f in zip(b["id"], b["q"], b["a"], b["form"]) for d in defects(q, a, f, templates)]
             if found:
                 yield pd.DataFrame({"question_id": pd.Series([i for i, _ in found], dtype=b["id"].dtype), "defect": [d for _, d in found]})
 
