@@ -450,7 +450,7 @@ FORMS = [
 ]
 
 
-def test_forms_and_statistics(spark):
+def test_forms_and_statistics(spark, monkeypatch):
     rows = [(i, PROSE.replace("yard", f"yard{i % 7}") + " Details are given in the list." * (i % 3), "en") for i in range(80)]
     rows += [(1000 + i, text, "EN " if i % 2 else "en") for i, (text, _) in enumerate(FORMS)] + [(2000, None, "en"), (2001, "", "en"), (2002, " \n", None), (2003, PROSE, None), (0, rows[0][1], "en"), (2004, (PROSE + " ") * 3000, "en")]
     docs = clashing(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
@@ -460,6 +460,8 @@ def test_forms_and_statistics(spark):
     assert all(got[i]["form"] is None for i in range(80)) and got[2004]["form"] is None and not {2000, 2001, 2002} & set(got)
     assert all(math.isclose(sum(r["contributions"].values()), r["distance2"], rel_tol=1e-6, abs_tol=1e-6) for r in got.values())
     assert quality.quality(docs.limit(0), words).count() == 0
+    monkeypatch.setattr(quality, "FAR", 1e9)  # nothing is far from prose: the distance alone decides
+    assert quality.quality(docs, words).filter("form IS NOT NULL OR outlier").count() == 0
 
 
 def test_queries_run_over_the_smallest_tables(spark):

@@ -1,9 +1,11 @@
 """Per-document text statistics, and documents that are no prose.
 
-A document's lines are read once in Python into counts of words, symbols, common words, sentence ends and the characters that lie in
-list items, table rows and unreadable runs. Each language's prose is described by a robust mean and covariance of all
-statistics (concentration steps: the nearer half of the documents describes the next step), and each document's Mahalanobis
-distance from it says how unlike prose it is; the distance is the sum of what every statistic contributes.
+A document is read once into blocks: runs of lines that are marked items, rows of cells, or other text. Each block has its statistics. Each
+language's prose is described by a robust mean and covariance of all statistics of its blocks (concentration steps: the nearer half
+describes the next step), and each block's Mahalanobis distance from it says how unlike prose it is; the distance is the sum of what
+every statistic contributes. A block beyond the bar is no prose, and what contributes most says what it is instead: a list by its item
+marks, a table by its cells, junk by anything else. A document is what more than half of its characters are. The documents' own
+statistics, the mean over their blocks, are measured from the same prose.
 """
 
 from __future__ import annotations
@@ -12,18 +14,23 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.session import shipped, stored
 
-STATISTICS = ["log_words", "mean_word_length", "symbol_ratio", "digit_ratio", "capital_ratio", "punctuated_lines", "common_words", "distinct_words", "list_share", "table_share", "junk_share"]
-#: Below these spreads two documents do not differ in the statistic (in its own unit): they keep the covariance regular.
-LEAST_SPREAD = [0.3, 0.15, 0.01, 0.01, 0.02, 0.1, 0.03, 0.05, 0.05, 0.05, 0.05]
-#: Squared distance beyond which a document is an outlier: about the 0.999 quantile of chi-square with 11 degrees.
-FAR = 31.3
-STEPS = 2
+STATISTICS = ["mean_word_length", "symbol_ratio", "digit_ratio", "capital_ratio", "common_words", "distinct_words", "voiced_words", "token_length", "longest_word", "punctuated_lines", "item_lines", "cell_lines"]
+#: Below these spreads two blocks do not differ in the statistic (in its own unit): they keep the covariance regular.
+LEAST_SPREAD = [0.5, 0.03, 0.03, 0.03, 0.045, 0.08, 0.06, 0.15, 0.25, 0.3, 0.02, 0.02]
+#: Squared distance beyond which a block is no prose: the 0.995 quantile of chi-square with ten degrees (prose has neither marks nor cells).
+FAR = 25.2
+#: Characters of prose that a block's statistics are averaged with before it is measured: a few words say little.
+PRIOR = 60
+#: Concentration steps; words that a block needs to describe prose; such blocks that a language needs to have a prose of its own.
+STEPS, LEAST_WORDS, LEAST_BLOCKS = 2, 12, 30
+#: Languages that are taken to the driver at most (their models, small by nature); more raise an error.
+MOST = 10_000
 WORD = re.compile(r"[^\W\d_]+")
 # Months, before which a day's number and full stop begin no item.
 MONTHS = "Januar|Februar|März|April|Mai|Juni|Juli|August|September|Oktober|November|Dezember"
@@ -34,6 +41,8 @@ SENTENCE_END = re.compile(r"[.!?:]['\"”“»)]*\s*$")
 FIELD = re.compile(r"[\d.\-%€$]+|yes|no|ja|nein|-")
 RULE = re.compile(r"[|\s:+=-]+")
 DIGITS = re.compile(r"\d+")
+#: Words of a window in which distinct words are counted.
+WINDOW = 40
 VOWEL = re.compile(r"[aeiouyäöüàâéèêëîïôûù]", re.I)
 
 
@@ -55,12 +64,6 @@ def _line(line: str) -> str:
     return "list" if ITEM.match(line) else ""
 
 
-def _repeats(ws: list[str], window: int = 40) -> bool:
-    """Few distinct words in most windows: a long text of any kind has few over its whole length."""
-    seen = [ws[i : i + window] for i in range(0, len(ws), window)]
-    return sum(len(set(x)) < 0.25 * len(x) for x in seen) * 2 > len(seen)
-
-
 def _plain(lines: list[str], common: frozenset[str]) -> set[int]:
     """Places of items without a mark: three and more lines that each hold a few words, none of them common, and end without a stop."""
     out, here = set(), []
@@ -77,171 +80,209 @@ def _plain(lines: list[str], common: frozenset[str]) -> set[int]:
     return out
 
 
-def _block(lines: list[str], common: frozenset[str]) -> str:
-    """'prose', 'list' or 'junk' of a run of lines that are neither items nor rows by their look."""
-    text = " ".join(lines)
-    tokens = text.split()
-    n = sum(map(len, tokens))
-    ws = WORD.findall(text.lower())
-    in_words = sum(map(len, ws))
-    if in_words < 0.55 * n or n / len(tokens) > 30:
-        return "junk"
-    if len(ws) >= 8 and len(set(ws)) < 0.25 * len(ws) and _repeats(ws):
-        return "junk"
-    if max(map(len, ws)) > 40 and in_words / len(ws) > 15:
-        return "junk"
-    hits = sum(map(common.__contains__, ws))
-    if hits >= 0.15 * len(ws):
-        return "prose"
-    voiced = sum(bool(VOWEL.search(w)) for w in ws)
-    if len(ws) >= 4 and voiced < 0.6 * len(ws):
-        return "junk"
-    if hits < 0.08 * len(ws):
-        short = len(ws) / len(lines) <= 6
-        if len(lines) >= 2 and short and sum(bool(SENTENCE_END.search(x)) for x in lines) <= 0.3 * len(lines):
-            return "list"
-        if len(ws) >= 12:
-            return "junk"
-    return "prose"
-
-
-def read(text: str, common: frozenset[str]) -> list[float]:
-    """The statistics of one text, in the order of STATISTICS."""
-    size = {"list": 0, "table": 0, "junk": 0, "prose": 0}
+def _measure(lines: list[str], kind: str, common: frozenset[str]) -> tuple[int, int, list[float]]:
+    """Characters, words and statistics of a block of lines of one kind ('list', 'table' or '')."""
+    tokens = " ".join(lines).split()
+    joined = "".join(tokens)
+    n, ws = len(joined), WORD.findall(" ".join(tokens).lower())
+    of = max(1, len(ws))
+    letters, digits = sum(map(len, ws)), sum(map(len, DIGITS.findall(joined)))
+    # Distinct words within windows: a long text of any kind has few over its whole length.
+    windows = [ws[i : i + WINDOW] for i in range(0, len(ws), WINDOW)]
+    distinct = sorted(len(set(x)) / len(x) for x in windows)
+    return n, len(ws), [
+        letters / of, (n - letters - digits) / n, digits / n, sum(map(str.isupper, joined)) / n,
+        sum(map(common.__contains__, ws)) / of, distinct[len(distinct) // 2] if distinct else 1.0, sum(bool(VOWEL.search(w)) for w in ws) / of,
+        float(np.log(n / len(tokens))), float(np.log(max(map(len, ws), default=1))), sum(bool(SENTENCE_END.search(x)) for x in lines) / len(lines),
+        float(kind == "list"), float(kind == "table"),
+    ]
+
+
+def blocks(text: str, common: frozenset[str]) -> list[tuple[int, int, list[float]]]:
+    """The blocks of one text as (characters, words, statistics in the order of STATISTICS)."""
+    out: list[tuple[int, int, list[float]]] = []
     run: list[str] = []
-    ended = full = lengths = 0
+    now = ""
 
     def close() -> None:
-        nonlocal lengths
         if not run:
             return
-        plain = _plain(run, common) if len(run) >= 3 else []
-        if plain:
-            listed = sum(len("".join(run[i].split())) for i in plain)
-            size["list"] += listed
-            lengths -= listed
-            rest = [x for i, x in enumerate(run) if i not in plain]
-        else:
-            rest = run
-        if rest:
-            size[_block(rest, common)] += lengths
+        plain = _plain(run, common) if not now and len(run) >= 3 else set()
+        for kind, lines in (("list", [run[i] for i in sorted(plain)]), (now, [x for i, x in enumerate(run) if i not in plain])):
+            if lines:
+                out.append(_measure(lines, kind, common))
         run.clear()
-        lengths = 0
 
     for x in text.splitlines():
         cells = "".join(x.split())
         if not cells:
             close()
             continue
-        full += 1
-        ended += cells[-1] in ".!?:" or bool(SENTENCE_END.search(x))
         kind = _line(x)
         if kind:
-            plain = cells.replace(".", "")
-            if sum(map(str.isalnum, plain)) < 0.35 * len(plain) and not RULE.fullmatch(x):
+            bare = cells.replace(".", "")
+            if sum(map(str.isalnum, bare)) < 0.35 * len(bare) and not RULE.fullmatch(x):
                 kind = ""  # symbols that only look like cells
-        if kind:
+        if kind != now:
             close()
-            size[kind] += len(cells)
-        else:
-            run.append(x)
-            lengths += len(cells)
+            now = kind
+        run.append(x)
     close()
-    n = max(1, sum(size.values()))
-    ws = WORD.findall(text.lower())
-    letters, chars = sum(map(len, ws)), "".join(text.split())
-    m = max(1, len(chars))
-    digits = sum(map(len, DIGITS.findall(chars)))
-    return [
-        float(np.log1p(len(ws))), letters / max(1, len(ws)), (m - digits - letters) / m, digits / m, sum(map(str.isupper, chars)) / m,
-        ended / max(1, full), sum(map(common.__contains__, ws)) / max(1, len(ws)), len(set(ws)) / max(1, len(ws)), size["list"] / n, size["table"] / n, size["junk"] / n,
-    ]
+    return out
 
 
-def statistics(documents: DataFrame, common_words: DataFrame, id_col: str = "doc_id", text_col: str = "text", language_col: str = "lang") -> DataFrame:
-    """One row a document that has text: doc_id, language, and every statistic. Null, empty and blank texts have no row.
+def measured_blocks(documents: DataFrame, common_words: DataFrame, id_col: str = "doc_id", text_col: str = "text", language_col: str = "lang") -> DataFrame:
+    """One row a block of every document that has text: row (a number of the document's row), doc_id, language, n (characters), words, x (statistics).
 
-    The language is lower-cased and trimmed; null stays null and is its own group. ``common_words`` (lang, word) is a small table
-    by nature; more than 100,000 rows raise an error.
+    The language is lower-cased and trimmed; null stays null and is its own group. The common words are those of the document's language, and of all
+    languages where it has none. ``common_words`` (lang, word) is a small table by nature; more than 100,000 rows raise an error.
     """
     shipped(documents.sparkSession)
-    rows = common_words.select("word").filter("word IS NOT NULL").distinct().limit(100_001).collect()
+    rows = common_words.select(F.lower(F.trim("lang")).alias("lang"), F.lower("word").alias("word")).filter("word IS NOT NULL").distinct().limit(100_001).collect()
     if len(rows) > 100_000:
         raise ValueError("common_words has more than 100,000 words")
-    common = frozenset(r[0].lower() for r in rows)
+    every, own = frozenset(r["word"] for r in rows), {}
+    for r in rows:
+        own.setdefault(r["lang"], set()).add(r["word"])
+    common = {k: frozenset(v) for k, v in own.items() if k is not None}
     docs = documents.select(F.col(id_col).alias("doc_id"), F.lower(F.trim(F.col(language_col))).alias("language"), F.col(text_col).alias("text")).filter(F.col("text").rlike(r"\S"))
+    docs = docs.withColumn("row", F.monotonically_increasing_id())
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            values = np.array([read(t, common) for t in b["text"]]).reshape(len(b), len(STATISTICS))
-            yield pd.concat([b[["doc_id", "language"]].reset_index(drop=True), pd.DataFrame(values, columns=STATISTICS)], axis=1)
+            found = [blocks(t, common.get(k, every)) for k, t in zip(b.column("language").to_pylist(), b.column("text").to_pylist())]
+            at = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+            flat = [x for f in found for x in f]
+            values = pa.array(np.array([x[2] for x in flat], dtype=np.float64).ravel())
+            x = pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1) * len(STATISTICS), pa.int32()), values)
+            columns = [b.column("row").take(at), b.column("doc_id").take(at), b.column("language").take(at), pa.array([x[0] for x in flat], pa.int64()), pa.array([x[1] for x in flat], pa.int64()), x]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "language", "n", "words", "x"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInPandas(measure, f"doc_id {kind}, language string, " + ", ".join(f"{s} double" for s in STATISTICS))
+    return docs.mapInArrow(measure, f"row bigint, doc_id {kind}, language string, n bigint, words bigint, x array<double>")
 
 
-def _moments(stats: DataFrame) -> dict[str | None, tuple[np.ndarray, np.ndarray]]:
-    """Mean and covariance of each language, from one row of sums a language (languages are few: at most 10,000 are taken)."""
-    k = range(len(STATISTICS))
-    sums = [F.sum(s).alias(f"s{i}") for i, s in enumerate(STATISTICS)]
-    both = [F.sum(F.col(STATISTICS[i]) * F.col(STATISTICS[j])).alias(f"p{i}_{j}") for i in k for j in k if i <= j]
-    rows = stats.groupBy("language").agg(F.count(F.lit(1)).alias("n"), *sums, *both).limit(10_001).collect()
-    if len(rows) > 10_000:
-        raise ValueError("more than 10,000 languages")
-    out = {}
-    for r in rows:
-        mean = np.array([r[f"s{i}"] for i in k]) / r["n"]
-        cov = np.array([[r[f"p{min(i, j)}_{max(i, j)}"] for j in k] for i in k]) / r["n"] - np.outer(mean, mean)
-        out[r["language"]] = (mean, cov)
+def _few(df: DataFrame) -> list:
+    rows = df.limit(MOST + 1).collect()
+    if len(rows) > MOST:
+        raise ValueError(f"more than {MOST} languages")
+    return rows
+
+
+Model = dict[str, tuple[np.ndarray, np.ndarray]]
+
+
+def _inverses(model: Model) -> Model:
+    scale = np.diag(np.array(LEAST_SPREAD) ** 2)
+    return {k: (m, np.linalg.inv(c + scale)) for k, (m, c) in model.items()}
+
+
+def _vectors(b: pa.RecordBatch) -> np.ndarray:
+    return b.column("x").flatten().to_numpy().reshape(-1, len(STATISTICS))
+
+
+def _parts(x: np.ndarray, keys: np.ndarray, weight: np.ndarray, inverse: Model) -> np.ndarray:
+    """What every statistic contributes to the squared distance of each row of ``x`` from the prose of its key."""
+    out = np.zeros(x.shape)
+    for k in set(keys.tolist()):
+        mean, inv = inverse[k]
+        z = (x[keys == k] - mean) * weight[keys == k, None]
+        out[keys == k] = z * (z @ inv)
     return out
 
 
-def distances(stats: DataFrame, steps: int = STEPS) -> DataFrame:
-    """``stats`` with distance2, the squared robust Mahalanobis distance from the prose of its language, and contributions, a map
-    from statistic to its part of distance2. The start is each language's median with LEAST_SPREAD as scale; every step takes the mean and
-    covariance of the nearer half. A language with few documents is described by what it has."""
-    scale = np.array(LEAST_SPREAD)
-    middles = stats.groupBy("language").agg(*[F.percentile_approx(s, 0.5, 2000).alias(s) for s in STATISTICS]).limit(10_001).collect()
-    model = {r["language"]: (np.array([r[s] for s in STATISTICS], dtype=float), np.zeros((len(scale), len(scale)))) for r in middles}
-    spec = stats.withColumn("distance2", F.lit(0.0)).withColumn("contributions", F.create_map(F.lit(""), F.lit(0.0))).schema
+def _keys(b: pa.RecordBatch) -> np.ndarray:
+    return np.array(b.column("key").to_pylist(), dtype=object)
+
+
+def prose(measured: DataFrame, steps: int = STEPS) -> Model:
+    """Mean and covariance of the prose of each language ('=' and its name), from its blocks of LEAST_WORDS words or more. Languages with fewer than
+    LEAST_BLOCKS such blocks share a description of all languages, under ''. The start is the median; every step takes the moments of the nearer half."""
+    k = range(len(STATISTICS))
+    long = measured.filter(F.col("words") >= LEAST_WORDS).select(_named("language").alias("key"), "x")
+    counts = _few(long.groupBy("key").agg(F.count(F.lit(1)).alias("n")))
+    own = [r["key"] for r in counts if r["n"] >= LEAST_BLOCKS]
+    every = long.withColumn("key", F.lit(""))
+    base = long.filter(F.col("key").isin(own))
+    if len(own) < len(counts) or not own or not measured.join(long, _named("language") == F.col("key"), "left_anti").isEmpty():
+        base = base.unionByName(every)  # a language without a prose of its own needs that of all
+    middles = _few(base.groupBy("key").agg(*[F.percentile_approx(F.get("x", F.lit(j)), 0.5, 2000).alias(f"m{j}") for j in k]))
+    model = {r["key"]: (np.array([r[f"m{j}"] for j in k]), np.zeros((len(k),) * 2)) for r in middles}
+    width = len(k)
+    for _ in range(steps if model else 0):
+        inverse = _inverses(model)
+
+        def far(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                d = _parts(_vectors(b), _keys(b), np.ones(b.num_rows), inverse).sum(axis=1)
+                yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(d)], names=["key", "d"])
 
-    def measured(model: dict, whole: bool) -> DataFrame:
-        inverse = {k: (m, np.linalg.inv(c + np.diag(scale**2))) for k, (m, c) in model.items()}
+        halves = {r["key"]: r["half"] for r in _few(base.mapInArrow(far, "key string, d double").groupBy("key").agg(F.percentile_approx("d", 0.5, 2000).alias("half")))}
 
-        def far(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[str, np.ndarray] = {}
             for b in batches:
-                b = b.reset_index(drop=True)
-                parts = np.zeros((len(b), len(STATISTICS)))
-                language = b["language"].where(b["language"].notna(), None)
-                for k in set(language):
-                    at = (language.isna() if k is None else language == k).to_numpy()
-                    z = b.loc[at, STATISTICS].to_numpy() - inverse[k][0]
-                    parts[at] = z * (z @ inverse[k][1])
-                b["distance2"] = parts.sum(axis=1)
-                if whole:
-                    b["contributions"] = [dict(zip(STATISTICS, map(float, p))) for p in parts]
-                yield b
-
-        return stats.mapInPandas(far, spec if whole else spec[:-1])
-
-    for _ in range(steps):
-        near = measured(model, False)
-        half = near.groupBy("language").agg(F.percentile_approx("distance2", 0.5, 2000).alias("half"))
-        bars = {r["language"]: r["half"] for r in half.limit(10_001).collect()}
-        bar = F.lit(0.0)
-        for k, v in bars.items():
-            bar = F.when(F.col("language").eqNullSafe(F.lit(k)), F.lit(v)).otherwise(bar)
-        model = _moments(near.filter(F.col("distance2") <= bar).select("language", *STATISTICS))
-    return measured(model, True)
+                x, keys = _vectors(b), _keys(b)
+                d = _parts(x, keys, np.ones(b.num_rows), inverse).sum(axis=1)
+                for key in set(keys.tolist()):
+                    near = x[(keys == key) & (d <= halves[key])]
+                    sums[key] = sums.get(key, 0) + np.r_[len(near), near.sum(axis=0), (near.T @ near).ravel()]
+            if sums:
+                yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))], names=["key", "s"])
+
+        added = base.mapInArrow(moments, "key string, s array<double>").select("key", F.posexplode("s").alias("at", "v")).groupBy("key", "at").agg(F.sum("v").alias("v"))
+        whole = {r["key"]: np.array(r["s"]) for r in _few(added.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "v"))), lambda e: e["v"]).alias("s")))}
+        for key, v in whole.items():
+            n, mean = v[0], v[1 : width + 1] / v[0]
+            model[key] = mean, v[width + 1 :].reshape(width, width) / n - np.outer(mean, mean)
+    return model
+
+
+def _named(language: str) -> Column:
+    return F.concat(F.lit("="), F.coalesce(F.col(language), F.lit("")))
 
 
 def quality(documents: DataFrame, common_words: DataFrame, id_col: str = "doc_id", text_col: str = "text", language_col: str = "lang") -> DataFrame:
-    """Statistics, distance2, contributions, outlier and form of every document with text.
+    """Of every document with text: doc_id, language, characters, words, its statistics, distance2 (the squared robust Mahalanobis distance of its
+    statistics from the prose of its language), contributions (a map from statistic to its part of distance2), outlier and form.
 
-    ``form`` is list, table or junk for an outlier of which more than half of the characters lie in such lines, else null.
-    Repeated documents are measured each; an empty table gives an empty result.
+    ``form`` is list, table or junk where more than half of the characters lie in blocks beyond FAR that are so by what contributes most, else null.
+    Null, empty and blank texts have no row; repeated documents are measured each; an empty table gives an empty result. Where no
+    block is long enough to describe prose, nothing is an outlier.
     """
-    measured = distances(stored(statistics(documents, common_words, id_col, text_col, language_col)))
-    shares = [("list", "list_share"), ("table", "table_share"), ("junk", "junk_share")]
-    form = F.coalesce(*[F.when(F.col(c) > 0.5, F.lit(name)) for name, c in shares])
-    return measured.withColumn("outlier", F.col("distance2") > FAR).withColumn("form", F.when(F.col("outlier"), form))
+    measured = stored(measured_blocks(documents, common_words, id_col, text_col, language_col))
+    model = prose(measured) or {"": (np.zeros(len(STATISTICS)), np.diag(np.full(len(STATISTICS), 1e12)))}
+    inverse = _inverses(model)
+    key = F.when(_named("language").isin([k for k in model if k]), _named("language")).otherwise(F.lit(""))
+
+    def kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n, x = b.column("n").to_numpy(), _vectors(b)
+            parts = _parts(x, _keys(b), n / (n + PRIOR), inverse)
+            whole, item, cell = parts.sum(axis=1), parts[:, -2], parts[:, -1]
+            kind = np.select([whole <= FAR, (item >= cell) & (2 * item >= whole), 2 * cell >= whole], ["", "list", "table"], "junk")
+            weighted = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array((x * n[:, None]).ravel()))
+            columns = [b.column(c) for c in ("row", "doc_id", "language", "key", "n", "words")]
+            yield pa.RecordBatch.from_arrays([*columns, weighted, pa.array(kind.tolist(), pa.string())], names=["row", "doc_id", "language", "key", "n", "words", "x", "kind"])
+
+    of = measured.schema["doc_id"].dataType.simpleString()
+    found = measured.withColumn("key", key).mapInArrow(kinds, f"row bigint, doc_id {of}, language string, key string, n bigint, words bigint, x array<double>, kind string")
+    shares = [F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(k) for k in ("list", "table", "junk")]
+    means = F.array(*[F.sum(F.get("x", F.lit(j))) / F.sum("n") for j in range(len(STATISTICS))])
+    docs = found.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("language").alias("language"), F.first("key").alias("key"), F.sum("n").alias("characters"), F.sum("words").alias("words"), means.alias("x"), *shares)
+    form = F.coalesce(*[F.when(F.col(k) * 2 > F.col("characters"), F.lit(k)) for k in ("list", "table", "junk")])
+
+    def distant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = b.column("characters").to_numpy()
+            parts = _parts(_vectors(b), _keys(b), n / (n + PRIOR), inverse)
+            arrays = pa.ListArray.from_arrays(pa.array(np.arange(len(parts) + 1) * parts.shape[1], pa.int32()), pa.array(parts.ravel()))
+            kept = ["doc_id", "language", "characters", "words", "x", "form"]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(parts.sum(axis=1)), arrays], names=[*kept, "distance2", "parts"])
+
+    rows = docs.select("doc_id", "language", "key", "characters", "words", "x", form.alias("form"))
+    far = rows.mapInArrow(distant, f"doc_id {of}, language string, characters bigint, words bigint, x array<double>, form string, distance2 double, parts array<double>")
+    return far.select(
+        "doc_id", "language", "characters", "words", *[F.get("x", F.lit(j)).alias(s) for j, s in enumerate(STATISTICS)], "distance2",
+        F.map_from_arrays(F.array(*map(F.lit, STATISTICS)), F.col("parts")).alias("contributions"), (F.col("distance2") > FAR).alias("outlier"), "form",
+    )

@@ -119,7 +119,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality.quality(table(spark, folder, "documents"), table(spark, folder, "common_words"))
-    return rows.select("doc_id", "language", *quality.STATISTICS, "distance2", "outlier", "form")
+    return rows.select("doc_id", "language", "characters", "words", *quality.STATISTICS, "distance2", "outlier", "form")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
