@@ -127,6 +127,23 @@ def test_nearest_rules(spark):
     assert neighbours.nearest(df, df.limit(0), 2, width=2).count() == 0 and neighbours.nearest(df.limit(0), df, 2, width=2).count() == 0
 
 
+def test_ties_beyond_the_spare_places_go_by_id_in_every_shard(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [1.0, 0.0, 0.0, 0.0]) for i in range(300)] + [(1000 + i, [float(x) for x in rng.normal(size=4)]) for i in range(500)]
+    df = spark.createDataFrame(rows, "id bigint, vector array<float>")
+    for shards in (1, 4):
+        got = {}
+        for r in neighbours.nearest(df.filter("id IN (0, 7, 1003)"), df, 5, width=4, shards=shards).collect():
+            got.setdefault(r["query"], {})[r["place"]] = r["id"]
+        v = neighbours.unit(np.array([x for _, x in rows], dtype=np.float32))
+        ids = np.array([i for i, _ in rows])
+        for q, places in got.items():
+            sims = v @ v[ids == q][0]
+            order = [i for i in np.lexsort((ids, -np.round(sims, 12))) if ids[i] != q][:5]
+            assert [places[p] for p in range(1, 6)] == ids[order].tolist()
+        assert len(got) == 3
+
+
 def test_copies_fill_one_leaf():
     v = neighbours.unit(np.ones((5000, 8)))
     assert neighbours.Tree(v, leaf=100).search(v[:3], 4)[0].min() > 0.999

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from textloom.session import shipped
 
-#: Vectors of a shard, of a leaf, and queries that one task takes through a shard at once.
-SHARD, LEAF, QUERIES = 100_000, 1024, 20_000
+#: Vectors of a shard, of a leaf, and queries that are taken through a shard at once.
+SHARD, LEAF, QUERIES = 25_000, 1024, 20_000
 #: Places beyond k that a shard keeps while it compares in single precision; the order is settled in double precision.
 SPARE = 4
 
@@ -107,6 +107,32 @@ def usable(df: DataFrame, vector_col: str, width: int) -> DataFrame:
     return df.filter((F.size(v) == width) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x)) & F.exists(v, lambda x: x != 0))
 
 
+def _best(ids: np.ndarray, v: np.ndarray, tree: Tree, qs: np.ndarray, q: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
+    """(similarities, ids) of the k best of each query in one shard, ordered by similarity, then id; missing places have -9.
+
+    The tree compares in single precision; the places it finds beyond k settle the order in double precision. Where the last of them is as near as
+    the k-th, more vectors may be equal, so the query is compared with the whole shard.
+    """
+    want = min(len(ids), k + 1 + SPARE)
+    _, at = tree.search(q, want, factor)
+    out_s, out_i = np.full((len(qs), k), -9.0), np.zeros((len(qs), k), dtype=np.int64)
+    for s in range(0, len(qs), 4096):
+        e = min(len(qs), s + 4096)
+        places = at[s:e]
+        sims, found = np.einsum("qd,qkd->qk", q[s:e], v[places]), ids[places]
+        sims[(places < 0) | (found == qs[s:e, None])] = -9
+        order = np.lexsort((found, -sims), axis=1)[:, :k]
+        top_s, top_i = np.take_along_axis(sims, order, 1), np.take_along_axis(found, order, 1)
+        if factor <= 1 and want < len(ids) and top_s.shape[1] == k:
+            for i in np.flatnonzero(np.where(sims > -9, sims, 9).min(axis=1) >= top_s[:, -1] - 1e-5):
+                all_s = v @ q[s + i]
+                all_s[ids == qs[s + i]] = -9
+                best = np.lexsort((ids, -all_s))[:k]
+                top_s[i], top_i[i] = all_s[best], ids[best]
+        out_s[s:e, : top_s.shape[1]], out_i[s:e, : top_i.shape[1]] = top_s, top_i
+    return out_s, out_i
+
+
 def nearest(queries: DataFrame, vectors: DataFrame, k: int, factor: float = 1.0, width: int = 64, shards: int | None = None) -> DataFrame:
     """(query, id, similarity, place): the ``k`` vectors of highest cosine to each query vector, the query's own id left out.
 
@@ -118,40 +144,46 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int, factor: float = 1.0,
     clean = lambda df: usable(df.select(F.col("id").cast("bigint"), F.col("vector")), "vector", width)
     base, asked = clean(vectors), clean(queries)
     n = shards or max(1, math.ceil(vectors.count() / SHARD))
-    blocks = max(1, math.ceil(queries.count() / QUERIES))
-    raw = lambda c: c.cast("array<float>")
-    block = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(blocks)).cast("int").alias("block")
-    shard = F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("shard")
-    each = lambda m, name: F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(name)
-    left = base.select("id", raw(F.col("vector")).alias("vector"), shard, each(blocks, "block"))
-    right = asked.select("id", raw(F.col("vector")).alias("vector"), block, each(n, "shard"))
-
-    def matrix(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        flat = t["vector"].combine_chunks()
-        flat = flat.flatten() if not isinstance(flat, pa.ChunkedArray) else pa.concat_arrays([c.flatten() for c in flat.chunks])
-        return t["id"].to_numpy(), unit(flat.to_numpy().reshape(-1, width))
-
-    def answer(mine: pa.Table, asked: pa.Table) -> pa.Table:
-        out = {"query": [], "id": [], "similarity": []}
-        if mine.num_rows and asked.num_rows:
-            (ids, v), (qs, q) = matrix(mine), matrix(asked)
-            want = min(len(ids), k + 1 + SPARE)
-            _, at = Tree(v).search(q, want, factor)
-            for s in range(0, len(qs), 4096):
-                places = at[s : s + 4096]
-                sims = np.einsum("qd,qkd->qk", q[s : s + 4096], v[places])
-                found = ids[places]
-                sims[(places < 0) | (found == qs[s : s + 4096, None])] = -9
-                order = np.lexsort((found, -sims), axis=1)[:, :k]
-                sims, found = np.take_along_axis(sims, order, 1), np.take_along_axis(found, order, 1)
-                ok = sims > -9
-                out["query"].append(np.broadcast_to(qs[s : s + 4096, None], ok.shape)[ok])
-                out["id"].append(found[ok])
-                out["similarity"].append(sims[ok])
-        types = {"query": pa.int64(), "id": pa.int64(), "similarity": pa.float64()}
-        return pa.table({c: pa.array(np.concatenate(x) if x else [], types[c]) for c, x in out.items()})
-
-    both = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block"))
-    found = both.applyInArrow(answer, "query bigint, id bigint, similarity double")
+    # A shard's vectors come first and its queries stream after them, so that its tree is built once and no vector is sent twice.
+    raw = F.col("vector").cast("array<float>").alias("vector")
+    left = base.select("id", raw, F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("shard"), F.lit(False).alias("asks"))
+    right = asked.select("id", raw, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("shard"), F.lit(True).alias("asks"))
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("query", pa.int64()), ("id", pa.int64()), ("similarity", pa.float64())])
+        now, held, tree, waiting = None, [], None, []
+
+        def asked_of(waiting: list) -> Iterator[pa.RecordBatch]:
+            ids, v, grown = tree
+            qs, q = np.concatenate([x for x, _ in waiting]), np.concatenate([y for _, y in waiting])
+            sims, found = _best(ids, v, grown, qs, q, k, factor)
+            ok = sims > -9
+            yield pa.RecordBatch.from_arrays([pa.array(np.broadcast_to(qs[:, None], ok.shape)[ok]), pa.array(found[ok]), pa.array(sims[ok])], schema=schema)
+
+        for b in batches:
+            shard, asks, ids = (b.column(c).to_numpy(zero_copy_only=False) for c in ("shard", "asks", "id"))
+            v = unit(b.column("vector").flatten().to_numpy().reshape(-1, width)) if len(ids) else None
+            cuts = [0, *(np.flatnonzero((shard[1:] != shard[:-1]) | (asks[1:] != asks[:-1])) + 1).tolist(), len(ids)] if len(ids) else []
+            for s, e in zip(cuts, cuts[1:]):
+                if shard[s] != now:
+                    if waiting:
+                        yield from asked_of(waiting)
+                    now, held, tree, waiting = shard[s], [], None, []
+                if not asks[s]:
+                    held.append((ids[s:e], v[s:e]))
+                    continue
+                if held and tree is None:
+                    every = np.concatenate([y for _, y in held])
+                    tree, held = (np.concatenate([x for x, _ in held]), every, Tree(every)), []
+                if tree is not None:
+                    waiting.append((ids[s:e], v[s:e]))
+                    if sum(len(x) for x, _ in waiting) >= QUERIES:
+                        yield from asked_of(waiting)
+                        waiting = []
+        if waiting:
+            yield from asked_of(waiting)
+
+    both = left.unionByName(right).repartition(3 * n, "shard").sortWithinPartitions("shard", "asks")
+    found = both.mapInArrow(answer, "query bigint, id bigint, similarity double")
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("similarity"), "id"))
     return found.withColumn("place", place).filter(F.col("place") <= k)
