@@ -167,7 +167,7 @@ def test_scans_found_and_repaired(spark):
     plain = "Die Kennung steht auf dem Frachtzettel und nennt den Ort."
     rows = [(i, "d", plain, 1, 1, "text") for i in range(60)]
     rows += [(100, "d", "Die Kennnng steht\nauf dem Fracht-\nzettel und nennt den Ort.\nSeite 1", 1, 1, "text"), (101, "d", None, None, None, None), (102, "d", "", None, None, None), (103, "d", "Titel Eins\nDie Kennung steht auf dem Frachtzettel.", None, None, None), (104, None, "Co | 1 | 2\nEins | 3 | 4", None, None, "table"), (105, "d", "lang " * 60_000, 1, 1, "text")]
-    p = clashing(spark.createDataFrame(rows + rows[-3:], "id bigint, doc_sha256 string, text string, page_from int, page_to int, block_type string"))
+    p = clashing(spark.createDataFrame(rows + rows[-3:], "id bigint, doc_sha256 string, text string, page_from int, page_to int, block_type string")).withColumn("language", F.when(F.col("id") % 2 == 0, F.lit("de")))
     d = clashing(spark.createDataFrame([("d", "Titel Eins", "amt"), ("d", "Titel Eins", "amt"), (None, "x", "y")], "sha256 string, title string, source string"))
     s = scans.Scans(p, d)
     assert sorted(tuple(r) for r in s.found().collect()) == [(100, "hyphenation"), (100, "misread"), (100, "page_number"), (103, "running_line")]
@@ -178,8 +178,8 @@ def test_scans_found_and_repaired(spark):
 
 
 def test_anagram_join_finds_one_confusion_at_any_place(spark):
-    words = [("nachtpforte", 400), ("naclitpforte", 3), ("nachfpforte", 2), ("nachtpfortc", 1), ("tnachpforte", 2), ("wegen", 50), ("wagen", 30)]
-    got = {tuple(r) for r in scans.misread(spark.createDataFrame(words, "word string, n bigint")).collect()}
+    words = [("nachtpforte", 400, ["de"]), ("naclitpforte", 3, ["de"]), ("nachfpforte", 2, []), ("nachtpfortc", 1, ["de", "en"]), ("tnachpforte", 2, ["de"]), ("wegen", 50, ["de"]), ("wagen", 30, []), ("light", 90, ["en"]), ("ligbt", 1, ["en"]), ("lighf", 1, ["de"])]
+    got = {tuple(r) for r in scans.misread(spark.createDataFrame(words, "word string, n bigint, languages array<string>")).collect()}
     assert got == {("naclitpforte", "nachtpforte"), ("nachfpforte", "nachtpforte"), ("nachtpfortc", "nachtpforte")}
 
 

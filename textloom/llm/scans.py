@@ -32,8 +32,6 @@ JOINING = {"and", "or", "und", "oder", "bis", "sowie", "et", "ou", "to", "nor",
 RATIO = 20
 #: So many of the most frequent words are known to every task, which spares their shuffle.
 KNOWN = 3000
-#: First words of titles, the most frequent ones, by which a running line shows where the title is unknown.
-OPENINGS = 500
 
 PAGE = re.compile(r"[-–—]\s*\d{1,4}\s*[-–—]|(?:seite|page|pag\.|pg\.|s\.|p\.|blatt)\s*\d{1,4}(?:\s*(?:von|of|sur|de|/)\s*\d{1,4})?|[\[(<]\s*\d{1,4}\s*[\])>]|\d{1,4}\s*(?:/|von|of|sur)\s*\d{1,4}", re.I)
 NUMBER = re.compile(r"\d{1,4}")
@@ -150,33 +148,45 @@ def _split(text: str) -> list[str]:
     return text.replace("\r\n", "\n").replace("\r", "\n").replace("\u2028", "\n").replace("\x0c", "\n").split("\n")
 
 
-def layout(passages: DataFrame, documents: DataFrame) -> DataFrame:
-    """(id, running, numbered, left, right, certain, words, signs) of every passage with text: its page lines, broken words, distinct
-    words, and words with signs for letters."""
+def _rows(passages: DataFrame, documents: DataFrame) -> DataFrame:
+    """Passages with text, the title and source of their document and, where the title is unknown, those of their words that other titles
+    begin with (two documents at least): by these a running line shows."""
     titles = documents.filter("sha256 IS NOT NULL").groupBy("sha256").agg(F.min("title").alias("title"), F.min("source").alias("source"))
-    first = F.lower(F.regexp_extract("title", r"^\W*(\w+)", 1))
-    openings = frozenset(r[0] for r in documents.filter("title IS NOT NULL").groupBy(first.alias("w")).count().filter("count > 1 AND w <> ''").orderBy(F.desc("count"), "w").limit(OPENINGS).collect())
     rows = passages.filter("text IS NOT NULL AND id IS NOT NULL").join(titles, passages["doc_sha256"] == titles["sha256"], "left")
-    rows = rows.select("id", "text", "title", "source", "page_from", "page_to", "block_type")
-    spec = "id bigint, running boolean, numbered boolean, broken array<struct<left:string,right:string,certain:boolean>>, words array<string>, signs array<string>"
+    rows = rows.select("id", "text", "language", "title", "source", "page_from", "page_to", "block_type")
+    first = F.lower(F.regexp_extract("title", r"^\W*(\w+)", 1))
+    begun = documents.filter("title IS NOT NULL").groupBy(first.alias("word")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1 AND word <> ''").select("word")
+    folded = F.replace(F.replace(F.lower("text"), F.lit("ß"), F.lit("ss")), F.lit("-"), F.lit(" "))
+    held = F.array_distinct(F.regexp_extract_all(folded, F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
+    words = rows.filter("title IS NULL").select("id", F.explode(held).alias("word"))
+    openings = words.join(begun, "word", "left_semi").groupBy("id").agg(F.collect_set("word").alias("openings"))
+    return rows.join(openings, "id", "left")
+
+
+def layout(passages: DataFrame, documents: DataFrame) -> DataFrame:
+    """(id, language, running, numbered, left, right, certain, words, signs) of every passage with text: its page lines, broken words, distinct
+    words, and words with signs for letters."""
+    rows = _rows(passages, documents)
+    spec = "id bigint, language string, running boolean, numbered boolean, broken array<struct<left:string,right:string,certain:boolean>>, words array<string>, signs array<string>"
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for row in b.itertuples(index=False):
                 lines = _split(row.text)
-                kinds = _kinds(lines, row, openings)
+                kinds = _kinds(lines, row)
                 body = [x for x, k in zip(lines, kinds) if not k]
                 broken = [] if row.block_type == "table" else breaks(body)
                 words = tokens(joined_lines(body, broken, set()))
                 marks = [w for w in words if signed(w)]
-                out.append((row.id, any("r" in k for k in kinds), any("n" in k for k in kinds), [{"left": x.lower() if x[1:].islower() or len(x) == 1 else x, "right": y, "certain": c} for _, x, y, c in broken], list(set(words)), list(set(marks))))
-            yield pd.DataFrame(out, columns=["id", "running", "numbered", "broken", "words", "signs"])
+                out.append((row.id, row.language, any("r" in k for k in kinds), any("n" in k for k in kinds), [{"left": x.lower() if x[1:].islower() or len(x) == 1 else x, "right": y, "certain": c} for _, x, y, c in broken], list(set(words)), list(set(marks))))
+            yield pd.DataFrame(out, columns=["id", "language", "running", "numbered", "broken", "words", "signs"])
 
     return rows.mapInPandas(read, spec)
 
 
-def _kinds(lines: list[str], row, openings: frozenset[str]) -> list[str]:
+def _kinds(lines: list[str], row) -> list[str]:
+    openings = frozenset(row.openings) if row.openings is not None else frozenset()
     text = lambda x: x if isinstance(x, str) else None
     whole = pd.notna(row.page_from)
     pages = (int(row.page_from), int(row.page_to if pd.notna(row.page_to) else row.page_from)) if whole else None
@@ -189,14 +199,16 @@ def _hash(word: Column) -> Column:
 
 
 def misread(counts: DataFrame, ratio: int = RATIO) -> DataFrame:
-    """(word, meant): each rare word of (word, n) with the frequent word it is a misreading of, the most frequent one (ties: the first)."""
+    """(word, meant): each rare word of (word, n, languages) with the frequent word it is a misreading of, the most frequent one (ties: the first). The two
+    have a language in common, unless one has none."""
     spark = counts.sparkSession
     table = spark.createDataFrame(CONFUSIONS, "printed string, seen string").withColumn("difference", _hash(F.col("seen")) - _hash(F.col("printed")))
-    frequent = counts.filter((F.col("n") >= ratio) & (F.length("word") >= 3) & ~F.col("word").rlike(r"[^\p{L}]")).select(F.col("word").alias("meant"), F.col("n").alias("often"))
+    frequent = counts.filter((F.col("n") >= ratio) & (F.length("word") >= 3) & ~F.col("word").rlike(r"[^\p{L}]")).select(F.col("word").alias("meant"), F.col("n").alias("often"), F.col("languages").alias("spoken"))
     held = F.col("meant").contains(F.col("printed"))
     aimed = frequent.withColumn("own", _hash(F.col("meant"))).join(F.broadcast(table), held).withColumn("aim", F.col("own") + F.col("difference"))
-    rare = counts.filter(F.length("word") >= 3).select("word", "n").withColumn("aim", _hash(F.col("word")))
-    met = rare.join(aimed, "aim").filter(F.col("n") * ratio <= F.col("often"))
+    rare = counts.filter(F.length("word") >= 3).select("word", "n", "languages").withColumn("aim", _hash(F.col("word")))
+    common = (F.size("languages") == 0) | (F.size("spoken") == 0) | F.arrays_overlap("languages", "spoken")
+    met = rare.join(aimed, "aim").filter((F.col("n") * ratio <= F.col("often")) & common)
     place = F.exists(
         F.sequence(F.lit(1), F.length("meant")),
         lambda i: (F.substring("meant", i, F.length("printed")) == F.col("printed"))
@@ -209,7 +221,7 @@ def misread(counts: DataFrame, ratio: int = RATIO) -> DataFrame:
 class Scans:
     """The noise of a collection of passages: ``found`` lists it, ``repaired`` gives the texts without it.
 
-    passages: id, doc_sha256, text, page_from, page_to, block_type; documents: sha256, title, source. A passage with null id or text
+    passages: id, doc_sha256, text, language, page_from, page_to, block_type; documents: sha256, title, source. A passage with null id or text
     has neither noise nor repair; unknown titles, pages and block types may be null; rows repeated count once in ``found``. Empty tables give empty
     results. Passages whose document is unknown are read without a title.
     """
@@ -218,8 +230,10 @@ class Scans:
         shipped(passages.sparkSession)
         self.passages, self.documents = passages, documents
         self.read = stored(layout(passages, documents))
-        words = self.read.select(F.explode("words").alias("word"))
-        self.counts = stored(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+        words = self.read.select(F.explode("words").alias("word"), "language")
+        # By word and language first, so that a frequent word is few rows where its languages are gathered.
+        each = words.groupBy("word", "language").agg(F.count(F.lit(1)).alias("n"))
+        self.counts = stored(each.groupBy("word").agg(F.sum("n").alias("n"), F.collect_set("language").alias("languages")))
         self.wrong = stored(misread(self.counts))
         self.broken = stored(self._evidence())
 
@@ -261,18 +275,14 @@ class Scans:
         wrong = self._wrong_words().groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("word", "meant"))).alias("wrong"))
         pairs = self.read.select("id", F.explode("broken").alias("b")).select("id", "b.left", "b.right").join(self.broken.filter("NOT noise"), ["left", "right"])
         kept = pairs.groupBy("id").agg(F.collect_set(F.concat_ws("\n", F.lower("left"), F.lower("right"))).alias("kept"))
-        titles = self.documents.filter("sha256 IS NOT NULL").groupBy("sha256").agg(F.min("title").alias("title"), F.min("source").alias("source"))
-        first = F.lower(F.regexp_extract("title", r"^\W*(\w+)", 1))
-        openings = frozenset(r[0] for r in self.documents.filter("title IS NOT NULL").groupBy(first.alias("w")).count().filter("count > 1 AND w <> ''").orderBy(F.desc("count"), "w").limit(OPENINGS).collect())
-        rows = self.passages.filter("text IS NOT NULL AND id IS NOT NULL").join(titles, self.passages["doc_sha256"] == titles["sha256"], "left")
-        rows = rows.select("id", "text", "title", "source", "page_from", "page_to", "block_type").join(wrong, "id", "left").join(kept, "id", "left")
+        rows = _rows(self.passages, self.documents).join(wrong, "id", "left").join(kept, "id", "left")
 
         def repair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
                 texts = []
                 for row in b.itertuples(index=False):
                     lines = _split(row.text)
-                    body = [x for x, k in zip(lines, _kinds(lines, row, openings)) if not k]
+                    body = [x for x, k in zip(lines, _kinds(lines, row)) if not k]
                     if row.block_type in ("table", "list"):
                         text = "\n".join(body)
                     else:
