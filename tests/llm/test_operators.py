@@ -35,6 +35,18 @@ def test_burst_trie_equals_a_dict():
     assert all(t.startswith(p) for p, ts, *_ in trie.containers() for t in ts)
 
 
+def test_containers_of_all_workers_meet_along_their_routes(spark, monkeypatch):
+    assert list(vocabulary.cut("", ["a", "ab", "abc", "abd", "b"], 2)) == [("a", 0, 1), ("ab", 1, 4), ("b", 4, 5)] and list(vocabulary.cut("abc", ["abcd", "abce"], 2)) == [("ab", 0, 2)]
+    rng = random.Random(4)
+    rows = [(i, "de" if i % 3 else "en", ["".join(rng.choice("abcü") for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(0, 9))]) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id bigint, language string, lemmas array<string>").repartition(7)
+    want = Counter((language, x) for _, language, xs in rows for x in xs)
+    for deep in (10**6, 40):
+        monkeypatch.setattr(vocabulary, "DEEP", deep)
+        got = vocabulary.vocabulary(df).collect()
+        assert {(r["language"], r["lemma"]): r["occurrences"] for r in got} == want and len(got) == len(want)
+
+
 def test_vocabulary_rules(spark):
     rows = [(1, "de", ["A ", "a", None, " "]), (1, "de", ["A ", "a", None, " "]), (2, "de", ["b", "a"]), (3, "de", []), (4, "de", None), (5, None, ["a"]), (6, "en", ["x" * 5000]), (None, "de", ["b"]), (None, "de", ["b"])]
     df = clashing(spark.createDataFrame(rows, "id bigint, language string, lemmas array<string>"))

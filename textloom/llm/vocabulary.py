@@ -4,8 +4,9 @@ A burst trie keeps terms in small containers hung below an access trie; a contai
 ``BURST`` entries is burst into one container per next character, so the prefixes that route a term are
 short where terms are few and long where they are many. Every worker counts its share of the records in
 such a trie and emits its containers: a prefix with the sorted terms below it and their two counters.
-Containers are merged where their prefixes match: the entries go to the task of their term, workers having
-added up their own records before, so a frequent term costs one entry a worker and not one a record.
+Containers are routed by the first ROUTE characters of their prefix, by more where very many terms begin so, and a
+container above a route is cut along it; so a task holds all workers' subtrees of a route and merges them into
+one trie, workers having added up their own records before: a frequent term costs one entry a worker and not one a record.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from textloom.session import shipped, stored
 BURST = 1024
 #: Distinct terms a worker holds before it emits its trie and starts anew; counters add up, so nothing is lost.
 HELD = 400_000
+#: Characters of a route, and of one that DEEP entries or more begin with. Such routes are few: at most the entries divided by DEEP.
+ROUTE, FURTHER, DEEP = 2, 6, 500_000
 
 
 class BurstTrie:
@@ -83,15 +86,33 @@ class BurstTrie:
                 yield prefix, [prefix + s for s in order], [node[1][i] for i in at], [node[2][i] for i in at]
 
 
+    def merge(self, terms: list[str], occurrences: list[int], records: list[int]) -> None:
+        """Adds another worker's container."""
+        for term, occ, rec in zip(terms, occurrences, records):
+            self.add(term, occ, rec)
+
+
+def cut(prefix: str, terms: list[str], length: int) -> Iterator[tuple[str, int, int]]:
+    """(route, first, last + 1) of the runs of sorted ``terms`` of a container with one beginning of ``length`` characters."""
+    if len(prefix) >= length:
+        yield prefix[:length], 0, len(terms)
+        return
+    start = 0
+    for i in range(1, len(terms) + 1):
+        if i == len(terms) or terms[i][:length] != terms[start][:length]:
+            yield terms[start][:length], start, i
+            start = i
+
+
 def _tries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
-        [("language", pa.string()), ("prefix", pa.string()), ("terms", pa.list_(pa.string())), ("occurrences", pa.list_(pa.int64())), ("records", pa.list_(pa.int64())), ("with_terms", pa.int64())]
+        [("language", pa.string()), ("route", pa.string()), ("terms", pa.list_(pa.string())), ("occurrences", pa.list_(pa.int64())), ("records", pa.list_(pa.int64())), ("with_terms", pa.int64())]
     )
     tries: dict[str, BurstTrie] = {}
     with_terms: dict[str, int] = {}
 
     def emit() -> Iterator[pa.RecordBatch]:
-        rows = [(language, *c, 0) for language, trie in tries.items() for c in trie.containers()]
+        rows = [(language, route, terms[s:e], occ[s:e], rec[s:e], 0) for language, trie in tries.items() for prefix, terms, occ, rec in trie.containers() for route, s, e in cut(prefix, terms, ROUTE)]
         rows += [(language, None, [], [], [], n) for language, n in with_terms.items()]
         tries.clear()
         with_terms.clear()
@@ -119,6 +140,31 @@ def _tries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from emit()
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One trie of each (language, route) from all its containers, as rows of terms."""
+    schema = pa.schema([("language", pa.string()), ("lemma", pa.string()), ("occurrences", pa.int64()), ("passages", pa.int64())])
+    now, trie = None, None
+
+    def emit() -> Iterator[pa.RecordBatch]:
+        columns: list[list] = [[], [], []]
+        for _, *c in trie.containers():
+            for column, values in zip(columns, c):
+                column += values
+        for s in range(0, len(columns[0]), 10_000):
+            part = [c[s : s + 10_000] for c in columns]
+            yield pa.RecordBatch.from_arrays([pa.array([now[0]] * len(part[0]), pa.string()), *(pa.array(c, f.type) for c, f in zip(part, list(schema)[1:]))], schema=schema)
+
+    for b in batches:
+        for language, route, *container in zip(*(b.column(c).to_pylist() for c in ("language", "route", "terms", "occurrences", "records"))):
+            if (language, route) != now:
+                if trie is not None:
+                    yield from emit()
+                now, trie = (language, route), BurstTrie()
+            trie.merge(*container)
+    if trie is not None:
+        yield from emit()
+
+
 def vocabulary(records: DataFrame, id_col: str = "id", language_col: str = "language", terms_col: str = "lemmas", rare_below: int = 3, common_above: float = 0.5) -> DataFrame:
     """Every distinct term of each language with its occurrences and records, and whether it is too rare or too common.
 
@@ -133,11 +179,17 @@ def vocabulary(records: DataFrame, id_col: str = "id", language_col: str = "lang
     twice = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 AND id IS NOT NULL").select("id")
     again = rows.join(twice, "id", "left_semi").groupBy("id").agg(F.min(F.struct("language", "terms")).alias("first")).select("first.*")
     once = rows.join(twice, "id", "left_anti").select("language", "terms").unionByName(again)
-    spec = "language string, prefix string, terms array<string>, occurrences array<bigint>, records array<bigint>, with_terms bigint"
+    spec = "language string, route string, terms array<string>, occurrences array<bigint>, records array<bigint>, with_terms bigint"
     tries = stored(once.mapInArrow(_tries, spec))
-    totals = tries.filter("prefix IS NULL").groupBy("language").agg(F.sum("with_terms").alias("of_passages"))
-    entries = tries.filter("prefix IS NOT NULL").select("language", F.inline(F.arrays_zip("terms", "occurrences", "records")))
-    merged = entries.groupBy("language", F.col("terms").alias("lemma")).agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("passages"))
+    totals = tries.filter("route IS NULL").groupBy("language").agg(F.sum("with_terms").alias("of_passages"))
+    containers = tries.filter("route IS NOT NULL").drop("with_terms")
+    deep = containers.groupBy("language", "route").agg(F.sum(F.size("terms")).alias("n")).filter(F.col("n") >= DEEP).select("language", "route", F.lit(True).alias("deep"))
+    if not deep.isEmpty():  # the entries of such a route go by more characters
+        shallow = containers.join(deep, ["language", "route"], "left_anti")
+        entries = containers.join(deep, ["language", "route"], "left_semi").select("language", F.inline(F.arrays_zip("terms", "occurrences", "records")))
+        one = [F.array(c).alias(c) for c in ("terms", "occurrences", "records")]
+        containers = shallow.unionByName(entries.select("language", F.substring("terms", 1, FURTHER).alias("route"), *one))
+    merged = containers.repartition("language", "route").sortWithinPartitions("language", "route").mapInArrow(_merged, "language string, lemma string, occurrences bigint, passages bigint")
     return merged.join(totals, "language").select(
         "language", "lemma", "occurrences", "passages", "of_passages",
         (F.col("passages") < rare_below).alias("rare"), (F.col("passages") > common_above * F.col("of_passages")).alias("common"),
