@@ -365,6 +365,13 @@ def test_signatures_keep_the_similarity():
 # 8 packing
 
 
+def _sources(placed, sources):
+    by = defaultdict(list)
+    for item, k, _, _ in placed:
+        by[k].append(sources[item])
+    return by.values()
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_packing_invariants(seed):
     rng = random.Random(seed)
@@ -382,6 +389,9 @@ def test_packing_invariants(seed):
         assert sum(s for _, s in items) + room[k] == 100
         marked = [clusters[i] for i, _ in items if clusters[i] >= 0]
         assert len(set(marked)) == len(marked)
+    free, _ = packing.pack(sizes, clusters, sources, 100, apart=False)
+    shared = lambda rows: sum(len(x) - len(set(x)) for x in _sources(rows, sources))
+    assert shared(placed) <= shared(free)
     apart, _ = packing.pack(sizes, clusters, sources, 100, apart=True)
     by = defaultdict(list)
     for item, k, _, _ in apart:
@@ -399,6 +409,9 @@ def test_packed_table(spark):
     assert len(small) == 3 and len(set(small)) == 3  # copies stay apart
     assert {r["container"] for r in got} == {"s"} and packing.packed(items.limit(0), kinds).count() == 0
     assert packing.filling(packing.packed(items, kinds)).first()["filled"] > 0
+    near = spark.createDataFrame([(1, 1), (5, 1)], "id bigint, group bigint")
+    bins = [r["bin"] for r in packing.packed(items, kinds, clusters=near).collect() if r["doc_id"] == 1 or r["first_token"] and r["tokens"] < 100]
+    assert len(bins) == len(set(bins))
 
 
 # 9 mixing

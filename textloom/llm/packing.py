@@ -2,8 +2,9 @@
 
 Best-fit decreasing within buckets of items spread by hash: the open containers of a bucket are ordered by the room left, and an item goes
 to the tightest one that holds it and is compatible. A container carries a bitmap of the duplicate clusters and one of the
-sources in it; an item is incompatible with a container that already holds a copy of it (and, if asked, one of its source), and the search
-goes on to the next tightest until a compatible one is found, else a new one is opened. Only an item beyond the capacity is split:
+sources in it; an item is incompatible with a container that already holds one of its cluster, and with one that holds its source as long as
+another container takes it (or always, if so asked). The search goes on to the next tightest until a compatible one is found, else a
+new one is opened. Only an item beyond the capacity is split:
 into full containers and one rest, which is then placed like any item.
 """
 
@@ -26,9 +27,10 @@ BUCKET = 10_000
 MOST = 10_000
 
 
-def pack(sizes: list[int], clusters: list[int], sources: list[int], capacity: int, apart: bool = False) -> tuple[list[tuple[int, int, int, int]], list[int]]:
+def pack(sizes: list[int], clusters: list[int], sources: list[int], capacity: int, apart: bool | None = None) -> tuple[list[tuple[int, int, int, int]], list[int]]:
     """([(item, container, first, size)], room left of each container). Items of size 0 or less are not placed. Items are taken by size
-    downwards, then in order; ``clusters`` and ``sources`` are bit numbers, a cluster below 0 is none."""
+    downwards, then in order; ``clusters`` and ``sources`` are bit numbers, a cluster below 0 is none. Items of one source share a container where no
+    other has room (``apart`` None), never (True), or freely (False)."""
     placed: list[tuple[int, int, int, int]] = []
     room: list[int] = []
     copies: list[int] = []
@@ -55,10 +57,18 @@ def pack(sizes: list[int], clusters: list[int], sources: list[int], capacity: in
     for size, item, first in sorted(rests, reverse=True):
         item = -item
         bit = 0 if clusters[item] < 0 else 1 << clusters[item]
-        origin = 1 << sources[item] if apart else 0
-        at = bisect_left(ordered, (size, -1))
-        while at < len(ordered) and (copies[ordered[at][1]] & bit or origins[ordered[at][1]] & origin):
+        origin = 0 if apart is False else 1 << sources[item]
+        at, same = bisect_left(ordered, (size, -1)), -1
+        while at < len(ordered):
+            k = ordered[at][1]
+            if not copies[k] & bit:
+                if not origins[k] & origin:
+                    break
+                if same < 0:
+                    same = at
             at += 1
+        if at == len(ordered) and apart is None and same >= 0:
+            at = same
         if at == len(ordered):
             open_(item, first, size)
             continue
@@ -72,13 +82,13 @@ def pack(sizes: list[int], clusters: list[int], sources: list[int], capacity: in
     return placed, room
 
 
-def packed(items: DataFrame, containers: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", apart: bool = False, tokenizer: str = TOKENIZER) -> DataFrame:
+def packed(items: DataFrame, containers: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", apart: bool | None = None, clusters: DataFrame | None = None, tokenizer: str = TOKENIZER) -> DataFrame:
     """Every item's place in every kind of container: container, capacity, bin, doc_id, first_token, tokens, room.
 
     ``containers`` has (container, capacity_tokens); null or non-positive capacities hold nothing. ``bin`` numbers the containers of a kind,
-    ``room`` is what its container leaves unused. Texts that are null or empty take no place. Copies (the same text up to case and
-    white space) never share a container; repeated rows are copies. With ``apart``, neither do items of one source. Empty tables
-    give an empty result.
+    ``room`` is what its container leaves unused. Texts that are null or empty take no place. Items of one duplicate cluster never share a
+    container: copies (the same text up to case and white space; repeated rows are copies), and what ``clusters`` (id, group; one row an id) puts in one group. Items
+    of one source share one only where no other has room, or never with ``apart``. Empty tables give an empty result.
     """
     shipped(items.sparkSession)
     kinds = [(r[0], r[1]) for r in containers.select("container", "capacity_tokens").filter("capacity_tokens > 0").distinct().orderBy("capacity_tokens", "container").limit(MOST + 1).collect()]
@@ -86,7 +96,11 @@ def packed(items: DataFrame, containers: DataFrame, id_col: str = "doc_id", text
         raise ValueError(f"more than {MOST} kinds of containers")
     text = F.lower(F.trim(F.regexp_replace(text_col, r"\s+", " ")))
     rows = items.filter(F.length(text_col) > 0).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).alias("source"), F.xxhash64(text).alias("cluster"), F.col(text_col).alias("text"))
-    sized = stored(with_tokens(rows, "text", tokenizer))
+    sized = with_tokens(rows, "text", tokenizer)
+    if clusters is not None:
+        grouped = clusters.select(F.col("id").alias("doc_id"), F.xxhash64("group", F.lit(1)).alias("near"))
+        sized = sized.join(grouped, "doc_id", "left").withColumn("cluster", F.coalesce("near", "cluster")).drop("near")
+    sized = stored(sized)
     buckets = max(1, math.ceil(sized.count() / BUCKET))
 
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
