@@ -122,18 +122,18 @@ def test_repeats_among_all_questions(spark, seed):
         question_facts=spark.createDataFrame([(i, f) for i, x in of.items() for f in x], "question_id bigint, fact_id bigint"),
         fact_passages=spark.createDataFrame([(f, p) for f, x in on.items() for p in x], "fact_id bigint, passage_id bigint"),
     )
-    got = [tuple(r) for r in retrieval.all_repeated_questions(t).collect()]
+    got = [tuple(r) for r in retrieval.repeated_questions(t).collect()]
     assert len(got) == len(want) and {(i, j) for i, j, _ in got} == {(i, j) for i, j, _ in want}
     assert (201, 200) in {(i, j) for i, j, _ in got}
 
 
 def test_weights_owned_words_and_nearest_over_whole_tables(spark):
     vocabulary = spark.createDataFrame([(1, "de", ["a", "b"]), (2, "de", ["a", "c"]), (3, "en", ["a", "d", "d"]), (4, "en", ["e"]), (4, "en", ["e"])], "id bigint, language string, lemmas array<string>")
-    got = {(r["id"], r["language"], r["term"]): r["weight"] for r in aggregates.tfidf_unit_all(Given(spark, passage_vocabulary=vocabulary)).collect()}
+    got = {(r["id"], r["language"], r["term"]): r["weight"] for r in aggregates.tfidf_unit(Given(spark, passage_vocabulary=vocabulary)).collect()}
     assert got == {(1, "de", "a"): 0.0, (1, "de", "b"): 1.0, (2, "de", "a"): 0.0, (2, "de", "c"): 1.0, (3, "en", "a"): 0.447214, (3, "en", "d"): 0.894427, (4, "en", "e"): 1.0}
     documents = spark.createDataFrame([("x", 1, "one two"), ("x", 2, "Two three"), ("y", 3, "one"), (None, 4, "four")], "source string, doc_id bigint, text string")
-    assert {tuple(r) for r in aggregates.owned_words_all(Given(spark, documents=documents)).collect()} == {("x", 1, "one"), ("x", 2, "three"), ("y", 3, "one")}
+    assert {tuple(r) for r in aggregates.owned_words(Given(spark, documents=documents)).collect()} == {("x", 1, "one"), ("x", 2, "three"), ("y", 3, "one")}
     vector = lambda *x: [float(v) for v in x] + [0.0] * 61
     rows = [(50, 0, vector(1, 0, 0)), (100, 0, vector(0, 1, 0)), (7, 1, vector(1, 0.1, 0)), (8, 1, vector(0, 1, 0.1))]
-    pairs = joins.closest_pairs_all(Given(spark, embeddings=spark.createDataFrame(rows, "vec_id bigint, label int, embedding array<float>"))).collect()
+    pairs = joins.closest_pairs(Given(spark, embeddings=spark.createDataFrame(rows, "vec_id bigint, label int, embedding array<float>"))).collect()
     assert {(r["a"], r["b"]) for r in pairs} == {(7, 50), (8, 100)}

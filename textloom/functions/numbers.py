@@ -2,44 +2,144 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.columns import cosine, words
-from textloom.functions.text import NUMBER_WORDS, W, literals, sql_list
+from textloom.functions.text import W, literals, sql_list
 from textloom.registry import Tables, query
 
 
-def figures(c: str) -> Column:
-    """Figures of a text as doubles: a comma or point before exactly three digits groups them, any other is decimal."""
-    found = F.regexp_extract_all(F.coalesce(F.col(c), F.lit("")), F.lit(r"\d+(?:[.,]\d+)*"), F.lit(0))
-    plain = lambda x: F.replace(F.regexp_replace(x, r"[.,](?=\d{3}(?:\D|$))", ""), F.lit(","), F.lit("."))
-    return F.filter(F.transform(found, lambda x: plain(x).try_cast("double")), lambda x: x.isNotNull())
+def canonical(run: Column, language: Column) -> Column:
+    """A run of digits, points and commas as a plain decimal string: in German (and where the language is unknown) points group three digits and a comma is
+    decimal, in English the other way; a point or comma that can only be decimal is so in any language. Leading zeros of the whole part and closing zeros
+    of the fraction go. Null for a run that is no number (a date, a version)."""
 
+    def read(group: str, decimal: str) -> Column:
+        g, d = ("[.]" if group == "." else ","), ("[.]" if decimal == "." else ",")
+        plain = F.replace(F.replace(run, F.lit(group), F.lit("")), F.lit(decimal), F.lit("."))
+        return F.when(run.rlike(rf"^\d{{1,3}}({g}\d{{3}})+({d}\d+)?$"), plain).when(run.rlike(rf"^\d+({d}\d+)?$"), F.replace(run, F.lit(decimal), F.lit("."))).when(run.rlike(rf"^\d+{g}\d+$"), F.replace(run, F.lit(group), F.lit(".")))
 
-@query("N01, N02: figures of a text and their sum", """
-SELECT id, list_transform(regexp_extract_all(statement, '[0-9]+'), lambda x: CAST(x AS DOUBLE)) AS figures, list_sum(list_transform(regexp_extract_all(statement, '[0-9]+'), lambda x: CAST(x AS DOUBLE))) AS total FROM facts WHERE regexp_matches(statement, '[0-9]') AND NOT regexp_matches(statement, '[0-9][.,][0-9]')""")
-def statement_figures(t: Tables) -> DataFrame:
-    rows = t.facts.filter(F.col("statement").rlike("[0-9]") & ~F.col("statement").rlike("[0-9][.,][0-9]"))
-    return rows.select("id", figures("statement").alias("figures")).withColumn("total", F.aggregate("figures", F.lit(0.0), lambda s, x: s + x))
+    value = F.when(language == "en", read(",", ".")).otherwise(read(".", ","))
+    whole = F.regexp_replace(value, r"^0+(\d)", "$1")
+    return F.when(F.contains(whole, F.lit(".")), F.regexp_replace(whole, r"[.]?0*$", "")).otherwise(whole)
+
+
+def figures(text: Column, language: Column) -> Column:
+    """Figures of a text in order, as canonical strings."""
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"\d+(?:[.,]\d+)*"), F.lit(0))
+    return F.filter(F.transform(found, lambda x: canonical(x, language)), lambda x: x.isNotNull())
+
+
+def _canonical_sql(x: str, language: str) -> str:
+    def read(group: str, decimal: str) -> str:
+        g, d = ("[.]" if group == "." else ","), ("[.]" if decimal == "." else ",")
+        return (
+            f"CASE WHEN regexp_matches({x}, '^[0-9]{{1,3}}({g}[0-9]{{3}})+({d}[0-9]+)?$') THEN replace(replace({x}, '{group}', ''), '{decimal}', '.') "
+            f"WHEN regexp_matches({x}, '^[0-9]+({d}[0-9]+)?$') THEN replace({x}, '{decimal}', '.') WHEN regexp_matches({x}, '^[0-9]+{g}[0-9]+$') THEN replace({x}, '{group}', '.') END"
+        )
 
+    value = f"CASE WHEN {language} = 'en' THEN {read(',', '.')} ELSE {read('.', ',')} END"
+    whole = f"regexp_replace({value}, '^0+([0-9])', '\\1')"
+    return f"CASE WHEN contains({whole}, '.') THEN regexp_replace({whole}, '[.]?0*$', '') ELSE {whole} END"
 
-@query("N03: number words as digits", f"""
-SELECT doc_id, list_transform(list_filter({W.format('text')}, lambda x: list_contains({sql_list(NUMBER_WORDS)}, x)), lambda x: CASE x {' '.join(f"WHEN '{w}' THEN {n}" for w, n in NUMBER_WORDS.items())} END) AS digits FROM documents WHERE text IS NOT NULL AND source = 'open-desk'""")
+
+_FIGURES = "list_filter(list_transform(regexp_extract_all(coalesce({0}, ''), '[0-9]+(?:[.,][0-9]+)*'), lambda x: " + _canonical_sql("x", "{1}") .replace("{1,3}", "{{1,3}}").replace("{3}", "{{3}}") + "), lambda x: x IS NOT NULL)"
+
+
+@query("N01, N02: figures of a text under its language's separators, as canonical strings, and their sum", f"""
+WITH k AS (SELECT id, {_FIGURES.format('text', 'lower(language)')} AS figures FROM passages)
+SELECT id, figures, round(coalesce(list_sum(list_transform(figures, lambda x: CAST(x AS DOUBLE))), 0), 4) AS total FROM k""")
+def statement_figures(t: Tables) -> DataFrame:
+    rows = t.passages.select("id", figures(F.col("text"), F.lower("language")).alias("figures"))
+    return rows.withColumn("total", F.round(F.aggregate(F.transform("figures", lambda x: x.cast("double")), F.lit(0.0), lambda s, x: s + x), 4))
+
+
+def spelled() -> dict[str, int]:
+    """Cardinal and ordinal words below a hundred in English and German with their numbers, made by rule from the words below twenty and the tens."""
+    # Number words from which the others are built.
+    en = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
+    tens_en = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+    de = "null eins zwei drei vier fünf sechs sieben acht neun zehn elf zwölf dreizehn vierzehn fünfzehn sechzehn siebzehn achtzehn neunzehn".split()
+    tens_de = "zwanzig dreißig vierzig fünfzig sechzig siebzig achtzig neunzig".split()
+    odd_en = {"one": "first", "two": "second", "three": "third", "five": "fifth", "eight": "eighth", "nine": "ninth", "twelve": "twelfth"}
+    odd_de = {"eins": "erst", "drei": "dritt", "sieben": "siebt", "acht": "acht"}
+    out = {}
+
+    def ordinal_en(w: str) -> str:
+        return odd_en.get(w, w[:-1] + "ieth" if w.endswith("y") else w + "th")
+
+    for n in range(100):
+        ten, one = divmod(n, 10)
+        if n < 20:
+            words_en, words_de = (en[n], ordinal_en(en[n])), (de[n], odd_de.get(de[n], de[n] + "t"))
+        elif one == 0:
+            words_en, words_de = (tens_en[ten - 2], ordinal_en(tens_en[ten - 2])), (tens_de[ten - 2], tens_de[ten - 2] + "st")
+        else:
+            unit = "ein" if one == 1 else de[one]
+            words_en, words_de = (f"{tens_en[ten - 2]}-{en[one]}", f"{tens_en[ten - 2]}-{ordinal_en(en[one])}"), (f"{unit}und{tens_de[ten - 2]}", f"{unit}und{tens_de[ten - 2]}st")
+        for w in (*words_en, words_de[0], *(words_de[1] + e for e in ("e", "er", "en", "es", "em"))):
+            out.setdefault(w, n)
+    return out
+
+
+@query("N03: cardinal and ordinal words of a text as digits, in order", f"""
+WITH n(word, number) AS (VALUES {', '.join(f"('{w}', {n})" for w, n in spelled().items())}),
+w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}]+(?:-[\\p{{L}}]+)*')) AS word, generate_subscripts(regexp_extract_all(lower(text), '[\\p{{L}}]+(?:-[\\p{{L}}]+)*'), 1) AS i FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, list(number ORDER BY i) AS digits FROM w JOIN n USING (word) GROUP BY 1""")
 def number_words(t: Tables) -> DataFrame:
-    known = F.create_map(*[F.lit(x) for kv in NUMBER_WORDS.items() for x in kv])
-    found = F.filter(words("text"), lambda x: F.array_contains(literals(NUMBER_WORDS), x))
-    return t.documents.filter("text IS NOT NULL AND source = 'open-desk'").select("doc_id", F.transform(found, lambda x: F.try_element_at(known, x)).alias("digits"))
-
-
-@query("N04: facts in which one number is the sum of two others", """
-WITH k AS (SELECT id, list_transform(regexp_extract_all(evidence_text, '[0-9]+'), lambda x: CAST(x AS BIGINT)) AS n FROM facts), e AS (SELECT id, n, unnest(range(1, len(n) + 1)) AS i FROM k WHERE len(n) BETWEEN 3 AND 40), f AS (SELECT id, n, i, unnest(range(1, len(n) + 1)) AS j FROM e)
-SELECT DISTINCT id FROM f WHERE i < j AND len(list_filter(range(1, len(n) + 1), lambda x: x <> i AND x <> j AND n[x] = n[i] + n[j])) > 0""")
-def sums_of_two(t: Tables) -> DataFrame:
-    n = F.transform(F.regexp_extract_all("evidence_text", F.lit(r"\d+"), F.lit(0)), lambda x: x.try_cast("bigint"))
-    rows = t.facts.select("id", n.alias("n")).filter(F.size("n").between(3, 40))
-    any_sum = F.exists(F.sequence(F.lit(0), F.size("n") - 1), lambda i: F.exists(F.sequence(F.lit(0), F.size("n") - 1), lambda j: (i < j) & F.exists(F.sequence(F.lit(0), F.size("n") - 1), lambda k: (k != i) & (k != j) & (F.get("n", k) == F.get("n", i) + F.get("n", j)))))
-    return rows.filter(any_sum).select("id")
+    table = t.spark.createDataFrame(list(spelled().items()), "word string, number int")  # a few hundred rows, by rule
+    found = t.documents.filter("text IS NOT NULL").select("doc_id", F.posexplode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]+(?:-[\p{L}]+)*"), F.lit(0))).alias("i", "word"))
+    rows = found.join(F.broadcast(table), "word").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("i", "number"))).alias("o"))
+    return rows.select("doc_id", F.transform("o", lambda e: e["number"]).alias("digits"))
+
+
+def adds_up(values: list[float], answer: float, terms: int = 4, figures: int = 40) -> bool:
+    """Whether two to ``terms`` of the first ``figures`` values total ``answer``: every sum of one or two of them meets what is left of the answer in the
+    sums of others, so four terms cost the square of the figures and not their fourth power."""
+    v = [round(x, 6) for x in values[:figures]]
+    single = [(x, (i,)) for i, x in enumerate(v)]
+    double = [(round(x + y, 6), (i, j)) for i, x in enumerate(v) for j, y in enumerate(v[:i])]
+    by_sum: dict[float, list[tuple[int, ...]]] = {}
+    for s, at in double + (single if terms >= 3 else []):
+        by_sum.setdefault(s, []).append(at)
+    answer = round(answer, 6)
+    if terms >= 2 and any(s == answer for s, _ in double):
+        return True
+    for s, at in (double if terms >= 4 else single if terms == 3 else []):
+        for other in by_sum.get(round(answer - s, 6), ()):
+            if not set(at) & set(other) and len(at) + len(other) <= terms:
+                return True
+    return False
+
+
+_TERMS = """
+WITH e AS (SELECT f.id, unnest(list_slice(regexp_extract_all(evidence_text, '[0-9]+'), 1, 40)) AS x, generate_subscripts(list_slice(regexp_extract_all(evidence_text, '[0-9]+'), 1, 40), 1) AS i FROM facts f),
+v AS (SELECT id, i, CAST(x AS DOUBLE) AS v FROM e), a AS (SELECT id, CAST(regexp_extract(statement, '[0-9]+') AS DOUBLE) AS t FROM facts WHERE regexp_matches(statement, '[0-9]')),
+d AS (SELECT p.id, p.i AS i, q.i AS j, p.v + q.v AS s FROM v p JOIN v q ON p.id = q.id AND p.i < q.i)
+"""
+
+
+@query("N04: facts whose first number is the total of two to four of the first forty figures of their evidence", _TERMS + """
+SELECT DISTINCT a.id FROM a JOIN d ON d.id = a.id AND d.s = a.t UNION
+SELECT DISTINCT a.id FROM a JOIN d ON d.id = a.id JOIN v ON v.id = a.id AND v.i NOT IN (d.i, d.j) AND d.s + v.v = a.t UNION
+SELECT DISTINCT a.id FROM a JOIN d ON d.id = a.id JOIN d e ON e.id = a.id AND e.i NOT IN (d.i, d.j) AND e.j NOT IN (d.i, d.j) AND d.s + e.s = a.t""")
+def sums_of_figures(t: Tables) -> DataFrame:
+    held = lambda c: F.transform(F.regexp_extract_all(c, F.lit(r"\d+"), F.lit(0)), lambda x: x.cast("double"))
+    rows = t.facts.filter(F.col("statement").rlike(r"\d")).select("id", F.get(held("statement"), F.lit(0)).alias("answer"), F.slice(held("evidence_text"), 1, 40).alias("v")).filter(F.size("v") > 1)
+
+    def check(batches):
+        for b in batches:
+            ok = [adds_up(v, a) for v, a in zip(b.column("v").to_pylist(), b.column("answer").to_pylist())]
+            yield b.select(["id"]).filter(pa.array(ok, pa.bool_()))
+
+    return rows.mapInArrow(check, "id bigint")
+
+
+@query("N11: the slack of a tolerance for each source's documents: a part of their number, one at least", "SELECT source, CAST(greatest(1, floor(0.05 * count(*))) AS BIGINT) AS slack FROM documents GROUP BY 1")
+def tolerance_slack(t: Tables) -> DataFrame:
+    return t.documents.groupBy("source").agg(F.greatest(F.lit(1), F.floor(0.05 * F.count(F.lit(1)))).alias("slack"))
 
 
 @query("N05, N06, P19: difficulty of a question from what it rests on", """

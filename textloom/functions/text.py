@@ -18,8 +18,6 @@ INTERROGATIVES = "wer was wann wo warum wie welche welches welcher worin wieviel
 STOP = ("als auch auf bei das dem den der des die ein eine einem einen einer für im in ist man mit muss nach nicht oder sich und von vor wenn werden wird zu zum zur " "a after an and are as at be before by can does every for from has have how if in is it may must no not of on one or someone that the this to when which who with").split()
 # Openings and the kind of question they mostly begin.
 OPENINGS = [("why", "reason"), ("warum", "reason"), ("how", "procedure"), ("wie", "procedure"), ("what", "entity"), ("was", "entity"), ("who", "entity"), ("wer", "entity"), ("when", "temporal"), ("wann", "temporal"), ("seit", "temporal"), ("since", "temporal")]
-# Number words of both languages.
-NUMBER_WORDS = {w: i for ws in (["null", "eins", "zwei", "drei", "vier", "fünf", "sechs", "sieben", "acht", "neun", "zehn", "elf", "zwölf"], ["zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve"]) for i, w in enumerate(ws)}
 LANGUAGES = {"de": "German", "en": "English", "fr": "French"}
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.columns import numbers, share, words
+from textloom.operators.windows import first_of
 from textloom.registry import Tables, query
 
 WORDS = "regexp_extract_all(lower(coalesce({}, '')), '[\\p{{L}}\\p{{N}}]+')"
@@ -263,29 +264,61 @@ def term_bounds(t: Tables) -> DataFrame:
     return d.groupBy("language").agg(F.count(F.lit(1)).alias("terms"), F.max("n").alias("passages")).withColumn("topics", F.greatest(F.lit(2), F.least(F.lit(12), F.floor(F.col("passages") / 40))))
 
 
-@query("N08, A25: tf-idf weights, normalised, of the heaviest terms of each passage", """
-WITH v AS (SELECT id, language, lower(trim(x)) AS term FROM (SELECT id, language, unnest(lemmas) AS x FROM (SELECT DISTINCT * FROM passage_vocabulary) WHERE language = 'fr') WHERE trim(x) <> ''), tf AS (SELECT id, term, count(*) AS tf FROM v GROUP BY 1, 2),
-n AS (SELECT count(DISTINCT id) AS n FROM v), df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1), w AS (SELECT id, term, tf * log2(n / df) AS w FROM tf JOIN df USING (term), n), l AS (SELECT id, sqrt(sum(w * w)) AS l FROM w GROUP BY 1)
-SELECT id, term, round(w / l, 6) AS weight FROM w JOIN l USING (id) WHERE l > 0""")
-def tfidf_unit(t: Tables) -> DataFrame:
-    x = t.passage_vocabulary.filter("language = 'fr'").distinct().select("id", F.explode("lemmas").alias("x"))
-    tf = x.select("id", F.lower(F.trim("x")).alias("term")).filter("term <> ''").groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    df, n = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")), tf.agg(F.countDistinct("id").alias("n"))
-    w = tf.join(df, "term").crossJoin(n).select("id", "term", (F.col("tf") * F.log2(F.col("n") / F.col("df"))).alias("w"))  # n is one row
-    length = w.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("l")).filter("l > 0")
-    return w.join(length, "id").select("id", "term", F.round(F.col("w") / F.col("l"), 6).alias("weight"))
-
-
-@query("N08, A25: tf-idf weights of every language, normalised over each passage", None)
-def tfidf_unit_all(t: Tables) -> DataFrame:
-    """(id, language, term, weight) with document frequencies counted per language; ``tfidf_unit`` is the part of one language that its SQL says."""
+def weighted(t: Tables) -> DataFrame:
+    """(id, language, term, weight): tf times log2(passages / df), document frequencies by language, each passage of unit length."""
     x = t.passage_vocabulary.filter("language IS NOT NULL").distinct().select("id", "language", F.explode("lemmas").alias("x"))
     tf = x.select("id", "language", F.lower(F.trim("x")).alias("term")).filter("term <> ''").groupBy("id", "language", "term").agg(F.count(F.lit(1)).alias("tf"))
     df, n = tf.groupBy("language", "term").agg(F.count(F.lit(1)).alias("df")), tf.groupBy("language").agg(F.countDistinct("id").alias("n"))
     idf = df.join(n, "language").select("language", "term", F.log2(F.col("n") / F.col("df")).alias("idf"))
     w = tf.join(idf, ["language", "term"]).select("id", "language", "term", (F.col("tf") * F.col("idf")).alias("w"))
     length = w.groupBy("id", "language").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("l")).filter("l > 0")
-    return w.join(length, ["id", "language"]).select("id", "language", "term", F.round(F.col("w") / F.col("l"), 6).alias("weight"))
+    return w.join(length, ["id", "language"]).select("id", "language", "term", (F.col("w") / F.col("l")).alias("weight"))
+
+
+_WEIGHTS = """
+WITH v AS (SELECT id, language, lower(trim(x)) AS term FROM (SELECT id, language, unnest(lemmas) AS x FROM (SELECT DISTINCT * FROM passage_vocabulary) WHERE language IS NOT NULL) WHERE trim(x) <> ''),
+tf AS (SELECT id, language, term, count(*) AS tf FROM v GROUP BY 1, 2, 3), n AS (SELECT language, count(DISTINCT id) AS n FROM v GROUP BY 1), df AS (SELECT language, term, count(*) AS df FROM tf GROUP BY 1, 2),
+w AS (SELECT id, language, term, tf * log2(n / df) AS w FROM tf JOIN df USING (language, term) JOIN n USING (language)), l AS (SELECT id, language, sqrt(sum(w * w)) AS l FROM w GROUP BY 1, 2),
+u AS (SELECT id, language, term, w / l AS weight FROM w JOIN l USING (id, language) WHERE l > 0)
+"""
+
+
+@query("N08: tf-idf weights of every language, normalised over each passage", _WEIGHTS + "SELECT id, language, term, round(weight, 6) AS weight FROM u")
+def tfidf_unit(t: Tables) -> DataFrame:
+    return weighted(t).select("id", "language", "term", F.round("weight", 6).alias("weight"))
+
+
+@query("A25: cohesion of clusters of passages: the mean cosine of their pairs on tf-idf vectors, and its mean over clusters of two and more", _WEIGHTS + """,
+k AS (SELECT u.*, string_split(section_path, '.')[1] AS cluster FROM u JOIN passages USING (id) WHERE section_path IS NOT NULL), s AS (SELECT u.language, cluster, term, sum(weight) AS s FROM k u GROUP BY 1, 2, 3),
+m AS (SELECT language, cluster, count(DISTINCT id) AS members FROM k GROUP BY 1, 2), c AS (SELECT language, cluster, members, (sum(s * s) - members) / (members * (members - 1)) AS cohesion FROM s JOIN m USING (language, cluster) WHERE members > 1 GROUP BY 1, 2, 3)
+SELECT language, count(*) AS clusters, round(avg(cohesion), 6) AS cohesion FROM c GROUP BY 1""")
+def cohesion(t: Tables) -> DataFrame:
+    """(language, clusters, cohesion). The vectors are of unit length, so a cluster's sum of cosines is the square of the length of the sum of its
+    vectors less its members; clusters are a language's chapters here."""
+    chapters = t.passages.filter("section_path IS NOT NULL").select("id", F.substring_index("section_path", ".", 1).alias("cluster"))
+    placed = weighted(t).select("id", "language", "term", "weight").join(chapters, "id")
+    squares = placed.groupBy("language", "cluster", "term").agg(F.sum("weight").alias("s")).groupBy("language", "cluster").agg(F.sum(F.col("s") * F.col("s")).alias("squares"))
+    members = placed.groupBy("language", "cluster").agg(F.countDistinct("id").alias("members")).filter("members > 1")
+    each = squares.join(members, ["language", "cluster"]).withColumn("c", (F.col("squares") - F.col("members")) / (F.col("members") * (F.col("members") - 1)))
+    return each.groupBy("language").agg(F.count(F.lit(1)).alias("clusters"), F.round(F.avg("c"), 6).alias("cohesion"))
+
+
+@query("A32, A33: terms of a language within the bounds of rare and common; a language with too few passages or terms is one topic of its most common terms", """
+WITH v AS (SELECT DISTINCT id, language, lower(trim(x)) AS term FROM (SELECT id, language, unnest(lemmas) AS x FROM passage_vocabulary WHERE language IS NOT NULL) WHERE trim(x) <> ''), n AS (SELECT language, count(DISTINCT id) AS n FROM v GROUP BY 1),
+d AS (SELECT language, term, count(*) AS df, max(n) AS n FROM v JOIN n USING (language) GROUP BY 1, 2), k AS (SELECT language, count(*) FILTER (df >= CASE WHEN n < 50 THEN 2 ELSE 5 END AND df <= 0.5 * n) AS kept, max(n) AS n FROM d GROUP BY 1),
+r AS (SELECT language, term, df, row_number() OVER (PARTITION BY language ORDER BY df DESC, term) AS r FROM d)
+SELECT language, n AS passages, kept, n < 50 OR kept < 20 AS single, CASE WHEN n < 50 OR kept < 20 THEN (SELECT list(term ORDER BY r) FROM r WHERE r.language = k.language AND r.r <= 10) END AS terms FROM k""")
+def single_topics(t: Tables) -> DataFrame:
+    """(language, passages, kept, single, terms). In a small language (under 50 passages) a term counts from two passages on, else from five."""
+    x = t.passage_vocabulary.filter("language IS NOT NULL").select("id", "language", F.explode("lemmas").alias("x"))
+    v = x.select("id", "language", F.lower(F.trim("x")).alias("term")).filter("term <> ''").distinct()
+    n = v.groupBy("language").agg(F.countDistinct("id").alias("n"))
+    d = v.groupBy("language", "term").agg(F.count(F.lit(1)).alias("df")).join(n, "language")
+    inside = (F.col("df") >= F.when(F.col("n") < 50, 2).otherwise(5)) & (F.col("df") <= 0.5 * F.col("n"))
+    k = d.groupBy("language").agg(F.max("n").alias("passages"), F.count_if(inside).alias("kept"))
+    top = first_of(d.select("language", "term", "df"), ["language"], [F.desc("df"), "term"], 10).groupBy("language").agg(F.array_sort(F.collect_list(F.struct((-F.col("df")).alias("o"), "term"))).alias("o"))  # ten a language
+    single = (F.col("passages") < 50) | (F.col("kept") < 20)
+    return k.join(top, "language").select("language", "passages", "kept", single.alias("single"), F.when(single, F.transform("o", lambda e: e["term"])).alias("terms"))
 
 
 @query("A37, A40: statements that name the same numbers", """
@@ -296,16 +329,9 @@ def number_twins(t: Tables) -> DataFrame:
 
 
 @query("A41: words that only one document of a source has", """
-WITH w AS (SELECT DISTINCT source, doc_id, unnest(""" + WORDS.format("text") + """) AS word FROM documents WHERE source IN ('pilot-desk', 'open-desk'))
+WITH w AS (SELECT DISTINCT source, doc_id, unnest(""" + WORDS.format("text") + """) AS word FROM documents WHERE source IS NOT NULL)
 SELECT source, min(doc_id) AS doc_id, word FROM w GROUP BY source, word HAVING count(*) = 1""")
 def owned_words(t: Tables) -> DataFrame:
-    rows = t.documents.filter("source IN ('pilot-desk', 'open-desk')").select("source", "doc_id", F.explode(F.array_distinct(words("text"))).alias("word"))
-    return rows.groupBy("source", "word").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id")).filter("n = 1").select("source", "doc_id", "word")
-
-
-@query("A41: words that only one document of a source has, over every source", None)
-def owned_words_all(t: Tables) -> DataFrame:
-    """``owned_words`` is the part of two sources that its SQL says."""
     rows = t.documents.filter("source IS NOT NULL").select("source", "doc_id", F.explode(F.array_distinct(words("text"))).alias("word"))
     return rows.distinct().groupBy("source", "word").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id")).filter("n = 1").select("source", "doc_id", "word")
 

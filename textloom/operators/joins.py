@@ -35,9 +35,9 @@ def opening_passages(t: Tables) -> DataFrame:
 
 
 @query("J03: facts with their document's title and source", """
-SELECT DISTINCT f.id, d.title, d.source FROM facts f JOIN fact_passages fp ON fp.fact_id = f.id JOIN passages p ON p.id = fp.passage_id JOIN documents d ON d.sha256 = p.doc_sha256 WHERE f.kind = 'summary'""")
+SELECT DISTINCT f.id, d.title, d.source FROM facts f JOIN fact_passages fp ON fp.fact_id = f.id JOIN passages p ON p.id = fp.passage_id JOIN documents d ON d.sha256 = p.doc_sha256""")
 def fact_sources(t: Tables) -> DataFrame:
-    rows = t.facts.filter("kind = 'summary'").select(F.col("id").alias("fact_id"))
+    rows = t.facts.select(F.col("id").alias("fact_id"))
     passages = t.passages.select(F.col("id").alias("passage_id"), F.col("doc_sha256").alias("sha256"))
     documents = t.documents.select("sha256", "title", "source")
     return rows.join(links(t), "fact_id").join(passages, "passage_id").join(documents, "sha256").select(F.col("fact_id").alias("id"), "title", "source").distinct()
@@ -90,19 +90,11 @@ def nearest_of_kind(t: Tables) -> DataFrame:
     return nearest(base.filter("id % 50 = 0"), base, 3, same=True).select(F.col("query").alias("vec_id"), F.col("id").alias("near"), "similarity")
 
 
-@query("J10, A34, U03: distinct nearest pairs among a set of ids", f"""
-WITH g AS ({_GOOD} WHERE vec_id % 50 = 0), s AS (SELECT a.vec_id AS x, b.vec_id AS y, round(list_cosine_similarity(a.v, b.v), 6) AS similarity FROM g a JOIN g b ON a.vec_id <> b.vec_id),
+@query("J10, A34, U03: distinct nearest pairs of a set of ids, sought among all vectors", f"""
+WITH g AS ({_GOOD}), s AS (SELECT a.vec_id AS x, b.vec_id AS y, round(list_cosine_similarity(a.v, b.v), 6) AS similarity FROM g a JOIN g b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
 n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY x ORDER BY similarity DESC, y) AS r FROM s) WHERE r = 1)
 SELECT least(x, y) AS a, greatest(x, y) AS b, max(similarity) AS similarity FROM n GROUP BY 1, 2""")
 def closest_pairs(t: Tables) -> DataFrame:
-    some = labelled(t).filter("id % 50 = 0")
-    best = nearest(some, some, 1)
-    return best.groupBy(F.least("query", "id").alias("a"), F.greatest("query", "id").alias("b")).agg(F.max("similarity").alias("similarity"))
-
-
-@query("J10, A34, U03: distinct nearest pairs of a set of ids, sought among all vectors", None)
-def closest_pairs_all(t: Tables) -> DataFrame:
-    """``closest_pairs`` is the search within the set that its SQL says."""
     base = labelled(t)
     best = nearest(base.filter("id % 50 = 0"), base, 1)
     return best.groupBy(F.least("query", "id").alias("a"), F.greatest("query", "id").alias("b")).agg(F.max("similarity").alias("similarity"))
@@ -141,14 +133,14 @@ def question_citations(t: Tables) -> DataFrame:
     return rows.select("question_id", "fact_id", "passage_id", "doc_sha256", "ordinal")
 
 
-@query("J18, M12, T13: what one document's questions lead back to: each kind's first twenty and how many there are", """
-WITH q AS (SELECT id FROM questions WHERE difficulty = 'hard' AND status = 'accepted'), f AS (SELECT DISTINCT fact_id AS id FROM question_facts WHERE question_id IN (SELECT id FROM q)),
+@query("J18, M12, T13: what the accepted questions lead back to: each kind's first twenty and how many there are", """
+WITH q AS (SELECT id FROM questions WHERE status = 'accepted'), f AS (SELECT DISTINCT fact_id AS id FROM question_facts WHERE question_id IN (SELECT id FROM q)),
 p AS (SELECT DISTINCT passage_id AS id FROM fact_passages WHERE fact_id IN (SELECT id FROM f)),
 d AS (SELECT DISTINCT doc_id AS id FROM documents JOIN passages ON sha256 = doc_sha256 WHERE passages.id IN (SELECT id FROM p)),
 a AS (SELECT 'question' AS kind, id FROM q UNION ALL SELECT 'fact', id FROM f UNION ALL SELECT 'passage', id FROM p UNION ALL SELECT 'document', id FROM d)
 SELECT kind, id, total FROM (SELECT kind, id, count(*) OVER (PARTITION BY kind) AS total, row_number() OVER (PARTITION BY kind ORDER BY id) AS r FROM a) WHERE r <= 20""")
 def lineage_steps(t: Tables) -> DataFrame:
-    q = t.questions.filter("difficulty = 'hard' AND status = 'accepted'").select("id")
+    q = t.questions.filter("status = 'accepted'").select("id")
     f = t.question_facts.join(q.select(F.col("id").alias("question_id")), "question_id", "left_semi").select(F.col("fact_id").alias("id")).distinct()
     p = t.fact_passages.join(f.select(F.col("id").alias("fact_id")), "fact_id", "left_semi").select(F.col("passage_id").alias("id")).distinct()
     shas = t.passages.join(p, "id", "left_semi").select(F.col("doc_sha256").alias("sha256"))
@@ -174,14 +166,14 @@ def judgements(t: Tables) -> DataFrame:
 @query("J21: pairs of passages that share a rare term of their language", """
 WITH v AS (SELECT DISTINCT id, language, lower(trim(x)) AS term FROM (SELECT id, language, unnest(lemmas) AS x FROM passage_vocabulary WHERE language IS NOT NULL) WHERE trim(x) <> ''),
 n AS (SELECT language, count(DISTINCT id) AS n FROM v GROUP BY 1), df AS (SELECT language, term, count(*) AS df FROM v GROUP BY 1, 2),
-r AS (SELECT language, term FROM df JOIN n USING (language) WHERE df BETWEEN 2 AND greatest(2, ceil(0.002 * n)))
+r AS (SELECT language, term FROM df JOIN n USING (language) WHERE df BETWEEN 2 AND greatest(2, ceil(0.005 * n)))
 SELECT DISTINCT a.id AS a, b.id AS b FROM v a JOIN r USING (language, term) JOIN v b ON b.language = a.language AND b.term = a.term AND a.id < b.id""")
 def rare_term_pairs(t: Tables) -> DataFrame:
     words = t.passage_vocabulary.filter("language IS NOT NULL").select("id", "language", F.explode("lemmas").alias("x"))
     v = words.select("id", "language", F.lower(F.trim("x")).alias("term")).filter("term <> ''").distinct()
     n = v.groupBy("language").agg(F.countDistinct("id").alias("n"))
     df = v.groupBy("language", "term").agg(F.count(F.lit(1)).alias("df")).join(n, "language")
-    rare = df.filter((F.col("df") >= 2) & (F.col("df") <= F.greatest(F.lit(2), F.ceil(0.002 * F.col("n"))))).select("language", "term")
+    rare = df.filter((F.col("df") >= 2) & (F.col("df") <= F.greatest(F.lit(2), F.ceil(0.005 * F.col("n"))))).select("language", "term")
     held = v.join(rare, ["language", "term"], "left_semi")
     a, b = held.select("language", "term", F.col("id").alias("a")), held.select("language", "term", F.col("id").alias("b"))
     return a.join(b, ["language", "term"]).filter("a < b").select("a", "b").distinct()
@@ -248,9 +240,9 @@ def restorable_links(t: Tables) -> DataFrame:
 
 
 @query("J30: sentences each link points to, one a row, beside the room its passage has", """
-SELECT DISTINCT fp.fact_id, fp.passage_id, unnest(fp.sentence_ids) AS sentence FROM fact_passages fp JOIN passages p ON p.id = fp.passage_id WHERE p.block_type = 'text'""")
+SELECT DISTINCT fp.fact_id, fp.passage_id, unnest(fp.sentence_ids) AS sentence FROM fact_passages fp JOIN passages p ON p.id = fp.passage_id""")
 def link_sentences(t: Tables) -> DataFrame:
-    passages = t.passages.filter("block_type = 'text'").select(F.col("id").alias("passage_id"))
+    passages = t.passages.select(F.col("id").alias("passage_id"))
     return t.fact_passages.join(passages, "passage_id", "left_semi").select("fact_id", "passage_id", F.explode("sentence_ids").alias("sentence")).distinct()
 
 

@@ -82,28 +82,17 @@ def hybrid_retrieval(t: Tables) -> DataFrame:
     return fused([by_vector.withColumn("rank", rank), by_words.withColumn("rank", rank)], "id").orderBy(F.desc("score"), "id").limit(10)
 
 
-@query("T14, T15, T16, P16: which questions repeat an earlier one: similarity of words against the bar for what they share", """
-WITH q AS (SELECT q.id, language, answerable, list_distinct(regexp_extract_all(lower(question_text), '[\\p{L}\\p{N}]+')) AS w, regexp_extract_all(lower(question_text), '[\\p{L}\\p{N}]+') AS o, (SELECT list(DISTINCT fact_id) FROM question_facts qf WHERE qf.question_id = q.id) AS f FROM questions q WHERE difficulty = 'hard'),
-p AS (SELECT a.id, b.id AS near, a.language IS NOT DISTINCT FROM b.language AS sl, a.answerable = b.answerable AS sa, b.answerable AS ba, coalesce(list_has_any(a.f, b.f), false) AS sf, len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) AS s FROM q a JOIN q b ON b.id < a.id AND a.o[1] = b.o[1] AND a.o[2] = b.o[2]),
-c AS (SELECT *, CASE WHEN NOT sl THEN NULL WHEN NOT sa THEN CASE WHEN ba AND sf THEN 0.5 END WHEN sf THEN 0.5 ELSE 0.75 END AS bar FROM p)
-SELECT id, near, round(s - bar, 6) AS above FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(s - bar, 6) DESC, near) AS r FROM c WHERE s >= bar) WHERE r = 1""")
-def repeated_questions(t: Tables) -> DataFrame:
-    facts = t.question_facts.groupBy(F.col("question_id").alias("id")).agg(F.collect_set("fact_id").alias("f"))
-    q = t.questions.filter("difficulty = 'hard'").select("id", "language", "answerable", words("question_text").alias("o"), F.array_distinct(words("question_text")).alias("w")).join(facts, "id", "left").filter(F.size("o") >= 2)
-    q = q.withColumn("k", F.concat_ws(" ", F.col("o")[0], F.col("o")[1]))  # candidates open with the same two words
-    b = q.select("k", F.col("id").alias("near"), F.col("language").alias("lb"), F.col("answerable").alias("ab"), F.col("w").alias("wb"), F.col("f").alias("fb"))
-    shares = F.coalesce(F.arrays_overlap("f", "fb"), F.lit(False))
-    bar = duplicate_bar(0.5, F.col("language").eqNullSafe(F.col("lb")), F.col("answerable") == F.col("ab"), F.col("ab"), shares, F.lit(False))
-    rows = q.join(b, "k").filter("near < id").withColumn("s", jaccard(F.col("w"), F.col("wb"))).withColumn("bar", bar).filter("s >= bar").withColumn("above", F.round(F.col("s") - F.col("bar"), 6))
-    return rows.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("above"), "near"))).filter("r = 1").select("id", "near", "above")
-
-
-@query("T14, T15, T16, P16: which of all questions repeat an earlier one, by facts or passages in common", None)
-def all_repeated_questions(t: Tables, t_bar: float = 0.5) -> DataFrame:
+@query("T14, T15, T16, P16: which questions repeat an earlier one: similarity of words against the bar for the facts or passages they share", """
+WITH f AS (SELECT question_id AS id, list(DISTINCT fact_id) AS f FROM question_facts GROUP BY 1), c AS (SELECT question_id AS id, list(DISTINCT passage_id) AS p FROM question_facts JOIN fact_passages USING (fact_id) GROUP BY 1),
+q AS (SELECT id, language, answerable, list_distinct(regexp_extract_all(lower(question_text), '[\\p{L}\\p{N}]+')) AS w, f, p FROM questions LEFT JOIN f USING (id) LEFT JOIN c USING (id)),
+m AS (SELECT a.id, b.id AS near, a.language IS NOT DISTINCT FROM b.language AS sl, a.answerable = b.answerable AS sa, b.answerable AS ba, coalesce(list_has_any(a.f, b.f), false) AS sf, coalesce(list_has_any(a.p, b.p), false) AS sp,
+ len(list_intersect(a.w, b.w)) AS i, len(a.w) + len(b.w) AS n FROM q a JOIN q b ON b.id < a.id AND len(a.w) > 0 AND len(b.w) > 0),
+s AS (SELECT *, i / (n - i) AS s, CASE WHEN NOT sl THEN NULL WHEN NOT sa THEN CASE WHEN ba AND sf THEN 0.5 END WHEN sf OR sp THEN 0.5 ELSE 0.75 END AS bar FROM m)
+SELECT id, near, round(s - bar, 6) AS above FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(s - bar, 6) DESC, near) AS r FROM s WHERE s >= bar) WHERE r = 1""")
+def repeated_questions(t: Tables, t_bar: float = 0.5) -> DataFrame:
     """(id, near, above) over every question of any difficulty, each compared with every earlier one that can reach its bar. Pairs on a fact or passage in
     common are met by it; the bar of all others is the higher one, and sets of words that overlap so far share one of the rarest
-    |x| - ceil(bar |x|) + 1 words of either, so no pair is lost. ``repeated_questions`` is the
-    part of this that its SQL says: hard questions that open alike. Questions without words abstain."""
+    |x| - ceil(bar |x|) + 1 words of either, so no pair is lost. Questions without words abstain."""
     facts = t.question_facts.select(F.col("question_id").alias("id"), "fact_id").distinct()
     cited = facts.join(t.fact_passages.select("fact_id", "passage_id").distinct(), "fact_id").groupBy("id").agg(F.collect_set("passage_id").alias("p"))
     on = facts.select("id", F.lit(False).alias("passage"), F.col("fact_id").alias("key")).unionByName(cited.select("id", F.lit(True).alias("passage"), F.explode("p").alias("key")))

@@ -116,10 +116,11 @@ def reader_dispatch(t: Tables) -> DataFrame:
 
 
 @query("S10, S12: text of pages as HTML, built and read back", """
-SELECT doc_id, trim(regexp_replace(regexp_replace(concat(title, chr(10), text), '[ \\t]+', ' ', 'g'), '\\s*\\n\\s*', chr(10), 'g')) AS text FROM documents WHERE mime_type = 'text/html' AND title IS NOT NULL AND text IS NOT NULL AND NOT regexp_matches(text, '[<>&]')""")
+SELECT doc_id, trim(regexp_replace(regexp_replace(concat(title, chr(10), text), '[ \\t]+', ' ', 'g'), '\\s*\\n\\s*', chr(10), 'g')) AS text FROM documents WHERE mime_type = 'text/html' AND title IS NOT NULL AND text IS NOT NULL""")
 def page_texts(t: Tables) -> DataFrame:
-    rows = t.documents.filter("mime_type = 'text/html' AND title IS NOT NULL AND text IS NOT NULL").filter(~F.col("text").rlike("[<>&]"))
-    page = F.concat(F.lit("<html><style>p {}</style><h1>"), "title", F.lit("</h1><p>"), "text", F.lit("</p></html>"))
+    rows = t.documents.filter("mime_type = 'text/html' AND title IS NOT NULL AND text IS NOT NULL")
+    marked = lambda c: F.replace(F.replace(F.replace(F.col(c), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    page = F.concat(F.lit("<html><style>p {}</style><h1>"), marked("title"), F.lit("</h1><p>"), marked("text"), F.lit("</p></html>"))
     return rows.select("doc_id", html_text(page).alias("text"))
 
 
