@@ -54,21 +54,69 @@ def quoted_spans(t: Tables) -> DataFrame:
     return t.facts.filter(F.col("statement").rlike("[„“]")).select("id", F.regexp_extract_all(folded("statement"), F.lit('"([^"]+)"'), F.lit(1)).alias("quoted"))
 
 
-@query("X03, X04: places of the passages that hold a fact's units", """
-SELECT f.id, list_sort(list(DISTINCT fp.passage_id)) AS passages FROM facts f JOIN fact_passages fp ON fp.fact_id = f.id JOIN passages p ON p.id = fp.passage_id WHERE len(f.units_statement) > 0 AND contains(p.text, f.units_statement[1]) GROUP BY 1""")
+@query("X03, X04: passages that hold a fact's quoted pieces, each as whole words, and the longest piece", r"""
+WITH f AS (SELECT id, list_filter(list_transform(string_split_regex(lower(regexp_replace(evidence_text, '\s+', ' ', 'g')), '…|\.\.\.|(?:[.!?] )'), lambda x: trim(rtrim(trim(x), '.!?'))), lambda x: len(x) >= 20) AS pieces FROM facts WHERE evidence_text IS NOT NULL),
+p AS (SELECT id, concat(' ', trim(regexp_replace(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g'), '\s+', ' ', 'g')), ' ') AS t FROM passages WHERE text IS NOT NULL),
+k AS (SELECT DISTINCT fp.fact_id AS id, fp.passage_id, f.pieces, p.t FROM fact_passages fp JOIN f ON f.id = fp.fact_id JOIN p ON p.id = fp.passage_id WHERE len(f.pieces) > 0),
+h AS (SELECT id, passage_id, len(pieces) AS pieces, len(list_filter(pieces, lambda x: contains(t, concat(' ', trim(regexp_replace(x, '[^\p{L}\p{N}]+', ' ', 'g')), ' ')))) AS held FROM k)
+SELECT id, list_sort(list(passage_id) FILTER (held = pieces)) AS whole, max(held) AS most, max(pieces) AS pieces FROM h GROUP BY 1""")
 def holding_passages(t: Tables) -> DataFrame:
-    facts = t.facts.filter(F.size("units_statement") > 0).select(F.col("id").alias("fact_id"), F.col("units_statement")[0].alias("u"))
-    rows = t.fact_passages.select("fact_id", "passage_id").distinct().join(facts, "fact_id").join(t.passages.select(F.col("id").alias("passage_id"), "text"), "passage_id")
-    return rows.filter(F.contains("text", "u")).groupBy(F.col("fact_id").alias("id")).agg(F.array_sort(F.collect_set("passage_id")).alias("passages"))
-
-
-@query("X05, X06, X08: words hyphenated at a line end rejoined, soft hyphens and control signs removed", """
+    """(id, whole, most, pieces): the passages a fact rests on that hold every sentence of its evidence (of twenty characters and more, between ellipses and
+    full stops) as whole words, and how many the best one holds; null where none holds all."""
+    parts = F.split(F.lower(F.regexp_replace("evidence_text", r"\s+", " ")), r"…|\.\.\.|(?:[.!?] )")
+    pieces = F.filter(F.transform(parts, lambda x: F.trim(F.rtrim(F.trim(x), F.lit(".!?")))), lambda x: F.length(x) >= 20)
+    spaced = lambda c: F.concat(F.lit(" "), F.trim(F.regexp_replace(c, r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
+    facts = t.facts.filter("evidence_text IS NOT NULL").select(F.col("id").alias("fact_id"), pieces.alias("pieces")).filter(F.size("pieces") > 0)
+    passages = t.passages.filter("text IS NOT NULL").select(F.col("id").alias("passage_id"), spaced(F.lower("text")).alias("t"))
+    rows = t.fact_passages.select("fact_id", "passage_id").distinct().join(facts, "fact_id").join(passages, "passage_id")
+    held = rows.select("fact_id", "passage_id", F.size("pieces").alias("n"), F.size(F.filter("pieces", lambda x: F.contains(F.col("t"), spaced(x)))).alias("held"))
+    whole = F.collect_list(F.when(F.col("held") == F.col("n"), F.col("passage_id")))
+    found = held.groupBy(F.col("fact_id").alias("id")).agg(whole.alias("w"), F.max("held").alias("most"), F.max("n").alias("pieces"))
+    return found.select("id", F.when(F.size("w") > 0, F.array_sort("w")).alias("whole"), "most", "pieces")
+
+
+@query("X08: words hyphenated at a line end rejoined, soft hyphens and control signs removed", """
 SELECT id, regexp_replace(regexp_replace(text, '[\\x{00AD}\\x{200B}\\x{0080}-\\x{009F}]', '', 'g'), '([a-zäöüß])- ?\\n\\s*([a-zäöüß])', '\\1\\2', 'g') AS text FROM passages WHERE contains(text, '-') OR contains(text, chr(173))""")
 def rejoined_lines(t: Tables) -> DataFrame:
     clean = F.regexp_replace("text", "[\u00ad\u200b\u0080-\u009f]", "")
     return t.passages.filter(F.contains("text", F.lit("-")) | F.contains("text", F.lit("\u00ad"))).select("id", F.regexp_replace(clean, r"([a-zäöüß])- ?\n\s*([a-zäöüß])", "$1$2").alias("text"))
 
 
+@query("X05, X06: words that the line end parts, rejoined unless the collection prints them with their hyphen", r"""
+WITH l AS (SELECT unnest(regexp_extract_all(text, '[\p{L}]+- ?\n\s*[\p{L}]+')) AS x FROM passages), b AS (SELECT lower(regexp_extract(x, '^([\p{L}]+)-', 1)) AS l, lower(regexp_extract(x, '([\p{L}]+)$', 1)) AS r FROM l),
+w AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '[\p{L}]+-[\p{L}]+'))) AS whole FROM passages)
+SELECT concat(l, '-', r) AS parted, whole IS NOT NULL AS printed, CASE WHEN whole IS NULL THEN concat(l, r) ELSE whole END AS word, count(*) AS n FROM b LEFT JOIN w ON whole = concat(l, '-', r) GROUP BY ALL""")
+def parted_words(t: Tables) -> DataFrame:
+    x = t.passages.select(F.explode(F.regexp_extract_all("text", F.lit(r"[\p{L}]+- ?\n\s*[\p{L}]+"), F.lit(0))).alias("x"))
+    b = x.select(F.lower(F.regexp_extract("x", r"^([\p{L}]+)-", 1)).alias("l"), F.lower(F.regexp_extract("x", r"([\p{L}]+)$", 1)).alias("r")).groupBy("l", "r").agg(F.count(F.lit(1)).alias("n"))
+    whole = t.passages.select(F.explode(F.regexp_extract_all("text", F.lit(r"[\p{L}]+-[\p{L}]+"), F.lit(0))).alias("w")).select(F.lower("w").alias("parted")).distinct().withColumn("printed", F.lit(True))
+    rows = b.withColumn("parted", F.concat_ws("-", "l", "r")).join(whole, "parted", "left")
+    return rows.select("parted", F.coalesce("printed", F.lit(False)).alias("printed"), F.when(F.col("printed"), F.col("parted")).otherwise(F.concat("l", "r")).alias("word"), "n")
+
+
+@query("X09, X10: lines cut into fields at bars or gaps, and each field's key without spaces", r"""
+WITH l AS (SELECT id, unnest(string_split(text, chr(10))) AS line FROM passages) , f AS (SELECT id, line, list_filter(list_transform(string_split_regex(line, '\s*[|·•]\s*|\s{2,}|\t'), lambda x: trim(x)), lambda x: x <> '') AS fields FROM l)
+SELECT id, line, fields, list_transform(fields, lambda x: regexp_replace(lower(x), '\s+', '', 'g')) AS keys FROM f WHERE len(fields) > 1""")
+def line_fields(t: Tables) -> DataFrame:
+    line = t.passages.select("id", F.explode(F.split("text", "\n")).alias("line"))
+    fields = F.filter(F.transform(F.split("line", r"\s*[|·•]\s*|\s{2,}|\t"), lambda x: F.trim(x)), lambda x: x != "")
+    return line.withColumn("fields", fields).filter(F.size("fields") > 1).withColumn("keys", F.transform("fields", lambda x: F.regexp_replace(F.lower(x), r"\s+", "")))
+
+
+@query("X15, X16, M11: vocabulary of a passage: its lemmas and the forms it prints, links left out, written back where the stored lemmas differ", f"""
+WITH v AS (SELECT id, list_sort(list_distinct(flatten(list(list_filter(list_transform(coalesce(lemmas, []), lambda x: lower(trim(x))), lambda x: x IS NOT NULL AND x <> ''))))) AS lemmas FROM passage_vocabulary GROUP BY id),
+p AS (SELECT id, list_sort(list_filter(list_distinct({W.format("regexp_replace(text, 'https?://[^ ]+|www[.][^ ]+', ' ', 'g')")}), lambda x: NOT list_contains({sql_list(STOP)}, x))) AS forms FROM passages)
+SELECT p.id, coalesce(v.lemmas, []) AS lemmas, p.forms, coalesce(v.lemmas, []) <> p.forms AS written FROM p LEFT JOIN v USING (id)""")
+def vocabulary_forms(t: Tables) -> DataFrame:
+    """(id, lemmas, forms, written). A stand-in for a grammar: the forms printed, without stop words and links, are what a new reading writes back; ``written``
+    says whether the row changes."""
+    clean = F.filter(F.transform(F.coalesce("lemmas", F.array().cast("array<string>")), lambda x: F.lower(F.trim(x))), lambda x: x.isNotNull() & (x != ""))
+    v = t.passage_vocabulary.select("id", F.explode(clean).alias("x")).groupBy("id").agg(F.array_sort(F.collect_set("x")).alias("lemmas"))
+    forms = F.array_sort(content(F.regexp_replace("text", r"https?://[^ ]+|www[.][^ ]+", " ")))
+    rows = t.passages.select("id", forms.alias("forms")).join(v, "id", "left").withColumn("lemmas", F.coalesce("lemmas", F.array().cast("array<string>")))
+    return rows.select("id", "lemmas", "forms", (F.col("lemmas") != F.col("forms")).alias("written"))
+
+
 @query("X07, X53: titles that end on a stop word, and languages by name", f"""
 SELECT doc_id, list_contains({sql_list(STOP)}, {W.format('title')}[-1]) AS open_end, CASE lower(lang) WHEN 'de' THEN 'German' WHEN 'en' THEN 'English' WHEN 'fr' THEN 'French' ELSE lower(lang) END AS language FROM documents WHERE title IS NOT NULL""")
 def title_ends(t: Tables) -> DataFrame:
@@ -173,16 +221,33 @@ def restating_answers(t: Tables) -> DataFrame:
     return t.questions.filter((F.size(c) > 0) & ~F.col("target_answer").rlike("[0-9]") & (F.size(F.array_except(c, q)) < 0.3 * F.size(c))).select("id")
 
 
-@query("X35, X36, X37, X59: how much of an answer its facts give back, and whether they carry its numbers", f"""
-WITH f AS (SELECT question_id, string_agg(concat(statement, ' ', evidence_text), ' ' ORDER BY f.id) AS s FROM (SELECT DISTINCT * FROM question_facts) qf JOIN facts f ON f.id = qf.fact_id GROUP BY 1),
-k AS (SELECT q.id, {CONTENT.format('target_answer')} AS c, {CONTENT.format('s')} AS r, regexp_extract_all(coalesce(target_answer, ''), '[0-9]+') AS n, regexp_extract_all(coalesce(s, ''), '[0-9]+') AS m FROM questions q LEFT JOIN f ON f.question_id = q.id)
-SELECT id, round(len(list_intersect(c, r)) / nullif(len(c), 0), 6) AS recall, len(list_filter(n, lambda x: NOT list_contains(m, x))) = 0 AS carried FROM k""")
+_RECOVERED = f"""
+WITH f AS (SELECT question_id, string_agg(concat(coalesce(statement, ''), ' ', coalesce(evidence_text, '')), ' ' ORDER BY f.id) AS s, string_agg(coalesce(statement, ''), ' ' ORDER BY f.id) AS r FROM (SELECT DISTINCT * FROM question_facts) qf JOIN facts f ON f.id = qf.fact_id GROUP BY 1),
+k AS (SELECT q.id, answer_form, {CONTENT.format('target_answer')} AS c, {CONTENT.format('s')} AS s, {CONTENT.format('r')} AS r, {CONTENT.format('question_text')} AS q, regexp_extract_all(coalesce(target_answer, ''), '[0-9]+') AS n, regexp_extract_all(coalesce(s, ''), '[0-9]+') AS m FROM questions q LEFT JOIN f ON f.question_id = q.id),
+v AS (SELECT id, answer_form, len(list_intersect(c, s)) / nullif(len(c), 0) AS recall, len(list_filter(n, lambda x: NOT list_contains(m, x))) = 0 AS carried, CASE WHEN len(r) <= len(c) THEN 1.0 ELSE len(list_intersect(c, r)) / len(r) END AS held,
+ len(list_filter(r, lambda x: NOT list_contains(c, x) AND NOT list_contains(q, x))) > 0 AS more, len(c) > 0 AND len(list_filter(c, lambda x: NOT list_contains(s, x))) = 0 AS inside FROM k)
+"""
+
+
+@query("X35, X36, X37, X59: an answer recovered from its facts: how much of it, whether its numbers, what share of the recovery the answer holds; agreement, and incomplete lists", _RECOVERED + """
+SELECT id, round(recall, 6) AS recall, carried, round(held, 6) AS held, carried AND (coalesce(recall >= 0.5, false) OR inside) AS agrees, coalesce(answer_form = 'list', false) AND held < 0.5 AND more AS incomplete FROM v""")
 def round_trip(t: Tables) -> DataFrame:
-    facts = t.facts.select(F.col("id").alias("fact_id"), F.concat(F.coalesce("statement", F.lit("")), F.lit(" "), F.coalesce("evidence_text", F.lit(""))).alias("s"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("fact_id", "s"))), lambda x: x["s"]), " ")
-    f = t.question_facts.distinct().join(facts, "fact_id").groupBy(F.col("question_id").alias("id")).agg(joined.alias("s"))
-    rows = t.questions.select("id", "target_answer").join(f, "id", "left")
-    return rows.select("id", F.round(share_of(content("target_answer"), content("s")), 6).alias("recall"), (F.size(F.array_except(numbers("target_answer"), numbers("s"))) == 0).alias("carried"))
+    """The statements of a question's facts stand in for a recovered answer. It agrees if it carries the answer's numbers and half of its content words, or
+    all of them; a list is incomplete if the answer holds less than half of the recovery, which names a word that neither answer nor question has."""
+    said = lambda *cs: F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in cs])
+    facts = t.facts.select(F.col("id").alias("fact_id"), said("statement", "evidence_text").alias("s"), F.coalesce("statement", F.lit("")).alias("r"))
+    joined = lambda c: F.array_join(F.transform(F.col("o"), lambda x: x[c]), " ").alias(c)
+    f = t.question_facts.distinct().join(facts, "fact_id").groupBy(F.col("question_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct("fact_id", "s", "r"))).alias("o")).select("id", joined("s"), joined("r"))
+    rows = t.questions.select("id", "target_answer", "question_text", "answer_form").join(f, "id", "left")
+    rows = rows.select("id", "answer_form", content("target_answer").alias("c"), content("s").alias("sw"), content("r").alias("rw"), content("question_text").alias("q"), F.size(F.array_except(numbers("target_answer"), numbers("s"))).alias("lost"))
+    carried, recall = F.col("lost") == 0, share_of(F.col("c"), F.col("sw"))
+    held = F.when(F.size("rw") <= F.size("c"), F.lit(1.0)).otherwise(F.size(F.array_intersect("c", "rw")) / F.nullif(F.size("rw"), F.lit(0)))
+    inside = (F.size("c") > 0) & (F.size(F.array_except("c", "sw")) == 0)
+    more = F.size(F.array_except(F.array_except("rw", "c"), F.col("q"))) > 0
+    return rows.select(
+        "id", F.round(recall, 6).alias("recall"), carried.alias("carried"), F.round(held, 6).alias("held"),
+        (carried & (F.coalesce(recall >= 0.5, F.lit(False)) | inside)).alias("agrees"), (F.coalesce(F.col("answer_form") == "list", F.lit(False)) & (held < 0.5) & more).alias("incomplete"),
+    )
 
 
 @query("X38: items that an answer sets apart", """
@@ -191,7 +256,7 @@ def answer_items(t: Tables) -> DataFrame:
     return t.questions.filter(F.contains("target_answer", F.lit(";"))).select("id", F.filter(F.transform(F.split("target_answer", r"[;\n]"), lambda x: F.trim(x)), lambda x: x != "").alias("items"))
 
 
-@query("X39, X57, X58: follow-ups: a fact the parent did not cite, and words the parent did not have", f"""
+@query("X39, X57: follow-ups: a fact the parent did not cite, and words the parent did not have", f"""
 WITH c AS (SELECT question_id, list(DISTINCT fact_id) AS f FROM question_facts GROUP BY 1), k AS (SELECT q.id, q.follows_id, c.f, {CONTENT.format('target_answer')} AS w, {CONTENT.format('question_text')} AS x FROM questions q LEFT JOIN c ON c.question_id = q.id)
 SELECT a.id, coalesce(len(list_filter(a.f, lambda x: NOT list_contains(coalesce(b.f, []), x))), 0) > 0 AS reaches, round(len(list_filter(a.w, lambda y: NOT list_contains(list_concat(b.w, b.x), y))) / nullif(len(a.w), 0), 6) AS new_share FROM k a JOIN k b ON b.id = a.follows_id""")
 def follow_ups(t: Tables) -> DataFrame:
@@ -202,6 +267,20 @@ def follow_ups(t: Tables) -> DataFrame:
     return rows.select("id", (F.size(F.array_except("f", "bf")) > 0).alias("reaches"), F.round(F.size(F.array_except("w", "bw")) / F.nullif(F.size("w"), F.lit(0)), 6).alias("new_share"))
 
 
+@query("X58: whether a follow-up rests on a passage that its parent used; where either has none, it may", """
+WITH c AS (SELECT question_id AS id, list(DISTINCT passage_id) AS p FROM question_facts JOIN fact_passages USING (fact_id) GROUP BY 1)
+SELECT q.id, a.p IS NULL OR b.p IS NULL OR list_has_any(a.p, b.p) AS same_material FROM questions q LEFT JOIN c a ON a.id = q.id LEFT JOIN c b ON b.id = q.follows_id WHERE q.follows_id IS NOT NULL""")
+def follow_up_material(t: Tables) -> DataFrame:
+    cited = t.question_facts.distinct().join(t.fact_passages.select("fact_id", "passage_id").distinct(), "fact_id").select(F.col("question_id").alias("id"), "passage_id").distinct()
+    turns = t.questions.filter("follows_id IS NOT NULL").select("id", "follows_id")
+    # Joined link by link, so that no question's passages are gathered.
+    own = turns.join(cited, "id").select("id", "follows_id", "passage_id")
+    parent = turns.join(cited.withColumnRenamed("id", "follows_id"), "follows_id").select("id").distinct().withColumn("has_parent", F.lit(True))
+    shared = own.join(cited.withColumnRenamed("id", "follows_id"), ["follows_id", "passage_id"]).select("id").distinct().withColumn("shares", F.lit(True))
+    rows = turns.join(own.select("id").distinct().withColumn("has_own", F.lit(True)), "id", "left").join(parent, "id", "left").join(shared, "id", "left")
+    return rows.select("id", (F.col("has_own").isNull() | F.col("has_parent").isNull() | F.col("shares").isNotNull()).alias("same_material"))
+
+
 @query("X40, X41, X42, X44, X46: first failing check of a fact by its kind", f"""
 WITH s AS (SELECT fact_id, count(DISTINCT passage_id) AS n FROM fact_passages GROUP BY 1)
 SELECT id, coalesce(CASE WHEN trim(coalesce(statement, '')) = '' THEN 'no_claim' END, CASE WHEN contains(lower(evidence_text), lower(statement)) THEN 'copied' END, CASE WHEN kind = 'bridge' AND coalesce(n, 0) < 2 THEN 'one_source' END,
@@ -216,16 +295,52 @@ def fact_checks(t: Tables) -> DataFrame:
     return t.facts.select("id", "kind", "statement", "evidence_text").join(s, "id", "left").select("id", F.coalesce(*checks).alias("failure"))
 
 
-@query("X47, X48, X49, G09: table rows as statements of row, column and value", """
-WITH l AS (SELECT id, unnest(string_split(text, chr(10))) AS line FROM passages WHERE block_type = 'table'), c AS (SELECT id, list_transform(string_split(line, '|'), lambda x: trim(x)) AS c FROM l WHERE contains(line, '|'))
-SELECT id, concat(c[1], ' - ', i, ': ', c[i]) AS statement FROM c, LATERAL (SELECT unnest(range(2, len(c) + 1)) AS i) WHERE c[i] <> ''""")
+def grid_statements(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, row, col, statement) of a table's value cells, from (keys, scope, row, col, row_span, col_span, header, text).
+
+    ``header`` is 'column', 'row' or null. A column's label is the stack of the column headers above it from the top, a row's that of the row headers
+    beside it from the left; a header with spans stands for every row and column it covers, and a label that repeats the one before it in the stack is said once. The
+    statement is "scope - row - column: value" of what is known; empty cells and headers state nothing.
+    """
+    live = cells.filter(F.trim("text") != "").withColumn("text", F.trim("text"))
+
+    def stack(kind: str, over: str, span: str, along: str) -> DataFrame:
+        places = F.explode(F.sequence(F.col(over), F.col(over) + F.greatest(F.lit(1), F.coalesce(span, F.lit(1))) - 1))
+        labels = live.filter(F.col("header") == kind).select(*keys, places.alias(over), along, "text").groupBy(*keys, over).agg(F.array_sort(F.collect_set(F.struct(along, "text"))).alias("o"))
+        texts = F.transform("o", lambda e: e["text"])
+        once = F.filter(texts, lambda x, i: (i == 0) | (x != F.get(texts, F.greatest(i - 1, F.lit(0)))))
+        return labels.select(*keys, over, F.array_join(once, ", ").alias(f"{kind}_label"))
+
+    values = live.filter("header IS NULL")
+    rows = values.join(stack("column", "col", "col_span", "row"), [*keys, "col"], "left").join(stack("row", "row", "row_span", "col"), [*keys, "row"], "left")
+    head = F.concat_ws(" - ", F.when(F.col("scope") != "", F.col("scope")), "row_label", "column_label")
+    return rows.select(*keys, "row", "col", F.when(head == "", F.col("text")).otherwise(F.concat(head, F.lit(": "), "text")).alias("statement"))
+
+
+@query("X47, X48, X49, G09: cells of table passages as statements of section, row, column and value", """
+WITH l AS (SELECT id, coalesce(section_path, '') AS scope, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM passages WHERE text IS NOT NULL),
+c AS (SELECT id, scope, i, list_transform(string_split(line, '|'), lambda x: trim(x)) AS c FROM l WHERE contains(line, '|')), r AS (SELECT *, unnest(range(2, len(c) + 1)) AS j FROM c)
+SELECT id, i AS row, j AS col, concat(CASE WHEN scope <> '' THEN concat(scope, ' - ') ELSE '' END, CASE WHEN c[1] <> '' THEN concat(c[1], ' - ') ELSE '' END, 'column ', j, ': ', c[j]) AS statement FROM r WHERE c[j] <> ''""")
 def table_statements(t: Tables) -> DataFrame:
-    line = t.passages.filter("block_type = 'table'").select("id", F.explode(F.split("text", "\n")).alias("l")).filter(F.contains("l", F.lit("|")))
-    cells = line.select("id", F.transform(F.split("l", r"\|"), lambda x: F.trim(x)).alias("c"))
-    return cells.select("id", F.col("c")[0].alias("head"), F.posexplode("c").alias("i", "v")).filter("i > 0 AND v <> ''").select("id", F.concat("head", F.lit(" - "), (F.col("i") + 1).cast("string"), F.lit(": "), "v").alias("statement"))
+    """The tables here print no column headers, so a column is named by its number; the first cell of a line heads its row."""
+    line = t.passages.filter("text IS NOT NULL").select("id", F.coalesce("section_path", F.lit("")).alias("scope"), F.posexplode(F.split("text", "\n")).alias("i", "line")).filter(F.contains("line", F.lit("|")))
+    cells = line.select("id", "scope", (F.col("i") + 1).cast("bigint").alias("row"), F.posexplode(F.split("line", r"\|")).alias("j", "text")).withColumn("col", (F.col("j") + 1).cast("bigint"))
+    one = F.lit(1).cast("bigint")
+    marked = cells.select("id", "scope", "row", "col", one.alias("row_span"), one.alias("col_span"), F.when(F.col("col") == 1, "row").alias("header"), "text")
+    widths = cells.groupBy("id", "scope").agg(F.max("col").alias("most"))
+    heads = widths.select("id", "scope", F.lit(0).cast("bigint").alias("row"), F.explode(F.sequence(F.lit(2).cast("bigint"), F.greatest(F.lit(2).cast("bigint"), "most"))).alias("col"))
+    named = heads.select("id", "scope", "row", "col", one.alias("row_span"), one.alias("col_span"), F.lit("column").alias("header"), F.concat(F.lit("column "), F.col("col").cast("string")).alias("text"))
+    return grid_statements(marked.unionByName(named), ["id"])
+
+
+@query("X51: answer forms as factual or open", """
+SELECT id, CASE answer_form WHEN 'value' THEN 'factoid' WHEN 'list' THEN 'factoid' WHEN 'explanation' THEN 'open-ended' END AS factuality FROM questions""")
+def factuality(t: Tables) -> DataFrame:
+    form = F.col("answer_form")
+    return t.questions.select("id", F.when(form.isin("value", "list"), "factoid").when(form == "explanation", "open-ended").alias("factuality"))
 
 
-@query("X51, X52: ranges of pages as text, and confidence as a verdict", """
+@query("X52: ranges of pages as text", """
 SELECT id, CASE WHEN page_from IS NULL THEN NULL WHEN page_from = page_to THEN CAST(page_from AS VARCHAR) ELSE concat(page_from, '-', page_to) END AS pages FROM passages""")
 def page_ranges(t: Tables) -> DataFrame:
     first, last = F.col("page_from"), F.col("page_to")
