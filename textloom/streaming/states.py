@@ -61,13 +61,13 @@ def expiring(log: DataFrame, lease_ms: int = 300_000) -> DataFrame:
     return log.withWatermark("ts", "10 minutes").groupBy("user_id").applyInPandasWithState(step, "user_id bigint, outcome string", "claim bigint", "append", GroupStateTimeout.EventTimeTimeout)
 
 
-@query("Q01, Q05, Q06, Q18: state of every key folded from the log", """
+@query("Q01: state of every key folded from the log", """
 SELECT user_id, CASE arg_max(event_type, (ts, event_id)) WHEN 'signup' THEN 'new' WHEN 'view' THEN 'pending' WHEN 'click' THEN 'in_progress' WHEN 'purchase' THEN 'done' ELSE 'failed' END AS state, max(ts) AS since, count(*) AS changes FROM events GROUP BY 1""")
 def status_fold(t: Tables) -> DataFrame:
     return folded(t.events)
 
 
-@query("Q04, Q17, N17: claims that nothing released within a lease, and results that came too late", """
+@query("Q04, N17: claims that nothing released within a lease, and results that came too late", """
 WITH n AS (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_at, lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_type FROM events)
 SELECT event_id, user_id, next_type IN ('purchase', 'error') AS late_result FROM n WHERE event_type = 'click' AND (next_at IS NULL OR next_at > ts + INTERVAL 5 MINUTE)""")
 def lease_expiry(t: Tables) -> DataFrame:
@@ -127,7 +127,7 @@ def streamed(t: Tables, name: str, plan, mode: str) -> DataFrame:
     return t.spark.read.schema(out.schema).parquet(written[-1]) if written else t.spark.createDataFrame([], out.schema)
 
 
-@query("Q07, Q08, D13: hourly counts as a stream, drained", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+@query("Q07, D13: hourly counts as a stream, drained", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_hourly(t: Tables) -> DataFrame:
     return streamed(t, "hourly", tumbling, "complete").withColumn("start", F.col("start").cast("timestamp_ntz"))
 
@@ -138,6 +138,6 @@ def stream_states(t: Tables) -> DataFrame:
     return streamed(t, "states", folded, "complete").withColumn("since", F.col("since").cast("timestamp_ntz"))
 
 
-@query("Q02, Q03, Q04: leases by event time in a stateful stream", None)
+@query("Q04: leases by event time in a stateful stream", None)
 def stream_leases(t: Tables) -> DataFrame:
     return streamed(t, "leases", expiring, "append")
