@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.columns import numbers, share, words
-from textloom.operators.windows import first_of
+from textloom.operators.windows import first_of, ranked
 from textloom.registry import Tables, query
 
 WORDS = "regexp_extract_all(lower(coalesce({}, '')), '[\\p{{L}}\\p{{N}}]+')"
@@ -185,17 +185,25 @@ def recalibrated(t: Tables) -> DataFrame:
     return t.facts.select("id", "confidence", n.alias("n")).filter(~F.col("n").eqNullSafe(F.col("confidence")))
 
 
-@query("A21: distinct over all n-grams of the words of each language, n from 1 to 4", """
-WITH w AS (SELECT language, """ + WORDS.format("statement") + """ AS ws FROM (SELECT id, statement, CASE WHEN contains(statement, ' der ') OR contains(statement, ' die ') OR contains(statement, ' das ') THEN 'de' ELSE 'xx' END AS language FROM facts)),
-g AS (SELECT language, n, array_to_string(ws[i:i + n - 1], ' ') AS gram FROM w, (SELECT unnest([1, 2, 3, 4]) AS n), LATERAL (SELECT unnest(range(1, len(ws) - n + 2)) AS i))
-SELECT language, CAST(n AS INTEGER) AS n, round(count(DISTINCT gram) / count(*), 6) AS diversity FROM g GROUP BY 1, 2""")
+@query("A21: n-gram diversity of each language's questions: distinct over all runs of one to four words of the joined texts, summed", """
+WITH w AS (SELECT language, flatten(list(list_filter(string_split_regex(trim(question_text), '\\s+'), lambda x: x <> '') ORDER BY id)) AS ws FROM questions WHERE language IS NOT NULL AND question_text IS NOT NULL GROUP BY 1),
+g AS (SELECT language, n, array_to_string(ws[i:i + n - 1], ' ') AS gram FROM w, (SELECT unnest([1, 2, 3, 4]) AS n), LATERAL (SELECT unnest(range(1, len(ws) - n + 2)) AS i)),
+d AS (SELECT language, n, count(DISTINCT gram) / count(*) AS d FROM g GROUP BY 1, 2) SELECT language, round(sum(d), 6) AS diversity FROM d GROUP BY 1""")
 def ngram_diversity(t: Tables) -> DataFrame:
-    german = F.contains(F.col("statement"), F.lit(" der ")) | F.contains(F.col("statement"), F.lit(" die ")) | F.contains(F.col("statement"), F.lit(" das "))
-    rows = t.facts.select(F.when(german, "de").otherwise("xx").alias("language"), words("statement").alias("ws"))
-    rows = rows.withColumn("n", F.explode(F.array(*[F.lit(i) for i in (1, 2, 3, 4)]))).filter(F.size("ws") >= F.col("n"))
-    grams = rows.select("language", "n", F.explode(F.transform(F.sequence(F.lit(1), F.size("ws") - F.col("n") + 1), lambda i: F.array_join(F.slice("ws", i, F.col("n")), " "))).alias("gram"))
+    """The texts are joined in order of id; a run may cross into the next texts, whose first words are brought by rank, not by gathering a language."""
+    held = F.filter(F.split(F.trim("question_text"), r"\s+"), lambda x: x != "")
+    rows = ranked(t.questions.filter("language IS NOT NULL AND question_text IS NOT NULL").select("language", "id", held.alias("ws")).filter(F.size("ws") > 0), "language", "id", "rank")
+    heads = rows.select("language", "rank", F.slice("ws", 1, 3).alias("head"))
+    for k in (1, 2, 3):
+        rows = rows.join(heads.select("language", (F.col("rank") - k).alias("rank"), F.col("head").alias(f"h{k}")), ["language", "rank"], "left")
+    none = F.array().cast("array<string>")
+    after = F.slice(F.concat(*[F.coalesce(f"h{k}", none) for k in (1, 2, 3)]), 1, 3)
+    rows = rows.select("language", F.size("ws").alias("own"), F.concat("ws", after).alias("ws"), F.explode(F.array(*[F.lit(i) for i in (1, 2, 3, 4)])).alias("n"))
+    last = F.least(F.col("own"), F.size("ws") - F.col("n") + 1)
+    grams = rows.filter(last >= 1).select("language", "n", F.explode(F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.array_join(F.slice("ws", i, F.col("n")), " ")))).alias("gram"))
     counts = grams.groupBy("language", "n", "gram").agg(F.count(F.lit(1)).alias("c"))  # a hot language is spread by its grams
-    return counts.groupBy("language", "n").agg(share(F.count(F.lit(1)), F.sum("c")).alias("diversity"))
+    each = counts.groupBy("language", "n").agg((F.count(F.lit(1)) / F.sum("c")).alias("d"))
+    return each.groupBy("language").agg(F.round(F.sum("d"), 6).alias("diversity"))
 
 
 @query("A22: share of texts that hold a run of four words another text holds", """

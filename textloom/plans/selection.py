@@ -52,7 +52,7 @@ def largest_fillable(weights: dict[str, float], supply: dict[str, int], toleranc
     return 0
 
 
-@query("P01, P02, P03: slots with a type by highest averages, a band by position and a kind in turn", """
+@query("P01, P02: slots with a type by highest averages, a band by position and a kind in turn", """
 WITH w AS (SELECT question_type AS name, CAST(count(*) AS DOUBLE) AS w FROM questions GROUP BY 1), k AS (SELECT name, j, row_number() OVER (ORDER BY w / (2 * j + 1) DESC, name, j) - 1 AS slot FROM w, (SELECT unnest(range(0, 40)) AS j))
 SELECT slot, name AS type, CASE WHEN floor((slot + 1) * 0.25) > floor(slot * 0.25) THEN 'hard' WHEN floor((slot + 1) * 0.5) > floor(slot * 0.5) THEN 'medium' ELSE 'easy' END AS band, (['atomic', 'summary', 'bridge'])[slot % 3 + 1] AS kind FROM k WHERE slot < 40""")
 def slot_plan(t: Tables) -> DataFrame:
@@ -71,7 +71,7 @@ def evidence_siblings(t: Tables) -> DataFrame:
     return rows.select("h", F.col("id").alias("a")).join(rows.select("h", F.col("id").alias("b")), "h").filter("a < b").select("a", "b")
 
 
-@query("P08, P09, P12, P13, P17: seats of the pool's bands under their supply, and the largest size they can fill", None)
+@query("P09, P17: seats of the pool's bands under their supply, and the largest size they can fill", None)
 def pool_quota(t: Tables) -> DataFrame:
     """Bands are few by nature: their counts, at most 1,000, are taken to the driver."""
     rows = t.release_pool.select("id", F.lower(F.trim("difficulty")).alias("d")).filter("d IS NOT NULL").distinct().groupBy("d").agg(F.count(F.lit(1)).alias("n")).limit(1000).collect()
@@ -90,14 +90,35 @@ def shares_within(t: Tables) -> DataFrame:
     return rows.agg(F.bool_and(F.abs(F.col("n") / F.col("t") - 0.5) <= 0.05).alias("held"))
 
 
-@query("P10, P14: a draw that keeps no two questions on one fact, the lowest in hash order of each fact's questions", """
-WITH h AS (SELECT qf.question_id, qf.fact_id, md5(CAST(qf.question_id AS VARCHAR)) AS h FROM (SELECT DISTINCT * FROM question_facts) qf JOIN questions q ON q.id = qf.question_id WHERE q.status = 'accepted'),
-f AS (SELECT fact_id, min(h) AS best FROM h GROUP BY 1) SELECT question_id FROM h JOIN f USING (fact_id) GROUP BY 1 HAVING bool_and(h = best)""")
+def independent(rows: DataFrame) -> DataFrame:
+    """(item) of the items that a walk in order of h keeps, when each takes its keys and one whose key is taken is left: rows are (item, key, h), h one
+    an item. Every round keeps the items that come first at all their keys and drops those they exclude, which decides as the walk does without
+    walking; rounds are logarithmic in practice, and no pair of items is formed."""
+    alive, kept = checkpointed(rows), []
+    while not alive.isEmpty():
+        best = alive.groupBy("key").agg(F.min("h").alias("best"))
+        first = alive.join(best, "key").groupBy("item").agg(F.bool_and(F.col("h") == F.col("best")).alias("wins")).filter("wins").select("item")
+        first = checkpointed(first)
+        kept.append(first)
+        taken = alive.join(first, "item", "left_semi").select("key").distinct()
+        out = alive.join(taken, "key", "left_semi").select("item").distinct()
+        alive = checkpointed(alive.join(out, "item", "left_anti"))
+    whole = rows.select("item").limit(0)
+    for x in kept:
+        whole = whole.unionByName(x)
+    return whole
+
+
+@query("P14: accepted questions that a walk in hash order keeps, none on a fact of another", """
+WITH RECURSIVE q AS (SELECT DISTINCT question_id AS id, fact_id, md5(CAST(question_id AS VARCHAR)) AS h FROM question_facts JOIN questions ON id = question_id WHERE status = 'accepted'),
+o AS (SELECT id, h, row_number() OVER (ORDER BY h) AS r, list(DISTINCT fact_id) AS f FROM q GROUP BY id, h),
+w AS (SELECT CAST(0 AS BIGINT) AS r, CAST([] AS BIGINT[]) AS taken, CAST([] AS BIGINT[]) AS kept
+ UNION ALL SELECT o.r, CASE WHEN list_has_any(w.taken, o.f) THEN w.taken ELSE list_concat(w.taken, o.f) END, CASE WHEN list_has_any(w.taken, o.f) THEN w.kept ELSE list_append(w.kept, o.id) END FROM w JOIN o ON o.r = w.r + 1)
+SELECT unnest(kept) AS question_id FROM (SELECT kept FROM w ORDER BY r DESC LIMIT 1)""")
 def drawable(t: Tables) -> DataFrame:
     accepted = t.questions.filter("status = 'accepted'").select(F.col("id").alias("question_id"))
-    rows = t.question_facts.distinct().join(accepted, "question_id", "left_semi").withColumn("h", hashed("question_id"))
-    best = rows.groupBy("fact_id").agg(F.min("h").alias("best"))
-    return rows.join(best, "fact_id").groupBy("question_id").agg(F.bool_and(F.col("h") == F.col("best")).alias("kept")).filter("kept").select("question_id")
+    rows = t.question_facts.distinct().join(accepted, "question_id", "left_semi").select(F.col("question_id").alias("item"), F.col("fact_id").alias("key"), hashed("question_id").alias("h"))
+    return independent(rows).select(F.col("item").alias("question_id"))
 
 
 @query("P04, P05, P06: facts dealt to questions by document: rounds over its passages, each fact spent once, a sample widened while it is small", None)
