@@ -188,7 +188,7 @@ def sibling_sections(t: Tables) -> DataFrame:
     return a.join(b, ["doc_sha256", "parent"]).filter("a < b").select("doc_sha256", "a", "b")
 
 
-@query("J23, T17, X45: sections named in a text, and the nearest passage of the document under that section", """
+@query("X45: sections named in a text, and the nearest passage of the document under that section", """
 WITH r AS (SELECT id, doc_sha256, ordinal, CAST(unnest(regexp_extract_all(text, '(?:section|Abschnitt) ([0-9]+)', 1)) AS INTEGER) AS label FROM passages),
 c AS (SELECT r.id, r.label, p.id AS target, row_number() OVER (PARTITION BY r.id, r.label ORDER BY abs(p.ordinal - r.ordinal), p.id) AS k FROM r JOIN passages p ON p.doc_sha256 = r.doc_sha256 AND p.id <> r.id AND TRY_CAST(string_split(p.section_path, '.')[1] AS INTEGER) = r.label)
 SELECT id, label, target FROM c WHERE k = 1""")

@@ -128,18 +128,6 @@ def shared_beginning(t: Tables) -> DataFrame:
     return rows.select("id", shared.alias("shared"))
 
 
-@query("T21: same-document passage with most shared terms, then the nearest, then by id", """
-WITH v AS (SELECT DISTINCT id, lower(trim(x)) AS term FROM (SELECT id, unnest(lemmas) AS x FROM passage_vocabulary) WHERE trim(x) <> ''), p AS (SELECT p.id, p.doc_sha256, p.ordinal, list(term) AS w FROM passages p JOIN v USING (id) WHERE p.block_type = 'list' GROUP BY 1, 2, 3)
-SELECT id, near FROM (SELECT a.id, b.id AS near, row_number() OVER (PARTITION BY a.id ORDER BY len(list_intersect(a.w, b.w)) DESC, abs(a.ordinal - b.ordinal), b.id) AS r FROM p a JOIN p b ON a.doc_sha256 = b.doc_sha256 AND a.id <> b.id) WHERE r = 1""")
-def document_partner(t: Tables) -> DataFrame:
-    v = t.passage_vocabulary.select("id", F.explode("lemmas").alias("x")).select("id", F.lower(F.trim("x")).alias("term")).filter("term <> ''").groupBy("id").agg(F.collect_set("term").alias("w"))
-    p = t.passages.filter("block_type = 'list'").select("id", "doc_sha256", "ordinal").join(v, "id")
-    b = p.select("doc_sha256", F.col("id").alias("near"), F.col("ordinal").alias("ob"), F.col("w").alias("wb"))
-    rows = p.join(b, "doc_sha256").filter("id <> near")
-    r = F.row_number().over(Window.partitionBy("id").orderBy(F.desc(F.size(F.array_intersect("w", "wb"))), F.abs(F.col("ordinal") - F.col("ob")), "near"))
-    return rows.withColumn("r", r).filter("r = 1").select("id", "near")
-
-
 @query("T23, T24, X56: first distinct statements of a question joined into a text", """
 SELECT question_id, array_to_string(list_slice(list(statement ORDER BY id), 1, 4), chr(10)) AS text FROM (SELECT DISTINCT question_id, f.id, statement FROM question_facts qf JOIN facts f ON f.id = qf.fact_id) GROUP BY 1""")
 def question_context(t: Tables) -> DataFrame:

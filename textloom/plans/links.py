@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.operators.groups import walked
 from textloom.operators.joins import rare_term_pairs
 from textloom.operators.windows import first_of
 from textloom.registry import Tables, query
@@ -110,3 +112,49 @@ def chapter_terms(t: Tables) -> DataFrame:
     chapters = t.passages.filter("section_path IS NOT NULL").select("id", F.substring_index("section_path", ".", 1).alias("chapter"))
     n = terms_of(t).join(chapters, "id").groupBy("chapter", "term").agg(F.count(F.lit(1)).alias("n"))
     return first_of(n, ["chapter"], [F.desc("n"), "term"], 5).select("chapter", "term", "n")
+
+
+def _alike(rows: list[tuple]) -> list[tuple]:
+    """(a, b, n, distance) of one pair of blocks: for each passage of either the one of the other with most terms in common, then the nearest by ordinal,
+    then the lower id. Rows are (doc, i, j, block, id, ordinal, terms) in order of block and id."""
+    left = [r[4:] for r in rows if r[3] == rows[0][1]]
+    right = left if rows[0][1] == rows[0][2] else [r[4:] for r in rows if r[3] == rows[0][2]]
+    if not right:
+        return []
+    held: dict[str, list[int]] = {}
+    for k, (_, _, terms) in enumerate(right):
+        for x in terms:
+            held.setdefault(x, []).append(k)
+    postings = {x: np.asarray(v) for x, v in held.items()}
+    ids, at = np.array([r[0] for r in right]), np.array([r[1] for r in right])
+    most, gap, of, out = np.full(len(right), -1), np.zeros(len(right), dtype=np.int64), np.zeros(len(right), dtype=np.int64), []
+    for k, (a, ordinal, terms) in enumerate(left):
+        own = [postings[x] for x in terms if x in postings]
+        n = np.bincount(np.concatenate(own), minlength=len(right)) if own else np.zeros(len(right), dtype=np.int64)
+        d = np.abs(at - ordinal)
+        if right is left:
+            n[k] = -1
+        else:
+            better = (n > most) | (n == most) & ((d < gap) | (d == gap) & (a < of))
+            most[better], gap[better], of[better] = n[better], d[better], a
+        among = np.flatnonzero(n == n.max())
+        b = among[np.lexsort((ids[among], d[among]))[0]]
+        if n[b] >= 0:
+            out.append((a, int(ids[b]), int(n[b]), int(d[b])))
+    return out + [(int(ids[k]), int(of[k]), int(most[k]), int(gap[k])) for k in np.flatnonzero(most >= 0)]
+
+
+@query("T21: same-document passage with most shared terms, then the nearest, then by id", """
+WITH v AS (SELECT DISTINCT id, lower(trim(x)) AS term FROM (SELECT id, unnest(lemmas) AS x FROM passage_vocabulary) WHERE trim(x) <> ''), p AS (SELECT p.id, p.doc_sha256, p.ordinal, list(term) AS w FROM passages p JOIN v USING (id) GROUP BY 1, 2, 3)
+SELECT id, near FROM (SELECT a.id, b.id AS near, row_number() OVER (PARTITION BY a.id ORDER BY len(list_intersect(a.w, b.w)) DESC, abs(a.ordinal - b.ordinal), b.id) AS r FROM p a JOIN p b ON a.doc_sha256 = b.doc_sha256 AND a.id <> b.id) WHERE r = 1""")
+def document_partner(t: Tables, block: int = 4000) -> DataFrame:
+    """A document is cut into blocks of about ``block`` passages and every pair of blocks meets in a task, so groups are bounded; the work is quadratic in a
+    document's passages, as the comparison with all of them is."""
+    v = terms_of(t).groupBy("id").agg(F.collect_set("term").alias("w"))
+    p = t.passages.filter("ordinal IS NOT NULL").select("id", "doc_sha256", F.col("ordinal").cast("bigint").alias("ordinal")).join(v, "id")
+    parts = p.groupBy("doc_sha256").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("of"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    w = p.join(parts, "doc_sha256").withColumn("own", F.pmod(F.xxhash64("id"), F.col("of")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+    met = w.select("doc_sha256", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "ordinal", "w")
+    found = walked(met, ["doc_sha256", "i", "j"], ["own", "id"], _alike, "a bigint, b bigint, n bigint, d bigint")
+    best = found.groupBy(F.col("a").alias("id")).agg(F.max(F.struct("n", (-F.col("d")).alias("d"), (-F.col("b")).alias("b"))).alias("m"))
+    return best.select("id", (-F.col("m.b")).alias("near"))

@@ -15,8 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.columns import share, share_of, words
-from textloom.functions.text import content, sentences
+from textloom.functions.columns import numbers, share, share_of, words
+from textloom.functions.text import CONTENT, content, sentences
 from textloom.operators.groups import walked
 from textloom.operators.windows import first_of
 from textloom.registry import Tables, query
@@ -57,12 +57,40 @@ def served(call: Callable[[str], str], retries: int = 3, wait: float = 0.5) -> C
 
 
 def embedded(rows: DataFrame, text: str, width: int = 64) -> DataFrame:
-    """Stand-in embedder: a hashed bag of words with signs, of unit length; a text without words has the zero vector."""
-    ws = words(text)
-    slots = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.aggregate(F.filter(ws, lambda w: F.pmod(F.xxhash64(w), F.lit(width)) == i), F.lit(0.0), lambda s, w: s + F.when(F.pmod(F.xxhash64(w, F.lit(1)), F.lit(2)) == 0, 1.0).otherwise(-1.0)))
-    rows = rows.withColumn("vector", slots)
-    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    return rows.withColumn("vector", F.when(length > 0, F.transform("vector", lambda x: x / length)).otherwise(F.col("vector")))
+    """Stand-in embedder: a bag of words with signs, each word at the place its digest names, of unit length; a text without words has the zero vector."""
+    keyed = checkpointed(rows.withColumn("_row", F.monotonically_increasing_id()))
+    each = keyed.select("_row", F.explode(words(text)).alias("w")).withColumn("h", F.md5("w"))
+    place, sign = F.conv(F.substring("h", 1, 8), 16, 10).cast("bigint") % width, F.when(F.conv(F.substring("h", 9, 1), 16, 10).cast("int") < 8, 1.0).otherwise(-1.0)
+    sums = each.groupBy("_row", place.cast("int").alias("at")).agg(F.sum(sign).alias("x")).filter("x <> 0")
+    held = sums.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("at", "x"))).alias("m"), F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("l"))  # at most ``width`` places
+    vector = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.coalesce(F.try_element_at("m", i) / F.col("l"), F.lit(0.0)))
+    return keyed.join(held, "_row", "left").withColumn("vector", vector).drop("_row", "m", "l")
+
+
+def entailed(premise: Column | str, hypothesis: Column | str, floor: float = 0.8) -> tuple[Column, Column]:
+    """Stand-in entailment: (score, label). The score is the share of the hypothesis' content words that the premise has; a hypothesis with a number that
+    the premise lacks contradicts it where the words are about the same, and one without content words abstains."""
+    score = share_of(content(hypothesis), content(premise))
+    strange = F.size(F.array_except(numbers(hypothesis), numbers(premise))) > 0
+    return score, F.when(score.isNull(), "abstain").when(strange & (score >= 0.5), "contradiction").when(~strange & (score >= floor), "entailment").otherwise("neutral")
+
+
+#: Of the format in which a fitted model is dumped; another one is refused when it is read.
+MODEL_FORMAT = 1
+
+
+def dumped(model: DataFrame, path: str) -> None:
+    """A fitted model (name, at, value) in long form, one row a weight, with its format beside it."""
+    model.select("name", "at", "value").write.mode("overwrite").parquet(f"{path}/weights")
+    model.sparkSession.createDataFrame([(MODEL_FORMAT,)], "format int").coalesce(1).write.mode("overwrite").json(f"{path}/format")
+
+
+def loaded(spark, path: str) -> DataFrame:
+    """What ``dumped`` wrote; raises for another format."""
+    row = spark.read.schema("format int").json(f"{path}/format").first()
+    if row is None or row["format"] != MODEL_FORMAT:
+        raise ValueError(f"model format {row and row['format']}, not {MODEL_FORMAT}")
+    return spark.read.schema("name string, at int, value double").parquet(f"{path}/weights")
 
 
 def claims(rows: DataFrame, text: str) -> DataFrame:
@@ -118,18 +146,68 @@ def covered_area(boxes: Iterable[tuple[float, float, float, float]]) -> float:
     return area
 
 
-@query("G05, G06, G07, X17: claims of the passages by the stand-in readers, with their numbers and words", """
+@query("X17: figures, words and references of each passage", """
 SELECT id, len(regexp_extract_all(text, '[0-9]+')) AS figures, len(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS words, regexp_matches(text, '(?:section|Abschnitt) [0-9]+') AS refers FROM passages""")
 def claim_readings(t: Tables) -> DataFrame:
     return t.passages.select("id", F.size(F.regexp_extract_all("text", F.lit(r"\d+"), F.lit(0))).alias("figures"), F.size(words("text")).alias("words"), F.col("text").rlike("(?:section|Abschnitt) [0-9]+").alias("refers"))
 
 
-@query("G06, G07, G08: claims and digests that the stand-ins extract from text passages", None)
+@query("G06, G07: claims and digests that the stand-ins extract from text passages", None)
 def extracted_claims(t: Tables) -> DataFrame:
     rows = t.passages.select("id", "text")
     return claims(rows, "text").unionByName(digests(rows, "text")).select("id", "kind", "claim")
 
 
+@query("G05: statements embedded by the stand-in, one row a place of the vector that is not zero", """
+WITH w AS (SELECT id, unnest(regexp_extract_all(lower(coalesce(statement, '')), '[\\p{L}\\p{N}]+')) AS w FROM facts),
+p AS (SELECT id, CAST(concat('0x', md5(w)[1:8]) AS BIGINT) % 64 AS at, sum(CASE WHEN CAST(concat('0x', md5(w)[9:9]) AS INTEGER) < 8 THEN 1.0 ELSE -1.0 END) AS x FROM w GROUP BY 1, 2), l AS (SELECT id, sqrt(sum(x * x)) AS l FROM p GROUP BY 1)
+SELECT id, "at", round(x / l, 6) AS value FROM p JOIN l USING (id) WHERE x <> 0""")
+def embedded_statements(t: Tables) -> DataFrame:
+    rows = embedded(t.facts.select("id", "statement"), "statement").select("id", F.posexplode("vector").alias("at", "value"))
+    return rows.filter("value <> 0").select("id", F.col("at").cast("bigint").alias("at"), F.round("value", 6).alias("value"))
+
+
+@query("G08: bridges that the stand-in finds between passages of different documents: the rarest term both have, and the claim that says so", """
+WITH v AS (SELECT DISTINCT id, language, lower(trim(x)) AS term FROM (SELECT id, language, unnest(lemmas) AS x FROM passage_vocabulary WHERE language IS NOT NULL) WHERE trim(x) <> ''), n AS (SELECT language, count(DISTINCT id) AS n FROM v GROUP BY 1),
+d AS (SELECT language, term, count(*) AS df FROM v GROUP BY 1, 2), r AS (SELECT language, term, df FROM d JOIN n USING (language) WHERE df BETWEEN 2 AND greatest(2, ceil(0.005 * n))),
+c AS (SELECT v.id, v.term, v.language, r.df, p.doc_sha256 FROM v JOIN r USING (language, term) JOIN passages p USING (id)),
+k AS (SELECT a.id AS a, b.id AS b, a.term, a.df FROM c a JOIN c b ON a.language = b.language AND a.term = b.term AND a.id < b.id AND a.doc_sha256 <> b.doc_sha256)
+SELECT a, b, arg_min(term, (df, term)) AS term, concat('Both passages speak of ', arg_min(term, (df, term)), '.') AS claim FROM k GROUP BY 1, 2""")
+def bridges(t: Tables) -> DataFrame:
+    words_ = t.passage_vocabulary.filter("language IS NOT NULL").select("id", "language", F.explode("lemmas").alias("x"))
+    v = words_.select("id", "language", F.lower(F.trim("x")).alias("term")).filter("term <> ''").distinct()
+    n = v.groupBy("language").agg(F.countDistinct("id").alias("n"))
+    d = v.groupBy("language", "term").agg(F.count(F.lit(1)).alias("df")).join(n, "language")
+    rare = d.filter((F.col("df") >= 2) & (F.col("df") <= F.greatest(F.lit(2), F.ceil(0.005 * F.col("n"))))).select("language", "term", "df")
+    c = v.join(rare, ["language", "term"]).join(t.passages.select("id", "doc_sha256"), "id")
+    one = c.select("language", "term", "df", F.col("id").alias("a"), F.col("doc_sha256").alias("da"))
+    two = c.select("language", "term", F.col("id").alias("b"), F.col("doc_sha256").alias("db"))
+    k = one.join(two, ["language", "term"]).filter("a < b AND da <> db").groupBy("a", "b").agg(F.min(F.struct("df", "term")).alias("m"))
+    return k.select("a", "b", F.col("m.term").alias("term"), F.concat(F.lit("Both passages speak of "), F.col("m.term"), F.lit(".")).alias("claim"))
+
+
+@query("G15: whether a fact's evidence entails its statement, by the stand-in", f"""
+WITH k AS (SELECT id, {CONTENT.format('statement')} AS h, {CONTENT.format('evidence_text')} AS p, regexp_extract_all(coalesce(statement, ''), '[0-9]+') AS n, regexp_extract_all(coalesce(evidence_text, ''), '[0-9]+') AS m FROM facts),
+s AS (SELECT id, len(list_intersect(h, p)) / nullif(len(h), 0) AS s, len(list_filter(n, lambda x: NOT list_contains(m, x))) > 0 AS strange FROM k)
+SELECT id, round(s, 6) AS score, CASE WHEN s IS NULL THEN 'abstain' WHEN strange AND s >= 0.5 THEN 'contradiction' WHEN NOT strange AND s >= 0.8 THEN 'entailment' ELSE 'neutral' END AS label FROM s""")
+def entailment_labels(t: Tables) -> DataFrame:
+    score, label = entailed("evidence_text", "statement")
+    return t.facts.select("id", F.round(score, 6).alias("score"), label.alias("label"))
+
+
+@query("S21, S22: centroids of labels dumped in long form with their format, and loaded again", """
+SELECT CAST(label AS VARCHAR) AS name, CAST(i - 1 AS INTEGER) AS at, round(avg(CAST(v AS DOUBLE)), 6) AS value FROM (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY 1, 2""")
+def model_loaded(t: Tables) -> DataFrame:
+    import uuid
+
+    from textloom.session import removed_at_exit, shared_folder
+
+    fitted = t.embeddings.select(F.col("label").cast("string").alias("name"), F.posexplode("embedding").alias("at", "v")).groupBy("name", "at").agg(F.avg(F.col("v").cast("double")).alias("value"))
+    path = removed_at_exit(t.spark, f"{shared_folder(t.spark)}/textloom/{uuid.uuid4().hex}")
+    dumped(fitted, path)
+    return loaded(t.spark, path).select("name", "at", F.round("value", 6).alias("value"))
+
+
 @query("G10, G11: questions that the stand-in writes of facts, and whether their evidence settles them", """
 SELECT id, concat('Which number completes: ', regexp_replace(statement, '[0-9]+', '…', 'g'), '?') AS question, regexp_extract(statement, '([0-9]+)', 1) AS answer, contains(coalesce(evidence_text, ''), regexp_extract(statement, '([0-9]+)', 1)) AS settled FROM facts WHERE regexp_matches(statement, '[0-9]')""")
 def drafted_questions(t: Tables) -> DataFrame:
@@ -220,7 +298,7 @@ def strongest(rows: list[tuple]) -> list[tuple]:
     return out + [(right[k][0], int(of[k]), int(most[k])) for k in np.flatnonzero(most)]
 
 
-@query("J24, J25: best partner of each section by shared terms, each pair taken once, and the pair grown by its second's best", None)
+@query("J24 (extra): best partner of each section of a document by all shared terms, each pair taken once, and the pair grown by its second's best", None)
 def section_partners(t: Tables, block: int = 4000) -> DataFrame:
     """(a, b, third): every section is compared with every other of its document. A document is cut into blocks of about ``block`` sections and every pair
     of blocks meets in a task, so the groups are bounded and no pair is lost; the work is quadratic in a document's sections. Best partners that
@@ -252,17 +330,17 @@ def label_layout(t: Tables) -> DataFrame:
     return t.spark.createDataFrame([(r["label"], *(float(x) for x in p)) for r, p in zip(rows, xy)], "label int, x double, y double")
 
 
-@query("S27, Q15: log records as one JSON object a line", "SELECT event_id, user_id, event_type FROM events WHERE event_type = 'error'")
+@query("S27: log records as one JSON object a line", "SELECT event_id, user_id, event_type FROM events WHERE event_type = 'error'")
 def log_lines(t: Tables) -> DataFrame:
     lines = t.events.filter("event_type = 'error'").select(F.to_json(F.struct("event_id", "user_id", "event_type")).alias("line"))
     return lines.select(F.from_json("line", "event_id bigint, user_id bigint, event_type string").alias("r")).select("r.*")
 
 
-@query("Q11, Q14: stages chained into one plan", "SELECT count(*) AS n FROM facts WHERE validated AND kind = 'atomic'")
+@query("Q11: stages chained into one plan", "SELECT count(*) AS n FROM facts WHERE validated AND kind = 'atomic'")
 def chained_stages(t: Tables) -> DataFrame:
     return chained(lambda d: d.filter("validated"), lambda d: d.filter("kind = 'atomic'"), lambda d: d.agg(F.count(F.lit(1)).alias("n")))(t.facts)
 
 
-@query("G15, G11: share of facts whose evidence settles them by the stand-in", None)
+@query("G11: share of facts whose evidence settles them by the stand-in", None)
 def settled_facts(t: Tables) -> DataFrame:
     return t.facts.groupBy("kind").agg(share(F.count_if(settled("statement", "statement", "evidence_text")), F.count(F.lit(1))).alias("settled"))

@@ -47,8 +47,8 @@ def claimed(rows: DataFrame, n: int, now: Column) -> DataFrame:
 
 def touched(rows: DataFrame, beats: DataFrame) -> DataFrame:
     """Heartbeats (key, claimed_at, at) renew the claims that they hold."""
-    last = beats.groupBy("key", "claimed_at").agg(F.max("at").alias("at"))
-    held = rows.join(last.withColumnRenamed("claimed_at", "under"), (rows["key"] == last["key"]) & (rows["claimed_at"] == F.col("under")), "left").drop(last["key"])
+    last = beats.groupBy("key", "claimed_at").agg(F.max("at").alias("at")).select(F.col("key").alias("of"), F.col("claimed_at").alias("under"), "at")
+    held = rows.join(last, (rows["key"] == F.col("of")) & (rows["claimed_at"] == F.col("under")), "left")
     return changed(held, may("finish") & F.col("at").isNotNull(), claimed_at=F.greatest("at", "claimed_at")).select(*COLUMNS)
 
 
