@@ -201,9 +201,10 @@ def mix(documents: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_c
     planned = spark.createDataFrame(rows, planned.schema)
     cut = stored(blocks(tokens, block, chunk_docs))
     drawn_slots = slots(spark, [r.asDict() for r in rows if r["source"] is not None and r["planned_tokens"] is not None], seed, block)
-    mixed = drawn_slots.join(cut, ["source", "block"]).select("mix_name", "shard", "slot", "source", "repeat", "block", "doc_id", "first_token", "tokens")
+    # Slots and blocks both grow with the corpus, so they meet by shuffle at every size.
+    mixed = drawn_slots.join(cut.hint("merge"), ["source", "block"]).select("mix_name", "shard", "slot", "source", "repeat", "block", "doc_id", "first_token", "tokens")
     sizes = cut.groupBy("source", "block").agg(F.sum("tokens").alias("tokens"))
-    met = drawn_slots.join(sizes, ["source", "block"]).groupBy("mix_name", "source").agg(F.sum("tokens").alias("reached_tokens"), F.count(F.lit(1)).alias("slots"))
+    met = drawn_slots.join(sizes.hint("merge"), ["source", "block"]).groupBy("mix_name", "source").agg(F.sum("tokens").alias("reached_tokens"), F.count(F.lit(1)).alias("slots"))
     share = F.col("reached_tokens") / F.sum("reached_tokens").over(Window.partitionBy("mix_name"))
     all_drawn = F.col("slots") >= F.col("max_repeats") * F.ceil(F.col("source_tokens") / block)
     report = planned.join(met, ["mix_name", "source"], "left").fillna(0, ["reached_tokens", "slots"]).withColumn("reached_share", share)
