@@ -125,7 +125,7 @@ def title_ends(t: Tables) -> DataFrame:
     return t.documents.filter("title IS NOT NULL").select("doc_id", F.array_contains(literals(STOP), F.try_element_at(words("title"), F.lit(-1))).alias("open_end"), F.coalesce(F.try_element_at(names, code), code).alias("language"))
 
 
-@query("X09, X11, X12: lines repeated over a document's passages, their numbers masked", """
+@query("X11, X12: lines repeated over a document's passages, their numbers masked", """
 WITH l AS (SELECT id, doc_sha256, trim(unnest(string_split(text, chr(10)))) AS line FROM passages WHERE doc_sha256 IS NOT NULL), k AS (SELECT DISTINCT id, doc_sha256, regexp_replace(line, '[0-9]+', '#', 'g') AS shape FROM l WHERE length(line) BETWEEN 1 AND 80)
 SELECT doc_sha256, shape, count(*) AS passages FROM k GROUP BY 1, 2 HAVING count(*) >= 3""")
 def repeated_lines(t: Tables) -> DataFrame:
@@ -150,7 +150,7 @@ def sentence_counts(t: Tables) -> DataFrame:
     return t.passages.filter("block_type = 'list' OR NOT contains(text, '\n')").select("id", F.size(sentences("text")).alias("sentences"), items.alias("items"))
 
 
-@query("X15, X16, X25, X26, M11: questions whose content words and numbers another question has too", f"""
+@query("X15, X25, X26: questions whose content words and numbers another question has too", f"""
 WITH k AS (SELECT id, list_sort({CONTENT.format('question_text')}) AS c FROM questions) SELECT array_to_string(c, ' ') AS content, count(*) AS n, min(id) AS first_id FROM k WHERE len(c) > 0 GROUP BY 1 HAVING count(*) > 1""")
 def same_content(t: Tables) -> DataFrame:
     rows = t.questions.select("id", F.array_join(F.array_sort(content("question_text")), " ").alias("content")).filter("content <> ''")

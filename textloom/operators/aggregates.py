@@ -261,7 +261,7 @@ def pooled_strata(t: Tables) -> DataFrame:
     return s.agg(F.sum("n").alias("t"), F.sum(F.col("n") * F.col("est")).alias("e"), F.sum(F.col("n") ** 2 * F.col("v")).alias("v")).select(F.round(F.col("e") / F.col("t"), 6).alias("estimate"), F.round(F.sqrt("v") / F.col("t"), 6).alias("error"))
 
 
-@query("A32, A33, G03: terms kept between document-frequency bounds; how many topics their passages give", """
+@query("A32, G03: terms kept between document-frequency bounds; how many topics their passages give", """
 WITH v AS (SELECT DISTINCT id, language, lower(trim(x)) AS term FROM (SELECT id, language, unnest(lemmas) AS x FROM passage_vocabulary WHERE language IS NOT NULL) WHERE trim(x) <> ''), n AS (SELECT language, count(DISTINCT id) AS n FROM v GROUP BY 1),
 d AS (SELECT language, term, count(*) AS df FROM v GROUP BY 1, 2) SELECT language, count(*) AS terms, max(n) AS passages, greatest(2, least(12, max(n) // 40)) AS topics FROM d JOIN n USING (language) WHERE df >= 3 AND df <= 0.5 * n GROUP BY 1""")
 def term_bounds(t: Tables) -> DataFrame:

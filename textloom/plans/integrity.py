@@ -86,7 +86,7 @@ def purged_rows(t: Tables) -> DataFrame:
     return t.ingest_events.filter((F.col("submitted_at") < F.lit("2031-05-01 00:00:00").cast("timestamp") - F.expr("INTERVAL 60 DAYS")) & (F.col("outcome") == "too_large")).select("id")
 
 
-@query("M10, M11, Q05, Q18: a batch of rows written back by key", """
+@query("M10: a batch of rows written back by key", """
 SELECT id, CASE WHEN status = 'draft' THEN 'pending' ELSE status END AS status FROM questions""")
 def written_back(t: Tables) -> DataFrame:
     now = t.questions.select("id", "status")

@@ -95,7 +95,7 @@ def admission(t: Tables) -> DataFrame:
     return joined.select("id", outcome.alias("outcome"))
 
 
-@query("S02, S11: documents that hold too little text for their pages to be read from text", """
+@query("S11: documents that hold too little text for their pages to be read from text", """
 SELECT doc_id, round(coalesce(n_chars / nullif(page_count, 0), 0), 6) AS per_page FROM documents WHERE coalesce(n_chars / nullif(page_count, 0), 0) < 250""")
 def scanned_documents(t: Tables) -> DataFrame:
     per = F.coalesce(F.col("n_chars") / F.nullif(F.col("page_count"), F.lit(0)), F.lit(0.0))
@@ -115,7 +115,7 @@ def reader_dispatch(t: Tables) -> DataFrame:
     return t.documents.groupBy("mime_type").agg(F.count(F.lit(1)).alias("n")).select("mime_type", kind.alias("reader"), "n")
 
 
-@query("S10, S12: text of pages as HTML, built and read back", """
+@query("S12: text of pages as HTML, built and read back", """
 SELECT doc_id, trim(regexp_replace(regexp_replace(concat(title, chr(10), text), '[ \\t]+', ' ', 'g'), '\\s*\\n\\s*', chr(10), 'g')) AS text FROM documents WHERE mime_type = 'text/html' AND title IS NOT NULL AND text IS NOT NULL""")
 def page_texts(t: Tables) -> DataFrame:
     rows = t.documents.filter("mime_type = 'text/html' AND title IS NOT NULL AND text IS NOT NULL")
@@ -138,7 +138,7 @@ def questions_by_category(t: Tables) -> DataFrame:
     return t.release_pool.filter("language IS NOT NULL").select("id", F.lower(F.trim("language")).alias("language"), F.explode("categories").alias("c")).select("id", "language", F.lower(F.trim("c")).alias("category")).distinct()
 
 
-@query("S20, S21, S22, S25: labels as JSON lines written and read under a schema that fails on what does not fit", "SELECT id, question_text AS question, status = 'accepted' AS label FROM questions")
+@query("S20, S25: labels as JSON lines written and read under a schema that fails on what does not fit", "SELECT id, question_text AS question, status = 'accepted' AS label FROM questions")
 def label_lines(t: Tables) -> DataFrame:
     import uuid
 

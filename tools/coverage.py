@@ -9,7 +9,11 @@ sys.path.insert(0, str(ROOT))
 from textloom.operators.catalog import COVERS, ORACLES  # noqa: E402
 
 #: What has no query of its own, and why.
-APART = {"G16": "`plans.models.served`: retries and doubling waits around any call; cost folds are N25"}
+APART = {
+    "G16": "`plans.models.served`: retries and doubling waits around any call; cost folds are N25",
+    "Q14": "`streaming.queue.reloading`: settings read anew for each micro-batch (tested)",
+    "Q15": "`streaming.queue.flushing`: annotations kept and written together (tested)",
+}
 
 by: dict[str, list[str]] = {}
 for name, text in COVERS.items():
