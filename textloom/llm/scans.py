@@ -33,6 +33,9 @@ RATIO = 20
 #: So many of the most frequent words are known to every task, which spares their shuffle.
 KNOWN = 3000
 
+#: Parts in which the passages of a large document are read.
+SALTS = 64
+
 PAGE = re.compile(r"[-–—]\s*\d{1,4}\s*[-–—]|(?:seite|page|pag\.|pg\.|s\.|p\.|blatt)\s*\d{1,4}(?:\s*(?:von|of|sur|de|/)\s*\d{1,4})?|[\[(<]\s*\d{1,4}\s*[\])>]|\d{1,4}\s*(?:/|von|of|sur)\s*\d{1,4}", re.I)
 NUMBER = re.compile(r"\d{1,4}")
 LEADING = re.compile(r"^\s*(?:(?:seite|page|s\.|p\.)\s*)?\d{1,4}(?:\s*[|·•–—-]\s*|\s{2,})", re.I)
@@ -152,7 +155,14 @@ def _rows(passages: DataFrame, documents: DataFrame) -> DataFrame:
     """Passages with text, the title and source of their document and, where the title is unknown, those of their words that other titles
     begin with (two documents at least): by these a running line shows."""
     titles = documents.filter("sha256 IS NOT NULL").groupBy("sha256").agg(F.min("title").alias("title"), F.min("source").alias("source"))
-    rows = passages.filter("text IS NOT NULL AND id IS NOT NULL").join(titles, passages["doc_sha256"] == titles["sha256"], "left")
+    some = passages.filter("text IS NOT NULL AND id IS NOT NULL")
+    # Documents with more than a hundredth of the passages, a hundred at most, meet their title in SALTS parts.
+    sizes = some.groupBy("doc_sha256").agg(F.count(F.lit(1)).alias("n"))
+    large = [r[0] for r in sizes.filter("doc_sha256 IS NOT NULL").filter(F.col("n") > (some.count() / 100)).select("doc_sha256").collect()]
+    parts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    titles = titles.withColumn("part", F.explode(F.when(F.col("sha256").isin(large), parts).otherwise(F.array(F.lit(0)))))
+    some = some.withColumn("salt", F.when(F.col("doc_sha256").isin(large), F.pmod(F.xxhash64("id"), F.lit(SALTS))).otherwise(0).cast("int"))
+    rows = some.join(titles, (some["doc_sha256"] == titles["sha256"]) & (some["salt"] == titles["part"]), "left")
     rows = rows.select("id", "text", "language", "title", "source", "page_from", "page_to", "block_type")
     first = F.lower(F.regexp_extract("title", r"^\W*(\w+)", 1))
     begun = documents.filter("title IS NOT NULL").groupBy(first.alias("word")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1 AND word <> ''").select("word")
