@@ -348,6 +348,42 @@ def test_groups_of_copies_nulls_and_blanks(spark):
     assert neardup.near_duplicates(spark.createDataFrame([], "id bigint, text string")).count() == 0
 
 
+@pytest.mark.parametrize(("stock", "own", "same"), [(70, 30, 13), (100, 40, 16), (26, 14, 7)])
+def test_pairs_that_differ_in_rare_words_only_are_found(spark, stock, own, same):
+    rng, rows = random.Random(stock), []
+    for i in range(0, 160, 2):
+        alone = [f"r{i}x{j}" for j in range(own)]
+        for k, mine in ((i, alone), (i + 1, alone[:same] + [f"q{i}x{j}" for j in range(own - same)])):
+            rows.append((k, " ".join(rng.sample([f"s{j}" for j in range(stock)] + mine, stock + own))))
+    assert 0.7 <= (stock + same) / (stock + 2 * own - same) < 0.72 and stock / (stock + 2 * own) < 0.7
+    got = {(r["id"], r["group"]) for r in neardup.near_duplicates(spark.createDataFrame(rows, "id bigint, text string"), 0.7, 1).collect()}
+    assert got == {(i, i - i % 2) for i in range(160)}
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.7, 0.9])
+def test_sets_at_the_threshold_meet_by_rare_words(threshold):
+    rng, sets = random.Random(7), []
+    while len(sets) < 300:
+        n = rng.choice([1, 2, 3, 5, 20, 70, 95, 100, 101, 130, 300])
+        if sets and rng.random() < 0.7:
+            x = set(rng.choice(sets))
+            x -= set(rng.sample(sorted(x), int(len(x) * rng.random() * 0.3)))
+            x |= set(rng.sample(range(2000), int(len(x) * rng.random() * 0.3)))
+        else:
+            x = {int(2000 * rng.random() ** 3) for _ in range(n)}
+        sets.append(x or {1})
+    sizes = np.array([len(x) for x in sets])
+    values, offsets = np.concatenate([np.array(sorted(x), dtype=np.uint64) for x in sets]), np.r_[0, np.cumsum(sizes)]
+    known, often = np.arange(40, dtype=np.uint64), np.arange(1000, 960, -1)
+    met = set()
+    for way, (of, h, reach) in enumerate(neardup.rare_keys(neardup.rarest_first(values, offsets, known, often), offsets, threshold)):
+        for a, b, key in neardup.rare_pairs(h, of, sizes[of], reach, neardup.hubs(sizes[of], reach, way == 1, threshold)):
+            assert key is None or len(a) >= neardup.SMALL
+            met |= set(zip(a.tolist(), b.tolist())) if key is None else {(x, y) for x in [a[0], *b] for y in b if x < y}
+    want = {(i, j) for i in range(300) for j in range(i + 1, 300) if len(sets[i] & sets[j]) >= threshold * len(sets[i] | sets[j]) - 1e-9}
+    assert len(want) > 100 and want <= met
+
+
 def test_signatures_keep_the_similarity():
     rng = np.random.default_rng(3)
     for share in (0.3, 0.6, 0.9):

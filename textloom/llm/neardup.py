@@ -10,6 +10,8 @@ so that the stars lose no link.
 
 Words that a twentieth of the records have say little and make unlike records collide, so they are set aside before hashing
 where enough other words remain; a record of mostly such words is hashed whole, with longer bands, and one in between both ways.
+The similarity of what remains may be far below that of the whole sets, so sets of words also meet by every two of their rarest
+words, as many of which are taken as any pair at the threshold needs to have two in common: no such pair is left to chance.
 
 Candidates pass two exact tests: they must share several words of their rare prefixes (any pair at the threshold does), and their whole
 sets must reach the threshold. A task's exact copies are taken together before anything is shuffled.
@@ -43,13 +45,17 @@ SMALL = 10
 HELD = 4_000_000
 #: Bytes of packs that one task reads, about.
 TASK_BYTES = 16_000_000
-#: Share of all records from which a word's frequency is known to the prefix test; others count as rarer. The order decides only what the test
-#: costs: it is exact under any order.
-KNOWN = 0.002
+#: Share of all records from which a word's frequency is known to the order of rare words; others count as rarer. The order decides only what
+#: the prefix test and the meeting by rare words cost: they are exact under any order.
+KNOWN = 0.0002
 #: Elements that the rare prefixes of two sets at the threshold share.
 SHARED = 4
 #: Members of one bucket that one task pairs across parts; larger buckets are paired by parts of this size.
 PART = 4_000
+#: Sets of more words meet by single rare words, as the pairs of words grow with the square of the set.
+LONG = 100
+#: Pairs of rare words a set has, about, and entries of them that one part holds.
+RARE, RARE_HELD = 150, 1_500_000
 #: Words whose hashes a task remembers.
 REMEMBERED = 500_000
 WORD = re.compile(r"[^\W_]+")
@@ -131,25 +137,100 @@ def banded(values: np.ndarray, offsets: np.ndarray, bands: int, rows: int) -> np
     return out
 
 
-def prefixes(values: np.ndarray, offsets: np.ndarray, known: np.ndarray, often: np.ndarray, threshold: float) -> list[bytes]:
-    """16-bit hashes of the rarest elements of each set, so many that two sets at the threshold share SHARED of them, led by how many a small set
-    has to share. ``known`` are frequent elements, sorted, and ``often`` how frequent; all others count as rarer."""
-    n = np.diff(offsets)
+def rarest_first(values: np.ndarray, offsets: np.ndarray, known: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """Each set's elements in one order for all sets, from the rarest on. ``known`` are frequent elements, sorted, and ``often`` how frequent;
+    all others count as rarer."""
     freq = np.zeros(len(values), dtype=np.int64)
     if len(known):
         at = np.minimum(np.searchsorted(known, values), len(known) - 1)
         freq = np.where(known[at] == values, often[at], 0)
+    return values[np.lexsort((values, freq, np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))))]
+
+
+def prefixes(ordered: np.ndarray, offsets: np.ndarray, threshold: float) -> list[bytes]:
+    """16-bit hashes of the rarest elements of each set, so many that two sets at the threshold share SHARED of them, led by how many a small set
+    has to share. The sets are ``ordered`` from their rarest elements on."""
+    n = np.diff(offsets)
     record = np.repeat(np.arange(len(n)), n)
-    order = np.lexsort((values, freq, record))
     least = np.ceil(threshold * n - 1e-9).astype(np.int64)
     length = np.minimum(n, n - least + SHARED)
     need = np.minimum(SHARED, least).astype("<u2")
-    inside = np.arange(len(values)) - np.repeat(offsets[:-1], n) < length[record]
-    short = (_mixed(values[order][inside], 3) >> np.uint64(48)).astype("<u2")
+    inside = np.arange(len(ordered)) - np.repeat(offsets[:-1], n) < length[record]
+    short = (_mixed(ordered[inside], 3) >> np.uint64(48)).astype("<u2")
     ends = np.r_[0, np.cumsum(length)]
     return [m.tobytes() + short[s:e].tobytes() for m, s, e in zip(need, ends[:-1], ends[1:])]
 
 
+def rare_keys(values: np.ndarray, offsets: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Keys (record, 64-bit hash, reach) by which any two sets at the threshold meet, first of pairs of elements, then of single ones. ``values``
+    are in the order of rarest_first. ``reach`` is the largest size of a partner that the key serves.
+
+    Sets of sizes x and y at the threshold share at least o = threshold / (1 + threshold) * (x + y) elements. So the second of the shared
+    elements has at least o - 2 after it in both sets, and the first o - 1: a key that ends at place j of a set of x serves partners
+    with o <= x - j + 1, or o <= x - j if it is a single element. Pairs of elements serve two sets of at most LONG elements,
+    single ones those with a longer set, and sets so small that one element is enough."""
+    n = np.diff(offsets)
+    portion = threshold / (1 + threshold)
+    least = np.ceil(threshold * n - 1e-9).astype(np.int64)
+
+    def keys(record: np.ndarray, first: np.ndarray, last: np.ndarray, spare: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        base = offsets[:-1][record]
+        with np.errstate(over="ignore"):
+            h = _mixed(values[base + first] * _MIX + values[base + last], 13)
+        x = n[record]
+        reach = np.floor((x - last + spare) / portion + 1e-9).astype(np.int64) - x
+        return record, h, reach
+
+    length = np.where(n <= LONG, np.minimum(n, n - least + 2), 0)
+    counts = length * (length - 1) // 2
+    record = np.repeat(np.arange(len(n)), counts)
+    # Pair q of a set, ordered by its later element: q = last * (last - 1) / 2 + first.
+    last_of = np.repeat(np.arange(LONG + 2), np.arange(LONG + 2))
+    q = np.arange(len(record)) - np.repeat(np.cumsum(counts) - counts, counts)
+    last = last_of[q]
+    yield keys(record, q - last * (last - 1) // 2, last, 1)
+
+    beyond = n - np.ceil(portion * (n + LONG + 1) - 1e-9).astype(np.int64) + 1  # of a set that only meets longer ones this way
+    single = np.where(threshold * n <= 1 + 1e-9, n, np.where(n > LONG, np.minimum(n, n - least + 1), np.where(n >= threshold * (LONG + 1) - 1e-9, np.clip(beyond, 0, n), 0)))
+    record = np.repeat(np.arange(len(n)), single)
+    place = np.arange(len(record)) - np.repeat(np.cumsum(single) - single, single)
+    yield keys(record, place, place, 0)
+
+
+def hubs(sizes: np.ndarray, reach: np.ndarray, single: bool, threshold: float) -> np.ndarray:
+    """Entries of rare_keys of which every pair has one: those that reach a partner of their own size, as the smaller set's do, or, of single
+    elements, those of the sets that these serve."""
+    return (sizes > LONG) | (threshold * sizes <= 1 + 1e-9) if single else reach >= sizes
+
+
+def rare_pairs(h: np.ndarray, ids: np.ndarray, sizes: np.ndarray, reach: np.ndarray, hub: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int | None]]:
+    """Pairs (smaller ids, larger ids, None) of entries with one key and within each other's reach, at least one of them a hub. Of a key with
+    more than SMALL hubs come (its smallest id, the others, key)."""
+    order = np.lexsort((ids, h))
+    h, ids, sizes, reach, hub = h[order], ids[order], sizes[order], reach[order], hub[order]
+    starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+    lengths, hubs = np.diff(np.r_[starts, len(h)]), np.add.reduceat(hub.astype(np.int64), starts)
+
+    def met(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, None]:
+        near = (hub[x] | hub[y]) & (sizes[x] <= reach[y]) & (sizes[y] <= reach[x]) & (ids[x] != ids[y])
+        x, y = ids[x[near]], ids[y[near]]
+        return np.minimum(x, y), np.maximum(x, y), None
+
+    for length in range(2, SMALL + 1):
+        s = starts[(lengths == length) & (hubs > 0)]
+        if len(s):
+            for i in range(length):
+                for j in range(i + 1, length):
+                    yield met(s + i, s + j)
+    for i in np.flatnonzero((lengths > SMALL) & (hubs > 0)):
+        every = np.arange(starts[i], starts[i] + lengths[i])
+        if hubs[i] <= SMALL:
+            mine = every[hub[every]]
+            yield met(np.repeat(mine, len(every)), np.tile(every, len(mine)))
+        else:
+            yield np.full(lengths[i] - 1, ids[starts[i]]), ids[every[1:]], int(h[starts[i]])
+
+
 def _frequent(texts: DataFrame, n: int, records: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words that at least KNOWN of all records have, sorted by hash, how many have them, and which are to be set aside. They are at most as many
     as the words of an average record divided by KNOWN, however many records there are. Runs of several words are too rare to be set aside."""
@@ -171,6 +252,8 @@ def _candidates(texts: DataFrame, n: int, bands: int, rows: int, threshold: floa
     known, often, aside = _frequent(texts, n, count)
     frequent = known[aside]
     packed = pa.schema([("key", pa.int32()), ("payload", pa.binary())])
+    # Keys of bands, then of parts of pairs of rare words, then of parts of single ones. Runs of words have neither: nothing of them is set aside.
+    bands_end, parts = (bands + WHOLE[0]) * splits, math.ceil(count * RARE / RARE_HELD) if n == 1 else 0
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         elements, seen = Elements(n), {}
@@ -194,10 +277,25 @@ def _candidates(texts: DataFrame, n: int, bands: int, rows: int, threshold: floa
                 sizes = np.array([len(sets[i]) for i in own])
                 values, offsets = np.concatenate([sets[i] for i in own]), np.r_[0, np.cumsum(sizes)].astype(np.int64)
                 n_ids, n_sizes = np.array([ids[i] for i in own], dtype=np.int64), np.minimum(sizes, 65535).astype("<u2")
-                rare = prefixes(values, offsets, known, often, threshold)
+                ordered = rarest_first(values, offsets, known, often)
+                rare = prefixes(ordered, offsets, threshold)
                 keys.append(-2)
                 lengths = np.array([len(x) for x in rare], dtype="<u4")
                 payloads.append(len(own).to_bytes(4, "little") + n_ids.astype("<i8").tobytes() + lengths.tobytes() + b"".join(rare))
+                if parts:
+                    for way, (of, h, reach) in enumerate(rare_keys(ordered, offsets, threshold)):
+                        part = ((h >> np.uint64(32)) % np.uint64(parts)).astype(np.uint16 if parts < 65536 else np.int64)
+                        order = np.argsort(part, kind="stable")
+                        ends = np.cumsum(np.bincount(part, minlength=parts))
+                        for p, at in enumerate(np.split(order, ends[:-1])):
+                            if len(at):
+                                runs = np.flatnonzero(np.diff(of[at], prepend=-1))
+                                mine, often_in = of[at[runs]], np.diff(np.r_[runs, len(at)]).astype("<u4")
+                                steps = np.diff(n_ids[mine], prepend=0).astype("<i8")
+                                body = len(runs).to_bytes(4, "little") + steps.tobytes() + n_sizes[mine].tobytes() + often_in.tobytes()
+                                body = zlib.compress(body + np.minimum(reach[at], 65535).astype("<u2").tobytes(), 1)
+                                keys.append(bands_end + way * parts + p)
+                                payloads.append(len(at).to_bytes(4, "little") + h[at].astype("<u4").tobytes() + body)
                 other = np.ones(len(values), dtype=bool)
                 if len(frequent):
                     at = np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)
@@ -244,7 +342,30 @@ def _candidates(texts: DataFrame, n: int, bands: int, rows: int, threshold: floa
 
         pairs: set[tuple[int, int]] = set()
 
+        def close_rare(key: int, held: list[bytes]) -> Iterator[pa.RecordBatch]:
+            hs, ids, sizes, reach = [], [], [], []
+            for p in held:
+                m = int.from_bytes(p[:4], "little")
+                body = zlib.decompress(p[4 + 4 * m :])
+                runs = int.from_bytes(body[:4], "little")
+                often_in = np.frombuffer(body, "<u4", runs, 4 + 10 * runs)
+                hs.append(np.frombuffer(p, "<u4", m, 4))
+                ids.append(np.repeat(np.cumsum(np.frombuffer(body, "<i8", runs, 4)), often_in))
+                sizes.append(np.repeat(np.frombuffer(body, "<u2", runs, 4 + 8 * runs), often_in))
+                reach.append(np.frombuffer(body, "<u2", m, 4 + 14 * runs))
+            h, ids, sizes, reach = np.concatenate(hs), np.concatenate(ids), np.concatenate(sizes).astype(np.int64), np.concatenate(reach).astype(np.int64)
+            for a, b, bucket in rare_pairs(h, ids, sizes, reach, hubs(sizes, reach, key >= bands_end + parts, threshold)):
+                if bucket is not None:
+                    yield rows_of(a, b, np.full(len(a), (key << 32) + bucket + 1))
+                    continue
+                pairs.update(zip(a.tolist(), b.tolist()))
+                if len(pairs) > 500_000:
+                    yield from flush()
+
         def close(key: int, held: list[bytes]) -> Iterator[pa.RecordBatch]:
+            if key >= bands_end:
+                yield from close_rare(key, held)
+                return
             hs, ids, sizes = [], [], []
             for p in held:
                 m = int.from_bytes(p[:4], "little")
@@ -299,11 +420,10 @@ def _candidates(texts: DataFrame, n: int, bands: int, rows: int, threshold: floa
         yield from flush()
 
     packs = texts.mapInArrow(pack, "key int, payload binary")
-    # The packs of a band go to one task; prefixes and copies, keyed below 0, are spread.
-    spread = F.when(F.col("key") < 0, F.xxhash64("payload")).otherwise(F.col("key").cast("bigint"))
-    keys = (bands + WHOLE[0]) * splits
-    tasks = min(keys, max(keys // 10, math.ceil(count * bands * 7 / TASK_BYTES)))
-    return packs.repartition(tasks, spread).sortWithinPartitions("key").mapInArrow(meet, "a bigint, b bigint, bucket bigint, prefix binary")
+    tasks = min(bands_end, max(bands_end // 10, math.ceil(count * bands * 7 / TASK_BYTES))) + min(parts, math.ceil(count * RARE * 6 / TASK_BYTES))
+    # The packs of a band or part go to one task, each task having as many; prefixes and copies, keyed below 0, are spread.
+    spread = F.when(F.col("key") < 0, F.pmod(F.xxhash64("payload"), F.lit(tasks))).otherwise(F.pmod("key", F.lit(tasks)))
+    return packs.repartitionById(tasks, spread.cast("int")).sortWithinPartitions("key").mapInArrow(meet, "a bigint, b bigint, bucket bigint, prefix binary")
 
 
 def _share(pairs: DataFrame, prefix: DataFrame) -> DataFrame:
@@ -375,6 +495,7 @@ def _across(placed: DataFrame) -> DataFrame:
 def near_duplicates(records: DataFrame, threshold: float = 0.8, words: int = 5, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(id, group) of every record that is like another one: linked at a Jaccard similarity of at least ``threshold`` over their sets of
     runs of ``words`` words, directly or through others. ``group`` is the smallest id of the group. Records alike to none have no row.
+    With one word a run every link is found, else as hashing finds them.
 
     ``records`` has (id bigint, text). Records with a null id, or a text that is null or has no word, are like none; of rows
     repeated with one id in different texts all are compared. An empty table gives an empty result.
