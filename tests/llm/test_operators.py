@@ -240,6 +240,31 @@ def test_report_and_draw(spark):
     assert sampling.draw(pool.limit(0), targets, AXES).count() == 0 and sampling.report(pool, targets.limit(0), AXES).count() == 0
 
 
+def test_report_counts_the_drawn_records(spark, monkeypatch):
+    rng, named = random.Random(5), ["easy", "hard", "medium", "rare"]
+    rows = [(rng.randrange(400), rng.choice([*named[:3], None, "odd", " Hard", "rare" if rng.random() < 0.05 else "easy"]), rng.choice(["de", "en", "DE ", None])) for _ in range(600)]
+    pool = _pool(spark, rows)
+    wanted = [(n, pct, "difficulty", c, t, m) for n, pct in (("a", 30), ("b", 90), (None, 50)) for c, t, m in (("easy", 30, 2), ("Hard ", 40, 5), ("medium", 25, 1), ("rare", 5, 30), ("none", 0, 1), (None, 0, 1))]
+    targets = _targets(spark, wanted + [(n, pct, "language", c, 50, 200 * (n == "b")) for n, pct in (("a", 30), ("b", 90), (None, 50)) for c in ("de", "en")] + [("a", 30, "elsewhere", "x", 10, 0)])
+    have = defaultdict(set)
+    for i, d, lang in rows:
+        for axis, v in (("difficulty", d), ("language", lang)):
+            have[axis, v and v.strip().lower()].add(i)
+    ids = len({i for i, _, _ in rows})
+    want = {}
+    for n, pct, axis, c, t, m in [tuple(r) for r in targets.collect()]:
+        size = ids * pct // 100
+        places, supply = max(size * t // 100, m), len(have[axis, c.strip().lower()]) if c else 0
+        want[n, axis, c and c.strip().lower()] = (size, places, min(supply, places), supply < places)
+    got = {(r["release_name"], r["axis"], r["category"]): (r["size"], r["places"], r["taken"], r["short"]) for r in sampling.report(pool, targets, AXES).collect()}
+    assert got == want and {v[3] for v in want.values()} == {True, False}
+    # What is drawn is what is counted: the draw holds the places of all axes at once, and without its seats every row with places is short.
+    drawn = sampling.placed(pool, sampling._few(sampling._places(pool, targets, "id")), AXES).filter("release = 1").select("id").collect()
+    assert len(drawn) == len(set(drawn)) >= ids * 30 // 100
+    monkeypatch.setattr(sampling, "seats", lambda counts, weights, floors, size: np.zeros(len(counts), dtype=np.int64))
+    assert all(r["taken"] == 0 and r["short"] == (r["places"] > 0) for r in sampling.report(pool, targets, AXES).collect())
+
+
 # 6 pairs
 
 CASES = [

@@ -61,26 +61,73 @@ def _places(pool: DataFrame, targets: DataFrame, id_col: str) -> DataFrame:
     return sized.select("release_name", "axis", "category", "size", "target_pct", places.alias("places"))
 
 
+def _weighted(cells: list[tuple], counts: np.ndarray, own: list[dict], axes: list[str]) -> np.ndarray:
+    """Weights of the cells raked to the targets of one release, kept within the range that the priorities resolve."""
+    shares = [{r["category"]: float(r["target_pct"] or 0) for r in own if r["axis"] == a and r["category"] is not None} for a in axes]
+    kept = [k for k, s in enumerate(shares) if s]
+    w = raked([tuple(c[k] for k in kept) for c in cells], counts, [shares[k] for k in kept])
+    return np.where(w > 0, np.maximum(w, w.max(initial=0.0) * 1e-9), 0.0)
+
+
+def placed(pool: DataFrame, wanted: list[dict], axes: list[str], id_col: str = "id", seed: int = 0) -> DataFrame:
+    """The draw in which every target row's places are its floor: release (the place of its name in ``names``), id, and for each axis the
+    record's categories. ``wanted`` are rows of _places.
+
+    The draw is that of ``draw``: cells of all axes with raked weights, the places that a category still lacks given to its cells by the priorities
+    (rank - 0.5) / weight, then the smallest priorities of all cells up to the size, and in each cell the first ranks of its random order. As
+    floors come first, the draw grows beyond its size if the places of all axes need more, and a category misses places only when all its
+    records are drawn. A record whose rows name several categories of an axis counts for each; categories no target names count for none.
+    """
+    spark = pool.sparkSession
+    own_axis = [sorted({r["category"] for r in wanted if r["axis"] == a and r["category"] is not None}) for a in axes]
+    some = [F.when(_clean(a).isin(cs), _clean(a)).alias(a) for a, cs in zip(axes, own_axis)]
+    sets = [F.sort_array(F.collect_set(a)).alias(a) for a in axes]
+    rows = pool.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), *some).groupBy("id").agg(*sets)
+    rows = stored(rows.withColumn("h", F.xxhash64("id", F.lit(seed))))
+    found = _few(rows.groupBy(*axes).agg(F.count(F.lit(1)).alias("n")))
+    cells = [tuple(tuple(r[a]) for a in axes) for r in found]
+    counts = np.array([r["n"] for r in found], dtype=np.int64)
+    got = []
+    for release, name in enumerate(names(wanted)):
+        own = [r for r in wanted if r["release_name"] == name]
+        weights = _weighted([tuple(c[0] if c else None for c in cell) for cell in cells], counts, own, axes)
+        floors = np.zeros(len(cells), dtype=np.int64)
+        members = [np.array([r["axis"] in axes and r["category"] in c[axes.index(r["axis"])] for c in cells], dtype=bool) for r in own]
+        asked = [(int(counts[inside].sum()) - (r["places"] or 0), r["places"] or 0, k) for k, (r, inside) in enumerate(zip(own, members)) if inside.any()]
+        for _, places, k in sorted(asked):  # the scarcest first; a later row adds what it still lacks
+            inside = members[k]
+            floors[inside] = seats(counts[inside], np.maximum(weights[inside], 1e-12), floors[inside], max(places, int(floors[inside].sum())))
+        size = max(int(floors.sum()), *(r["size"] or 0 for r in own))
+        got += [(release, *map(list, c), int(n)) for c, n in zip(cells, seats(counts, weights, floors, size)) if n]
+    given = spark.createDataFrame(got, ", ".join(["release int", *(f"{a} array<string>" for a in axes), "seats bigint"]))
+    ranked = _ranked(rows, axes, _slices(int(counts.max(initial=0))))
+    return ranked.join(given, _same(ranked, given, axes) & (F.col("rank") <= F.col("seats"))).select("release", "id", *[ranked[a] for a in axes])
+
+
+def names(wanted: list[dict]) -> list[str | None]:
+    """The releases' names, each once."""
+    return sorted({r["release_name"] for r in wanted}, key=lambda n: (n is not None, n or ""))
+
+
 def report(pool: DataFrame, targets: DataFrame, axes: list[str], id_col: str = "id", seed: int = 0) -> DataFrame:
-    """The seats of every target row, drawn on its axis alone: release_name, axis, category, size, places, taken, short.
+    """What the draw over all axes that puts every target row's places first could fill of them: release_name, axis, category, size, places,
+    taken, short.
 
     Pool rows count once per id, null ids not at all; values are compared lower-cased and freed of spaces around them, null
     belongs to no category. Size is size_pct percent of the distinct ids, rounded down; places are target_pct percent of the
-    size, rounded down, at least min_rows. Every record is ranked at random within its category, and a category's places are
-    filled with its first ranks, as the draw fills floors; it is short if it runs out before. One without rows takes none.
+    size, rounded down, at least min_rows. The records drawn by ``placed`` are counted: what they fill of a row's places is taken, and a row
+    is short if that is less than its places, for which all records of its category must have been drawn.
     """
-    values = F.array(*[F.struct(F.lit(a).alias("axis"), _clean(a).alias("category")) for a in axes])
-    rows = pool.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.explode(values).alias("v")).select("id", "v.axis", "v.category")
-    wanted = _places(pool, targets, id_col)
-    rows = rows.filter("category IS NOT NULL").distinct().withColumn("h", F.xxhash64("id", F.lit(seed)))
-    rows = stored(rows.join(wanted.select("axis", "category").distinct(), ["axis", "category"], "left_semi"))
-    largest = rows.groupBy("axis", "category").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    ranked = _ranked(rows, ["axis", "category"], _slices(largest))
-    # Places come first, as a floor does; within a category the order of the priorities is that of the ranks.
-    seated = ranked.join(wanted, ["axis", "category"]).filter(F.col("rank") <= F.col("places"))
-    taken = seated.groupBy("release_name", "axis", "category", "places").agg(F.count(F.lit(1)).alias("taken"))
-    both = wanted.join(taken, ["release_name", "axis", "category", "places"], "left")
-    return both.select("release_name", "axis", "category", "size", "places", F.coalesce("taken", F.lit(0)).alias("taken")).withColumn("short", F.col("taken") < F.col("places"))
+    wanted = _few(_places(pool, targets, id_col))
+    drawn = placed(pool, wanted, axes, id_col, seed)
+    values = F.explode(F.array(*[F.struct(F.lit(a).alias("axis"), F.col(a).alias("categories")) for a in axes])).alias("v")
+    in_each = drawn.select("release", values).select("release", "v.axis", F.explode("v.categories").alias("category"))
+    have = in_each.groupBy("release", "axis", "category").agg(F.count(F.lit(1)).alias("drawn"))
+    at = {name: k for k, name in enumerate(names(wanted))}
+    rows = [(at[r["release_name"]], r["release_name"], r["axis"], r["category"], r["size"], r["places"]) for r in wanted]
+    asked = pool.sparkSession.createDataFrame(rows, "release int, release_name string, axis string, category string, size bigint, places bigint")
+    both = asked.join(have, ["release", "axis", "category"], "left").withColumn("taken", F.least(F.coalesce("drawn", F.lit(0)), F.col("places")))
+    return both.select("release_name", "axis", "category", "size", "places", "taken", (F.col("taken") < F.col("places")).alias("short"))
 
 
 def shortfalls(drawn: DataFrame, pool: DataFrame, targets: DataFrame, axes: list[str], id_col: str = "id") -> DataFrame:
