@@ -282,15 +282,18 @@ def _candidates(texts: DataFrame, n: int, bands: int, rows: int, threshold: floa
                 keys.append(-2)
                 lengths = np.array([len(x) for x in rare], dtype="<u4")
                 payloads.append(len(own).to_bytes(4, "little") + n_ids.astype("<i8").tobytes() + lengths.tobytes() + b"".join(rare))
-                if parts:
-                    for way, (of, h, reach) in enumerate(rare_keys(ordered, offsets, threshold)):
+                # Keys of some records at a time, so that a task holds no more of them than a part does.
+                about = np.cumsum(np.where(sizes <= LONG, sizes * sizes // 20, sizes // 3) + 1)
+                cuts = np.unique(np.r_[0, np.searchsorted(about, np.arange(RARE_HELD, about[-1], RARE_HELD)), len(sizes)]) if parts else []
+                for s, e in zip(cuts[:-1], cuts[1:]):
+                    for way, (of, h, reach) in enumerate(rare_keys(ordered[offsets[s] : offsets[e]], offsets[s : e + 1] - offsets[s], threshold)):
                         part = ((h >> np.uint64(32)) % np.uint64(parts)).astype(np.uint16 if parts < 65536 else np.int64)
                         order = np.argsort(part, kind="stable")
                         ends = np.cumsum(np.bincount(part, minlength=parts))
                         for p, at in enumerate(np.split(order, ends[:-1])):
                             if len(at):
                                 runs = np.flatnonzero(np.diff(of[at], prepend=-1))
-                                mine, often_in = of[at[runs]], np.diff(np.r_[runs, len(at)]).astype("<u4")
+                                mine, often_in = s + of[at[runs]], np.diff(np.r_[runs, len(at)]).astype("<u4")
                                 steps = np.diff(n_ids[mine], prepend=0).astype("<i8")
                                 body = len(runs).to_bytes(4, "little") + steps.tobytes() + n_sizes[mine].tobytes() + often_in.tobytes()
                                 body = zlib.compress(body + np.minimum(reach[at], 65535).astype("<u2").tobytes(), 1)
