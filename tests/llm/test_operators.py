@@ -424,6 +424,43 @@ def test_signatures_keep_the_similarity():
         assert abs(np.mean(same) - share) < 0.05
 
 
+def test_words_are_runs_of_letters_and_digits_of_any_script():
+    every = [chr(i) for i in range(0x11000) if not 0xD800 <= i < 0xE000]
+    for text in ("".join(f"a{c}B{c} " for c in every), "".join(every), "Snake_case, naïve – Straße…²", "", None):
+        assert neardup.words_of(text) == [w.encode() for w in re.findall(r"[^\W_]+", (text or "").lower())]
+
+
+def test_frequent_words_are_counted_over_all_records(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "REMEMBERED", 30)  # counts come in parts
+    rng = random.Random(4)
+    texts = [" ".join(f"wört{int(300 * rng.random() ** 3)}" for _ in range(20)) for _ in range(200)] + ["", "!"]
+    want = Counter(w for t in texts for w in neardup.Elements()(t).tolist())
+    known, often, aside = neardup._frequent(spark.createDataFrame(list(enumerate(texts)), "id bigint, text string"), 1, len(texts))
+    assert dict(zip(known.tolist(), often.tolist())) == {w: n for w, n in want.items() if n >= 2} and known.tolist() == sorted(known.tolist())
+    assert aside.tolist() == [n >= 0.05 * len(texts) for n in often.tolist()] and 0 < aside.sum() < len(aside)
+
+
+def test_rarest_first_is_by_frequency_then_value():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(2**64 - 400, 2**64, n, dtype=np.uint64)) for n in rng.integers(1, 40, 300)]
+    values, sizes, known = np.concatenate(sets), [len(x) for x in sets], np.arange(2**64 - 300, 2**64 - 200, dtype=np.uint64)
+    often = rng.integers(1, 9, 100)
+    of = dict(zip(known.tolist(), often.tolist()))
+    got = np.split(neardup.rarest_first(values, np.r_[0, np.cumsum(sizes)], known, often), np.cumsum(sizes)[:-1])
+    assert [x.tolist() for x in got] == [sorted(x.tolist(), key=lambda v: (of.get(v, 0), v)) for x in sets]
+
+
+def test_only_entries_that_share_a_key_are_ordered(monkeypatch):
+    ordered, lexsort = [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: ordered.append(len(keys[0])) or lexsort(keys))
+    h, ids = np.r_[np.arange(5000), [7, 7, 90, 4000]].astype(np.uint32), np.r_[np.arange(5000)[::-1], [9000, 3, 9001, 9002]]
+    for keys, want in ((h, {(4992, 9000), (3, 4992), (3, 9000), (4909, 9001), (999, 9002)}), (h[:5000], set()), (h[:0], set())):
+        n = len(keys)
+        met = list(neardup.rare_pairs(keys, ids[:n], np.full(n, 50), np.full(n, 50), np.ones(n, dtype=bool)))
+        assert {(x, y) for a, b, _ in met for x, y in zip(a.tolist(), b.tolist())} == want
+    assert max(ordered) <= 7
+
+
 # 8 packing
 
 

@@ -22,7 +22,9 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -56,9 +58,10 @@ PART = 4_000
 LONG = 100
 #: Pairs of rare words a set has, about, and entries of them that one part holds.
 RARE, RARE_HELD = 150, 1_500_000
-#: Words whose hashes a task remembers.
+#: Words whose hashes, or counts, a task remembers.
 REMEMBERED = 500_000
-WORD = re.compile(r"[^\W_]+")
+#: What is no part of a word: characters beyond ASCII, and bytes, which are made blanks.
+ODD, BLANKED = re.compile(r"[^\w\x00-\x7f]"), bytes(i if i > 127 or chr(i).isalnum() else 32 for i in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -70,26 +73,33 @@ def _mixed(x: np.ndarray, seed: int) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
+def words_of(text: str | None) -> list[bytes]:
+    """A text's words (runs of letters and digits, lower-cased) in UTF-8. Null texts have none."""
+    low = text.lower() if text else ""
+    if not low.isascii():
+        low = ODD.sub(" ", low)
+    return low.encode().translate(BLANKED).split()
+
+
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
 class Elements:
-    """Hashes of a text's distinct words (runs of letters and digits, lower-cased), or of its distinct runs of ``n`` words; a text of
-    fewer words is one run. Null texts have none."""
+    """Hashes of a text's distinct words, or of its distinct runs of ``n`` words; a text of fewer words is one run."""
 
     def __init__(self, n: int = 1) -> None:
-        self.n, self.known = n, {}
+        self.n, self.known = n, _Hashes()
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = WORD.findall(text.lower()) if text else []
+        words, known = words_of(text), self.known
         if self.n == 1:
             words = set(words)
-        known, out = self.known, []
         if len(known) > REMEMBERED:
             known.clear()
-        for w in words:
-            h = known.get(w)
-            if h is None:
-                h = known[w] = xxhash.xxh64_intdigest(w)
-            out.append(h)
-        x = np.array(out, dtype=np.uint64)
+        x = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         if self.n > 1 and len(x):
             with np.errstate(over="ignore"):
                 runs = np.zeros(max(1, len(x) - self.n + 1), dtype=np.uint64)
@@ -99,6 +109,13 @@ class Elements:
         return x
 
 
+@lru_cache(10_000)
+def _probes(bins: int, seed: int, attempt: int) -> np.ndarray:
+    """How far from each bin lies the one that it borrows from at an attempt."""
+    at = np.arange(bins, dtype=np.uint64)
+    return ((_mixed(at, 1000 + attempt + 100_003 * seed) >> np.uint64(33)) % np.uint64(bins)).astype(np.int64) - at.astype(np.int64)
+
+
 def signatures(values: np.ndarray, offsets: np.ndarray, bins: int, seed: int = 0) -> np.ndarray:
     """One densified signature (32 bits a bin) of each non-empty set values[offsets[i]:offsets[i+1]]."""
     n = len(offsets) - 1
@@ -114,11 +131,9 @@ def signatures(values: np.ndarray, offsets: np.ndarray, bins: int, seed: int = 0
     within = empty % bins
     while len(empty):
         attempt += 1
-        probes = ((_mixed(np.arange(bins, dtype=np.uint64), 1000 + attempt + 100_003 * seed) >> np.uint64(33)) % np.uint64(bins)).astype(np.int64)
-        got = flat[empty - within + probes[within]]
-        ok = got != none
-        out[empty[ok]] = got[ok]
-        empty, within = empty[~ok], within[~ok]
+        got = out[empty] = flat[empty + _probes(bins, seed, attempt)[within]]
+        still = np.flatnonzero(got == none)
+        empty, within = empty[still], within[still]
     return out.reshape(n, bins)
 
 
@@ -140,11 +155,17 @@ def banded(values: np.ndarray, offsets: np.ndarray, bands: int, rows: int) -> np
 def rarest_first(values: np.ndarray, offsets: np.ndarray, known: np.ndarray, often: np.ndarray) -> np.ndarray:
     """Each set's elements in one order for all sets, from the rarest on. ``known`` are frequent elements, sorted, and ``often`` how frequent;
     all others count as rarer."""
-    freq = np.zeros(len(values), dtype=np.int64)
+    n, order = len(offsets) - 1, np.argsort(values)
     if len(known):
-        at = np.minimum(np.searchsorted(known, values), len(known) - 1)
-        freq = np.where(known[at] == values, often[at], 0)
-    return values[np.lexsort((values, freq, np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))))]
+        x = values[order]
+        at = np.minimum(np.searchsorted(known, x), len(known) - 1)
+        found = known[at] == x
+        rank = np.empty(len(known), dtype=np.int64)
+        rank[np.lexsort((known, often))] = np.arange(len(known))
+        order = np.r_[order[~found], order[found][np.argsort(rank[at[found]])]]
+    # Sixteen bits are sorted in linear time.
+    record = np.repeat(np.arange(n, dtype=np.uint16 if n <= 65536 else np.int64), np.diff(offsets))
+    return values[order[np.argsort(record[order], kind="stable")]]
 
 
 def prefixes(ordered: np.ndarray, offsets: np.ndarray, threshold: float) -> list[bytes]:
@@ -203,10 +224,20 @@ def hubs(sizes: np.ndarray, reach: np.ndarray, single: bool, threshold: float) -
     return (sizes > LONG) | (threshold * sizes <= 1 + 1e-9) if single else reach >= sizes
 
 
+def shared(h: np.ndarray) -> np.ndarray:
+    """Places of the entries whose key another entry has too, by key."""
+    order = np.argsort(h)
+    same = h[order[1:]] == h[order[:-1]]
+    return order[np.r_[False, same] | np.r_[same, False]] if len(h) else order
+
+
 def rare_pairs(h: np.ndarray, ids: np.ndarray, sizes: np.ndarray, reach: np.ndarray, hub: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int | None]]:
     """Pairs (smaller ids, larger ids, None) of entries with one key and within each other's reach, at least one of them a hub. Of a key with
     more than SMALL hubs come (its smallest id, the others, key)."""
-    order = np.lexsort((ids, h))
+    order = shared(h)
+    if not len(order):
+        return
+    order = order[np.lexsort((ids[order], h[order]))]
     h, ids, sizes, reach, hub = h[order], ids[order], sizes[order], reach[order], hub[order]
     starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
     lengths, hubs = np.diff(np.r_[starts, len(h)]), np.add.reduceat(hub.astype(np.int64), starts)
@@ -236,9 +267,25 @@ def _frequent(texts: DataFrame, n: int, records: int) -> tuple[np.ndarray, np.nd
     as the words of an average record divided by KNOWN, however many records there are. Runs of several words are too rare to be set aside."""
     if n > 1 or not records:
         return np.array([], dtype=np.uint64), np.array([], dtype=np.int64), np.array([], dtype=bool)
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
-    counts = texts.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    found = {xxhash.xxh64_intdigest(r["word"]): r["n"] for r in counts.filter(F.col("n") >= max(2, KNOWN * records)).toLocalIterator()}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = Counter()
+
+        def counted() -> pa.RecordBatch:
+            words = np.fromiter(map(xxhash.xxh64_intdigest, counts), np.uint64, len(counts)).view(np.int64)
+            many = np.fromiter(counts.values(), np.int64, len(counts))
+            counts.clear()
+            return pa.RecordBatch.from_arrays([pa.array(words), pa.array(many)], names=["word", "n"])
+
+        for b in batches:
+            for text in b.column("text").to_pylist():
+                counts.update(set(words_of(text)))
+                if len(counts) > REMEMBERED:
+                    yield counted()
+        yield counted()
+
+    counts = texts.select("text").mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    found = {r["word"] % 2**64: r["n"] for r in counts.filter(F.col("n") >= max(2, KNOWN * records)).toLocalIterator()}
     known = np.array(sorted(found), dtype=np.uint64)
     often = np.array([found[w] for w in known.tolist()], dtype=np.int64)
     return known, often, often >= FREQUENT * records
@@ -260,28 +307,27 @@ def _candidates(texts: DataFrame, n: int, bands: int, rows: int, threshold: floa
 
         def emit(ids: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
             keys, payloads, copies, own = [], [], [], []
-            for i in sorted(range(len(ids)), key=ids.__getitem__):
-                x = sets[i]
-                k = (len(x), int(np.add.reduce(_mixed(x, 11))), int(np.add.reduce(_mixed(x, 12))))
-                first = seen.setdefault(k, ids[i])
-                if first == ids[i]:
-                    own.append(i)
-                else:
-                    copies.append((min(first, ids[i]), max(first, ids[i])))
+            by_id = sorted(range(len(ids)), key=ids.__getitem__)
+            n_ids, sizes = np.array([ids[i] for i in by_id], dtype=np.int64), np.array([len(sets[i]) for i in by_id])
+            values, starts = np.concatenate([sets[i] for i in by_id]), np.cumsum(sizes) - sizes
+            for k in zip(n_ids.tolist(), sizes.tolist(), *(np.add.reduceat(_mixed(values, seed), starts).tolist() for seed in (11, 12))):
+                first = seen.setdefault(k[1:], k[0])
+                own.append(first == k[0])
+                if first != k[0]:
+                    copies.append((min(first, k[0]), max(first, k[0])))
             if len(seen) > 1_000_000:
                 seen.clear()
             if copies:
                 keys.append(-1)
                 payloads.append(np.array(copies, dtype="<i8").tobytes())
-            if own:
-                sizes = np.array([len(sets[i]) for i in own])
-                values, offsets = np.concatenate([sets[i] for i in own]), np.r_[0, np.cumsum(sizes)].astype(np.int64)
-                n_ids, n_sizes = np.array([ids[i] for i in own], dtype=np.int64), np.minimum(sizes, 65535).astype("<u2")
+            if any(own):
+                values, n_ids, sizes = values[np.repeat(own, sizes)], n_ids[own], sizes[own]
+                offsets, n_sizes = np.r_[0, np.cumsum(sizes)].astype(np.int64), np.minimum(sizes, 65535).astype("<u2")
                 ordered = rarest_first(values, offsets, known, often)
                 rare = prefixes(ordered, offsets, threshold)
                 keys.append(-2)
                 lengths = np.array([len(x) for x in rare], dtype="<u4")
-                payloads.append(len(own).to_bytes(4, "little") + n_ids.astype("<i8").tobytes() + lengths.tobytes() + b"".join(rare))
+                payloads.append(len(sizes).to_bytes(4, "little") + n_ids.astype("<i8").tobytes() + lengths.tobytes() + b"".join(rare))
                 # Keys of some records at a time, so that a task holds no more of them than a part does.
                 about = np.cumsum(np.where(sizes <= LONG, sizes * sizes // 20, sizes // 3) + 1)
                 cuts = np.unique(np.r_[0, np.searchsorted(about, np.arange(RARE_HELD, about[-1], RARE_HELD)), len(sizes)]) if parts else []
@@ -377,7 +423,10 @@ def _candidates(texts: DataFrame, n: int, bands: int, rows: int, threshold: floa
                 ids.append(np.cumsum(np.frombuffer(body, "<i8", m)))
                 sizes.append(np.frombuffer(body, "<u2", m, 8 * m))
             h, ids, sizes = np.concatenate(hs), np.concatenate(ids), np.concatenate(sizes).astype(np.int64)
-            order = np.lexsort((ids, h))
+            order = shared(h)
+            if not len(order):
+                return
+            order = order[np.lexsort((ids[order], h[order]))]
             h, ids, sizes = h[order], ids[order], sizes[order]
             starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
             lengths = np.diff(np.r_[starts, len(h)])
