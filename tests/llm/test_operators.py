@@ -461,6 +461,11 @@ def test_only_entries_that_share_a_key_are_ordered(monkeypatch):
     assert max(ordered) <= 7
 
 
+def test_keys_without_a_hub_are_left_out():
+    h, hub = np.array([5, 1, 5, 3, 1, 3, 8, 9], dtype=np.uint32), np.array([0, 0, 1, 0, 0, 0, 1, 0], dtype=bool)
+    assert [sorted(neardup.shared(x, y).tolist()) for x, y in ((h, None), (h, hub), (h, ~hub), (h[6:], hub[6:]), (h[:0], hub[:0]))] == [[0, 1, 2, 3, 4, 5], [0, 2], [0, 1, 2, 3, 4, 5], [], []]
+
+
 # 8 packing
 
 

@@ -224,17 +224,24 @@ def hubs(sizes: np.ndarray, reach: np.ndarray, single: bool, threshold: float) -
     return (sizes > LONG) | (threshold * sizes <= 1 + 1e-9) if single else reach >= sizes
 
 
-def shared(h: np.ndarray) -> np.ndarray:
-    """Places of the entries whose key another entry has too, by key."""
+def shared(h: np.ndarray, hub: np.ndarray | None = None) -> np.ndarray:
+    """Places of the entries whose key another entry has too, by key. Given the hubs, keys without one are left out."""
     order = np.argsort(h)
-    same = h[order[1:]] == h[order[:-1]]
-    return order[np.r_[False, same] | np.r_[same, False]] if len(h) else order
+    if len(h):
+        key = h[order]
+        same = key[1:] == key[:-1]
+        order = order[np.r_[False, same] | np.r_[same, False]]
+    if hub is not None and len(order):
+        key = h[order]
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        order = order[np.repeat(np.logical_or.reduceat(hub[order], starts), np.diff(np.r_[starts, len(order)]))]
+    return order
 
 
 def rare_pairs(h: np.ndarray, ids: np.ndarray, sizes: np.ndarray, reach: np.ndarray, hub: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int | None]]:
     """Pairs (smaller ids, larger ids, None) of entries with one key and within each other's reach, at least one of them a hub. Of a key with
     more than SMALL hubs come (its smallest id, the others, key)."""
-    order = shared(h)
+    order = shared(h, hub)
     if not len(order):
         return
     order = order[np.lexsort((ids[order], h[order]))]
@@ -248,12 +255,12 @@ def rare_pairs(h: np.ndarray, ids: np.ndarray, sizes: np.ndarray, reach: np.ndar
         return np.minimum(x, y), np.maximum(x, y), None
 
     for length in range(2, SMALL + 1):
-        s = starts[(lengths == length) & (hubs > 0)]
+        s = starts[lengths == length]
         if len(s):
             for i in range(length):
                 for j in range(i + 1, length):
                     yield met(s + i, s + j)
-    for i in np.flatnonzero((lengths > SMALL) & (hubs > 0)):
+    for i in np.flatnonzero(lengths > SMALL):
         every = np.arange(starts[i], starts[i] + lengths[i])
         if hubs[i] <= SMALL:
             mine = every[hub[every]]
@@ -498,7 +505,7 @@ def _share(pairs: DataFrame, prefix: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, threshold: float) -> DataFrame:
-    """Pairs whose whole sets reach the threshold."""
+    """Pairs whose whole sets reach the threshold. ``texts`` has one row an id."""
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         elements, seen = Elements(n), {}
@@ -518,9 +525,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, threshold: float) -> D
                 keep.append(common >= threshold * (len(x) + len(y) - common) - 1e-9)
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    some = texts.join(asked.hint("merge"), "id", "left_semi").dropDuplicates(["id"])
-    one, two = some.select(F.col("id").alias("a"), F.col("text").alias("ta")), some.select(F.col("id").alias("b"), F.col("text").alias("tb"))
+    one, two = texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
     return pairs.join(one.hint("merge"), "a").join(two.hint("merge"), "b").select("a", "b", "ta", "tb").mapInArrow(alike, "a bigint, b bigint")
 
 
@@ -558,15 +563,18 @@ def near_duplicates(records: DataFrame, threshold: float = 0.8, words: int = 5,
     prefix = candidates.filter("prefix IS NOT NULL").select("a", "prefix")
     pairs = candidates.filter("prefix IS NULL AND (bucket IS NULL OR bucket > 0)").select("a", "b").distinct()
     copies = candidates.filter("bucket = 0").select("a", "b")
-    links = stored(_verified(stored(_share(pairs, prefix)), texts, words, threshold).union(copies))
+    likely, large = stored(_share(pairs, prefix)), candidates.filter("bucket > 0")
+    # All texts are shuffled once, for the pairs of now and for those across the parts of large buckets.
+    asked = likely.union(large.select("a", "b")).select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    some = stored(texts.join(asked.hint("merge"), "id", "left_semi").dropDuplicates(["id"]))
+    links = stored(_verified(likely, some, words, threshold).union(copies))
     found = components(links)
-    large = candidates.filter("bucket > 0")
     if not large.isEmpty():
         members = large.select("bucket", F.col("b").alias("id")).union(large.select("bucket", F.col("a").alias("id")).distinct())
         placed = members.join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
         split = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("bucket")
         rest = _across(placed.join(split, "bucket", "left_semi")).join(pairs, ["a", "b"], "left_anti")
-        more = stored(_verified(stored(_share(rest, prefix)), texts, words, threshold))
+        more = stored(_verified(stored(_share(rest, prefix)), some, words, threshold))
         if not more.isEmpty():
             found = components(links.union(more))
     return found.select("id", F.col("component").alias("group"))
