@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -71,6 +72,56 @@ def test_draw_holds_all_axes():
     assert 130 <= size <= 150
 
 
+def test_draw_is_that_of_a_look_at_every_kind_and_not_slow(spark):
+    """The choice as defined, every kind looked at for every thread, and a pool of some thousand kinds in seconds."""
+
+    def plain(kinds, quota, size, tolerance):
+        need, over, taken, left = dict(quota), {c: release.slack(n, tolerance) for c, n in quota.items()}, [0] * len(kinds), size
+        fit = lambda i: taken[i] < kinds[i][2] and kinds[i][1] <= left and all(n <= need.get(k, 0) + over.get(k, 0) for k, n in kinds[i][0].items())
+        while left > 0:
+            for c in sorted((c for c, n in need.items() if n > 0), key=lambda c: (-need[c] / quota[c], c)):
+                if fits := [i for i in range(len(kinds)) if c in kinds[i][0] and fit(i)]:
+                    break
+            else:
+                break
+            best = max(fits, key=lambda i: (sum(min(n, max(0, need.get(k, 0))) for k, n in kinds[i][0].items()) / kinds[i][1], -i))
+            cells, turns, there = kinds[best]
+            many = max(1, min([there - taken[best], left // turns, max(1, need[c] // (100 * cells[c])), *((need.get(k, 0) + over.get(k, 0)) // n for k, n in cells.items())]))
+            taken[best] += many
+            left -= many * turns
+            for k, n in cells.items():
+                need[k] = need.get(k, 0) - many * n
+        return taken
+
+    def made(rng, many, there):
+        out = []
+        for _ in range(many):
+            turns = [[("d", rng.choice("abc")), ("q", rng.choice("klmnopqrst")), ("l", rng.choice("xy")), ("v", rng.choice("01"))] for _ in range(rng.choice([1, 1, 2, 3]))]
+            cells: dict = {}
+            for c in (c for x in turns for c in x if rng.random() < 0.95):
+                cells[c] = cells.get(c, 0) + 1
+            out.append((cells, len(turns), rng.randint(1, there)))
+        supply: dict = {}
+        for cells, _, n in out:
+            for c, m in cells.items():
+                supply[c] = supply.get(c, 0) + n * m
+        return out, supply, {a: {k: 1.0 if a == "d" else float(n) for (axis, k), n in supply.items() if axis == a} for a in "dqlv"}
+
+    for seed in range(6):
+        kinds, supply, weights = made(random.Random(seed), 60, 20)
+        pool = sum(turns * n for _, turns, n in kinds)
+        for size in (pool // 3, pool // 2, pool):
+            quota = release.quota_of(size, weights, supply, 0.05)
+            assert release.choose(kinds, quota, size, 0.05) == plain(kinds, quota, size, 0.05)
+        assert release.largest(kinds, weights, supply, 0.05) == release.largest(kinds, weights, supply, 0.05, release.first_on(spark)) > 0
+    kinds, supply, weights = made(random.Random(9), 4000, 30)
+    size = sum(turns * n for _, turns, n in kinds) // 2
+    quota = release.quota_of(size, weights, supply, 0.05)
+    began = time.process_time()
+    assert sum(n * k[1] for n, k in zip(release.choose(kinds, quota, size, 0.05), kinds)) > 0.9 * size
+    assert time.process_time() - began < 3
+
+
 def test_release_keeps_threads_whole_and_facts_apart(spark):
     from textloom.registry import Tables
 

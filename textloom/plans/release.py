@@ -7,15 +7,17 @@ picks rows of a kind by hash order; the greedy choice itself runs on the counts
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
+from heapq import heappop, heapreplace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.operators.sets import closure
 from textloom.operators.windows import hashed
 from textloom.plans.selection import apportioned, independent
 from textloom.registry import Tables, query
-from textloom.session import checkpointed
+from textloom.session import checkpointed, shipped
 
 AXES = ["difficulty", "question_type", "answerable", "language"]
 #: Kinds of threads that are taken to the driver at most; more raise an error.
@@ -39,27 +41,50 @@ def quota_of(size: int, weights: dict[str, dict[str, float]], supply: dict[Cell,
     return out
 
 
-def choose(kinds: list[Kind], quota: dict[Cell, int], size: int, tolerance: float) -> list[int]:
+def ranked(kinds: list[Kind]) -> dict[Cell, list[tuple[float, int]]]:
+    """Of each category the kinds that have it, as (-cells a turn, place) in order: a heap of the most that a kind's turns can be needed."""
+    out: dict[Cell, list[tuple[float, int]]] = {}
+    for i, (cells, turns, _) in enumerate(kinds):
+        for c in cells:
+            out.setdefault(c, []).append((-sum(cells.values()) / turns, i))
+    return {c: sorted(v) for c, v in out.items()}
+
+
+def choose(kinds: list[Kind], quota: dict[Cell, int], size: int, tolerance: float, by: dict[Cell, list[tuple[float, int]]] | None = None, short: int | None = None) -> list[int] | None:
     """How many threads of each kind are drawn. ``kinds`` are (turns by cell, turns, threads there are). The category that lacks the largest share of its
     quota comes first; of the kinds that have it and overshoot no quota by more than the slack, the one whose turns are needed most is taken, ties by
-    place. Some of a kind are taken together while a hundredth of the lack lasts."""
+    place. Some of a kind are taken together while a hundredth of the lack lasts.
+
+    What is needed and left only falls, so a kind that does not fit is out for good and none is needed more than when it was last looked at: the first of
+    a category's heap that is needed as much as it says is the best. ``by`` is what ``ranked`` gives; with ``short`` there is no draw (None) as soon as a
+    category is certain to lack more than that."""
     need, over = dict(quota), {c: slack(n, tolerance) for c, n in quota.items()}
     taken, left = [0] * len(kinds), size
-    holding: dict[Cell, list[int]] = {}
-    for i, (cells, _, _) in enumerate(kinds):
-        for c in cells:
-            holding.setdefault(c, []).append(i)
+    heaps: dict[Cell, list[tuple[float, int]]] = {}
+    by = ranked(kinds) if by is None else by
     while left > 0:
         done = True
         for c in sorted((c for c, n in need.items() if n > 0), key=lambda c: (-need[c] / quota[c], c)):
-            fits = [i for i in holding.get(c, ()) if taken[i] < kinds[i][2] and kinds[i][1] <= left and all(n <= need.get(k, 0) + over.get(k, 0) for k, n in kinds[i][0].items())]
-            if not fits:
+            if c not in heaps:
+                heaps[c] = list(by.get(c, ()))
+            heap = heaps[c]
+            while heap:
+                said, i = heap[0]
+                cells, turns, there = kinds[i]
+                if taken[i] >= there or turns > left or not all(n <= need.get(k, 0) + over.get(k, 0) for k, n in cells.items()):
+                    heappop(heap)
+                    continue
+                now = -sum(min(n, max(0, need.get(k, 0))) for k, n in cells.items()) / turns
+                if now == said:
+                    break
+                heapreplace(heap, (now, i))
+            if not heap:
+                if short is not None and need[c] > short:
+                    return None
                 continue
-            best = max(fits, key=lambda i: (sum(min(n, max(0, need.get(k, 0))) for k, n in kinds[i][0].items()) / kinds[i][1], -i))
-            cells, turns, there = kinds[best]
-            many = min(there - taken[best], left // turns, max(1, need[c] // (100 * cells[c])))
+            many = min(there - taken[i], left // turns, max(1, need[c] // (100 * cells[c])))
             many = max(1, min([many, *((need.get(k, 0) + over.get(k, 0)) // n for k, n in cells.items())]))
-            taken[best] += many
+            taken[i] += many
             left -= many * turns
             for k, n in cells.items():
                 need[k] = need.get(k, 0) - many * n
@@ -80,7 +105,27 @@ def close_enough(taken: list[int], kinds: list[Kind], quota: dict[Cell, int], si
     return drawn >= size - slack(size, tolerance) and all(abs(have[c] - n) <= slack(size, tolerance) for c, n in quota.items())
 
 
-def largest(kinds: list[Kind], weights: dict[str, dict[str, float]], supply: dict[Cell, int], tolerance: float) -> int:
+def first_here(sizes: range, fills: Callable[[int], bool]) -> int:
+    return next((s for s in sizes if fills(s)), 0)
+
+
+def first_on(spark: SparkSession) -> Callable[[range, Callable[[int], bool]], int]:
+    """The same with some sizes at a time tried on the cluster, a task for each."""
+    sc = spark.sparkContext
+    wave = 2 * sc.defaultParallelism
+
+    def first(sizes: range, fills: Callable[[int], bool]) -> int:
+        shipped(spark)
+        for at in range(0, len(sizes), wave):
+            some = sizes[at : at + wave]
+            if found := sc.parallelize(list(some), len(some)).filter(fills).collect():
+                return max(found)
+        return 0
+
+    return first
+
+
+def largest(kinds: list[Kind], weights: dict[str, dict[str, float]], supply: dict[Cell, int], tolerance: float, first: Callable[[range, Callable[[int], bool]], int] = first_here) -> int:
     """The largest size that a draw fills within the tolerance: a scan downwards by hundredths of the pool from a bound that no release can pass, then by one."""
     bound = sum(turns * there for _, turns, there in kinds)
     for axis, w in weights.items():
@@ -89,13 +134,16 @@ def largest(kinds: list[Kind], weights: dict[str, dict[str, float]], supply: dic
             if x / whole > tolerance:
                 bound = min(bound, int((supply.get((axis, k), 0) + 1) / (x / whole - tolerance)))
 
+    by = ranked(kinds)
+
     def fills(size: int) -> bool:
         quota = {(a, k): round(size * x / (sum(w.values()) or 1.0)) for a, w in weights.items() for k, x in w.items()}
-        return close_enough(choose(kinds, quota, size, tolerance), kinds, quota, size, tolerance)
+        taken = choose(kinds, quota, size, tolerance, by, slack(size, tolerance))
+        return taken is not None and close_enough(taken, kinds, quota, size, tolerance)
 
     step = max(1, bound // 100)
-    size = next((s for s in range(bound, 0, -step) if fills(s)), 0)
-    return next((s for s in range(min(bound, size + step - 1), size, -1) if fills(s)), size) if size else 0
+    size = first(range(bound, 0, -step), fills)
+    return (first(range(min(bound, size + step - 1), size, -1), fills) or size) if size else 0
 
 
 def threads(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -158,7 +206,7 @@ def release_size(t: Tables) -> DataFrame:
     _, kinds = threads(t)
     _, known, supply = counted(kinds)
     weights = {a: {k: 1.0 if a == "difficulty" else float(n) for (axis, k), n in supply.items() if axis == a} for a in AXES}
-    rows = [(t_, largest(known, weights, supply, t_)) for t_ in (0.02, 0.05, 0.1)]
+    rows = [(t_, largest(known, weights, supply, t_, first_on(t.spark))) for t_ in (0.02, 0.05, 0.1)]
     return t.spark.createDataFrame(rows, "tolerance double, size bigint")
 
 
