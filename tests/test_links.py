@@ -51,7 +51,7 @@ def odd(seed: int) -> tuple[list, list]:
     return vocabulary, passages
 
 
-@pytest.mark.parametrize("name", ["head_partners"])
+@pytest.mark.parametrize("name", ["head_partners", "alike_and_apart"])
 def test_links_of_odd_rows_equal_sql(spark, tmp_path, name):
     for seed in range(2):
         t = tables(spark, *odd(seed))
@@ -90,7 +90,7 @@ def many(spark) -> Given:
     return tables(spark, [(i, "en", [f"r{i % 200}", *rng.sample([f"f{k}" for k in range(20)], 10)]) for i in range(8000)], [(i, f"d{i}", i, "", "en", "1") for i in range(8000)])
 
 
-@pytest.mark.parametrize("name", ["head_partners"])
+@pytest.mark.parametrize("name", ["head_partners", "alike_and_apart"])
 def test_no_row_is_made_for_a_pair(spark, name):
     """Two hundred terms of forty passages: 156,000 pairs of about five terms in common."""
     t, before = many(spark), written(spark)

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.operators.groups import walked
-from textloom.operators.joins import rare_term_pairs
 from textloom.operators.windows import first_of
 from textloom.registry import Tables, query
 from textloom.session import checkpointed, shipped, stored
@@ -203,15 +202,10 @@ def grown_pairs(t: Tables) -> DataFrame:
 k AS (SELECT a, b, len(list_intersect(x.w, y.w)) / len(list_distinct(list_concat(x.w, y.w))) AS s FROM s0 JOIN w x ON x.id = a JOIN w y ON y.id = b)
 SELECT a AS id, arg_min(b, (-round(s, 9), b)) AS most, arg_min(b, (round(s, 9), b)) AS least FROM k GROUP BY 1""")
 def alike_and_apart(t: Tables) -> DataFrame:
-    v = checkpointed(terms_of(t))
-    pairs = checkpointed(rare_term_pairs(t))
-    size = v.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    some = pairs.join(v.select(F.col("id").alias("a"), "term"), "a").join(v.select(F.col("id").alias("b"), "term"), ["b", "term"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("i"))
-    sized = some.join(size.select(F.col("id").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b")
-    k = sized.select("a", "b", F.round(F.col("i") / (F.col("na") + F.col("nb") - F.col("i")), 9).alias("s"))
-    both = k.unionByName(k.select(F.col("b").alias("a"), F.col("a").alias("b"), "s"))
-    found = both.groupBy(F.col("a").alias("id")).agg(F.min(F.struct((-F.col("s")).alias("s"), "b")).alias("most"), F.min(F.struct("s", "b")).alias("least"))
-    return found.select("id", F.col("most.b").alias("most"), F.col("least.b").alias("least"))
+    own = worded(t)
+    members = holders(own).withColumnRenamed("language", "g").withColumn("tier", F.lit(TERM)).join(own.select("id", "w").hint("merge"), "id")
+    found = extremes(members, True).groupBy("id").agg(F.min(F.struct((-F.col("most")).alias("s"), "near")).alias("most"), F.min(F.struct("least", "far")).alias("least"))
+    return found.select("id", F.col("most.near").alias("most"), F.col("least.far").alias("least"))
 
 
 @query("T22: the five terms that most passages of a chapter have", """
