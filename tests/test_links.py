@@ -10,6 +10,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 from verify import rows  # noqa: E402
 
+from textloom.operators import partners  # noqa: E402
 from textloom.operators.catalog import ORACLES  # noqa: E402
 from textloom.plans import links  # noqa: E402
 
@@ -51,7 +52,7 @@ def odd(seed: int) -> tuple[list, list]:
     return vocabulary, passages
 
 
-@pytest.mark.parametrize("name", ["head_partners", "alike_and_apart"])
+@pytest.mark.parametrize("name", ["head_partners", "grown_pairs", "alike_and_apart"])
 def test_links_of_odd_rows_equal_sql(spark, tmp_path, name):
     for seed in range(2):
         t = tables(spark, *odd(seed))
@@ -61,7 +62,7 @@ def test_links_of_odd_rows_equal_sql(spark, tmp_path, name):
 
 @pytest.mark.parametrize("alike, block, slab", [(True, 7, 50), (False, 7, 2_000_000), (False, 2000, 50), (True, 2000, 2_000_000)])
 def test_extremes_of_groups_equal_all_pairs(spark, monkeypatch, alike, block, slab):
-    monkeypatch.setattr(links, "SLAB", slab)
+    monkeypatch.setattr(partners, "SLAB", slab)
     rng = random.Random(block)
     words = {i: rng.sample("abcdefghij", rng.randint(0 if not alike else 1, 6)) for i in range(60)}
     groups = {(1, "g", "one"): [5], (1, "g", "two"): rng.sample(range(60), 30), (2, "g", "two"): rng.sample(range(60), 8), (2, "h", "two"): rng.sample(range(60), 25)}
@@ -79,7 +80,7 @@ def test_extremes_of_groups_equal_all_pairs(spark, monkeypatch, alike, block, sl
                 want[key] = (min(want[key][0], top), min(want[key][1], low)) if key in want else (top, low)
     df = spark.createDataFrame([(*k, i, len(ids), words[i]) for k, ids in groups.items() for i in ids], "tier int, g string, term string, id bigint, df bigint, w array<string>")
     got = {}
-    for r in links.extremes(df, alike, block).collect():
+    for r in partners.extremes(df, partners.ALIKE if alike else partners.SHARED, block).collect():
         key, top, low = (r["tier"], r["id"]), (-r["most"], r["near"]), (r["least"], r["far"])
         got[key] = (min(got[key][0], top), min(got[key][1], low)) if key in got else (top, low)
     assert {k: v if alike else v[0] for k, v in got.items()} == {k: v if alike else v[0] for k, v in want.items()}
@@ -90,7 +91,7 @@ def many(spark) -> Given:
     return tables(spark, [(i, "en", [f"r{i % 200}", *rng.sample([f"f{k}" for k in range(20)], 10)]) for i in range(8000)], [(i, f"d{i}", i, "", "en", "1") for i in range(8000)])
 
 
-@pytest.mark.parametrize("name", ["head_partners", "alike_and_apart"])
+@pytest.mark.parametrize("name", ["head_partners", "grown_pairs", "alike_and_apart"])
 def test_no_row_is_made_for_a_pair(spark, name):
     """Two hundred terms of forty passages: 156,000 pairs of about five terms in common."""
     t, before = many(spark), written(spark)

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.columns import cosine, jaccard, numbers, words
+from textloom.operators.partners import Score, extremes, shares
 from textloom.operators.vectors import nearest
 from textloom.registry import Tables, query
 from textloom.session import stored
 
 #: Constant of reciprocal rank fusion.
 FUSION = 60
+#: What two questions meet on: a fact, a passage, or a rare word.
+FACT, PASSAGE, WORD = 0, 1, 2
 _E = "SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings"
 
 
@@ -89,32 +93,34 @@ m AS (SELECT a.id, b.id AS near, a.language IS NOT DISTINCT FROM b.language AS s
  len(list_intersect(a.w, b.w)) AS i, len(a.w) + len(b.w) AS n FROM q a JOIN q b ON b.id < a.id AND len(a.w) > 0 AND len(b.w) > 0),
 s AS (SELECT *, i / (n - i) AS s, CASE WHEN NOT sl THEN NULL WHEN NOT sa THEN CASE WHEN ba AND sf THEN 0.5 END WHEN sf OR sp THEN 0.5 ELSE 0.75 END AS bar FROM m)
 SELECT id, near, round(s - bar, 6) AS above FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(s - bar, 6) DESC, near) AS r FROM s WHERE s >= bar) WHERE r = 1""")
-def repeated_questions(t: Tables, t_bar: float = 0.5) -> DataFrame:
-    """(id, near, above) over every question of any difficulty, each compared with every earlier one that can reach its bar. Pairs on a fact or passage in
-    common are met by it; the bar of all others is the higher one, and sets of words that overlap so far share one of the rarest
-    |x| - ceil(bar |x|) + 1 words of either, so no pair is lost. Questions without words abstain."""
+def repeated_questions(t: Tables, t_bar: float = 0.5, block: int = 8000) -> DataFrame:
+    """(id, near, above) over every question of any difficulty, each compared with every earlier one that can reach its bar. Questions on a fact or passage in
+    common meet in its group; the bar of all others is the higher one, and sets of words that overlap so far share one of the rarest
+    |x| - ceil(bar |x|) + 1 words of either, whose groups they meet in, so no pair is lost. No row is made for a pair; the work within a group is quadratic in it,
+    as a template's questions do repeat each other. Questions without words abstain."""
     facts = t.question_facts.select(F.col("question_id").alias("id"), "fact_id").distinct()
-    cited = facts.join(t.fact_passages.select("fact_id", "passage_id").distinct(), "fact_id").groupBy("id").agg(F.collect_set("passage_id").alias("p"))
-    on = facts.select("id", F.lit(False).alias("passage"), F.col("fact_id").alias("key")).unionByName(cited.select("id", F.lit(True).alias("passage"), F.explode("p").alias("key")))
-    sharing = on.join(on.withColumnRenamed("id", "near"), ["passage", "key"]).filter("near < id").select("id", "near").distinct()
-    facts = facts.groupBy("id").agg(F.collect_set("fact_id").alias("f"))
-    q = stored(t.questions.select("id", "language", "answerable", F.array_distinct(words("question_text")).alias("w")).filter(F.size("w") > 0).join(facts, "id", "left").join(cited, "id", "left"))
-    df = q.select("language", F.explode("w").alias("word")).groupBy("language", "word").agg(F.count(F.lit(1)).alias("df"))
-    x = q.select("id", F.coalesce("language", F.lit("")).alias("l"), F.explode("w").alias("word")).join(df.select(F.coalesce("language", F.lit("")).alias("l"), "word", "df"), ["l", "word"])
-    o = x.groupBy("id", "l").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "word"))), lambda e: e["word"]).alias("o"))
+    passages = facts.join(t.fact_passages.select("fact_id", "passage_id").distinct().hint("merge"), "fact_id").select("id", F.col("passage_id").cast("string").alias("term")).filter("term IS NOT NULL").distinct()
+    language = F.coalesce(F.concat(F.lit("="), "language"), F.lit("")).alias("g")
+    flag = F.coalesce(F.col("answerable").cast("int"), F.lit(-1)).alias("flag")
+    q = stored(t.questions.filter("id IS NOT NULL").select("id", language, flag, F.array_distinct(words("question_text")).alias("w")).filter(F.size("w") > 0))
+    x = q.select("id", "g", F.explode("w").alias("word"))
+    df = x.groupBy("g", "word").agg(F.count(F.lit(1)).alias("df"))
+    o = x.join(df.hint("merge"), ["g", "word"]).groupBy("id", "g").agg(F.transform(F.array_sort(F.array_distinct(F.collect_list(F.struct("df", "word")))), lambda e: e["word"]).alias("o"))
     high = t_bar + (1 - t_bar) / 2
     least = F.size("o") - F.ceil(F.size("o") * high - 1e-9).cast("int") + 1
-    prefix = o.select("id", "l", F.size("o").alias("size"), F.posexplode(F.slice("o", F.lit(1), least)).alias("at", "word"))
-    b = prefix.select("l", "word", F.col("id").alias("near"), F.col("size").alias("other"), F.col("at").alias("there"))
-    reach = F.least(F.col("size") - F.col("at"), F.col("other") - F.col("there"))  # words shared at most, if this is the first of them
-    pairs = prefix.join(b, ["l", "word"]).filter((F.col("near") < F.col("id")) & (reach >= high * (F.col("size") + F.col("other") - reach) - 1e-9)).select("id", "near")
-    pairs = pairs.unionByName(sharing).distinct()
-    n = q.select(F.col("id").alias("near"), F.col("language").alias("lb"), F.col("answerable").alias("ab"), F.col("w").alias("wb"), F.col("f").alias("fb"), F.col("p").alias("pb"))
-    met = pairs.join(q, "id").join(n, "near").withColumn("s", jaccard(F.col("w"), F.col("wb"))).filter(F.col("s") >= t_bar)
-    common = lambda a, c: F.coalesce(F.arrays_overlap(a, c), F.lit(False))
-    bar = duplicate_bar(t_bar, F.col("language").eqNullSafe(F.col("lb")), F.col("answerable") == F.col("ab"), F.col("ab"), common("f", "fb"), common("p", "pb"))
-    rows = met.withColumn("bar", bar).filter("s >= bar").select("id", (-F.col("near")).alias("near"), F.round(F.col("s") - F.col("bar"), 6).alias("above"))
-    return rows.groupBy("id").agg(F.max(F.struct("above", "near")).alias("m")).select("id", (-F.col("m.near")).alias("near"), F.col("m.above").alias("above"))
+    rare = o.select(F.lit(WORD).alias("tier"), "id", "g", F.explode(F.slice("o", F.lit(1), least)).alias("term"))
+    on = lambda tier, rows: rows.join(q.select("id", "g").hint("merge"), "id").select(F.lit(tier).alias("tier"), "id", "g", "term")
+    own = stored(rare.unionByName(on(PASSAGE, passages)).unionByName(on(FACT, facts.select("id", F.col("fact_id").cast("string").alias("term")).filter("term IS NOT NULL"))).distinct())
+    many = own.groupBy("tier", "g", "term").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    members = own.join(many.hint("merge"), ["tier", "g", "term"]).join(q.hint("merge"), ["id", "g"])
+
+    def of(common, one, two, tier, a, b):
+        s, bar = shares(common, one, two), np.where(tier == WORD, high, t_bar)
+        return np.floor((s - bar) * 1e6 + 0.5).astype(np.int64), (s >= bar) & ((a == b) | (a < 0) | (b < 0) | (tier == FACT) & (b == 1))
+
+    rows = extremes(members, Score(of), block, earlier=True)
+    best = rows.groupBy("id").agg(F.max(F.struct("most", (-F.col("near")).alias("near"))).alias("m"))
+    return best.select("id", (-F.col("m.near")).alias("near"), (F.col("m.most") / F.lit(1e6)).alias("above"))
 
 
 @query("T18: length of the shared beginning of two section paths", """

@@ -2,22 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.operators.groups import walked
+from textloom.operators.partners import ALIKE, SHARED, extremes
 from textloom.operators.windows import first_of
 from textloom.registry import Tables, query
-from textloom.session import checkpointed, shipped, stored
+from textloom.session import checkpointed, stored
 
 #: Tiers of links, the strongest first.
 REFERENCE, SIBLING, TERM = 0, 1, 2
-#: Pairs and terms in common that are held at once in a task.
-SLAB = 2_000_000
 
 
 def terms_of(t: Tables) -> DataFrame:
@@ -52,92 +48,6 @@ def holders(own: DataFrame) -> DataFrame:
     return v.filter("id IS NOT NULL").join(F.broadcast(frequent), ["language", "term"], "left_anti").join(rare.hint("merge"), ["language", "term"])
 
 
-def _found(rows: pa.Table, alike: bool) -> Iterator[pa.RecordBatch]:
-    """(tier, id, most, near, least, far) of each row of whole groups: among the others of its group those it has most and least in common with, the lower
-    id first. Rows are in order of (tier, g, term, i, j, own, id); where i <> j, a row meets those of the other block only."""
-    ids, i, j, own, tier = (rows[c].to_numpy() for c in ("id", "i", "j", "own", "tier"))
-    group = np.cumsum(_begins(rows)) - 1
-    side = (own != i).astype(np.int64)
-    sub = group * 2 + side
-    other = group * 2 + np.where(i == j, 0, 1 - side)
-    first, last = np.searchsorted(sub, other, "left"), np.searchsorted(sub, other, "right")
-    many = last - first  # rows that each row meets
-    terms = rows["w"].combine_chunks()
-    terms = terms.chunk(0) if isinstance(terms, pa.ChunkedArray) else terms
-    size = terms.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    at = np.concatenate([[0], np.cumsum(size)])
-    code = terms.flatten().dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    row, span = np.repeat(np.arange(len(ids)), size), int(code.max(initial=0)) + 1
-    key = sub[row] * span + code
-    order = np.argsort(key, kind="stable")
-    posted, (known, begin, times) = row[order], np.unique(key[order], return_index=True, return_counts=True)
-    want = other[row] * span + code
-    place = np.minimum(np.searchsorted(known, want), max(0, len(known) - 1))
-    hits = np.where(known[place] == want, times[place], 0) if len(known) else np.zeros(0, dtype=np.int64)
-    cost = np.cumsum(many + np.bincount(row, weights=hits, minlength=len(ids)).astype(np.int64))
-    lo = 0
-    while lo < len(ids):
-        hi = max(lo + 1, int(np.searchsorted(cost, (cost[lo - 1] if lo else 0) + SLAB, "right")))
-        some, m = slice(at[lo], at[hi]), many[lo:hi]
-        base = np.cumsum(m) - m
-        n, r = hits[some], row[some]
-        met = posted[np.repeat(begin[place[some]] - (np.cumsum(n) - n), n) + np.arange(n.sum())] if n.sum() else np.zeros(0, dtype=np.int64)
-        common = np.bincount(np.repeat(base[r - lo] - first[r], n) + met, minlength=int(m.sum()))
-        a = np.repeat(np.arange(lo, hi), m)
-        b = np.arange(len(a)) - np.repeat(base - first[lo:hi], m)
-        score = np.floor(common / (size[a] + size[b] - common) * 1e9 + 0.5).astype(np.int64) if alike else common.astype(np.int64)
-        alone, full = a == b, np.flatnonzero(m > 0)
-        out = []
-        for sign in (1, -1) if alike else (1,):
-            s = np.where(alone, np.iinfo(np.int64).min, sign * score)
-            top = np.maximum.reduceat(s, base[full]) if len(full) else s
-            best = np.flatnonzero((s == np.repeat(top, m[full])) & ~alone)
-            best = best[np.concatenate([[True], a[best][1:] != a[best][:-1]])] if len(best) else best
-            out += [score[best], ids[b[best]]]
-        if len(best):
-            out = out if alike else out * 2
-            yield pa.RecordBatch.from_arrays([pa.array(tier[a[best]], pa.int32()), *[pa.array(x, pa.int64()) for x in (ids[a[best]], *out)]], names=["tier", "id", "most", "near", "least", "far"])
-        lo = hi
-
-
-def _begins(rows: pa.Table) -> np.ndarray:
-    """Where a group begins."""
-    new = np.zeros(rows.num_rows, dtype=bool)
-    new[:1] = True
-    for c in ("tier", "g", "term", "i", "j"):
-        x = rows[c].combine_chunks()
-        x = x.chunk(0) if isinstance(x, pa.ChunkedArray) else x
-        k = x.dictionary_encode().indices.to_numpy(zero_copy_only=False) if pa.types.is_string(x.type) else x.to_numpy(zero_copy_only=False)
-        new[1:] |= k[1:] != k[:-1]
-    return new
-
-
-def extremes(members: DataFrame, alike: bool, block: int = 2000) -> DataFrame:
-    """(tier, id, most, near, least, far): for the members (tier, g, term, id, df, w) of each group (tier, g, term), of df at most, the one with the most terms
-    of ``w`` in common (or, ``alike``, the largest and the smallest shared part of the terms of both, in billionths). A passage's terms go once into each of
-    its groups, so that no row is made for a pair; groups beyond ``block`` meet block by block."""
-    shipped(members.sparkSession)
-    cut = members.withColumn("of", F.ceil(F.col("df") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("of")).cast("int"))
-    w = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
-    keys = ["tier", "g", "term", "i", "j"]
-    met = w.select("tier", "g", "term", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "w")
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for b in batches:
-            rows = pa.Table.from_batches([b])
-            held = rows if held is None else pa.concat_tables([held, rows])
-            if held.num_rows:
-                end = int(np.flatnonzero(_begins(held))[-1])
-                if end:
-                    yield from _found(held.slice(0, end), alike)
-                    held = held.slice(end)
-        if held is not None and held.num_rows:
-            yield from _found(held, alike)
-
-    return met.repartition(*keys).sortWithinPartitions(*keys, "own", "id").mapInArrow(walk, "tier int, id bigint, most bigint, near bigint, least bigint, far bigint")
-
-
 def references(t: Tables, h: DataFrame) -> DataFrame:
     """(a, b): section heads and those they name, either way round."""
     found = F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("(?:section|Abschnitt) ([0-9]+)"), F.lit(1))))
@@ -177,7 +87,7 @@ def partners(t: Tables) -> DataFrame:
     many = parted.groupBy("doc_sha256", "parent").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     siblings = parted.join(many.hint("merge"), ["doc_sha256", "parent"]).select(F.lit(SIBLING).alias("tier"), F.col("doc_sha256").alias("g"), F.col("parent").alias("term"), "id", "df")
     members = rare.select("tier", "g", "term", "id", "df").unionByName(siblings).join(w.hint("merge"), "id", "left").withColumn("w", F.coalesce("w", F.array().cast("array<string>")))
-    grouped = extremes(members, False).select(F.col("id").alias("a"), "tier", (-F.col("most")).alias("n"), F.col("near").alias("b"))
+    grouped = extremes(members, SHARED).select(F.col("id").alias("a"), "tier", (-F.col("most")).alias("n"), F.col("near").alias("b"))
     named = references(t, h).join(w.select(F.col("id").alias("a"), F.col("w").alias("wa")).hint("merge"), "a", "left").join(w.select(F.col("id").alias("b"), F.col("w").alias("wb")).hint("merge"), "b", "left")
     common = F.coalesce(F.size(F.array_intersect("wa", "wb")).cast("bigint"), F.lit(0))
     either = grouped.unionByName(named.select("a", F.lit(REFERENCE).alias("tier"), F.when(F.col("wa").isNull() | F.col("wb").isNull(), F.lit(0)).otherwise(-common).cast("bigint").alias("n"), "b"))
@@ -194,7 +104,7 @@ def head_partners(t: Tables) -> DataFrame:
 SELECT x.a, x.b, CASE WHEN y.b <> x.a THEN y.b END AS third FROM best x LEFT JOIN best y ON y.a = x.b WHERE y.b IS NULL OR y.b <> x.a OR x.a < x.b""")
 def grown_pairs(t: Tables) -> DataFrame:
     best = checkpointed(partners(t).select("a", "b"))
-    rows = best.join(best.select(F.col("a").alias("b"), F.col("b").alias("c")), "b", "left")
+    rows = best.join(best.select(F.col("a").alias("b"), F.col("b").alias("c")).hint("merge"), "b", "left")
     return rows.filter("c IS NULL OR c <> a OR a < b").select("a", "b", F.when(F.col("c") != F.col("a"), F.col("c")).alias("third"))
 
 
@@ -204,7 +114,7 @@ SELECT a AS id, arg_min(b, (-round(s, 9), b)) AS most, arg_min(b, (round(s, 9),
 def alike_and_apart(t: Tables) -> DataFrame:
     own = worded(t)
     members = holders(own).withColumnRenamed("language", "g").withColumn("tier", F.lit(TERM)).join(own.select("id", "w").hint("merge"), "id")
-    found = extremes(members, True).groupBy("id").agg(F.min(F.struct((-F.col("most")).alias("s"), "near")).alias("most"), F.min(F.struct("least", "far")).alias("least"))
+    found = extremes(members, ALIKE).groupBy("id").agg(F.min(F.struct((-F.col("most")).alias("s"), "near")).alias("most"), F.min(F.struct("least", "far")).alias("least"))
     return found.select("id", F.col("most.near").alias("most"), F.col("least.far").alias("least"))
 
 
